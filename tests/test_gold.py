@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledgerlake import fixtures as X
+from ledgerlake.operators.facts import fact_loan_event_activity, fact_loan_performance
+from ledgerlake.operators.summary import event_summary
+from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
+from ledgerlake.sources.dims import dim_loan_type, dim_status
+
+MASTER = (
+    "loan_id string, customer_id string, loan_type string, origination_dt string, principal string, "
+    "interest_rate string, term_months string, status string, branch_id string, MODIFIED_TS string, _ingestion_ts string"
+)
+
+
+def _fact(spark, rows, as_of="2001-12-15"):
+    silver = silver_loan_master(spark.createDataFrame(rows, MASTER), "2001-12-15 06:00:00")
+    return fact_loan_performance(silver, dim_loan_type(spark), dim_status(spark), as_of=as_of, run_ts="2001-12-15 06:00:00")
+
+
+def _loan(loan_id, status, principal="100000.00", orig="2020-01-15", term="60", loan_type="AUTO"):
+    return (loan_id, "C1", loan_type, orig, principal, "5.0", term, status, "BR001", "2021-01-01 00:00:00", "2021-01-02 00:00:00")
+
+
+def test_dims_are_exact_and_broadcastable(spark):
+    st = {r.status: r for r in dim_status(spark).collect()}
+    assert st["DELINQUENT"].loss_given_default == Decimal("0.0500")
+    assert st["CHARGED_OFF"].occ_classification == "Loss"
+    assert dim_loan_type(spark).filter("real_estate_flag").count() == 2
+    assert dim_status(spark, "2001-01-01 00:00:00", with_lineage=True).columns[-1] == "_dim_status_ts"
+
+
+def test_exact_lgd_and_wide_decimal(spark):
+    rows = {r.loan_id: r for r in _fact(spark, [
+        _loan("L1", "DELINQUENT"),
+        _loan("L2", "CURRENT", principal="12345678901234.5678"),
+        _loan("L3", "PAID_OFF"),
+    ]).collect()}
+    assert rows["L1"].risk_weighted_exposure == Decimal("5000.0000")
+    assert rows["L1"].is_delinquent is True and rows["L1"].occ_classification == "Special Mention"
+    assert rows["L2"].estimated_balance == Decimal("12345678901234.5678")
+    assert rows["L3"].estimated_balance == Decimal("0.0000")
+
+
+def test_null_and_unknown_status(spark):
+    rows = {r.loan_id: r for r in _fact(spark, [_loan("L1", None), _loan("L2", "UNDER_REVIEW", loan_type="BOAT")]).collect()}
+    for r in rows.values():
+        assert r.is_delinquent is False
+        assert r.status_key is None and r.risk_weighted_exposure is None and r.occ_classification is None
+    assert rows["L2"].loan_type_key is None
+
+
+def test_months_remaining_truncates_and_goes_negative(spark):
+    matured = _fact(spark, [_loan("L1", "CURRENT", orig="1991-12-15", term="60")]).first()
+    assert matured.months_remaining == -60
+    month_end = _fact(spark, [_loan("L1", "CURRENT", orig="2025-12-31", term="60")], as_of="2026-02-28").first()
+    assert month_end.months_remaining == 58
+    assert month_end.report_dt == dt.date(2026, 2, 28)
+
+
+def test_activity_takes_loan_type_from_master(spark):
+    master = silver_loan_master(spark.createDataFrame([_loan("L1", "DEFAULT", loan_type="MORTGAGE")], MASTER))
+    events = spark.createDataFrame(
+        [
+            ("L1", "C1", "MISSED_PAYMENT", 5.0, "USD", "AUTO", "CURRENT", "A", "2024-01-31T23:59:59+00:00",
+             "2024-01-31T23:59:59+00:00", 0, 1),
+            ("L9", "C2", "PAYOFF", 7.0, "USD", "HELOC", "CURRENT", "A", "2024-02-01T00:00:00+00:00",
+             "2024-02-01T00:00:00+00:00", 0, 2),
+        ],
+        "loan_id string, customer_id string, event_type string, amount double, currency string, loan_type string, "
+        "status string, account_number string, event_ts string, _ingestion_ts string, _partition long, _offset long",
+    )
+    act = fact_loan_event_activity(silver_loan_events(events), master, dim_loan_type(spark), dim_status(spark))
+    rows = {r.loan_id: r for r in act.collect()}
+    assert rows["L1"].loan_type == "MORTGAGE" and rows["L1"].category == "Real Estate"
+    assert rows["L1"].current_status == "DEFAULT" and rows["L1"].occ_classification == "Substandard"
+    assert rows["L1"].is_adverse is True and rows["L1"].payment_flag is False
+    assert (rows["L1"].event_year, rows["L1"].event_month) == (2024, 1)
+    assert rows["L9"].loan_type is None and rows["L9"].payment_flag is True
+
+
+def test_dimension_joins_are_broadcast(spark):
+    fact = fact_loan_performance(
+        silver_loan_master(X.bronze_loan_master(spark, X_SF)), dim_loan_type(spark), dim_status(spark), as_of=X.AS_OF
+    )
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2
+
+
+X_SF = "/root/testdata/sf0.001"
+
+
+def test_summary_counts_add_up(spark):
+    events = silver_loan_events(X.bronze_loan_events(spark, X_SF))
+    act = fact_loan_event_activity(
+        events, silver_loan_master(X.bronze_loan_master(spark, X_SF)), dim_loan_type(spark), dim_status(spark)
+    )
+    total = event_summary(act).agg(F.sum("event_count")).first()[0]
+    assert total == act.count() == events.count()

@@ -14,9 +14,15 @@ from pyspark.sql import types as T
 
 from ledgerlake.schemas import BRONZE_LOAN_EVENTS
 
+# Malformed JSON *lines* of a bronze file (filled by the JSON reader).
 CORRUPT_COLUMN = "_corrupt_record"
+# Well-formed bronze lines whose topic payload did not decode (filled at ingest).
+CORRUPT_VALUE_COLUMN = "_corrupt_value"
 
-BRONZE_LOAN_EVENTS_READ = T.StructType(BRONZE_LOAN_EVENTS.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+BRONZE_LOAN_EVENTS_READ = T.StructType(
+    BRONZE_LOAN_EVENTS.fields
+    + [T.StructField(CORRUPT_VALUE_COLUMN, T.StringType()), T.StructField(CORRUPT_COLUMN, T.StringType())]
+)
 
 
 def read_bronze_master(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake import constants as K
 from ledgerlake.functions import ingestion_partition_columns
 from ledgerlake.schemas import EVENT_PAYLOAD
-from ledgerlake.sources.bronze import CORRUPT_COLUMN
+from ledgerlake.sources.bronze import CORRUPT_VALUE_COLUMN
 
 RAW_SCHEMA = T.StructType(
     [
@@ -32,7 +32,7 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
-_PAYLOAD_WITH_CORRUPT = T.StructType(EVENT_PAYLOAD.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+_PAYLOAD_WITH_CORRUPT = T.StructType(EVENT_PAYLOAD.fields + [T.StructField(CORRUPT_VALUE_COLUMN, T.StringType())])
 
 
 def kafka_event_stream(
@@ -63,7 +63,7 @@ def decode_events(raw: DataFrame, worker: str = "local") -> DataFrame:
     parsed = F.from_json(
         F.col("value"),
         _PAYLOAD_WITH_CORRUPT,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_VALUE_COLUMN},
     )
     return raw.select(
         parsed.alias("e"),
@@ -74,7 +74,7 @@ def decode_events(raw: DataFrame, worker: str = "local") -> DataFrame:
         "_partition",
         "_offset",
         F.lit(worker).alias("_ingest_worker"),
-        F.col(f"e.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
+        F.col(f"e.{CORRUPT_VALUE_COLUMN}").alias(CORRUPT_VALUE_COLUMN),
     )
 
 

@@ -27,6 +27,7 @@ from ledgerlake.operators.dedup import EVENT_KEYS, event_order, latest_per_key,
 from ledgerlake.operators.lineage import add_silver_lineage
 from ledgerlake.operators.normalize import normalize_loan_events
 from ledgerlake.plans.config import LakeConfig
+from ledgerlake.plans.layers import decodable
 from ledgerlake.plans.pipelines import run_gold_events
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sinks.files import current_version, publish_version, write_version
@@ -41,7 +42,7 @@ def _checkpoint(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
 
 
 def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts) -> None:
-    typed = add_silver_lineage(normalize_loan_events(batch), K.JOB_SILVER_EVENTS, run_ts)
+    typed = add_silver_lineage(normalize_loan_events(decodable(batch)), K.JOB_SILVER_EVENTS, run_ts)
     base = current_version(spark, cfg.versions, SILVER_EVENTS_TABLE, before=batch_id)
     if base is None:
         merged = latest_per_key(typed, EVENT_KEYS, event_order())

@@ -21,8 +21,9 @@ would then be a third of the job in one task.  ``lead_within_key`` instead:
    data.
 
 The hot-key table holds at most ``rows / max_group_rows`` keys.  It is
-broadcast only after its size is checked against ``broadcast_max_keys``;
-beyond that it is joined with a regular shuffle join.
+checkpointed (computed once, lineage cut) and broadcast only after its
+size is checked against ``broadcast_max_keys``; beyond that it is joined
+with a regular shuffle join.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedup import latest_per_key
 from ledgerlake.operators.normalize import normalize_loan_master
+from ledgerlake.session import checkpoint_dir
 
 SCD2_COLUMNS = [
     "loan_id", "customer_id", "loan_type", "origination_dt", "principal", "interest_rate",
@@ -65,7 +67,11 @@ def with_time_buckets(
             _micros(F.col("_hi")).alias("_hi"),
         )
     )
-    # Checked broadcast: count at most broadcast_max_keys + 1 hot keys.
+    # The hot-key table is small (at most rows / max_group_rows keys): write it
+    # once to the checkpoint folder so the size check and the join share one
+    # computation, then broadcast it only if the check passes.
+    checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint(eager=True)
     small = hot.limit(broadcast_max_keys + 1).count() <= broadcast_max_keys
     joined = df.join(F.broadcast(hot) if small else hot, key, "left")
     span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")

@@ -29,13 +29,24 @@ DEFAULT_CONF = {
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint directory named by the cluster (``spark.checkpoint.dir``)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint directory named by the cluster (``spark.checkpoint.dir``).
+
+    Sets it on the context if only the configuration names it.  A private
+    scratch folder is used only in local mode with nothing configured; on a
+    cluster a machine-local folder would be wrong, so that is an error.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        sc.setCheckpointDir(configured)
         return configured
-    # Only reached outside a cluster (tests): use a private scratch folder.
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder of the cluster")
     local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

@@ -17,8 +17,8 @@ would then be a third of the job in one task.  ``lead_within_key`` instead:
    bucket: no window group is a whole hot key any more;
 4. patches each bucket's last row with the first timestamp of the key's
    next non-empty bucket, taken from a per-bucket summary (one row per
-   bucket) that is joined back on (key, bucket) without reshuffling the
-   data.
+   bucket, pre-aggregated from a two-column scan) that is joined back on
+   (key, bucket) without reshuffling the data.
 
 The hot-key table holds at most ``rows / max_group_rows`` keys.  It is
 checkpointed (computed once, lineage cut) and broadcast only after its
@@ -85,17 +85,22 @@ def with_time_buckets(
     return joined.withColumn("_bucket", bucket).drop("_slices", "_lo", "_hi")
 
 
-def lead_in_buckets(bucketed: DataFrame, key: str, ts: str, out: str) -> DataFrame:
-    """``lead(ts)`` per key on ``with_time_buckets`` output partitioned by (key, _bucket).
+def lead_in_buckets(parted: DataFrame, key: str, ts: str, out: str, heads_from: DataFrame | None = None) -> DataFrame:
+    """``lead(ts)`` per key on bucketed rows hash-partitioned by (key, _bucket).
 
-    ``(key, ts)`` must be unique.  Adds ``out``, drops ``_bucket``.
+    ``(key, ts)`` must be unique in ``parted``.  ``heads_from`` is the same
+    rows *before* the shuffle (duplicates allowed): bucket minima computed
+    there read only two columns and shuffle one pre-aggregated row per
+    (key, bucket), instead of re-running the large shuffle.  Adds ``out``,
+    drops ``_bucket``.
     """
-    in_bucket = bucketed.withColumn(
+    in_bucket = parted.withColumn(
         out, F.lead(ts).over(Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_first()))
     )
     # One row per (key, bucket): its first time, and the next bucket's.  Only
     # bucket -1 holds NULL times and it sorts first, so it is never "next".
-    heads = bucketed.groupBy(key, "_bucket").agg(F.min(ts).alias("_first"))
+    src = parted if heads_from is None else heads_from
+    heads = src.groupBy(key, "_bucket").agg(F.min(ts).alias("_first"))
     nexts = heads.select(
         key, "_bucket", F.lead("_first").over(Window.partitionBy(key).orderBy("_bucket")).alias("_next")
     )
@@ -112,8 +117,8 @@ def lead_within_key(
     broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
 ) -> DataFrame:
     """Skew-safe ``lead(ts) over (partition by key order by ts nulls first)``; ``(key, ts)`` unique."""
-    bucketed = with_time_buckets(df, key, ts, max_group_rows, broadcast_max_keys).repartition(key, "_bucket")
-    return lead_in_buckets(bucketed, key, ts, out)
+    bucketed = with_time_buckets(df, key, ts, max_group_rows, broadcast_max_keys)
+    return lead_in_buckets(bucketed.repartition(key, "_bucket"), key, ts, out, heads_from=bucketed)
 
 
 def loan_master_scd2(
@@ -129,5 +134,5 @@ def loan_master_scd2(
     # version dedup may partition by (loan, bucket, time) at no extra cost.
     parted = bucketed.repartition("loan_id", "_bucket")
     versions = latest_per_key(parted, ("loan_id", "_bucket", "valid_from"), (F.col("_ingestion_ts").desc_nulls_last(),))
-    hist = lead_in_buckets(versions, "loan_id", "valid_from", "valid_to")
+    hist = lead_in_buckets(versions, "loan_id", "valid_from", "valid_to", heads_from=bucketed)
     return hist.withColumn("is_current", F.col("valid_to").isNull()).select(*SCD2_COLUMNS)

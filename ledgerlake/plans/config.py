@@ -34,6 +34,10 @@ class LakeConfig:
     def silver_master(self) -> str:
         return self._p("silver", "loan_master")
 
+    @property
+    def silver_master_versions(self) -> str:
+        return self._p("silver", "loan_master_incremental")
+
     @property
     def silver_events(self) -> str:
         return self._p("silver", "loan_events")

@@ -17,13 +17,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
+from ledgerlake.operators.dedup import MASTER_KEYS, latest_per_key, master_order, merge_latest
 from ledgerlake.operators.facts import fact_loan_event_activity, fact_loan_performance
-from ledgerlake.operators.lineage import add_ingest_columns
+from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage
+from ledgerlake.operators.normalize import normalize_loan_master
 from ledgerlake.operators.summary import event_summary, event_type_totals
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
 from ledgerlake.sinks.catalog import register_gold_tables, repoint_table
-from ledgerlake.sinks.files import append_bronze, overwrite_table
+from ledgerlake.sinks.files import (
+    append_bronze,
+    current_version,
+    overwrite_table,
+    publish_version,
+    version_info,
+    write_version,
+)
 from ledgerlake.sources.bronze import read_bronze_events, read_bronze_master, read_table
 from ledgerlake.sources.dims import dim_loan_type, dim_status
 from ledgerlake.sources.incremental import read_incremental, typed_ts
@@ -68,15 +77,61 @@ def run_silver_master(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime
     return {"rows_in": rows_in, "rows_out": rows_out, "duplicates_removed": rows_in - rows_out}
 
 
+SILVER_MASTER_TABLE = "silver_loan_master"
+
+
+def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
+    """Merge only bronze rows ingested since the last merge into a new silver version.
+
+    Bronze directories are pruned by ingestion date (``PartitionFilters`` on
+    year/month/day), rows by ingestion time (``>=`` the last merged one:
+    re-merging a row is idempotent).  The current version is read, never
+    overwritten; the new version's pointer is appended after its data.
+    """
+    run_ts = _now(run_ts)
+    info = version_info(spark, cfg.versions, SILVER_MASTER_TABLE)
+    bronze = read_bronze_master(spark, cfg.bronze_master)
+    typed = normalize_loan_master(bronze)
+    if info is not None and info["high_water"] is not None:
+        hw = info["high_water"]
+        ingest_date = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+        keep = (ingest_date >= F.lit(hw.date())) & (typed_ts(bronze, "_ingestion_ts", K.MODIFIED_TS_FORMAT) >= F.lit(hw))
+        typed = normalize_loan_master(bronze.filter(keep))
+    increment, obs = _observed(add_silver_lineage(typed, K.JOB_SILVER_MASTER, run_ts), "silver_master_increment",
+                               high_water=F.max("_ingestion_ts"))
+    if info is None:
+        merged = latest_per_key(increment, MASTER_KEYS, master_order())
+        version = 0
+    else:
+        current = spark.read.parquet(info["path"]).select(*increment.columns)
+        merged = merge_latest(current, increment, MASTER_KEYS, master_order())
+        version = info["version"] + 1
+    merged, obs_out = _observed(merged, "silver_master_rows")
+    path = write_version(merged, cfg.silver_master_versions, version, ["loan_type"])
+    m = obs.get
+    high_water = m["high_water"] if m["rows"] else (info or {}).get("high_water")
+    publish_version(spark, cfg.versions, SILVER_MASTER_TABLE, version, path, high_water)
+    return {"version": version, "rows_merged": m["rows"], "rows_out": obs_out.get["rows"], "path": path}
+
+
+def current_silver_master(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """Silver master: the latest incremental version if one exists, else the full-refresh table."""
+    cur = current_version(spark, cfg.versions, SILVER_MASTER_TABLE)
+    return read_table(spark, cur[1] if cur else cfg.silver_master)
+
+
 def run_gold_master(
-    spark: SparkSession, cfg: LakeConfig, as_of: dt.date | str | None = None, run_ts: dt.datetime | None = None
+    spark: SparkSession,
+    cfg: LakeConfig,
+    as_of: dt.date | str | None = None,
+    run_ts: dt.datetime | None = None,
+    silver: DataFrame | None = None,
 ) -> dict:
     run_ts = _now(run_ts)
+    silver = silver if silver is not None else current_silver_master(spark, cfg)
     overwrite_table(dim_status(spark, run_ts, with_lineage=True), cfg.gold_table("dim_status"))
     overwrite_table(dim_loan_type(spark, run_ts, with_lineage=True), cfg.gold_table("dim_loan_type"))
-    fact = fact_loan_performance(
-        read_table(spark, cfg.silver_master), dim_loan_type(spark), dim_status(spark), as_of, run_ts, K.JOB_GOLD_MASTER
-    )
+    fact = fact_loan_performance(silver, dim_loan_type(spark), dim_status(spark), as_of, run_ts, K.JOB_GOLD_MASTER)
     fact, obs = _observed(fact, "fact_loan_performance")
     overwrite_table(fact, cfg.gold_table("fact_loan_performance"), ["occ_classification"])
     return {"fact_loan_performance": obs.get["rows"]}
@@ -97,7 +152,7 @@ def run_gold_events(
     run_ts = _now(run_ts)
     events = silver_events if silver_events is not None else read_table(spark, cfg.silver_events)
     activity = fact_loan_event_activity(
-        events, read_table(spark, cfg.silver_master), dim_loan_type(spark), dim_status(spark), run_ts, K.JOB_GOLD_EVENTS
+        events, current_silver_master(spark, cfg), dim_loan_type(spark), dim_status(spark), run_ts, K.JOB_GOLD_EVENTS
     )
     activity, obs_a = _observed(activity, "fact_loan_event_activity")
     overwrite_table(activity, cfg.gold_table("fact_loan_event_activity"), ["event_type"])
@@ -136,17 +191,27 @@ def run_batch_pipeline(
     cfg: LakeConfig,
     as_of: dt.date | str | None = None,
     run_ts: dt.datetime | None = None,
+    incremental_silver: bool = False,
 ) -> dict:
-    """Watermark check -> incremental extract -> silver master -> gold master -> catalog."""
+    """Watermark check -> incremental extract -> silver master -> gold master -> catalog.
+
+    ``incremental_silver`` merges only newly ingested bronze into a new silver
+    version instead of rebuilding silver from all of bronze.
+    """
     run_ts = _now(run_ts)
     status = watermark_status(spark, cfg.watermarks, cfg.source_table).first().asDict()
     log.info("watermark state: %s", status)
     out = {"watermark_before": status}
     out["extract"] = run_extract(spark, source, cfg, run_ts)
-    out["silver"] = run_silver_master(spark, cfg, run_ts)
-    out["gold"] = run_gold_master(spark, cfg, as_of, run_ts)
+    if incremental_silver:
+        out["silver"] = run_silver_master_incremental(spark, cfg, run_ts)
+        silver_path = out["silver"]["path"]
+    else:
+        out["silver"] = run_silver_master(spark, cfg, run_ts)
+        silver_path = cfg.silver_master
+    out["gold"] = run_gold_master(spark, cfg, as_of, run_ts, silver=read_table(spark, silver_path))
     register_all(spark, cfg)
-    repoint_table(spark, cfg.db, "silver_loan_master", cfg.silver_master, ("loan_type",))
+    repoint_table(spark, cfg.db, "silver_loan_master", silver_path, ("loan_type",))
     return out
 
 

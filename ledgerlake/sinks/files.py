@@ -55,7 +55,7 @@ def write_version(df: DataFrame, root: str, version: int, partition_by: list[str
 
 
 def _pointer_schema() -> str:
-    return "table string, version long, path string, published_ts timestamp, publish_id string"
+    return "table string, version long, path string, published_ts timestamp, publish_id string, high_water timestamp"
 
 
 def read_pointers(spark: SparkSession, control_path: str) -> DataFrame:
@@ -65,21 +65,33 @@ def read_pointers(spark: SparkSession, control_path: str) -> DataFrame:
         return spark.createDataFrame([], _pointer_schema())
 
 
-def publish_version(spark: SparkSession, control_path: str, table: str, version: int, path: str) -> None:
-    """Append the pointer row that makes ``version`` current (after its data is complete)."""
+def publish_version(
+    spark: SparkSession, control_path: str, table: str, version: int, path: str, high_water: dt.datetime | None = None
+) -> None:
+    """Append the pointer row that makes ``version`` current (after its data is complete).
+
+    ``high_water`` records how far the inputs were consumed (e.g. the newest
+    bronze ingestion time merged), so the next run reads only newer input.
+    """
     row = spark.sql(
         "select cast(:t as string) as table, cast(:v as bigint) as version, cast(:p as string) as path, "
-        "current_timestamp() as published_ts, cast(:i as string) as publish_id",
-        args={"t": table, "v": version, "p": path, "i": uuid.uuid4().hex},
+        "current_timestamp() as published_ts, cast(:i as string) as publish_id, cast(:h as timestamp) as high_water",
+        args={"t": table, "v": version, "p": path, "i": uuid.uuid4().hex, "h": high_water},
     )
     row.coalesce(1).write.mode("append").parquet(control_path)
 
 
-def current_version(spark: SparkSession, control_path: str, table: str, before: int | None = None) -> tuple[int, str] | None:
-    """The latest published (version, path) of ``table``, optionally only versions < ``before``."""
+def version_info(spark: SparkSession, control_path: str, table: str, before: int | None = None) -> dict | None:
+    """The latest published pointer row of ``table`` (optionally only versions < ``before``)."""
     ptr = read_pointers(spark, control_path).filter(F.col("table") == table)
     if before is not None:
         ptr = ptr.filter(F.col("version") < before)
     w = Window.partitionBy("table").orderBy(F.col("version").desc(), F.col("published_ts").desc())
-    row = ptr.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("version", "path").first()
-    return None if row is None else (row["version"], row["path"])
+    row = ptr.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn").first()
+    return None if row is None else row.asDict()
+
+
+def current_version(spark: SparkSession, control_path: str, table: str, before: int | None = None) -> tuple[int, str] | None:
+    """The latest published (version, path) of ``table``, optionally only versions < ``before``."""
+    info = version_info(spark, control_path, table, before)
+    return None if info is None else (info["version"], info["path"])

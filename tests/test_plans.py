@@ -68,3 +68,34 @@ def test_summary_distincts_use_partial_aggregation(spark):
     assert "Expand" in plan
     assert "partial_count" in plan
     assert "count(distinct" not in plan.lower() or "partial_count" in plan
+
+
+def test_incremental_silver_prunes_bronze_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from ledgerlake.plans.config import LakeConfig
+    from ledgerlake.plans.pipelines import run_extract, run_silver_master_incremental
+
+    cfg = LakeConfig(root=str(tmp_path / "lake"))
+    src = X.bronze_loan_master(spark, SF).drop("_ingestion_ts")
+    run_extract(spark, src.filter(F.col("MODIFIED_TS") <= F.lit("2001-01-01 00:00:00")), cfg, dt.datetime(2024, 1, 1))
+    run_silver_master_incremental(spark, cfg, dt.datetime(2024, 1, 1, 1))
+    run_extract(spark, src, cfg, dt.datetime(2024, 1, 5))
+    captured = []
+    from ledgerlake.plans import pipelines
+
+    original = pipelines.write_version
+
+    def capture(df, root, version, partition_by=()):
+        captured.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(df, root, version, partition_by)
+
+    pipelines.write_version = capture
+    try:
+        run_silver_master_incremental(spark, cfg, dt.datetime(2024, 1, 5, 1))
+    finally:
+        pipelines.write_version = original
+    # Bronze scans are the ones carrying the ingestion-date partition columns.
+    bronze_scans = [l for l in captured[0].splitlines() if "FileScan parquet" in l and "year#" in l]
+    assert bronze_scans
+    assert all(re.search(r"PartitionFilters: \[[^\]]*year#", l) for l in bronze_scans)

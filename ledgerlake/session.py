@@ -28,6 +28,29 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, executors_cores: int | None = None) -> dict[str, str]:
+    """Shuffle and scan sizing for a job reading ``input_bytes`` (pass to ``build_session`` or spark-submit).
+
+    Starts AQE with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the largest shuffle (here the input itself,
+    since dedup and joins shuffle whole tables), never fewer than the cores,
+    and lets AQE coalesce small ones and split skewed ones at runtime.  At
+    100 TB this is ~400k initial partitions, coalesced toward the advisory
+    size; scan splits stay at 256 MB so tasks fit in executor memory.
+    """
+    partitions = max(executors_cores or 0, -(-input_bytes // target_partition_bytes), 8)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory named by the cluster (``spark.checkpoint.dir``).
 

@@ -167,3 +167,19 @@ def test_incremental_silver_master_equals_full_rebuild(spark, lake):
     b = spark.read.parquet(full.silver_master).select(*a.columns)
     assert a.count() == b.count()
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_run_metrics_come_from_the_write_itself(spark, lake):
+    from ledgerlake.operators.metrics import with_run_metrics
+
+    df, obs = with_run_metrics(spark.range(123), "rows_written")
+    overwrite_table(df, f"{lake}/m")
+    assert obs.get["rows"] == 123
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from ledgerlake.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40))
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "8"

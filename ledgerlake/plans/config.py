@@ -43,8 +43,8 @@ class LakeConfig:
         return self._p("silver", "loan_events")
 
     @property
-    def silver_events_versions(self) -> str:
-        return self._p("silver", "loan_events_incremental")
+    def silver_events_incremental(self) -> str:
+        return self._p("silver", "loan_events_by_date")
 
     @property
     def gold(self) -> str:

@@ -2,12 +2,18 @@
 
 ``refresh_silver_events`` reads only bronze files that arrived since the
 last run (the file source's checkpoint remembers them), and runs once over
-everything available (``availableNow``).  Each micro-batch is merged into
-the current silver version (``merge_latest``: only touched event
-identities are re-ranked) and written as a *new* version whose pointer is
-appended after the data is complete.  A replayed batch N re-reads version
-< N and rewrites version N, so a retry is idempotent and never reads the
-path it overwrites.
+everything available (``availableNow``).
+
+The incremental silver table is partitioned by ``event_date``; every copy
+of an event shares its date, because ``event_ts`` is part of the event
+identity.  Each micro-batch therefore only touches the date partitions its
+events fall in: those partitions are read (static partition pruning on the
+batch's distinct dates, a set bounded by the calendar, not by the data),
+merged with the batch (``merge_latest``) and written back with *dynamic*
+partition overwrite, which stages the output and replaces only those
+partitions at commit, after every read has finished.  The cost of a batch
+is proportional to the dates it touches, not to the table.  A replayed
+batch merges the same rows again, which is idempotent.
 
 ``row_number`` dedup and exact ``count(distinct)`` are not available on a
 streaming DataFrame, which is why the merge runs inside ``foreachBatch``
@@ -19,7 +25,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake import constants as K
@@ -30,27 +38,44 @@ from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import decodable
 from ledgerlake.plans.pipelines import run_gold_events
 from ledgerlake.session import checkpoint_dir
-from ledgerlake.sinks.files import current_version, publish_version, write_version
 from ledgerlake.sources.bronze import BRONZE_LOAN_EVENTS_READ, CORRUPT_COLUMN
 
-SILVER_EVENTS_TABLE = "silver_loan_events"
-
-
 def _checkpoint(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
     base = cfg.checkpoints or f"{checkpoint_dir(spark).rstrip('/')}/ledgerlake"
     return f"{base}/{name}"
 
 
+def _read_existing(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts) -> None:
     typed = add_silver_lineage(normalize_loan_events(decodable(batch)), K.JOB_SILVER_EVENTS, run_ts)
-    base = current_version(spark, cfg.versions, SILVER_EVENTS_TABLE, before=batch_id)
-    if base is None:
-        merged = latest_per_key(typed, EVENT_KEYS, event_order())
-    else:
-        current = spark.read.parquet(base[1]).select(*typed.columns)
-        merged = merge_latest(current, typed, EVENT_KEYS, event_order())
-    path = write_version(merged, cfg.silver_events_versions, batch_id, ["event_type"])
-    publish_version(spark, cfg.versions, SILVER_EVENTS_TABLE, batch_id, path)
+    typed = typed.withColumn("event_date", F.to_date("event_ts")).persist()
+    try:
+        dates = [r.event_date for r in typed.select("event_date").distinct().collect()]
+        if not dates:
+            return
+        current = _read_existing(spark, cfg.silver_events_incremental)
+        if current is None:
+            merged = latest_per_key(typed, EVENT_KEYS, event_order())
+        else:
+            known = [d for d in dates if d is not None]
+            touched = F.col("event_date").isin(known) if known else F.lit(False)
+            if len(known) < len(dates):
+                touched = touched | F.col("event_date").isNull()
+            merged = merge_latest(current.filter(touched).select(*typed.columns), typed, EVENT_KEYS, event_order())
+        (
+            merged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date")
+            .parquet(cfg.silver_events_incremental)
+        )
+    finally:
+        typed.unpersist()
 
 
 def refresh_silver_events(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | str | None = None) -> StreamingQuery:
@@ -70,8 +95,8 @@ def refresh_silver_events(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datet
 
 
 def current_silver_events(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
-    cur = current_version(spark, cfg.versions, SILVER_EVENTS_TABLE)
-    return None if cur is None else spark.read.parquet(cur[1])
+    """The incrementally maintained silver events, or None before the first refresh."""
+    return _read_existing(spark, cfg.silver_events_incremental)
 
 
 def refresh_gold_events(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:

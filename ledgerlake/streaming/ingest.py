@@ -36,15 +36,29 @@ _PAYLOAD_WITH_CORRUPT = T.StructType(EVENT_PAYLOAD.fields + [T.StructField(CORRU
 
 
 def kafka_event_stream(
-    spark: SparkSession, bootstrap_servers: str, topic: str = K.EVENT_TOPIC, options: dict[str, str] | None = None
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str = K.EVENT_TOPIC,
+    min_partitions: int | None = None,
+    max_offsets_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Subscribe to the event topic from the earliest offset (Kafka source)."""
+    """Subscribe to the event topic from the earliest offset (Kafka source).
+
+    ``min_partitions`` splits large topic-partition offset ranges over several
+    Spark tasks, so a topic partition holding a third of the traffic is not
+    one task; ``max_offsets_per_trigger`` bounds each micro-batch.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
     )
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")

@@ -78,14 +78,25 @@ def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, b
         typed.unpersist()
 
 
-def refresh_silver_events(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | str | None = None) -> StreamingQuery:
-    """Merge newly landed bronze events into silver; returns the (finishing) query."""
-    stream = (
+def refresh_silver_events(
+    spark: SparkSession,
+    cfg: LakeConfig,
+    run_ts: dt.datetime | str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Merge newly landed bronze events into silver; returns the (finishing) query.
+
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` then
+    processes a large backlog as several bounded batches).
+    """
+    reader = (
         spark.readStream.schema(BRONZE_LOAN_EVENTS_READ)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(cfg.bronze_events)
     )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.json(cfg.bronze_events)
     return (
         stream.writeStream.foreachBatch(lambda df, bid: merge_events_batch(spark, cfg, df, bid, run_ts))
         .option("checkpointLocation", _checkpoint(spark, cfg, "silver_events"))

@@ -13,8 +13,10 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake import constants as K
 from ledgerlake.operators.dedup import MASTER_KEYS, latest_per_key, master_order, merge_latest
@@ -24,6 +26,7 @@ from ledgerlake.operators.normalize import normalize_loan_master
 from ledgerlake.operators.summary import event_summary, event_type_totals
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
+from ledgerlake.schemas import SILVER_LOAN_MASTER_COLUMNS
 from ledgerlake.sinks.catalog import register_gold_tables, repoint_table
 from ledgerlake.sinks.files import (
     append_bronze,
@@ -115,9 +118,18 @@ def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts:
 
 
 def current_silver_master(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """Silver master: the latest incremental version if one exists, else the full-refresh table."""
+    """Silver master: the latest incremental version if one exists, else the full-refresh table.
+
+    Before the batch pipeline has ever run there is no master: an empty one
+    with the silver schema is returned, so the events pipeline still runs
+    (every event is then unmatched) instead of depending on job order.
+    """
     cur = current_version(spark, cfg.versions, SILVER_MASTER_TABLE)
-    return read_table(spark, cur[1] if cur else cfg.silver_master)
+    try:
+        return read_table(spark, cur[1] if cur else cfg.silver_master)
+    except AnalysisException:
+        empty = spark.createDataFrame([], T.StructType([T.StructField(n, t) for n, t in SILVER_LOAN_MASTER_COLUMNS]))
+        return add_silver_lineage(empty, K.JOB_SILVER_MASTER)
 
 
 def run_gold_master(

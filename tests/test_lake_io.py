@@ -183,3 +183,12 @@ def test_scale_conf_sizes_partitions_from_input():
     conf = scale_conf(100 * (1 << 40))
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_events_pipeline_runs_before_any_master(spark, lake):
+    cfg = LakeConfig(root=lake, db="events_first")
+    append_bronze(X.bronze_loan_events(spark, SF), cfg.bronze_events, "2024-01-01 05:00:00", with_hour=True, fmt="json")
+    out = run_events_pipeline(spark, cfg, run_ts=dt.datetime(2024, 1, 2))
+    assert out["gold"]["fact_loan_event_activity"] == out["silver"]["rows_out"]
+    act = spark.read.parquet(cfg.gold_table("fact_loan_event_activity"))
+    assert act.filter("loan_type is not null").count() == 0

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
 from ledgerlake import functions as LF
-from ledgerlake.operators.lineage import add_gold_lineage
 from ledgerlake.schemas import FACT_LOAN_EVENT_ACTIVITY_COLUMNS, FACT_LOAN_PERFORMANCE_COLUMNS
 
 
@@ -38,19 +37,19 @@ def fact_loan_performance(
     report_dt = F.current_date() if as_of is None else LF.as_date(as_of)
     lt = dim_loan_type.select("loan_type_key", "loan_type")
     st = dim_status.select("status_key", "status", "occ_classification", "loss_given_default")
-    df = (
-        silver_master.join(lt, "loan_type", "left")
-        .join(st, "status", "left")
-        .withColumn("report_dt", report_dt)
-        .withColumn("months_remaining", LF.months_remaining(F.col("term_months"), F.col("origination_dt"), report_dt))
-        .withColumn("estimated_balance", LF.estimated_balance(F.col("status"), F.col("principal")))
-        .withColumn("is_delinquent", LF.is_delinquent(F.col("status")))
-        .withColumn(
-            "risk_weighted_exposure",
-            LF.risk_weighted_exposure(F.col("estimated_balance"), F.col("loss_given_default")),
-        )
-    )
-    return add_gold_lineage(df, job, run_ts).select(*FACT_LOAN_PERFORMANCE_COLUMNS)
+    joined = silver_master.join(lt, "loan_type", "left").join(st, "status", "left")
+    balance = LF.estimated_balance(F.col("status"), F.col("principal"))
+    # One projection (not a chain of withColumn calls, each re-analysing the plan).
+    derived = {
+        "report_dt": report_dt,
+        "months_remaining": LF.months_remaining(F.col("term_months"), F.col("origination_dt"), report_dt),
+        "estimated_balance": balance,
+        "is_delinquent": LF.is_delinquent(F.col("status")),
+        "risk_weighted_exposure": LF.risk_weighted_exposure(balance, F.col("loss_given_default")),
+        "_gold_job": F.lit(job),
+        "_gold_ts": F.current_timestamp() if run_ts is None else LF.as_timestamp(run_ts),
+    }
+    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FACT_LOAN_PERFORMANCE_COLUMNS])
 
 
 def fact_loan_event_activity(
@@ -76,18 +75,14 @@ def fact_loan_event_activity(
     )
     lt = dim_loan_type.select("loan_type_key", "loan_type", "category", "collateral_type")
     st = dim_status.select("status_key", F.col("status").alias("current_status"), "occ_classification")
-    df = (
-        events.join(master, "loan_id", "left")
-        .join(lt, "loan_type", "left")
-        .join(st, "current_status", "left")
-        .withColumns(
-            {
-                "event_date": F.to_date("event_ts"),
-                "event_year": F.year("event_ts"),
-                "event_month": F.month("event_ts"),
-                "is_adverse": LF.is_adverse(F.col("event_type")),
-                "payment_flag": LF.payment_flag(F.col("event_type")),
-            }
-        )
-    )
-    return add_gold_lineage(df, job, run_ts).select(*FACT_LOAN_EVENT_ACTIVITY_COLUMNS)
+    joined = events.join(master, "loan_id", "left").join(lt, "loan_type", "left").join(st, "current_status", "left")
+    derived = {
+        "event_date": F.to_date("event_ts"),
+        "event_year": F.year("event_ts"),
+        "event_month": F.month("event_ts"),
+        "is_adverse": LF.is_adverse(F.col("event_type")),
+        "payment_flag": LF.payment_flag(F.col("event_type")),
+        "_gold_job": F.lit(job),
+        "_gold_ts": F.current_timestamp() if run_ts is None else LF.as_timestamp(run_ts),
+    }
+    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FACT_LOAN_EVENT_ACTIVITY_COLUMNS])

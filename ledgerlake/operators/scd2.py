@@ -7,23 +7,37 @@ The naive plan, ``lead(ts) over (partition by loan_id order by ts)``, sends
 all versions of a loan to one task; a loan holding a third of all rows
 would then be a third of the job in one task.  ``lead_within_key`` instead:
 
-1. counts rows per key (partial aggregation, so a hot key costs one row per
-   map task) and keeps the *hot* keys, those above ``max_group_rows``;
-2. splits each hot key into ``ceil(count / max_group_rows)`` contiguous
-   time buckets between its min and max timestamp (other keys: bucket 0).
-   The bucket is a deterministic, monotone function of the timestamp, so
-   recomputation after an executor loss gives the same buckets;
+1. finds the *hot* keys (estimated over ``max_group_rows`` rows) from a
+   Bernoulli sample of two columns, about ``SAMPLES_PER_BUCKET`` sampled
+   rows per ``max_group_rows`` real ones (no shuffle of the data);
+2. builds, per hot key, an adaptive grid over time from the sample: level 1
+   cuts the key's sampled range into ``BINS_PER_BUCKET`` equal-width bins
+   per bucket's worth of rows; a bin still holding over half a bucket is cut
+   again over its *own* sampled range, down to ``LEVELS`` levels, so one far
+   outlier or a burst of versions does not put everything in one bin.  Leaf
+   bins map to buckets by *cumulative sampled count*, so buckets hold about
+   ``max_group_rows`` rows each, balanced by count, not by time.  Every
+   lookup is an equi-join on (key, bin path) against a small table, so a row
+   costs O(``LEVELS``) hash probes, no search.  The bucket is a monotone
+   function of the time, the same on every recomputation; ordinary keys use
+   bucket 0;
 3. hash-partitions once on (key, bucket) and computes ``lead`` inside each
    bucket: no window group is a whole hot key any more;
-4. patches each bucket's last row with the first timestamp of the key's
-   next non-empty bucket, taken from a per-bucket summary (one row per
-   bucket, pre-aggregated from a two-column scan) that is joined back on
-   (key, bucket) without reshuffling the data.
-
-The hot-key table holds at most ``rows / max_group_rows`` keys.  It is
-checkpointed (computed once, lineage cut) and broadcast only after its
-size is checked against ``broadcast_max_keys``; beyond that it is joined
-with a regular shuffle join.
+4. patches the last row of each hot bucket with the first time of the key's
+   next non-empty bucket, from a table of one row per hot bucket that is
+   pre-aggregated from a two-column scan of the hot rows before the shuffle
+   and broadcast back by AQE (ordinary keys need no patch).
+
+A bucket exceeds ``max_group_rows`` only when more versions than that fall
+inside one bin of the deepest level (a burst inside a burst inside a burst);
+the window then buffers and spills that group: slower, never wrong.
+Whatever the sample misses, results stay exact: any per-key monotone
+bucketing gives the same ``lead``.
+
+The grid and bucket tables hold about ``BINS_PER_BUCKET * rows /
+max_group_rows`` rows per level.  Each is checkpointed (computed
+once, lineage cut) and broadcast only after a row-count check against
+``broadcast_max_rows``; beyond that it is joined with a shuffle join.
 """
 
 from __future__ import annotations
@@ -41,71 +55,177 @@ SCD2_COLUMNS = [
 ]
 
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
-DEFAULT_BROADCAST_MAX_KEYS = 1_000_000
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Sampled rows that stand for one full bucket, and fine bins per bucket.
+SAMPLES_PER_BUCKET = 64
+BINS_PER_BUCKET = 8
+# Grid levels: a crowded bin (over half a bucket) is split again, over its own range.
+LEVELS = 3
+SAMPLE_SEED = 7
 
 
 def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def _checked(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool, bool]:
+    """Checkpoint a lookup table; say whether it is small enough to broadcast, and whether it is empty."""
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    n = df.limit(max_rows + 1).count()
+    return df, n <= max_rows, n == 0
+
+
+def key_sample(df: DataFrame, key: str, ts: str, max_group_rows: int) -> tuple[DataFrame, float]:
+    """Bernoulli sample of ``(key, _t)`` (time in microseconds, NULL times left out).
+
+    Returns the sample and how many sampled rows stand for ``max_group_rows``
+    real ones.  Small targets (tests) sample everything.
+    """
+    fraction = min(1.0, SAMPLES_PER_BUCKET / max_group_rows)
+    base = df.select(key, _micros(F.col(ts)).alias("_t")).filter(F.col("_t").isNotNull())
+    sample = base if fraction >= 1.0 else base.sample(fraction=fraction, seed=SAMPLE_SEED)
+    return sample, max_group_rows * fraction
+
+
+def _levels(n: int) -> list[str]:
+    return [f"_f{i}" for i in range(1, n + 1)]
+
+
+def _cells(sample: DataFrame, key: str, path: list[str], min_rows: float) -> DataFrame:
+    """Cells (key + bin path) holding over ``min_rows`` sampled rows, with the grid to split them by.
+
+    A cell is cut into ``BINS_PER_BUCKET`` equal-width bins per bucket's worth
+    of its rows, over its *own* sampled time range (so a far outlier in a
+    parent cell does not widen the child grid).
+    """
+    per_cell = min_rows if not path else 2 * min_rows  # level 1: one bucket; deeper: half a bucket
+    return (
+        sample.groupBy(key, *path)
+        .agg(F.count(F.lit(1)).alias("_c"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+        .filter(F.col("_c") > F.lit(min_rows))
+        .select(
+            key,
+            *path,
+            "_lo",
+            (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double").alias("_span"),
+            (F.ceil(F.col("_c") / F.lit(per_cell)) * F.lit(BINS_PER_BUCKET)).cast("long").alias("_nbins"),
+        )
+    )
+
+
+def fine_bin(t_micros: Column) -> Column:
+    """Bin of a time (microseconds) in its cell's grid, clamped to the grid."""
+    raw = F.floor((t_micros - F.col("_lo")).cast("double") / F.col("_span") * F.col("_nbins")).cast("long")
+    return F.least(F.greatest(raw, F.lit(0).cast("long")), F.col("_nbins") - 1)
+
+
+def assign_bins(df: DataFrame, grids: list[tuple[DataFrame, bool]], key: str, t_micros: Column) -> DataFrame:
+    """Add ``_f1.._fL`` (the row's bin at each level, -1 below its leaf or for
+    ordinary keys and NULL times) and ``_hot`` (the key has a level-1 grid)."""
+    out = df
+    for level, (grid, small) in enumerate(grids, 1):
+        path = _levels(level - 1)
+        out = out.join(F.broadcast(grid) if small else grid, [key, *path], "left")
+        has_grid = F.col("_nbins").isNotNull()
+        f = F.when(has_grid & t_micros.isNotNull(), fine_bin(t_micros)).otherwise(F.lit(-1).cast("long"))
+        extra = {"_hot": has_grid} if level == 1 else {}
+        out = out.withColumns({f"_f{level}": f, **extra}).drop("_lo", "_span", "_nbins")
+    return out
+
+
+def bucket_map(sample: DataFrame, grids: list[tuple[DataFrame, bool]], key: str, per_bucket: float) -> DataFrame:
+    """``(key, _f1.._fL, _bkt)`` for every leaf bin of every hot key, empty leaves included.
+
+    A leaf's bucket is the number of sampled rows in the key's earlier leaves
+    (in time order) divided by one bucket's worth: buckets are balanced by
+    count, not by time, and increase with time.
+    """
+    depth = len(grids)
+    leaves = None
+    for level, (grid, _) in enumerate(grids, 1):
+        path = _levels(level - 1)
+        bins = grid.select(key, *path, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nbins") - 1)).alias(f"_f{level}"))
+        if level < depth:  # a bin split at the next level is not a leaf
+            nxt = grids[level][0].select(key, *_levels(level))
+            bins = bins.join(nxt, [key, *_levels(level)], "left_anti")
+        bins = bins.select(key, *_levels(level), *[F.lit(-1).cast("long").alias(c) for c in _levels(depth)[level:]])
+        leaves = bins if leaves is None else leaves.unionByName(bins)
+    path = _levels(depth)
+    counts = assign_bins(sample, grids, key, F.col("_t")).drop("_hot").groupBy(key, *path).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(key).orderBy(*path).rowsBetween(Window.unboundedPreceding, -1))
+    return leaves.join(counts, [key, *path], "left").fillna(0, ["_n"]).select(
+        key, *path, F.floor(F.coalesce(before, F.lit(0)) / F.lit(per_bucket)).cast("long").alias("_bkt")
+    )
+
+
 def with_time_buckets(
     df: DataFrame,
     key: str,
     ts: str,
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Add ``_bucket``: 0 for ordinary keys, a time slice for hot keys, -1 for NULL times."""
-    hot = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-        .filter(F.col("_n") > max_group_rows)
-        .select(
-            key,
-            F.ceil(F.col("_n") / F.lit(max_group_rows)).cast("long").alias("_slices"),
-            _micros(F.col("_lo")).alias("_lo"),
-            _micros(F.col("_hi")).alias("_hi"),
-        )
-    )
-    # The hot-key table is small (at most rows / max_group_rows keys): write it
-    # once to the checkpoint folder so the size check and the join share one
-    # computation, then broadcast it only if the check passes.
+    """Add ``_bucket`` and ``_hot``.
+
+    Ordinary keys: bucket 0 for every row (NULL times included).  Hot keys:
+    a count-balanced time range, -1 for NULL times.
+    """
+    sample, per_bucket = key_sample(df, key, ts, max_group_rows)
     checkpoint_dir(df.sparkSession)
-    hot = hot.checkpoint(eager=True)
-    small = hot.limit(broadcast_max_keys + 1).count() <= broadcast_max_keys
-    joined = df.join(F.broadcast(hot) if small else hot, key, "left")
-    span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-    offset = (_micros(F.col(ts)) - F.col("_lo")).cast("double")
-    slice_ = F.least(F.floor(offset / span * F.col("_slices")).cast("long"), F.col("_slices") - 1)
+    sample = sample.checkpoint(eager=True)  # one narrow scan of the input serves every table below
+    grids: list[tuple[DataFrame, bool]] = []
+    for level in range(1, LEVELS + 1):
+        placed = sample
+        if grids:  # deeper cells exist only inside a split parent
+            placed = assign_bins(sample, grids, key, F.col("_t")).drop("_hot").filter(F.col(f"_f{level - 1}") >= 0)
+        cells = _cells(placed, key, _levels(level - 1), per_bucket if level == 1 else per_bucket / 2)
+        grid, small, empty = _checked(cells, broadcast_max_rows)
+        if empty:  # no hot key, or no crowded bin at this level: the grid ends here
+            break
+        grids.append((grid, small))
+    if not grids:
+        return df.withColumns({"_hot": F.lit(False), "_bucket": F.lit(0).cast("long")})
+    buckets, small, _ = _checked(bucket_map(sample, grids, key, per_bucket), broadcast_max_rows)
+    t = _micros(F.col(ts))
+    placed = assign_bins(df, grids, key, t)
+    path = _levels(len(grids))
+    hot = F.col("_f1") >= 0  # hot key and a time
+    if small:
+        mapped = placed.join(F.broadcast(buckets), [key, *path], "left")
+    else:
+        # Shuffle-join only the hot rows; ordinary rows share the bin path
+        # (-1, ...) and would all hash to one partition.
+        cold = placed.filter(~hot).withColumn("_bkt", F.lit(None).cast("long"))
+        mapped = cold.unionByName(placed.filter(hot).join(buckets, [key, *path], "left"))
     bucket = (
-        F.when(F.col(ts).isNull(), F.lit(-1).cast("long"))
-        .when(F.col("_slices").isNull(), F.lit(0).cast("long"))
-        .otherwise(slice_)
+        F.when(~F.col("_hot"), F.lit(0).cast("long"))
+        .when(F.col(ts).isNull(), F.lit(-1).cast("long"))
+        .otherwise(F.col("_bkt"))
     )
-    return joined.withColumn("_bucket", bucket).drop("_slices", "_lo", "_hi")
+    return mapped.withColumn("_bucket", bucket).drop(*path, "_bkt")
 
 
-def lead_in_buckets(parted: DataFrame, key: str, ts: str, out: str, heads_from: DataFrame | None = None) -> DataFrame:
+def lead_in_buckets(parted: DataFrame, key: str, ts: str, out: str, heads_from: DataFrame) -> DataFrame:
     """``lead(ts)`` per key on bucketed rows hash-partitioned by (key, _bucket).
 
     ``(key, ts)`` must be unique in ``parted``.  ``heads_from`` is the same
-    rows *before* the shuffle (duplicates allowed): bucket minima computed
-    there read only two columns and shuffle one pre-aggregated row per
-    (key, bucket), instead of re-running the large shuffle.  Adds ``out``,
-    drops ``_bucket``.
+    rows *before* the shuffle (duplicates allowed).  Adds ``out``; drops
+    ``_bucket`` and ``_hot``.
     """
     in_bucket = parted.withColumn(
         out, F.lead(ts).over(Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_first()))
     )
-    # One row per (key, bucket): its first time, and the next bucket's.  Only
-    # bucket -1 holds NULL times and it sorts first, so it is never "next".
-    src = parted if heads_from is None else heads_from
-    heads = src.groupBy(key, "_bucket").agg(F.min(ts).alias("_first"))
+    # One row per hot (key, bucket): its first time, and the next bucket's.
+    # Computed before the shuffle from hot rows only (two columns, partial
+    # aggregation): each map task sends one row per hot bucket.  Bucket -1
+    # holds NULL times only and sorts first, so it is never "next".
+    heads = heads_from.filter("_hot").groupBy(key, "_bucket").agg(F.min(ts).alias("_first"))
     nexts = heads.select(
         key, "_bucket", F.lead("_first").over(Window.partitionBy(key).orderBy("_bucket")).alias("_next")
     )
     patched = in_bucket.join(nexts, [key, "_bucket"], "left")
-    return patched.withColumn(out, F.coalesce(F.col(out), F.col("_next"))).drop("_bucket", "_next")
+    return patched.withColumn(out, F.coalesce(F.col(out), F.col("_next"))).drop("_bucket", "_hot", "_next")
 
 
 def lead_within_key(
@@ -114,21 +234,21 @@ def lead_within_key(
     ts: str,
     out: str,
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Skew-safe ``lead(ts) over (partition by key order by ts nulls first)``; ``(key, ts)`` unique."""
-    bucketed = with_time_buckets(df, key, ts, max_group_rows, broadcast_max_keys)
+    bucketed = with_time_buckets(df, key, ts, max_group_rows, broadcast_max_rows)
     return lead_in_buckets(bucketed.repartition(key, "_bucket"), key, ts, out, heads_from=bucketed)
 
 
 def loan_master_scd2(
     bronze: DataFrame,
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Version history from bronze loan master rows (all extractions, duplicates allowed)."""
     typed = normalize_loan_master(bronze).withColumnRenamed("MODIFIED_TS", "valid_from")
-    bucketed = with_time_buckets(typed, "loan_id", "valid_from", max_group_rows, broadcast_max_keys)
+    bucketed = with_time_buckets(typed, "loan_id", "valid_from", max_group_rows, broadcast_max_rows)
     # One hash shuffle on (loan, bucket) serves both windows: the bucket is a
     # function of (loan, time), so equal versions share a partition and the
     # version dedup may partition by (loan, bucket, time) at no extra cost.

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake import fixtures as X
 from ledgerlake.operators.scd2 import lead_within_key, loan_master_scd2
@@ -56,3 +57,41 @@ def test_lead_within_key_handles_null_times(spark):
         ("a", "None", "2024-01-01 00:00:00"),
         ("b", "2024-01-01 00:00:00", "None"),
     ]
+
+
+def _clustered(spark):
+    """One hot key: a version decades before a dense burst, plus a second burst; and two ordinary keys."""
+    return spark.sql(
+        "select 'hot' as k, timestamp'1990-01-01 00:00:00' as t "
+        "union all select 'hot', timestamp'2024-03-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) from range(2000) "
+        "union all select 'hot', timestamp'2024-06-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id, 0) from range(500) "
+        "union all select 'hot', cast(null as timestamp) "
+        "union all select 'a', timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, id) from range(5) "
+        "union all select 'b', cast(null as timestamp)"
+    )
+
+
+@pytest.mark.parametrize("broadcast_max_rows", [1_000_000, 0])
+def test_hot_key_buckets_are_balanced_by_count_not_time(spark, broadcast_max_rows):
+    from ledgerlake.operators.scd2 import with_time_buckets
+
+    df = _clustered(spark)
+    target = 100
+    sizes = {
+        (r.k, r._bucket): r.n
+        for r in with_time_buckets(df, "k", "t", max_group_rows=target, broadcast_max_rows=broadcast_max_rows)
+        .groupBy("k", "_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    hot = {b: n for (k, b), n in sizes.items() if k == "hot"}
+    assert sum(hot.values()) == 2502
+    assert max(n for b, n in hot.items() if b >= 0) <= 2 * target  # equal-width slices would put ~2000 in one
+    assert hot[-1] == 1  # the NULL time
+    assert sizes[("a", 0)] == 5 and sizes[("b", 0)] == 1
+
+    got = {(r.k, r.t, r.nxt) for r in lead_within_key(df, "k", "t", "nxt", max_group_rows=target,
+                                                        broadcast_max_rows=broadcast_max_rows).collect()}
+    pdf = df.toPandas().sort_values(["k", "t"], na_position="first")
+    pdf["nxt"] = pdf.groupby("k")["t"].shift(-1)
+    want = {(r.k, None if pd.isna(r.t) else r.t.to_pydatetime(), None if pd.isna(r.nxt) else r.nxt.to_pydatetime())
+            for r in pdf.itertuples()}
+    assert got == want

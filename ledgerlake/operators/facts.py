@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
 from ledgerlake import functions as LF
+from ledgerlake.operators.skew import HotKeys, salted_left_join
 from ledgerlake.schemas import FACT_LOAN_EVENT_ACTIVITY_COLUMNS, FACT_LOAN_PERFORMANCE_COLUMNS
 
 
@@ -59,12 +60,19 @@ def fact_loan_event_activity(
     dim_status: DataFrame,
     run_ts: dt.datetime | str | None = None,
     job: str = K.JOB_GOLD_EVENTS,
+    hot_loans: HotKeys | None = None,
 ) -> DataFrame:
     """One row per silver event, enriched with the loan's current master attributes.
 
     The event's own ``loan_type``/``status`` are dropped before the join:
     loan type and status always come from master (no ambiguous columns).
     Events with no matching loan keep NULL loan attributes.
+
+    ``hot_loans`` (see ``operators.skew``) salts the events ⟕ master join for
+    loans with very many events.  Pass it when the inputs are computed in
+    the same plan (master partitioned by its own dedup, where AQE cannot
+    split a skewed join); over written silver tables AQE's skew join
+    splits hot loans by itself.
     """
     events = silver_events.select(
         "loan_id", "customer_id", "event_type", "event_ts", "amount", "currency", "_partition", "_offset"
@@ -75,7 +83,11 @@ def fact_loan_event_activity(
     )
     lt = dim_loan_type.select("loan_type_key", "loan_type", "category", "collateral_type")
     st = dim_status.select("status_key", F.col("status").alias("current_status"), "occ_classification")
-    joined = events.join(master, "loan_id", "left").join(lt, "loan_type", "left").join(st, "current_status", "left")
+    if hot_loans is None:
+        enriched = events.join(master, "loan_id", "left")
+    else:
+        enriched = salted_left_join(events, master, "loan_id", hot_loans, ["event_ts", "event_type", "_offset"])
+    joined = enriched.join(lt, "loan_type", "left").join(st, "current_status", "left")
     derived = {
         "event_date": F.to_date("event_ts"),
         "event_year": F.year("event_ts"),

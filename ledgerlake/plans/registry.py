@@ -21,6 +21,7 @@ from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage
 from ledgerlake.operators.metrics import dedup_metrics
 from ledgerlake.operators.normalize import normalize_loan_events, normalize_loan_master
 from ledgerlake.operators.scd2 import loan_master_scd2
+from ledgerlake.operators.skew import HotKeys, hot_key_salts
 from ledgerlake.operators.summary import event_summary, event_type_totals
 from ledgerlake.plans import analytics as A
 from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
@@ -86,9 +87,16 @@ def q_fact_loan_performance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _hot_loans(spark: SparkSession, sf: str) -> HotKeys:
+    # Counted on bronze events (a sampled scan, an upper bound of silver rows
+    # per loan), not on silver, which would run the dedup shuffle twice.
+    return HotKeys(hot_key_salts(X.bronze_loan_events(spark, sf), "loan_id"))
+
+
 def q_fact_loan_event_activity(spark: SparkSession, sf: str) -> DataFrame:
     return fact_loan_event_activity(
-        _silver_events(spark, sf), _silver_master(spark, sf), dim_loan_type(spark), dim_status(spark), run_ts=X.RUN_TS
+        _silver_events(spark, sf), _silver_master(spark, sf), dim_loan_type(spark), dim_status(spark), run_ts=X.RUN_TS,
+        hot_loans=_hot_loans(spark, sf),
     )
 
 

@@ -1,0 +1,84 @@
+"""Hot loans in the events ⟕ master join: salted spread and AQE skew split."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlake import fixtures as X
+from ledgerlake.operators.facts import fact_loan_event_activity
+from ledgerlake.operators.skew import HotKeys, hot_key_salts
+from ledgerlake.plans.registry import _silver_events, _silver_master
+from ledgerlake.sources.dims import dim_loan_type, dim_status
+
+SF = "/root/testdata/sf0.001"
+HOT = "L0000001"
+
+
+def _skewed_events(spark):
+    """Silver events plus 1,000 more events of one loan (distinct times: new identities)."""
+    ev = _silver_events(spark, SF)
+    extra = ev.limit(1).crossJoin(spark.range(1000)).select(
+        *[
+            F.lit(HOT).alias("loan_id") if c == "loan_id"
+            else (F.col("event_ts") + F.make_interval(secs=F.col("id"))).alias("event_ts") if c == "event_ts"
+            else F.col(c)
+            for c in ev.columns
+        ]
+    )
+    return ev.unionByName(extra)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.drop("_gold_ts").collect())
+
+
+def test_salted_join_equals_plain_join_and_finds_the_hot_loan(spark):
+    events, master = _skewed_events(spark), _silver_master(spark, SF)
+    hot = HotKeys(hot_key_salts(events, "loan_id", max_group_rows=100))
+    salts = {r.loan_id: r._salts for r in hot.table.collect()}
+    assert set(salts) == {HOT} and salts[HOT] >= 10 and hot.small
+    dims = dim_loan_type(spark), dim_status(spark)
+    plain = fact_loan_event_activity(events, master, *dims, run_ts=X.RUN_TS)
+    salted = fact_loan_event_activity(events, master, *dims, run_ts=X.RUN_TS, hot_loans=hot)
+    assert _rows(salted) == _rows(plain)
+    # Master rows of the hot loan are copied once per salt, so its events meet
+    # them in as many join tasks; every other loan keeps salt 0.
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
+
+
+def test_no_hot_loan_keeps_the_plain_join(spark):
+    events, master = _silver_events(spark, SF), _silver_master(spark, SF)
+    hot = HotKeys(hot_key_salts(events, "loan_id"))
+    assert hot.empty
+    fact = fact_loan_event_activity(events, master, dim_loan_type(spark), dim_status(spark), hot_loans=hot)
+    assert "_salt" not in fact._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_aqe_splits_a_hot_loan_when_silver_is_read_from_tables(spark, tmp_path):
+    events, master = _skewed_events(spark), _silver_master(spark, SF)
+    events.write.parquet(str(tmp_path / "ev"))
+    master.write.parquet(str(tmp_path / "m"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "2048",  # dims still broadcast, master does not
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "2048",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact = fact_loan_event_activity(
+            spark.read.parquet(str(tmp_path / "ev")), spark.read.parquet(str(tmp_path / "m")),
+            dim_loan_type(spark), dim_status(spark),
+        )
+        n = len(fact.collect())
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert n == events.count()
+    assert "SortMergeJoin(skew=true)" in plan, "\n".join(l for l in plan.splitlines() if "Join" in l or "Stage" in l or "Read" in l)

@@ -13,7 +13,7 @@ makes the spread explicit and independent of AQE:
   a deterministic hash of other columns, and copies the right rows of hot
   keys once per salt (at most ``rows / max_group_rows`` copies in total).
 
-The salt table is checkpointed and broadcast only after a row-count check.
+The salt table is materialised once and broadcast only after a row-count check.
 """
 
 from __future__ import annotations
@@ -46,14 +46,25 @@ def hot_key_salts(df: DataFrame, key: str, max_group_rows: int = DEFAULT_MAX_GRO
 
 
 class HotKeys:
-    """A checkpointed salt table with its broadcast decision."""
+    """The salt table, materialised once, with its broadcast decision.
+
+    The table holds at most ``sampled rows / per_group`` keys, i.e. about
+    ``rows / max_group_rows``.  Up to ``broadcast_max_rows`` of them are
+    fetched in one job into a local relation (exact size known to the
+    planner, broadcast); a larger table is checkpointed to the cluster's
+    checkpoint folder and shuffle-joined instead.
+    """
 
     def __init__(self, salts: DataFrame, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS):
-        checkpoint_dir(salts.sparkSession)
-        self.table = salts.checkpoint(eager=True)
-        n = self.table.limit(broadcast_max_rows + 1).count()
-        self.empty = n == 0
-        self.small = n <= broadcast_max_rows
+        spark = salts.sparkSession
+        rows = salts.limit(broadcast_max_rows + 1).collect()
+        self.empty = not rows
+        self.small = len(rows) <= broadcast_max_rows
+        if self.small:
+            self.table = spark.createDataFrame(rows, salts.schema)
+        else:
+            checkpoint_dir(spark)
+            self.table = salts.checkpoint(eager=True)
 
     def side(self) -> DataFrame:
         return F.broadcast(self.table) if self.small else self.table

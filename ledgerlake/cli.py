@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
         trigger = {"availableNow": True} if args.available_now else None
         start_bronze_stream(decode_events(raw, args.worker), cfg.bronze_events, ckpt, trigger=trigger).awaitTermination()
     elif args.cmd == "refresh":
-        print(json.dumps(refresh_gold_events(spark, cfg), default=str))
+        print(json.dumps(refresh_gold_events(spark, cfg, incremental=True), default=str))
     elif args.cmd == "report":
         for fn in (A.risk_by_occ, A.volume_by_event_type, A.delinquency_by_type):
             fn(spark, cfg.db).show(truncate=False)

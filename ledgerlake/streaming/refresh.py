@@ -36,7 +36,7 @@ from ledgerlake.operators.lineage import add_silver_lineage
 from ledgerlake.operators.normalize import normalize_loan_events
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import decodable
-from ledgerlake.plans.pipelines import run_gold_events
+from ledgerlake.plans.pipelines import run_gold_events, run_gold_events_incremental
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources.bronze import BRONZE_LOAN_EVENTS_READ, CORRUPT_COLUMN
 
@@ -110,11 +110,21 @@ def current_silver_events(spark: SparkSession, cfg: LakeConfig) -> DataFrame | N
     return _read_existing(spark, cfg.silver_events_incremental)
 
 
-def refresh_gold_events(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
-    """Run the silver refresh to completion, then rebuild the event facts from current silver."""
+def refresh_gold_events(
+    spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None, incremental: bool = False
+) -> dict:
+    """Run the silver refresh to completion, then refresh the event facts from current silver.
+
+    ``incremental=False`` rebuilds the event-type partitioned facts in full;
+    ``incremental=True`` recomputes only stale dates of the date-partitioned
+    facts (``run_gold_events_incremental``).
+    """
     q = refresh_silver_events(spark, cfg, run_ts)
     q.awaitTermination()
     events = current_silver_events(spark, cfg)
     if events is None:
         return {"fact_loan_event_activity": 0, "fact_event_summary": 0}
-    return run_gold_events(spark, cfg, run_ts if isinstance(run_ts, dt.datetime) else None, silver_events=events)
+    ts = run_ts if isinstance(run_ts, dt.datetime) else None
+    if incremental:
+        return run_gold_events_incremental(spark, cfg, ts, silver_events=events)
+    return run_gold_events(spark, cfg, ts, silver_events=events)

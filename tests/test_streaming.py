@@ -110,3 +110,64 @@ def test_refresh_gold_events_from_incremental_silver(spark, lake):
     assert out["fact_loan_event_activity"] == silver_loan_events(X.bronze_loan_events(spark, SF)).count()
     total = spark.read.parquet(cfg.gold_table("fact_event_summary")).agg({"event_count": "sum"}).first()[0]
     assert total == out["fact_loan_event_activity"]
+
+
+def test_incremental_gold_refresh_recomputes_only_stale_dates_and_equals_full_rebuild(spark, lake):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.facts import fact_loan_event_activity
+    from ledgerlake.operators.summary import event_summary
+    from ledgerlake.plans.pipelines import (
+        GOLD_ACTIVITY_BY_DATE, GOLD_SUMMARY_BY_MONTH, current_silver_master, run_batch_pipeline,
+    )
+    from ledgerlake.sources.dims import dim_loan_type, dim_status
+
+    cfg = LakeConfig(root=lake, db="stream_inc", checkpoints=f"{lake}/ckpts")
+    src = X.bronze_loan_master(spark, SF).drop("_ingestion_ts")
+    run_batch_pipeline(spark, src, cfg, as_of=X.AS_OF, run_ts=dt.datetime(2024, 2, 1), incremental_silver=True)
+    bronze = X.bronze_loan_events(spark, SF)
+    early, late = bronze.filter("event_ts < '2024-01-15'"), bronze.filter("event_ts >= '2024-01-20'")
+
+    def refresh(hour):
+        return refresh_gold_events(spark, cfg, dt.datetime(2024, 2, 1, hour), incremental=True)
+
+    append_bronze(early, cfg.bronze_events, "2024-01-01 01:00:00", with_hour=True, fmt="json")
+    first = refresh(1)
+    assert first["stale_dates"] == 14
+    activity_path = cfg.gold_table(GOLD_ACTIVITY_BY_DATE)
+    before = _files(activity_path)
+
+    append_bronze(late, cfg.bronze_events, "2024-01-01 02:00:00", with_hour=True, fmt="json")
+    second = refresh(2)
+    late_dates = {str(r.d) for r in late.selectExpr("to_date(to_timestamp(event_ts)) as d").distinct().collect()}
+    assert second["stale_dates"] == len(late_dates)
+    after = _files(activity_path)
+    assert before and all(after.get(f) == t for f, t in before.items())  # early dates untouched
+
+    # New master versions of a few loans with events: only their event dates go stale.
+    events_now = current_silver_events(spark, cfg)
+    loans = [r.loan_id for r in events_now.join(current_silver_master(spark, cfg), "loan_id", "left_semi")
+             .select("loan_id").distinct().orderBy("loan_id").limit(3).collect()]
+    changed = src.filter(F.col("loan_id").isin(loans)).dropDuplicates(["loan_id"]) \
+        .withColumn("status", F.lit("CHARGED_OFF")).withColumn("MODIFIED_TS", F.lit("2002-01-01 00:00:00"))
+    run_batch_pipeline(spark, changed, cfg, as_of=X.AS_OF, run_ts=dt.datetime(2024, 2, 1, 3), incremental_silver=True)
+    third = refresh(4)
+    want_dates = events_now.filter(F.col("loan_id").isin(loans)).select("event_date").distinct().count()
+    assert third["stale_dates"] == want_dates
+    assert refresh(5)["stale_dates"] == 0  # nothing changed since
+
+    drop = ["_gold_ts", "_gold_job"]
+    master = current_silver_master(spark, cfg)
+    full = fact_loan_event_activity(events_now.drop("event_date"), master, dim_loan_type(spark), dim_status(spark))
+    got = spark.read.parquet(activity_path)
+    cols = [c for c in full.columns if c not in drop]
+    assert got.count() == full.count() == events_now.count()
+    assert got.select(*cols).exceptAll(full.select(*cols)).isEmpty()
+    assert full.select(*cols).exceptAll(got.select(*cols)).isEmpty()
+    summary_full = event_summary(full)
+    summary_got = spark.read.parquet(cfg.gold_table(GOLD_SUMMARY_BY_MONTH))
+    scols = [c for c in summary_full.columns if c not in drop]
+    assert summary_got.select(*scols).exceptAll(summary_full.select(*scols)).isEmpty()
+    assert summary_full.select(*scols).exceptAll(summary_got.select(*scols)).isEmpty()

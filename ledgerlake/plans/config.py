@@ -60,3 +60,7 @@ class LakeConfig:
     @property
     def versions(self) -> str:
         return self._p("_control", "versions")
+
+    @property
+    def silver_events_changes(self) -> str:
+        return self._p("_control", "silver_events_changes")

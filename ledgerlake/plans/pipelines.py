@@ -177,16 +177,18 @@ def run_gold_events(
 GOLD_ACTIVITY_BY_DATE = "fact_loan_event_activity_by_date"
 GOLD_SUMMARY_BY_MONTH = "fact_event_summary_by_month"
 _HW_EVENTS = "gold_events.silver_events"
+_HW_LOG = "gold_events.silver_events_changes"
 _HW_MASTER = "gold_events.silver_master"
 
 
-def _stamp_since(df: DataFrame, hw: dt.datetime | None) -> Column:
-    """Rows a silver refresh (re)wrote after the high-water ``hw`` (all rows before the first run).
+def _window(col: str, after: dt.datetime | None, upto: dt.datetime | None) -> Column:
+    """Rows stamped after the last high-water ``after`` (all before the first run), up to ``upto``.
 
     Silver stamps rows with its run time (default: now), which must increase
     from one silver refresh to the next.
     """
-    return F.lit(True) if hw is None else F.col("_silver_ts") > F.lit(hw)
+    cond = F.lit(True) if after is None else F.col(col) > F.lit(after)
+    return cond if upto is None else cond & (F.col(col) <= F.lit(upto))
 
 
 def _dates_filter(dates: list) -> Column:
@@ -196,41 +198,55 @@ def _dates_filter(dates: list) -> Column:
 
 
 def run_gold_events_incremental(
-    spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None, silver_events: DataFrame | None = None
+    spark: SparkSession,
+    cfg: LakeConfig,
+    run_ts: dt.datetime | None = None,
+    silver_events: DataFrame | None = None,
+    changes: DataFrame | None = None,
 ) -> dict:
     """Refresh the event facts for the dates whose inputs changed since the last refresh.
 
     The activity fact is stored by ``event_date`` and the summary by
     (``event_year``, ``event_month``), its own grouping keys, so a date's
     activity depends only on that date's events and a month's summary only on
-    that month's activity.  A date is stale when a silver events row of that
-    date was (re)written since the last refresh, or when it holds an event of
-    a loan whose silver master row was (re)written since then (the fact
-    carries the loan's *current* attributes).  Both are found from the
-    ``_silver_ts`` lineage stamps with column-pruned scans; the stale dates
-    (a set bounded by the calendar) are fetched, and only those activity
-    partitions and the months containing them are recomputed and replaced
-    (dynamic partition overwrite).  High-water marks are published after the
-    data, so a failed run is simply redone.  Equal to a full rebuild.
+    that month's activity.  A date is stale when silver events of that date
+    were (re)written since the last refresh, or when it holds an event of a
+    loan whose silver master row was (re)written since then (the fact carries
+    the loan's *current* attributes).
+
+    Changed event dates come from ``changes`` (``event_date, logged_ts``), the
+    log the incremental silver refresh appends per micro-batch, so no events
+    scan is needed; without a log they are found from the ``_silver_ts``
+    stamps (a two-column scan).  Changed loans come from the master stamps;
+    only if there are any are their events' dates looked up (a column-pruned
+    semi join).  The stale dates (a set bounded by the calendar) are fetched,
+    and only those activity partitions and the months containing them are
+    recomputed and replaced (dynamic partition overwrite).  High-water marks
+    are published after the data, so a failed run is simply redone.  The
+    result equals a full rebuild.
     """
     run_ts = _now(run_ts)
     events = silver_events if silver_events is not None else read_table(spark, cfg.silver_events)
     if "event_date" not in events.columns:
         events = events.withColumn("event_date", F.to_date("event_ts"))
     master = current_silver_master(spark, cfg)
-    info = {t: version_info(spark, cfg.versions, t) or {} for t in (_HW_EVENTS, _HW_MASTER)}
-    hw_events, hw_master = info[_HW_EVENTS].get("high_water"), info[_HW_MASTER].get("high_water")
-    changed_loans = master.filter(_stamp_since(master, hw_master)).select("loan_id")
-    stale = (
-        events.filter(_stamp_since(events, hw_events)).select("event_date")
-        .unionByName(events.select("loan_id", "event_date").join(changed_loans, "loan_id", "left_semi").select("event_date"))
-        .distinct()
-    )
-    dates = [r.event_date for r in stale.collect()]
+    info = {t: version_info(spark, cfg.versions, t) or {} for t in (_HW_EVENTS, _HW_LOG, _HW_MASTER)}
+    hw = {t: i.get("high_water") for t, i in info.items()}
+    # Marks first, and every change window bounded by them: changes that land
+    # while this run works are left for the next run, never skipped.
+    log_source, log_col = (changes, "logged_ts") if changes is not None else (events, "_silver_ts")
+    log_table = _HW_LOG if changes is not None else _HW_EVENTS
     marks = {
-        _HW_EVENTS: events.agg(F.max("_silver_ts")).first()[0],
+        log_table: log_source.agg(F.max(log_col)).first()[0],
         _HW_MASTER: master.agg(F.max("_silver_ts")).first()[0],
     }
+    stale = log_source.filter(_window(log_col, hw[log_table], marks[log_table])).select("event_date")
+    changed_loans = master.filter(_window("_silver_ts", hw[_HW_MASTER], marks[_HW_MASTER])).select("loan_id")
+    if not changed_loans.isEmpty():
+        stale = stale.unionByName(
+            events.select("loan_id", "event_date").join(changed_loans, "loan_id", "left_semi").select("event_date")
+        )
+    dates = [r.event_date for r in stale.distinct().collect()]
     out = {"stale_dates": len(dates), "fact_loan_event_activity": 0, "fact_event_summary": 0}
     if dates:
         activity = fact_loan_event_activity(

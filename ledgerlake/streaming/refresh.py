@@ -52,6 +52,26 @@ def _read_existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+CHANGES_SCHEMA = "event_date date, batch_id long, logged_ts timestamp"
+
+
+def log_changed_dates(spark: SparkSession, cfg: LakeConfig, dates: list, batch_id: int) -> None:
+    """Append the dates a micro-batch rewrote (after its data), for the incremental gold refresh.
+
+    A replayed batch logs its dates again, which only marks them stale twice.
+    """
+    rows = spark.createDataFrame([(d, batch_id) for d in dates], "event_date date, batch_id long")
+    rows.withColumn("logged_ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(cfg.silver_events_changes)
+
+
+def changed_dates_log(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
+    """The change log of the incremental silver events, or None before the first refresh."""
+    try:
+        return spark.read.schema(CHANGES_SCHEMA).parquet(cfg.silver_events_changes)
+    except AnalysisException:
+        return None
+
+
 def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts) -> None:
     typed = add_silver_lineage(normalize_loan_events(decodable(batch)), K.JOB_SILVER_EVENTS, run_ts)
     typed = typed.withColumn("event_date", F.to_date("event_ts")).persist()
@@ -74,6 +94,7 @@ def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, b
             .partitionBy("event_date")
             .parquet(cfg.silver_events_incremental)
         )
+        log_changed_dates(spark, cfg, dates, batch_id)
     finally:
         typed.unpersist()
 
@@ -126,5 +147,5 @@ def refresh_gold_events(
         return {"fact_loan_event_activity": 0, "fact_event_summary": 0}
     ts = run_ts if isinstance(run_ts, dt.datetime) else None
     if incremental:
-        return run_gold_events_incremental(spark, cfg, ts, silver_events=events)
+        return run_gold_events_incremental(spark, cfg, ts, silver_events=events, changes=changed_dates_log(spark, cfg))
     return run_gold_events(spark, cfg, ts, silver_events=events)

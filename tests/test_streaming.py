@@ -171,3 +171,21 @@ def test_incremental_gold_refresh_recomputes_only_stale_dates_and_equals_full_re
     scols = [c for c in summary_full.columns if c not in drop]
     assert summary_got.select(*scols).exceptAll(summary_full.select(*scols)).isEmpty()
     assert summary_full.select(*scols).exceptAll(summary_got.select(*scols)).isEmpty()
+
+
+def test_incremental_gold_without_change_log_uses_silver_stamps(spark, lake):
+    import datetime as dt
+
+    from ledgerlake.plans.pipelines import GOLD_ACTIVITY_BY_DATE, run_batch_pipeline, run_events_pipeline
+    from ledgerlake.plans.pipelines import run_gold_events_incremental
+
+    cfg = LakeConfig(root=lake, db="stream_stamps", checkpoints=f"{lake}/ckpts")
+    run_batch_pipeline(spark, X.bronze_loan_master(spark, SF).drop("_ingestion_ts"), cfg, as_of=X.AS_OF,
+                       run_ts=dt.datetime(2024, 2, 1))
+    append_bronze(X.bronze_loan_events(spark, SF), cfg.bronze_events, "2024-01-01 01:00:00", with_hour=True, fmt="json")
+    run_events_pipeline(spark, cfg, dt.datetime(2024, 2, 1, 1))
+    first = run_gold_events_incremental(spark, cfg, dt.datetime(2024, 2, 1, 2))
+    assert first["stale_dates"] == 30
+    assert run_gold_events_incremental(spark, cfg, dt.datetime(2024, 2, 1, 3))["stale_dates"] == 0
+    assert spark.read.parquet(cfg.gold_table(GOLD_ACTIVITY_BY_DATE)).count() == \
+        spark.read.parquet(cfg.silver_events).count()

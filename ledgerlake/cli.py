@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from ledgerlake.plans import analytics as A
 from ledgerlake.plans.config import LakeConfig
-from ledgerlake.plans.pipelines import gold_event_totals, run_batch_pipeline, run_events_pipeline
+from ledgerlake.plans.pipelines import gold_event_totals, register_all, run_batch_pipeline, run_events_pipeline
 from ledgerlake.session import checkpoint_dir, prepare_session
 from ledgerlake.sources.incremental import jdbc_source
 from ledgerlake.streaming.ingest import decode_events, file_event_stream, kafka_event_stream, start_bronze_stream
@@ -35,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         s.add_argument("--root", required=True, help="lake root (shared storage)")
         s.add_argument("--db", default="loan_lake")
+        s.add_argument("--checkpoints", default=None, help="streaming checkpoints (default: <spark.checkpoint.dir>/ledgerlake)")
     b = sub.choices["batch"]
     b.add_argument("--source-parquet")
     b.add_argument("--jdbc-url")
@@ -51,7 +52,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = prepare_session(SparkSession.builder.appName(f"ledgerlake-{args.cmd}").getOrCreate())
-    cfg = LakeConfig(root=args.root, db=args.db)
+    cfg = LakeConfig(root=args.root, db=args.db, checkpoints=args.checkpoints)
     if args.cmd == "batch":
         if args.jdbc_url:
             source = jdbc_source(spark, args.jdbc_url, args.jdbc_table)
@@ -69,11 +70,13 @@ def main(argv: list[str] | None = None) -> int:
             if args.kafka_bootstrap
             else file_event_stream(spark, args.source_dir)
         )
-        ckpt = f"{checkpoint_dir(spark).rstrip('/')}/ledgerlake/bronze_events"
+        base = args.checkpoints or f"{checkpoint_dir(spark).rstrip('/')}/ledgerlake"
+        ckpt = f"{base.rstrip('/')}/bronze_events"
         trigger = {"availableNow": True} if args.available_now else None
         start_bronze_stream(decode_events(raw, args.worker), cfg.bronze_events, ckpt, trigger=trigger).awaitTermination()
     elif args.cmd == "refresh":
         print(json.dumps(refresh_gold_events(spark, cfg, incremental=True), default=str))
+        register_all(spark, cfg)
     elif args.cmd == "report":
         for fn in (A.risk_by_occ, A.volume_by_event_type, A.delinquency_by_type):
             fn(spark, cfg.db).show(truncate=False)

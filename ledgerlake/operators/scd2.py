@@ -37,7 +37,10 @@ bucketing gives the same ``lead``.
 The grid and bucket tables hold about ``BINS_PER_BUCKET * rows /
 max_group_rows`` rows per level.  Each is checkpointed (computed
 once, lineage cut) and broadcast only after a row-count check against
-``broadcast_max_rows``; beyond that it is joined with a shuffle join.
+``broadcast_max_rows``; beyond that it is joined with a shuffle join
+(for the level-1 table, keyed by the hot keys themselves, that join then
+relies on AQE's skew split; it takes over ``broadcast_max_rows`` hot keys
+to get there).
 """
 
 from __future__ import annotations
@@ -92,24 +95,23 @@ def _levels(n: int) -> list[str]:
     return [f"_f{i}" for i in range(1, n + 1)]
 
 
-def _cells(sample: DataFrame, key: str, path: list[str], min_rows: float) -> DataFrame:
-    """Cells (key + bin path) holding over ``min_rows`` sampled rows, with the grid to split them by.
+def _cells(sample: DataFrame, key: str, path: list[str], split_above: float, per_bucket: float) -> DataFrame:
+    """Cells (key + bin path) holding over ``split_above`` sampled rows, with the grid to split them by.
 
     A cell is cut into ``BINS_PER_BUCKET`` equal-width bins per bucket's worth
-    of its rows, over its *own* sampled time range (so a far outlier in a
-    parent cell does not widen the child grid).
+    (``per_bucket`` sampled rows) of its rows, over its *own* sampled time
+    range, so a far outlier in a parent cell does not widen the child grid.
     """
-    per_cell = min_rows if not path else 2 * min_rows  # level 1: one bucket; deeper: half a bucket
     return (
         sample.groupBy(key, *path)
         .agg(F.count(F.lit(1)).alias("_c"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
-        .filter(F.col("_c") > F.lit(min_rows))
+        .filter(F.col("_c") > F.lit(split_above))
         .select(
             key,
             *path,
             "_lo",
             (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double").alias("_span"),
-            (F.ceil(F.col("_c") / F.lit(per_cell)) * F.lit(BINS_PER_BUCKET)).cast("long").alias("_nbins"),
+            (F.ceil(F.col("_c") / F.lit(per_bucket)) * F.lit(BINS_PER_BUCKET)).cast("long").alias("_nbins"),
         )
     )
 
@@ -179,7 +181,9 @@ def with_time_buckets(
         placed = sample
         if grids:  # deeper cells exist only inside a split parent
             placed = assign_bins(sample, grids, key, F.col("_t")).drop("_hot").filter(F.col(f"_f{level - 1}") >= 0)
-        cells = _cells(placed, key, _levels(level - 1), per_bucket if level == 1 else per_bucket / 2)
+        # Level 1: keys over one bucket's rows; deeper: bins over half a bucket.
+        split_above = per_bucket if level == 1 else per_bucket / 2
+        cells = _cells(placed, key, _levels(level - 1), split_above, per_bucket)
         grid, small, empty = _checked(cells, broadcast_max_rows)
         if empty:  # no hot key, or no crowded bin at this level: the grid ends here
             break

@@ -75,3 +75,23 @@ def test_skew_safe_lead_equals_plain_lead(spark, keys, max_group_rows):
     pdf["nxt"] = pdf.groupby("k")["t"].shift(-1)
     want = {(r.k, r.t.to_pydatetime(), None if pd.isna(r.nxt) else r.nxt.to_pydatetime()) for r in pdf.itertuples()}
     assert got == want
+
+
+@SETTINGS
+@given(
+    left=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 50)), min_size=1, max_size=80),
+    right=st.lists(st.integers(0, 6), max_size=8, unique=True),
+    max_group_rows=st.integers(1, 6),
+)
+def test_salted_left_join_equals_plain_left_join(spark, left, right, max_group_rows):
+    from ledgerlake.operators.skew import HotKeys, hot_key_salts, salted_left_join
+
+    l = spark.createDataFrame([(None if k is None else f"k{k}", v) for k, v in left], "k string, v int")
+    r = spark.createDataFrame([(f"k{k}", k * 10) for k in right], "k string, w int")
+    hot = HotKeys(hot_key_salts(l, "k", max_group_rows=max_group_rows))
+    def rows(df):
+        return sorted((tuple(x) for x in df.select("k", "v", "w").collect()),
+                      key=lambda t: tuple((x is None, "" if x is None else x) for x in t))
+
+    got, want = rows(salted_left_join(l, r, "k", hot, ["v"])), rows(l.join(r, "k", "left"))
+    assert got == want

@@ -173,6 +173,23 @@ def with_time_buckets(
     Ordinary keys: bucket 0 for every row (NULL times included).  Hot keys:
     a count-balanced time range, -1 for NULL times.
     """
+    return _bucketize(df, key, ts, max_group_rows, broadcast_max_rows)[0]
+
+
+def partition_buckets(bucketed: DataFrame, key: str, any_hot: bool) -> DataFrame:
+    """The one hash shuffle both windows reuse.
+
+    Without hot keys ``_bucket`` is the constant 0, which the optimizer drops
+    from window partition specs; shuffling on the key alone then satisfies
+    them (a (key, 0) shuffle would not, and each window would shuffle again).
+    """
+    return bucketed.repartition(key, "_bucket") if any_hot else bucketed.repartition(key)
+
+
+def _bucketize(
+    df: DataFrame, key: str, ts: str, max_group_rows: int, broadcast_max_rows: int
+) -> tuple[DataFrame, bool]:
+    """``with_time_buckets`` plus whether any key is hot."""
     sample, per_bucket = key_sample(df, key, ts, max_group_rows)
     checkpoint_dir(df.sparkSession)
     sample = sample.checkpoint(eager=True)  # one narrow scan of the input serves every table below
@@ -189,7 +206,7 @@ def with_time_buckets(
             break
         grids.append((grid, small))
     if not grids:
-        return df.withColumns({"_hot": F.lit(False), "_bucket": F.lit(0).cast("long")})
+        return df.withColumns({"_hot": F.lit(False), "_bucket": F.lit(0).cast("long")}), False
     buckets, small, _ = _checked(bucket_map(sample, grids, key, per_bucket), broadcast_max_rows)
     t = _micros(F.col(ts))
     placed = assign_bins(df, grids, key, t)
@@ -207,7 +224,7 @@ def with_time_buckets(
         .when(F.col(ts).isNull(), F.lit(-1).cast("long"))
         .otherwise(F.col("_bkt"))
     )
-    return mapped.withColumn("_bucket", bucket).drop(*path, "_bkt")
+    return mapped.withColumn("_bucket", bucket).drop(*path, "_bkt"), True
 
 
 def lead_in_buckets(parted: DataFrame, key: str, ts: str, out: str, heads_from: DataFrame) -> DataFrame:
@@ -241,8 +258,8 @@ def lead_within_key(
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Skew-safe ``lead(ts) over (partition by key order by ts nulls first)``; ``(key, ts)`` unique."""
-    bucketed = with_time_buckets(df, key, ts, max_group_rows, broadcast_max_rows)
-    return lead_in_buckets(bucketed.repartition(key, "_bucket"), key, ts, out, heads_from=bucketed)
+    bucketed, any_hot = _bucketize(df, key, ts, max_group_rows, broadcast_max_rows)
+    return lead_in_buckets(partition_buckets(bucketed, key, any_hot), key, ts, out, heads_from=bucketed)
 
 
 def loan_master_scd2(
@@ -252,11 +269,11 @@ def loan_master_scd2(
 ) -> DataFrame:
     """Version history from bronze loan master rows (all extractions, duplicates allowed)."""
     typed = normalize_loan_master(bronze).withColumnRenamed("MODIFIED_TS", "valid_from")
-    bucketed = with_time_buckets(typed, "loan_id", "valid_from", max_group_rows, broadcast_max_rows)
+    bucketed, any_hot = _bucketize(typed, "loan_id", "valid_from", max_group_rows, broadcast_max_rows)
     # One hash shuffle on (loan, bucket) serves both windows: the bucket is a
     # function of (loan, time), so equal versions share a partition and the
     # version dedup may partition by (loan, bucket, time) at no extra cost.
-    parted = bucketed.repartition("loan_id", "_bucket")
+    parted = partition_buckets(bucketed, "loan_id", any_hot)
     versions = latest_per_key(parted, ("loan_id", "_bucket", "valid_from"), (F.col("_ingestion_ts").desc_nulls_last(),))
     hist = lead_in_buckets(versions, "loan_id", "valid_from", "valid_to", heads_from=bucketed)
     return hist.withColumn("is_current", F.col("valid_to").isNull()).select(*SCD2_COLUMNS)

@@ -22,7 +22,11 @@ would then be a third of the job in one task.  ``lead_within_key`` instead:
    function of the time, the same on every recomputation; ordinary keys use
    bucket 0;
 3. hash-partitions once on (key, bucket) and computes ``lead`` inside each
-   bucket: no window group is a whole hot key any more;
+   bucket: no window group is a whole hot key any more.  ``loan_master_scd2``
+   with hot loans first removes exact duplicate versions with a (loan, time)
+   shuffle whose partial top-1 limit shrinks a pile of copies before it
+   moves; without hot loans no pile can be large either, and one shuffle on
+   the loan serves both the version dedup and ``lead``;
 4. patches the last row of each hot bucket with the first time of the key's
    next non-empty bucket, from a table of one row per hot bucket that is
    pre-aggregated from a two-column scan of the hot rows before the shuffle
@@ -35,9 +39,9 @@ Whatever the sample misses, results stay exact: any per-key monotone
 bucketing gives the same ``lead``.
 
 The grid and bucket tables hold about ``BINS_PER_BUCKET * rows /
-max_group_rows`` rows per level.  Each is checkpointed (computed
-once, lineage cut) and broadcast only after a row-count check against
-``broadcast_max_rows``; beyond that it is joined with a shuffle join
+max_group_rows`` rows per level.  Each is fetched once into a local relation
+and broadcast when a row-count check against ``broadcast_max_rows`` passes;
+beyond that it is checkpointed and joined with a shuffle join
 (for the level-1 table, keyed by the hot keys themselves, that join then
 relies on AQE's skew split; it takes over ``broadcast_max_rows`` hot keys
 to get there).
@@ -45,6 +49,7 @@ to get there).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,11 +77,22 @@ def _micros(c: Column) -> Column:
 
 
 def _checked(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool, bool]:
-    """Checkpoint a lookup table; say whether it is small enough to broadcast, and whether it is empty."""
+    """Materialise a lookup table once; say whether it may be broadcast and whether it is empty.
+
+    Up to ``max_rows`` rows are fetched in one job into a local relation (its
+    exact size known to the planner); a larger table is persisted, then
+    checkpointed to the cluster's checkpoint folder (lineage cut, computed
+    once) and shuffle-joined.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema), True, not rows
     checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    n = df.limit(max_rows + 1).count()
-    return df, n <= max_rows, n == 0
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True), False, False
+    finally:
+        df.unpersist()
 
 
 def key_sample(df: DataFrame, key: str, ts: str, max_group_rows: int) -> tuple[DataFrame, float]:
@@ -186,45 +202,69 @@ def partition_buckets(bucketed: DataFrame, key: str, any_hot: bool) -> DataFrame
     return bucketed.repartition(key, "_bucket") if any_hot else bucketed.repartition(key)
 
 
+class TimeBuckets:
+    """Grids and bucket map for the hot keys of an input, estimated from a sample.
+
+    ``any_hot`` is False when no key is estimated over ``max_group_rows``
+    rows; then every row gets bucket 0 and no lookup tables exist.
+    """
+
+    def __init__(self, source: DataFrame, key: str, ts: str, max_group_rows: int, broadcast_max_rows: int):
+        self.key, self.ts = key, ts
+        sample, per_bucket = key_sample(source, key, ts, max_group_rows)
+        # Persisted, not checkpointed: one narrow scan of the input serves every
+        # table below (a lost block is recomputed: the sample is seeded).
+        sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.grids: list[tuple[DataFrame, bool]] = []
+            for level in range(1, LEVELS + 1):
+                placed = sample
+                if self.grids:  # deeper cells exist only inside a split parent
+                    placed = assign_bins(sample, self.grids, key, F.col("_t")).drop("_hot").filter(
+                        F.col(f"_f{level - 1}") >= 0
+                    )
+                # Level 1: keys over one bucket's rows; deeper: bins over half a bucket.
+                split_above = per_bucket if level == 1 else per_bucket / 2
+                cells = _cells(placed, key, _levels(level - 1), split_above, per_bucket)
+                grid, small, empty = _checked(cells, broadcast_max_rows)
+                if empty:  # no hot key, or no crowded bin at this level: the grid ends here
+                    break
+                self.grids.append((grid, small))
+            self.any_hot = bool(self.grids)
+            if self.any_hot:
+                self.buckets, self.small, _ = _checked(bucket_map(sample, self.grids, key, per_bucket), broadcast_max_rows)
+        finally:
+            sample.unpersist()
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Add ``_bucket`` and ``_hot`` to ``df`` (rows of the same keys and times as the source)."""
+        key, ts = self.key, self.ts
+        if not self.any_hot:
+            return df.withColumns({"_hot": F.lit(False), "_bucket": F.lit(0).cast("long")})
+        placed = assign_bins(df, self.grids, key, _micros(F.col(ts)))
+        path = _levels(len(self.grids))
+        hot = F.col("_f1") >= 0  # hot key and a time
+        if self.small:
+            mapped = placed.join(F.broadcast(self.buckets), [key, *path], "left")
+        else:
+            # Shuffle-join only the hot rows; ordinary rows share the bin path
+            # (-1, ...) and would all hash to one partition.
+            cold = placed.filter(~hot).withColumn("_bkt", F.lit(None).cast("long"))
+            mapped = cold.unionByName(placed.filter(hot).join(self.buckets, [key, *path], "left"))
+        bucket = (
+            F.when(~F.col("_hot"), F.lit(0).cast("long"))
+            .when(F.col(ts).isNull(), F.lit(-1).cast("long"))
+            .otherwise(F.col("_bkt"))
+        )
+        return mapped.withColumn("_bucket", bucket).drop(*path, "_bkt")
+
+
 def _bucketize(
     df: DataFrame, key: str, ts: str, max_group_rows: int, broadcast_max_rows: int
 ) -> tuple[DataFrame, bool]:
     """``with_time_buckets`` plus whether any key is hot."""
-    sample, per_bucket = key_sample(df, key, ts, max_group_rows)
-    checkpoint_dir(df.sparkSession)
-    sample = sample.checkpoint(eager=True)  # one narrow scan of the input serves every table below
-    grids: list[tuple[DataFrame, bool]] = []
-    for level in range(1, LEVELS + 1):
-        placed = sample
-        if grids:  # deeper cells exist only inside a split parent
-            placed = assign_bins(sample, grids, key, F.col("_t")).drop("_hot").filter(F.col(f"_f{level - 1}") >= 0)
-        # Level 1: keys over one bucket's rows; deeper: bins over half a bucket.
-        split_above = per_bucket if level == 1 else per_bucket / 2
-        cells = _cells(placed, key, _levels(level - 1), split_above, per_bucket)
-        grid, small, empty = _checked(cells, broadcast_max_rows)
-        if empty:  # no hot key, or no crowded bin at this level: the grid ends here
-            break
-        grids.append((grid, small))
-    if not grids:
-        return df.withColumns({"_hot": F.lit(False), "_bucket": F.lit(0).cast("long")}), False
-    buckets, small, _ = _checked(bucket_map(sample, grids, key, per_bucket), broadcast_max_rows)
-    t = _micros(F.col(ts))
-    placed = assign_bins(df, grids, key, t)
-    path = _levels(len(grids))
-    hot = F.col("_f1") >= 0  # hot key and a time
-    if small:
-        mapped = placed.join(F.broadcast(buckets), [key, *path], "left")
-    else:
-        # Shuffle-join only the hot rows; ordinary rows share the bin path
-        # (-1, ...) and would all hash to one partition.
-        cold = placed.filter(~hot).withColumn("_bkt", F.lit(None).cast("long"))
-        mapped = cold.unionByName(placed.filter(hot).join(buckets, [key, *path], "left"))
-    bucket = (
-        F.when(~F.col("_hot"), F.lit(0).cast("long"))
-        .when(F.col(ts).isNull(), F.lit(-1).cast("long"))
-        .otherwise(F.col("_bkt"))
-    )
-    return mapped.withColumn("_bucket", bucket).drop(*path, "_bkt"), True
+    tb = TimeBuckets(df, key, ts, max_group_rows, broadcast_max_rows)
+    return tb.apply(df), tb.any_hot
 
 
 def lead_in_buckets(parted: DataFrame, key: str, ts: str, out: str, heads_from: DataFrame) -> DataFrame:
@@ -269,11 +309,20 @@ def loan_master_scd2(
 ) -> DataFrame:
     """Version history from bronze loan master rows (all extractions, duplicates allowed)."""
     typed = normalize_loan_master(bronze).withColumnRenamed("MODIFIED_TS", "valid_from")
-    bucketed, any_hot = _bucketize(typed, "loan_id", "valid_from", max_group_rows, broadcast_max_rows)
-    # One hash shuffle on (loan, bucket) serves both windows: the bucket is a
-    # function of (loan, time), so equal versions share a partition and the
-    # version dedup may partition by (loan, bucket, time) at no extra cost.
-    parted = partition_buckets(bucketed, "loan_id", any_hot)
-    versions = latest_per_key(parted, ("loan_id", "_bucket", "valid_from"), (F.col("_ingestion_ts").desc_nulls_last(),))
-    hist = lead_in_buckets(versions, "loan_id", "valid_from", "valid_to", heads_from=bucketed)
+    version_order = (F.col("_ingestion_ts").desc_nulls_last(),)
+    tb = TimeBuckets(typed, "loan_id", "valid_from", max_group_rows, broadcast_max_rows)
+    if not tb.any_hot:
+        # No loan over max_group_rows raw rows, so no pile of copies is either:
+        # one shuffle on the loan serves the version dedup and lead.
+        parted = tb.apply(typed).repartition("loan_id")
+        versions = latest_per_key(parted, ("loan_id", "valid_from"), version_order)
+        hist = lead_in_buckets(versions, "loan_id", "valid_from", "valid_to", heads_from=versions)
+    else:
+        # Exact versions first: the (loan, time) shuffle carries a partial
+        # top-1 limit, so a pile of copies of one version is reduced in each
+        # map task before it moves; then one shuffle on (loan, bucket) for lead.
+        versions = latest_per_key(typed, ("loan_id", "valid_from"), version_order)
+        bucketed = tb.apply(versions)
+        hist = lead_in_buckets(partition_buckets(bucketed, "loan_id", True), "loan_id", "valid_from", "valid_to",
+                               heads_from=bucketed)
     return hist.withColumn("is_current", F.col("valid_to").isNull()).select(*SCD2_COLUMNS)

@@ -95,3 +95,20 @@ def test_hot_key_buckets_are_balanced_by_count_not_time(spark, broadcast_max_row
     want = {(r.k, None if pd.isna(r.t) else r.t.to_pydatetime(), None if pd.isna(r.nxt) else r.nxt.to_pydatetime())
             for r in pdf.itertuples()}
     assert got == want
+
+
+def test_scd2_pile_of_copies_of_one_version_makes_one_version(spark):
+    bronze = X.bronze_loan_master(spark, SF)
+    one = bronze.filter("loan_id = 'L0000001'").orderBy("MODIFIED_TS").limit(1)
+    # 400 re-extractions of the same version (same MODIFIED_TS, later ingestion times, another status).
+    pile = one.crossJoin(spark.range(400)).selectExpr(
+        *[c for c in bronze.columns if c not in ("status", "_ingestion_ts")],
+        "'DEFAULT' as status",
+        "cast(timestamp'2001-10-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) as string) as _ingestion_ts",
+    ).select(*bronze.columns)
+    piled = bronze.unionByName(pile)
+    out = loan_master_scd2(piled, max_group_rows=50)  # the loan is hot by its raw rows
+    got = {(r.loan_id, r.status, r.valid_from, r.valid_to) for r in out.collect()}
+    assert got == _brute_force(piled.toPandas())
+    assert out.filter("loan_id = 'L0000001'").count() == bronze.filter("loan_id = 'L0000001'") \
+        .select("MODIFIED_TS").distinct().count()

@@ -8,15 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.common import read_table
 from ledgerlake.llm.simhash import simhash_dedup
+from ledgerlake.llm.substring import kept_digest, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digest(substring_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), window=20))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), shingle=4, distance=4)
 
 
 QUERIES: dict[str, Query] = {
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
 }
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.llm.common import read_table
 from ledgerlake.llm.simhash import simhash_dedup
 from ledgerlake.llm.substring import kept_digest, substring_dedup
+from ledgerlake.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +22,15 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), shingle=4, distance=4)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    return toxicity(docs, labels).drop("offending")
+
+
 QUERIES: dict[str, Query] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.llm.bpe import Vocabulary, build_lexicon, round_trip_digests
 from ledgerlake.llm.common import read_table
 from ledgerlake.llm.lines import LINE_DEDUP_SQL, line_dedup, line_digest
 from ledgerlake.llm.simhash import simhash_dedup
@@ -15,6 +16,19 @@ from ledgerlake.llm.toxicity import toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of an installed public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    vocabulary = Vocabulary.load(tokenizer_path())
+    return round_trip_digests(docs, vocabulary, build_lexicon(docs, vocabulary))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digest(substring_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), window=20))
 
@@ -33,6 +47,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_bpe_round_trip": op2_bpe_round_trip,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,

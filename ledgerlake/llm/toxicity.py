@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import drop_scratch, scratch_table
+
 SLOTS = 1 << 18
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -132,20 +134,25 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = 12_000, max_byt
     """Model from the labelled rows of ``docs`` (doc_id, text) that are not held out."""
     marks = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("_id"))
     marks = marks.agg(F.max(F.col("toxic").cast("int")).alias("_toxic")).filter(~held_out(F.col("_id")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_text")).join(marks, "_id")
-    size = F.octet_length("_text")
-    facts = {r["_toxic"] > 0: (r["n"], r["bytes"]) for r in rows.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).collect()}
-    if not facts:
+    sizes = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("_bytes"))
+    sizes, path = scratch_table(sizes.join(marks, "_id"), "toxicity-labelled")
+    chosen, weights = None, {}
+    for r in sizes.groupBy((F.col("_toxic") > 0).alias("mark")).agg(F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("bytes")).collect():
+        take = int(min(r["n"], max_docs // 2, max(1, r["n"] * (max_bytes // 2) // max(1, r["bytes"]))))
+        part = sizes.filter((F.col("_toxic") > 0) == F.lit(r["mark"])).orderBy(F.xxhash64("_id", F.lit("train")), "_id").limit(take)
+        part = part.select("_id", F.lit(r["mark"]).alias("_mark"))
+        chosen = part if chosen is None else chosen.unionByName(part)
+        weights[r["mark"]] = r["n"] / take
+    if chosen is None:
         return Model(np.zeros(SLOTS, np.float32), 0.0, constant=0.0)
-    texts, toxic, weight = [], [], []
-    for mark, (n, total) in sorted(facts.items()):
-        take = int(min(n, max_docs // 2, max(1, n * (max_bytes // 2) // max(1, total))))
-        one = rows.filter(F.col("_toxic") > 0 if mark else F.col("_toxic") <= 0)
-        part = one.orderBy(F.xxhash64("_id", F.lit("train")), "_text").limit(take).select("_text").toPandas()["_text"].tolist()
-        texts += part
-        toxic += [mark] * len(part)
-        weight += [n / max(1, len(part))] * len(part)
-    return fit(texts, np.array(toxic, bool), np.array(weight, float))
+    # at most max_docs ids: small enough to send to every task, so only the chosen texts move
+    chosen = chosen.dropDuplicates(["_id"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
+    rows = rows.orderBy("_id", "_text").select("_text", "_mark").toPandas()
+    drop_scratch(docs.sparkSession, path)
+    texts, toxic = rows["_text"].tolist(), rows["_mark"].to_numpy(bool)
+    weight = np.where(toxic, weights.get(True, 0.0), weights.get(False, 0.0))
+    return fit(texts, toxic, weight)
 
 
 def held_out(doc_id):

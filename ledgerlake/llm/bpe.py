@@ -212,7 +212,7 @@ class Splitter:
 
     No word crosses white space, so a text is cut there first (``chunks``) and
     what a chunk holds can be remembered by chunk (``words``).  Special tokens
-    are chunks of their own.
+    are chunks of their own, told from others by a space in front.
     """
 
     #: str.split() also cuts at these, which are not white space to the file's pattern.
@@ -235,11 +235,11 @@ class Splitter:
             return self.plain(text)
         out = []
         for part in self.marks.split(text):
-            out += [part] if part in self.special else self.plain(part)
+            out += [" " + part] if part in self.special else self.plain(part)
         return out
 
     def words(self, chunk: str) -> list[str]:
-        return [chunk] if chunk in self.special else self.pattern.findall(chunk)
+        return [chunk] if chunk[0] == " " else self.pattern.findall(chunk)
 
 
 def lower(text: str) -> str:
@@ -278,7 +278,7 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 6
     """Compiled lexicon of the corpus' most frequent words (ties: smaller word), of ``longest`` characters at most."""
     top = word_counts(docs, vocabulary).filter(F.length("word") <= longest).orderBy(F.desc("n"), "word").limit(lexicon_size)
     merge = Merger(vocabulary)
-    return compile_lexicon({r["word"]: merge(r["word"]) for r in top.collect() if r["word"] not in vocabulary.special})
+    return compile_lexicon({r["word"]: merge(r["word"]) for r in top.collect() if r["word"][0] != " "})
 
 
 class Encoder:
@@ -293,8 +293,8 @@ class Encoder:
         for word in self.split.words(chunk):
             ids = of_words.get(word)
             if ids is None:
-                if word in self.special:
-                    ids = (self.special[word],)
+                if word[0] == " ":
+                    ids = (self.special[word[1:]],)
                 elif (ids := self.lexicon.get(word)) is None:
                     ids = self.merge(word)
                 if len(of_words) >= MEMO:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import Vocabulary, build_lexicon, round_trip_digests
 from ledgerlake.llm.common import read_table
 from ledgerlake.llm.lines import LINE_DEDUP_SQL, line_dedup, line_digest
+from ledgerlake.llm.mixing import mix
 from ledgerlake.llm.simhash import simhash_dedup
 from ledgerlake.llm.substring import kept_digest, substring_dedup
 from ledgerlake.llm.toxicity import toxicity
@@ -37,6 +39,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), shingle=4, distance=4)
 
 
+def op6_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]))
+    return mixed.select("doc_id", "source", "lang", F.expr("substr(topic_mix, 2)").alias("topic"), F.col("w_mix").alias("weight"), F.col("p_mix").alias("probability"), F.col("kept_mix").alias("kept"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(line_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), min_words=5))
 
@@ -50,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_mix_to_targets": op6_mix_to_targets,
     "op7_line_dedup": op7_line_dedup,
     "op10_toxicity": op10_toxicity,
 }

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import Vocabulary, build_lexicon, round_trip_digests
+from ledgerlake.llm.chat import chat_digests, format_chat
 from ledgerlake.llm.common import read_table
+from ledgerlake.llm.html_density import extract_main_text
 from ledgerlake.llm.lines import LINE_DEDUP_SQL, line_dedup, line_digest
 from ledgerlake.llm.mixing import mix
 from ledgerlake.llm.simhash import simhash_dedup
@@ -31,6 +33,11 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(docs, vocabulary, build_lexicon(docs, vocabulary))
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_main_text(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digest(substring_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), window=20))
 
@@ -48,6 +55,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(line_dedup(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), min_words=5))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    return chat_digests(format_chat(turns.unionByName(extra)))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
     return toxicity(docs, labels).drop("offending")
@@ -55,10 +69,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_html_main_text": op3_html_main_text,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mix_to_targets": op6_mix_to_targets,
     "op7_line_dedup": op7_line_dedup,
+    "op8_chat_format": op8_chat_format,
     "op10_toxicity": op10_toxicity,
 }
 

@@ -72,6 +72,11 @@ class Vocabulary:
         return cls(model["vocab"], {m: k for k, m in enumerate(merges)}, split["pattern"]["Regex"], special, model["end_of_word_suffix"] or "")
 
 
+    def parts(self) -> tuple:
+        """The fields, for a broadcast: plain values need no class on the executors."""
+        return self.ids, self.ranks, self.pattern, self.special, self.suffix
+
+
 class Merger:
     """Exact BPE of single words."""
 
@@ -249,10 +254,10 @@ def lower(text: str) -> str:
 
 def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(word, n) over the whole texts of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.parts())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, found = Splitter(shared.value), Counter()
+        split, found = Splitter(Vocabulary(*shared.value)), Counter()
 
         def rows():
             words = Counter()
@@ -327,11 +332,12 @@ class Decoder:
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, lexicon: bytes) -> DataFrame:
     """``docs`` with the column ids: array of the whole text's token ids."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.parts(), lexicon))
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(*shared.value)
+        parts, data = shared.value
+        encoder = Encoder(Vocabulary(*parts), data)
         for batch in batches:
             yield pd.Series([[i for w in encoder.chunks(t, tuple) for i in w] for t in batch], index=batch.index, dtype=object)
 
@@ -340,11 +346,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, lexicon: bytes) -> DataFrame
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``encoded`` with the column decoded, read back from ids."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.parts())
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decoder = Decoder(shared.value)
+        decoder = Decoder(Vocabulary(*shared.value))
         for batch in batches:
             yield pd.Series([decoder(ids) for ids in batch], index=batch.index, dtype=object)
 
@@ -353,10 +359,12 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary, lexicon: bytes) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encode and decode in one pass, a word at a time, nothing kept whole but the digests."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.parts(), lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(*shared.value), Decoder(shared.value[0])
+        parts, data = shared.value
+        vocabulary = Vocabulary(*parts)
+        encoder, decoder = Encoder(vocabulary, data), Decoder(vocabulary)
 
         def made(ids):
             return len(ids), " ".join(map(str, ids)), decoder(ids)

@@ -13,6 +13,7 @@ from ledgerlake.llm.common import read_table
 from ledgerlake.llm.html_density import extract_main_text
 from ledgerlake.llm.lines import LINE_DEDUP_SQL, line_dedup, line_digest
 from ledgerlake.llm.mixing import mix
+from ledgerlake.llm.pq_dedup import embedding_near_dedup
 from ledgerlake.llm.simhash import simhash_dedup
 from ledgerlake.llm.substring import kept_digest, substring_dedup
 from ledgerlake.llm.toxicity import toxicity
@@ -27,6 +28,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_dedup(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), cosine=0.9)
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     vocabulary = Vocabulary.load(tokenizer_path())
@@ -68,6 +73,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_html_main_text": op3_html_main_text,
     "op4_substring_dedup": op4_substring_dedup,

@@ -1,7 +1,7 @@
 """BPE encoding and decoding through a minimal acyclic transducer of frequent words.
 
-The words of the whole corpus are counted, the most frequent ``lexicon_size``
-are encoded once by merging, and a minimal acyclic transducer is compiled of
+The words of the whole corpus are counted, the most frequent (at most
+``lexicon_size``) are encoded once by merging, and a minimal acyclic transducer is compiled of
 them: an automaton over the words' bytes whose common suffixes are shared, with
 a word's rank read off the counts on its path, and the rank's ids in a table.
 Tasks get it as one block of arrays, which they map into memory from an unlinked
@@ -38,6 +38,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import drop_scratch, scratch_table
+
 MEMO = 400_000
 
 
@@ -280,10 +282,24 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 65_536, longest: int = 64) -> bytes:
-    """Compiled lexicon of the corpus' most frequent words (ties: smaller word), of ``longest`` characters at most."""
-    top = word_counts(docs, vocabulary).filter(F.length("word") <= longest).orderBy(F.desc("n"), "word").limit(lexicon_size)
+    """Compiled lexicon of the corpus' most frequent words, of ``longest`` characters at most.
+
+    Words are taken from a count on that at most ``lexicon_size`` words reach: the
+    cut is read off a histogram of counts (a row for each sixteenth of a power of
+    two), so what reaches the driver is bounded whatever the corpus.
+    """
+    counts, path = scratch_table(word_counts(docs, vocabulary).filter(F.length("word") <= longest), "bpe-words")
+    step = F.floor(F.log2("n") * 16).cast("int")
+    seen, cut = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        seen += r["count"]
+        if seen > lexicon_size:
+            break
+        cut = r["step"]
     merge = Merger(vocabulary)
-    return compile_lexicon({r["word"]: merge(r["word"]) for r in top.collect() if r["word"][0] != " "})
+    top = counts.filter(step >= cut).select("word").collect() if cut is not None else []
+    drop_scratch(docs.sparkSession, path)
+    return compile_lexicon({r["word"]: merge(r["word"]) for r in top if r["word"][0] != " "})
 
 
 class Encoder:

@@ -16,6 +16,7 @@ from ledgerlake.llm.mixing import mix
 from ledgerlake.llm.pq_dedup import embedding_near_dedup
 from ledgerlake.llm.simhash import simhash_dedup
 from ledgerlake.llm.substring import kept_digest, substring_dedup
+from ledgerlake.llm.topk import exact_top_k
 from ledgerlake.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,10 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_chat(turns.unionByName(extra)))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), k=5, every=50, scale=256)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
     return toxicity(docs, labels).drop("offending")
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op6_mix_to_targets": op6_mix_to_targets,
     "op7_line_dedup": op7_line_dedup,
     "op8_chat_format": op8_chat_format,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
 }
 

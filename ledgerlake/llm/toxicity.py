@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -87,26 +88,32 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, *, rounds: int
     if not toxic.any() or toxic.all():
         return Model(np.zeros(SLOTS, np.float32), 0.0, constant=float(bool(len(toxic)) and bool(toxic.all())))
     vocabulary: dict[str, int] = {}
-    words, first, doc = [], [], []
-    at = 0
+    # flat typed arrays throughout: the sample's tokens are the largest thing that the fit holds
+    words, first, doc = array("i"), array("q"), array("q")
     for d, text in enumerate(texts):
         for sentence in SENTENCE.split(text.lower()):
             if bag := dict.fromkeys(WORD.findall(sentence)):
-                first.append(at)
+                first.append(len(words))
                 doc.append(d)
-                words += [vocabulary.setdefault(t, len(vocabulary)) for t in bag]
-                at += len(bag)
-    words, first, doc = np.array(words, np.int32), np.array(first, np.int64), np.array(doc, np.int64)
-    doc_of_word = np.repeat(doc, np.diff(np.append(first, len(words))))
-    pairs = np.unique(doc_of_word * len(vocabulary) + words)
-    features = [word_features(w) for w in vocabulary]
-    counts = np.array([len(f) for f in features])
-    slots, slot = np.unique(np.concatenate(features), return_inverse=True)
+                words.extend([vocabulary.setdefault(t, len(vocabulary)) for t in bag])
+    words, first, doc = np.frombuffer(words, np.int32), np.frombuffer(first, np.int64), np.frombuffer(doc, np.int64)
+    flat, counts = array("i"), array("i")
+    for word in vocabulary:
+        found = word_features(word)
+        flat.extend(found)
+        counts.append(len(found))
+    size, counts = len(vocabulary), np.frombuffer(counts, np.int32)
+    vocabulary.clear()
+    slots, slot = np.unique(np.frombuffer(flat, np.int32), return_inverse=True)
+    # documents that hold a word: its first sentence in each document counts
+    pairs = np.unique(np.repeat(doc, np.diff(np.append(first, len(words)))) * size + words) % size
+    in_docs = np.bincount(pairs, minlength=size)
+    del pairs
     cuts = np.concatenate(([0], np.cumsum(counts)[:-1]))
     # documents that hold a slot, at most: its words' document counts summed
-    spread = np.bincount(slot, np.repeat(np.bincount(pairs % len(vocabulary), minlength=len(vocabulary)), counts), len(slots))
+    spread = np.bincount(slot, np.repeat(in_docs, counts), len(slots))
     used = spread >= min_docs
-    word_of = np.repeat(np.arange(len(features)), counts)
+    word_of = np.repeat(np.arange(size), counts)
     length = np.diff(np.append(first, len(words)))
     w, b = np.zeros(len(slots)), -4.0
     m1, m2, n1, n2 = np.zeros(len(slots)), np.zeros(len(slots)), 0.0, 0.0
@@ -117,7 +124,7 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, *, rounds: int
         s = np.bincount(doc, softplus(z), len(texts))
         by_doc = np.where(toxic, -1 / np.expm1(np.clip(s, 1e-9, 60)), 1.0) * weight / total
         by_sentence = by_doc[doc] / (1 + np.exp(-z))
-        by_word = np.bincount(words, np.repeat(by_sentence, length), len(features))
+        by_word = np.bincount(words, np.repeat(by_sentence, length), size)
         g = np.bincount(slot, by_word[word_of], len(slots)) * used + decay * w
         h = by_sentence.sum()
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
@@ -130,7 +137,7 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, *, rounds: int
     return Model(table, float(b))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = 12_000, max_bytes: int = 48 << 20) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = 8_000, max_bytes: int = 32 << 20) -> Model:
     """Model from the labelled rows of ``docs`` (doc_id, text) that are not held out."""
     marks = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("_id"))
     marks = marks.agg(F.max(F.col("toxic").cast("int")).alias("_toxic")).filter(~held_out(F.col("_id")))
@@ -196,7 +203,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return docs.withColumn("_toxicity", score_udf(docs, model)(F.col("text")))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, max_docs: int = 12_000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, *, max_docs: int = 8_000) -> DataFrame:
     """doc_id, held_out, score, predicted, n_sentences, offending for every row of ``docs``."""
     model = train(docs, labels, max_docs=max_docs)
     scored = score_documents(docs.select("doc_id", "text"), model)
@@ -207,7 +214,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, max_docs: int = 12_000) -> D
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, *, max_docs: int = 12_000) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, max_docs: int = 8_000) -> DataFrame:
     """The rows of ``docs`` that the model does not call toxic, columns unchanged."""
     model = train(docs, labels, max_docs=max_docs)
     return docs.filter(score_udf(docs, model)(F.col("text"))["score"] < 0.5)

@@ -4,10 +4,10 @@ A page becomes a tree (implied end tags, void and raw-text elements as in HTML).
 Every node gets its characters per tag, lowered by the share of its characters
 and tags that lie in links (composite text density), and the sum of its
 children's densities.  The node with the largest sum holds the article; the
-threshold is the smallest density on the path from the body down to it.  Where
-the article is spread over siblings, the root moves up as long as another child
-reaches the threshold with running text of its own, and of the children joined
-in this way those under the threshold are left out.
+threshold is half the smallest link-free density on the path from the body down
+to it.  Where the article is spread over siblings, the root moves up as long as
+another child reaches the threshold with running text of its own, and of the
+children joined in this way those under the threshold are left out.
 
 Elements that are never article text (scripts, navigation, forms, ...) and
 those whose class, id or role says so (adverts, sidebars, notices, reader
@@ -179,8 +179,8 @@ class Page:
         return out
 
 
-def densities(page: Page, cut: list[bool]) -> tuple[list[float], list[float], list[int], list[int]]:
-    """Composite density, sum of the children's densities, characters and link characters of every node."""
+def densities(page: Page, cut: list[bool]) -> tuple[list[float], list[float], list[int], list[int], list[int]]:
+    """Composite density, sum of the children's densities, characters, link characters and tags of every node."""
     n = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     linked = [False] * n
@@ -208,7 +208,7 @@ def densities(page: Page, cut: list[bool]) -> tuple[list[float], list[float], li
             density[k] = c / t * max(0.0, math.log(c / max(1, lc) * t / max(1, lt)) / base) if base > 0 else 0.0
         if k:
             total[page.parent[k]] += density[k]
-    return density, total, chars, link_chars
+    return density, total, chars, link_chars, tags
 
 
 def main_text(source: str | None) -> str:
@@ -217,7 +217,7 @@ def main_text(source: str | None) -> str:
         return ""
     page = Page(source)
     cut = page.cut()
-    density, total, chars, links = densities(page, cut)
+    density, total, chars, links, tags = densities(page, cut)
     n = len(page.tag)
     if not chars[0]:
         return ""
@@ -229,14 +229,16 @@ def main_text(source: str | None) -> str:
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
     on_path = path[: path.index(body) + 1] if body in path else path
-    threshold = min(density[k] for k in on_path)
+    # of siblings only the link-free characters per tag count: the composite density also grows with a node's size
+    plain = {k: (chars[k] - links[k]) / max(1, tags[k]) for k in range(n) if not cut[k]}
+    threshold = min(plain[k] for k in on_path if k in plain) / 2
     children: dict[int, list[int]] = {}
     for k in range(1, n):
         if not cut[k]:
             children.setdefault(page.parent[k], []).append(k)
 
     def running(k: int) -> bool:
-        return density[k] >= threshold and chars[k] >= 40 and links[k] * 3 <= chars[k]
+        return plain[k] >= threshold and chars[k] >= 40 and links[k] * 3 <= chars[k]
 
     # the article element around the root, else upwards over siblings that read like text
     named = next((k for k in on_path if page.tag[k] == "article"), None)

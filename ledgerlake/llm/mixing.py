@@ -33,7 +33,7 @@ def topic_of(text: Column) -> Column:
     low = F.lower(text)
     has = lambda *words: F.array_max(F.array(*[low.contains(w) for w in words], F.lit(False)))
     return (
-        F.when(text.isNull() | (F.length(F.trim(text)) == 0), "empty")
+        F.when(text.isNull() | ~text.rlike(r"[^\x20\x09-\x0D]"), "empty")
         .when(has("license", "licence", "copyright", "warranty"), "legal")
         .when(has("@", "http://", "https://", "www."), "contact")
         .when(has(" | "), "table")

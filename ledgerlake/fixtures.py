@@ -6,6 +6,9 @@ written so that Spark SQL and DuckDB parse it unchanged; ``{orders}`` and
 ``{events}`` are placeholders: Spark binds DataFrames to them
 (``spark.sql(text, orders=df)``), the SQL oracle substitutes view names.
 
+Keys are padded, never cut: at any scale factor one order is one loan, and an
+event without a loan has a prefix that no loan has.
+
 The derivation deliberately contains several versions per loan, exact
 timestamp ties, a status outside the dimension, events with no loan, and
 redelivered events, so every silver and gold rule is exercised.
@@ -24,8 +27,8 @@ with v as (
   select *, o_orderdate, 0, '2001-09-03 00:00:00' from {orders} where o_orderkey % 13 = 0
 )
 select
-  concat('L', lpad(cast(o_orderkey as string), 7, '0')) as loan_id,
-  concat('C', lpad(cast(o_custkey as string), 5, '0')) as customer_id,
+  concat('L', case when o_orderkey >= 1000000 then cast(o_orderkey as string) else lpad(cast(o_orderkey as string), 7, '0') end) as loan_id,
+  concat('C', case when o_custkey >= 10000 then cast(o_custkey as string) else lpad(cast(o_custkey as string), 5, '0') end) as customer_id,
   case o_orderpriority when '1-URGENT' then 'MORTGAGE' when '2-HIGH' then 'AUTO' when '3-MEDIUM' then 'PERSONAL'
     when '4-NOT SPECIFIED' then 'HELOC' else 'STUDENT' end as loan_type,
   cast(cast(o_orderdate as date) as string) as origination_dt,
@@ -48,8 +51,8 @@ with v as (
   select *, event_id + 1000000 from {events} where event_id % 9 = 0
 )
 select
-  case when event_id % 4 = 0 then concat('L', cast(9000000 + user_id as string))
-    else concat('L', lpad(cast(user_id as string), 7, '0')) end as loan_id,
+  case when event_id % 4 = 0 then concat('X', cast(user_id as string))
+    else concat('L', case when user_id >= 1000000 then cast(user_id as string) else lpad(cast(user_id as string), 7, '0') end) end as loan_id,
   concat('C', lpad(cast(user_id % 100 as string), 5, '0')) as customer_id,
   case event_type when 'view' then 'MISSED_PAYMENT' when 'signup' then 'ORIGINATION' when 'error' then 'DELINQUENCY'
     when 'click' then 'STATUS_CHANGE' else case when event_id % 3 = 0 then 'PAYOFF' else 'PAYMENT' end end as event_type,

@@ -14,15 +14,18 @@ submit command; nothing here is hard-coded.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
+from ledgerlake import constants as K
 from ledgerlake.plans import analytics as A
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.pipelines import gold_event_totals, register_all, run_batch_pipeline, run_events_pipeline
-from ledgerlake.session import checkpoint_dir, prepare_session
+from ledgerlake.session import prepare_session
 from ledgerlake.sources.incremental import jdbc_source
 from ledgerlake.streaming.ingest import decode_events, file_event_stream, kafka_event_stream, start_bronze_stream
 from ledgerlake.streaming.refresh import refresh_gold_events
@@ -35,17 +38,27 @@ def _parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         s.add_argument("--root", required=True, help="lake root (shared storage)")
         s.add_argument("--db", default="loan_lake")
-        s.add_argument("--checkpoints", default=None, help="streaming checkpoints (default: <spark.checkpoint.dir>/ledgerlake)")
+        s.add_argument("--checkpoints", default=None, help="streaming progress (default: <root>/_checkpoints)")
     b = sub.choices["batch"]
     b.add_argument("--source-parquet")
     b.add_argument("--jdbc-url")
     b.add_argument("--jdbc-table", default="loan_master")
+    b.add_argument("--jdbc-partition-column", help="numeric column: the table is read by ranges of it, in parallel")
+    b.add_argument("--jdbc-lower", type=int)
+    b.add_argument("--jdbc-upper", type=int)
+    b.add_argument("--jdbc-partitions", type=int, default=16)
+    b.add_argument("--lookback-seconds", type=int, default=0, help="margin behind the watermark that is read again")
+    b.add_argument("--first-watermark", default=K.DEFAULT_WATERMARK, help="where the first extraction starts (UTC)")
+    b.add_argument("--incremental-silver", action="store_true", help="merge new bronze rows instead of rebuilding silver")
     b.add_argument("--as-of", default=None)
     i = sub.choices["ingest"]
     i.add_argument("--kafka-bootstrap")
     i.add_argument("--source-dir", help="Kafka-shaped JSON-lines files instead of a topic")
     i.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     i.add_argument("--worker", default="spark")
+    i.add_argument("--min-partitions", type=int, help="split large topic partitions over so many tasks")
+    i.add_argument("--max-offsets-per-trigger", type=int, default=50_000_000, help="most messages of a micro-batch, the first one too")
+    i.add_argument("--max-files-per-trigger", type=int, help="the same for --source-dir")
     return p
 
 
@@ -53,25 +66,34 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = prepare_session(SparkSession.builder.appName(f"ledgerlake-{args.cmd}").getOrCreate())
     cfg = LakeConfig(root=args.root, db=args.db, checkpoints=args.checkpoints)
+    if args.cmd == "batch":
+        back = dt.timedelta(seconds=args.lookback_seconds) if args.lookback_seconds else None
+        cfg = replace(cfg, lookback=back, first_watermark=args.first_watermark)
     if args.cmd == "batch":
         if args.jdbc_url:
-            source = jdbc_source(spark, args.jdbc_url, args.jdbc_table)
+            if args.jdbc_partition_column and (args.jdbc_lower is None or args.jdbc_upper is None):
+                raise SystemExit("--jdbc-partition-column needs --jdbc-lower and --jdbc-upper")
+            source = jdbc_source(
+                spark, args.jdbc_url, args.jdbc_table, partition_column=args.jdbc_partition_column,
+                lower_bound=args.jdbc_lower, upper_bound=args.jdbc_upper, num_partitions=args.jdbc_partitions,
+            )
         elif args.source_parquet:
             source = spark.read.parquet(args.source_parquet)
         else:
             raise SystemExit("batch needs --source-parquet or --jdbc-url")
-        print(json.dumps(run_batch_pipeline(spark, source, cfg, as_of=args.as_of), default=str))
+        print(json.dumps(run_batch_pipeline(spark, source, cfg, as_of=args.as_of, incremental_silver=args.incremental_silver), default=str))
     elif args.cmd == "events":
         print(json.dumps(run_events_pipeline(spark, cfg), default=str))
         gold_event_totals(spark, cfg).show(truncate=False)
     elif args.cmd == "ingest":
         raw = (
-            kafka_event_stream(spark, args.kafka_bootstrap)
+            kafka_event_stream(
+                spark, args.kafka_bootstrap, min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets_per_trigger
+            )
             if args.kafka_bootstrap
-            else file_event_stream(spark, args.source_dir)
+            else file_event_stream(spark, args.source_dir, args.max_files_per_trigger)
         )
-        base = args.checkpoints or f"{checkpoint_dir(spark).rstrip('/')}/ledgerlake"
-        ckpt = f"{base.rstrip('/')}/bronze_events"
+        ckpt = cfg.checkpoint("bronze_events")
         trigger = {"availableNow": True} if args.available_now else None
         start_bronze_stream(decode_events(raw, args.worker), cfg.bronze_events, ckpt, trigger=trigger).awaitTermination()
     elif args.cmd == "refresh":

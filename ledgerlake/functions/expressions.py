@@ -26,7 +26,7 @@ def as_date(value: dt.date | str) -> Column:
 def as_timestamp(value: dt.datetime | str) -> Column:
     """A TIMESTAMP literal (session time zone) from a datetime or ISO text."""
     if isinstance(value, dt.datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+        value = value.isoformat(sep=" ", timespec="microseconds")
     return F.lit(value).cast(T.TimestampType())
 
 
@@ -41,9 +41,13 @@ def estimated_balance(status: Column, principal: Column) -> Column:
     return F.when(status.isin(*K.ZERO_BALANCE_STATUSES), zero).otherwise(principal).cast(DEC_AMOUNT)
 
 
+def is_one_of(value: Column, members: tuple[str, ...]) -> Column:
+    """Membership that is false, not NULL, for a NULL value."""
+    return F.coalesce(value.isin(*members), F.lit(False))
+
+
 def is_delinquent(status: Column) -> Column:
-    """True for delinquent/default; an unknown or NULL status is not delinquent."""
-    return F.when(status.isin(*K.DELINQUENT_STATUSES), F.lit(True)).otherwise(F.lit(False))
+    return is_one_of(status, K.DELINQUENT_STATUSES)
 
 
 def risk_weighted_exposure(balance: Column, lgd: Column) -> Column:
@@ -52,11 +56,11 @@ def risk_weighted_exposure(balance: Column, lgd: Column) -> Column:
 
 
 def is_adverse(event_type: Column) -> Column:
-    return F.when(event_type.isin(*K.ADVERSE_EVENT_TYPES), F.lit(True)).otherwise(F.lit(False))
+    return is_one_of(event_type, K.ADVERSE_EVENT_TYPES)
 
 
 def payment_flag(event_type: Column) -> Column:
-    return F.when(event_type.isin(*K.PAYMENT_EVENT_TYPES), F.lit(True)).otherwise(F.lit(False))
+    return is_one_of(event_type, K.PAYMENT_EVENT_TYPES)
 
 
 def ingestion_partition_columns(ts: Column, with_hour: bool = False) -> dict[str, Column]:

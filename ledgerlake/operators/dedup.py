@@ -13,16 +13,22 @@ so the winner does not depend on input order or partitioning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Loan master: newest version, then newest ingestion of that version.
 MASTER_KEYS = ("loan_id",)
+MASTER_RANK = ("MODIFIED_TS", "_ingestion_ts")
+
+
+def newest_first(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in columns]
 
 
 def master_order() -> list[Column]:
-    return [F.col("MODIFIED_TS").desc_nulls_last(), F.col("_ingestion_ts").desc_nulls_last()]
+    return newest_first(MASTER_RANK)
 
 
 # Loan events: event identity; latest ingestion, then the latest topic position
@@ -30,12 +36,11 @@ def master_order() -> list[Column]:
 EVENT_KEYS = ("loan_id", "event_ts", "event_type")
 
 
+EVENT_RANK = ("_ingestion_ts", "_partition", "_offset")
+
+
 def event_order() -> list[Column]:
-    return [
-        F.col("_ingestion_ts").desc_nulls_last(),
-        F.col("_partition").desc_nulls_last(),
-        F.col("_offset").desc_nulls_last(),
-    ]
+    return newest_first(EVENT_RANK)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[Column]) -> DataFrame:
@@ -44,27 +49,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[Colu
     return df.withColumn("_row_num", F.row_number().over(w)).filter(F.col("_row_num") == 1).drop("_row_num")
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def merge_latest(current: DataFrame, increment: DataFrame, keys: Sequence[str], order_cols: Sequence[Column]) -> DataFrame:
-    """Upsert ``increment`` into ``current`` (latest wins), equal to a full recompute.
+def merge_latest(current: DataFrame, increment: DataFrame, keys: Sequence[str], rank: Sequence[str]) -> DataFrame:
+    """Upsert ``increment`` into ``current`` (one row per key; newest by ``rank`` wins), equal to a full recompute.
 
-    Only keys the increment touches are re-ranked: untouched rows of
-    ``current`` pass through an anti join, touched rows are unioned with the
-    increment and deduplicated.  With a small increment, AQE turns both
-    joins into broadcast joins at runtime (size-checked on the actual
-    shuffle output), so the large ``current`` side is not shuffled at all.
+    The increment is reduced to one row per key first.  ``current`` is read
+    once for its rows, in a left join to that reduced increment that keeps the
+    newer of the two; keys that are new come from an anti join against
+    ``current``'s key columns alone.  AQE broadcasts a small increment, so the
+    large side is then not shuffled at all.  A tie keeps the current row.
     Write the result to a new location, never over ``current``'s own files.
     """
-    increment = increment.select(*current.columns)
-    touched = increment.select(*keys).distinct()
-    untouched = current.join(touched, _null_safe_on(current, touched, keys), "left_anti")
-    hit = current.join(touched, _null_safe_on(current, touched, keys), "left_semi")
-    changed = latest_per_key(hit.unionByName(increment), keys, order_cols)
-    return untouched.unionByName(changed)
+    names = current.columns
+    latest = latest_per_key(increment.select(*names), keys, newest_first(rank))
+    new = latest.select(F.struct(*names).alias("_new"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [current[k].eqNullSafe(new[f"_k{i}"]) for i, k in enumerate(keys)])
+    # In a struct comparison NULL is the smallest value, which is "nulls last" for newest first.
+    newer = F.struct(*[F.col(f"_new.{c}") for c in rank]) > F.struct(*[F.col(c) for c in rank])
+    both = current.join(new, same, "left").withColumn("_take", F.col("_new").isNotNull() & newer)
+    kept = both.select(*[F.when(F.col("_take"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in names])
+    known = current.select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)])
+    unseen = reduce(lambda a, b: a & b, [latest[k].eqNullSafe(known[f"_c{i}"]) for i, k in enumerate(keys)])
+    return kept.unionByName(latest.join(known, unseen, "left_anti"))

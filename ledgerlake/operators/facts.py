@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
 from ledgerlake import functions as LF
-from ledgerlake.operators.skew import HotKeys, salted_left_join
+from ledgerlake.operators.skew import HotKeys, salted_left_join, spread_left_join
 from ledgerlake.schemas import FACT_LOAN_EVENT_ACTIVITY_COLUMNS, FACT_LOAN_PERFORMANCE_COLUMNS
 
 
@@ -83,10 +83,11 @@ def fact_loan_event_activity(
     )
     lt = dim_loan_type.select("loan_type_key", "loan_type", "category", "collateral_type")
     st = dim_status.select("status_key", F.col("status").alias("current_status"), "occ_classification")
+    spread_by = ["event_ts", "event_type", "_partition", "_offset"]
     if hot_loans is None:
-        enriched = events.join(master, "loan_id", "left")
+        enriched = spread_left_join(events, master, "loan_id", spread_by)
     else:
-        enriched = salted_left_join(events, master, "loan_id", hot_loans, ["event_ts", "event_type", "_offset"])
+        enriched = salted_left_join(events, master, "loan_id", hot_loans, spread_by)
     joined = enriched.join(lt, "loan_type", "left").join(st, "current_status", "left")
     derived = {
         "event_date": F.to_date("event_ts"),

@@ -29,7 +29,7 @@ def add_ingest_columns(
     run_ts: dt.datetime | str | None = None,
 ) -> DataFrame:
     """Bronze provenance, as source-system text: table, system, ingestion time, watermark start."""
-    wm = watermark.strftime("%Y-%m-%d %H:%M:%S") if isinstance(watermark, dt.datetime) else str(watermark)
+    wm = watermark.isoformat(sep=" ", timespec="seconds") if isinstance(watermark, dt.datetime) else str(watermark)
     return df.withColumns(
         {
             "_source_table": F.lit(source_table),

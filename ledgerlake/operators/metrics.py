@@ -7,29 +7,28 @@ are computed by the same job that writes the data, instead of a separate
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def with_run_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Return ``df`` instrumented with a row counter; read ``obs.get`` after the action."""
+def with_run_metrics(df: DataFrame, name: str, **aggs: Column) -> tuple[DataFrame, Observation]:
+    """Return ``df`` instrumented with a row counter (and ``aggs``); read ``obs.get`` after the action."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in aggs.items()]), obs
 
 
-def dedup_metrics(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Rows in, rows out and duplicates removed per dataset, as one aggregate.
+def dedup_metrics(datasets: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Rows in, rows out and duplicates removed per dataset, from one scan of each.
 
-    ``pairs`` maps a dataset name to its (before, after) frames.  All counts
-    come from one job (a union feeding a partial aggregation), not one
-    action per count.
+    ``datasets`` maps a name to its rows (before the dedup) and the key columns.
+    Rows are counted by key with map-side combine; the rows out are the keys.
     """
     parts = []
-    for name, (before, after) in pairs.items():
-        parts.append(before.select(F.lit(name).alias("dataset"), F.lit(1).alias("_in"), F.lit(0).alias("_out")))
-        parts.append(after.select(F.lit(name).alias("dataset"), F.lit(0).alias("_in"), F.lit(1).alias("_out")))
-    rows = reduce(DataFrame.unionByName, parts)
-    agg = rows.groupBy("dataset").agg(F.sum("_in").alias("rows_in"), F.sum("_out").alias("rows_out"))
-    return agg.withColumn("duplicates_removed", F.col("rows_in") - F.col("rows_out"))
+    for name, (rows, keys) in datasets.items():
+        by_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        totals = by_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in"), F.count(F.lit(1)).alias("rows_out"))
+        parts.append(totals.select(F.lit(name).alias("dataset"), "rows_in", "rows_out"))
+    return reduce(DataFrame.unionByName, parts).withColumn("duplicates_removed", F.col("rows_in") - F.col("rows_out"))

@@ -25,7 +25,7 @@ def normalize_loan_master(df: DataFrame) -> DataFrame:
     """
     special = {
         "origination_dt": lambda c: safe_date(c, K.ORIGINATION_DT_FORMAT),
-        "MODIFIED_TS": lambda c: safe_timestamp(c, K.MODIFIED_TS_FORMAT),
+        "MODIFIED_TS": lambda c: F.coalesce(safe_timestamp(c, K.MODIFIED_TS_FORMAT), safe_timestamp(c)),
         "_ingestion_ts": lambda c: safe_timestamp(c),
     }
     cols = []

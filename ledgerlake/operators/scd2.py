@@ -63,7 +63,8 @@ SCD2_COLUMNS = [
 ]
 
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# A grid row is a key and a few numbers; 100,000 of them are a few megabytes.
+DEFAULT_BROADCAST_MAX_ROWS = 100_000
 # Sampled rows that stand for one full bucket, and fine bins per bucket.
 SAMPLES_PER_BUCKET = 64
 BINS_PER_BUCKET = 8
@@ -96,13 +97,13 @@ def _checked(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool, bool]:
 
 
 def key_sample(df: DataFrame, key: str, ts: str, max_group_rows: int) -> tuple[DataFrame, float]:
-    """Bernoulli sample of ``(key, _t)`` (time in microseconds, NULL times left out).
+    """Bernoulli sample of ``(key, _t)`` (time in microseconds).
 
     Returns the sample and how many sampled rows stand for ``max_group_rows``
     real ones.  Small targets (tests) sample everything.
     """
     fraction = min(1.0, SAMPLES_PER_BUCKET / max_group_rows)
-    base = df.select(key, _micros(F.col(ts)).alias("_t")).filter(F.col("_t").isNotNull())
+    base = df.select(key, _micros(F.col(ts)).alias("_t"))
     sample = base if fraction >= 1.0 else base.sample(fraction=fraction, seed=SAMPLE_SEED)
     return sample, max_group_rows * fraction
 
@@ -214,8 +215,12 @@ class TimeBuckets:
         sample, per_bucket = key_sample(source, key, ts, max_group_rows)
         # Persisted, not checkpointed: one narrow scan of the input serves every
         # table below (a lost block is recomputed: the sample is seeded).
-        sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
+        sampled = sample.persist(StorageLevel.MEMORY_AND_DISK)
+        sample = sampled.filter(F.col("_t").isNotNull())
         try:
+            # Rows without a time get no grid, but a pile of them is a hot group too.
+            piles = sampled.filter(F.col("_t").isNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
+            self.null_pile = not piles.filter(F.col("_c") > F.lit(per_bucket)).isEmpty()
             self.grids: list[tuple[DataFrame, bool]] = []
             for level in range(1, LEVELS + 1):
                 placed = sample
@@ -234,7 +239,7 @@ class TimeBuckets:
             if self.any_hot:
                 self.buckets, self.small, _ = _checked(bucket_map(sample, self.grids, key, per_bucket), broadcast_max_rows)
         finally:
-            sample.unpersist()
+            sampled.unpersist()
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Add ``_bucket`` and ``_hot`` to ``df`` (rows of the same keys and times as the source)."""
@@ -311,8 +316,8 @@ def loan_master_scd2(
     typed = normalize_loan_master(bronze).withColumnRenamed("MODIFIED_TS", "valid_from")
     version_order = (F.col("_ingestion_ts").desc_nulls_last(),)
     tb = TimeBuckets(typed, "loan_id", "valid_from", max_group_rows, broadcast_max_rows)
-    if not tb.any_hot:
-        # No loan over max_group_rows raw rows, so no pile of copies is either:
+    if not (tb.any_hot or tb.null_pile):
+        # No loan over max_group_rows raw rows, so no pile of copies is either, with a time or without:
         # one shuffle on the loan serves the version dedup and lead.
         parted = tb.apply(typed).repartition("loan_id")
         versions = latest_per_key(parted, ("loan_id", "valid_from"), version_order)
@@ -323,6 +328,6 @@ def loan_master_scd2(
         # map task before it moves; then one shuffle on (loan, bucket) for lead.
         versions = latest_per_key(typed, ("loan_id", "valid_from"), version_order)
         bucketed = tb.apply(versions)
-        hist = lead_in_buckets(partition_buckets(bucketed, "loan_id", True), "loan_id", "valid_from", "valid_to",
+        hist = lead_in_buckets(partition_buckets(bucketed, "loan_id", tb.any_hot), "loan_id", "valid_from", "valid_to",
                                heads_from=bucketed)
     return hist.withColumn("is_current", F.col("valid_to").isNull()).select(*SCD2_COLUMNS)

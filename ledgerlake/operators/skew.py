@@ -13,20 +13,25 @@ makes the spread explicit and independent of AQE:
   a deterministic hash of other columns, and copies the right rows of hot
   keys once per salt (at most ``rows / max_group_rows`` copies in total).
 
-The salt table is materialised once and broadcast only after a row-count check.
+NULL keys match nothing, so they are no group: every such row gets a key of its
+own kind (``spread_null_key``) and goes wherever its hash says.
+
+The salt table is materialised once and broadcast only after a check of its rows and bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.session import checkpoint_dir
 
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# A salt row is a key and an int; 100,000 of them are a few megabytes.
+DEFAULT_BROADCAST_MAX_ROWS = 100_000
+MAX_KEY_BYTES = 256
 SAMPLES_PER_GROUP = 64
 SAMPLE_SEED = 11
 
@@ -59,7 +64,7 @@ class HotKeys:
         spark = salts.sparkSession
         rows = salts.limit(broadcast_max_rows + 1).collect()
         self.empty = not rows
-        self.small = len(rows) <= broadcast_max_rows
+        self.small = len(rows) <= broadcast_max_rows and all(len(str(r[0])) <= MAX_KEY_BYTES for r in rows)
         if self.small:
             self.table = spark.createDataFrame(rows, salts.schema)
         else:
@@ -70,6 +75,17 @@ class HotKeys:
         return F.broadcast(self.table) if self.small else self.table
 
 
+def spread_null_key(key: str, spread_by: Sequence[str]) -> Column:
+    """The join key, or for a NULL key a text that no key equals, spread by the hash of other columns."""
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000null "), F.xxhash64(*spread_by).cast("string")))
+
+
+def spread_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """``left ⟕ right`` on a text ``key``; rows without a key are not sent to one task."""
+    lhs = left.withColumn("_on", spread_null_key(key, spread_by))
+    return lhs.join(right.withColumnRenamed(key, "_key"), F.col("_on") == F.col("_key"), "left").drop("_on", "_key")
+
+
 def salted_left_join(
     left: DataFrame, right: DataFrame, key: str, hot: HotKeys, spread_by: Sequence[str]
 ) -> DataFrame:
@@ -79,12 +95,15 @@ def salted_left_join(
     (deterministic, so a recomputed task gets the same rows).
     """
     if hot.empty:
-        return left.join(right, key, "left")
+        return spread_left_join(left, right, key, spread_by)
     salts = hot.side()
     salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*spread_by), F.col("_salts").cast("long")).cast("int")
     )
-    lhs = left.join(salts, key, "left").withColumn("_salt", salt).drop("_salts")
+    lhs = spread_left_join(left, salts, key, spread_by).withColumn("_salt", salt).drop("_salts")
+    lhs = lhs.withColumn("_on", spread_null_key(key, spread_by))
     copies = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))
     rhs = right.join(salts, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
-    return lhs.join(rhs, [key, "_salt"], "left").drop("_salt")
+    rhs = rhs.withColumnRenamed(key, "_key").withColumnRenamed("_salt", "_rsalt")
+    on = (F.col("_on") == F.col("_key")) & (F.col("_salt") == F.col("_rsalt"))
+    return lhs.join(rhs, on, "left").drop("_salt", "_rsalt", "_on", "_key")

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
 from ledgerlake.operators.lineage import add_gold_lineage
-from ledgerlake.schemas import DEC_AMOUNT, EVENT_SUMMARY_KEYS
+from ledgerlake.schemas import DEC_AMOUNT, DEC_TOTAL, EVENT_SUMMARY_KEYS
 
 
 def event_summary(activity: DataFrame, run_ts: dt.datetime | str | None = None, job: str = K.JOB_GOLD_EVENTS) -> DataFrame:
     df = activity.groupBy(*EVENT_SUMMARY_KEYS).agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.sum("amount").cast(DEC_AMOUNT).alias("total_amount"),
+        F.sum("amount").cast(DEC_TOTAL).alias("total_amount"),
         F.avg("amount").cast(DEC_AMOUNT).alias("avg_amount"),
         F.countDistinct("loan_id").alias("distinct_loans"),
         F.countDistinct("customer_id").alias("distinct_customers"),

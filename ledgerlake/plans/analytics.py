@@ -1,69 +1,50 @@
-"""Analytic SQL over the gold tables.
-
-Each query is one SQL text with ``{table}`` placeholders.  It runs either
-against catalog tables (``risk_by_occ(spark, db)``) or against DataFrames
-bound as SQL parameters (``run_analytic(spark, RISK_BY_OCC, fact=df)``);
-Catalyst plans both identically, with partition pruning when the table is
-partitioned on the grouping column.  Ordering states ``NULLS LAST`` so that
-every engine ranks a NULL group the same way.
+"""Reports over the gold tables, as aggregates of a DataFrame or of a catalog table.
+
+Totals are DECIMAL(38,2): no group's sum overflows.  Only the output columns are
+given from outside; ties in the sort column are broken by the group.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-RISK_BY_OCC = """
-SELECT occ_classification,
-       COUNT(*) AS loan_count,
-       CAST(SUM(risk_weighted_exposure) AS DECIMAL(18,2)) AS total_risk_exposure
-FROM {fact_loan_performance}
-GROUP BY occ_classification
-ORDER BY total_risk_exposure DESC NULLS LAST
-"""
+MONEY_TOTAL = T.DecimalType(38, 2)
+PERCENT = T.DecimalType(5, 2)
 
-VOLUME_BY_EVENT_TYPE = """
-SELECT event_type,
-       COUNT(*) AS event_count,
-       CAST(SUM(amount) AS DECIMAL(18,2)) AS total_volume
-FROM {fact_loan_event_activity}
-GROUP BY event_type
-ORDER BY event_count DESC NULLS LAST
-"""
 
-DELINQUENCY_BY_TYPE = """
-SELECT loan_type,
-       COUNT(*) AS total_loans,
-       SUM(CASE WHEN is_delinquent THEN 1 ELSE 0 END) AS delinquent_loans,
-       CAST(100.0 * SUM(CASE WHEN is_delinquent THEN 1 ELSE 0 END) / COUNT(*) AS DECIMAL(5,2)) AS delinquency_rate
-FROM {fact_loan_performance}
-GROUP BY loan_type
-ORDER BY delinquency_rate DESC NULLS LAST
-"""
+def _report(facts: DataFrame, group: str, sort: str, **measures) -> DataFrame:
+    report = facts.groupBy(group).agg(*[c.alias(name) for name, c in measures.items()])
+    return report.orderBy(F.col(sort).desc_nulls_last(), F.col(group).asc_nulls_last())
+
+
+def exposure_by_class(performance: DataFrame) -> DataFrame:
+    """Loans and risk-weighted exposure of each OCC class."""
+    exposure = F.sum("risk_weighted_exposure").cast(MONEY_TOTAL)
+    return _report(performance, "occ_classification", "total_risk_exposure", loan_count=F.count(F.lit(1)), total_risk_exposure=exposure)
 
 
-def run_analytic(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
-    """Run an analytic query with DataFrames bound to its placeholders."""
-    return spark.sql(text, **tables)
+def volume_by_type(activity: DataFrame) -> DataFrame:
+    """Events and their amounts of each event type."""
+    volume = F.sum("amount").cast(MONEY_TOTAL)
+    return _report(activity, "event_type", "event_count", event_count=F.count(F.lit(1)), total_volume=volume)
 
 
-def _on_catalog(spark: SparkSession, text: str, db: str) -> DataFrame:
-    names = {
-        "fact_loan_performance": f"`{db}`.fact_loan_performance",
-        "fact_loan_event_activity": f"`{db}`.fact_loan_event_activity",
-    }
-    return spark.sql(text.format(**names))
+def delinquency_by_loan_type(performance: DataFrame) -> DataFrame:
+    """Loans, delinquent loans and their share in percent, by loan type."""
+    loans, late = F.count(F.lit(1)), F.count_if("is_delinquent")
+    percent = (late.cast("decimal(20,0)") * 100 / loans.cast("decimal(20,0)")).cast(PERCENT)
+    return _report(performance, "loan_type", "delinquency_rate", total_loans=loans, delinquent_loans=late, delinquency_rate=percent)
 
 
 def risk_by_occ(spark: SparkSession, db: str) -> DataFrame:
-    """Loan count and risk-weighted exposure per OCC classification."""
-    return _on_catalog(spark, RISK_BY_OCC, db)
+    return exposure_by_class(spark.table(f"`{db}`.fact_loan_performance"))
 
 
 def volume_by_event_type(spark: SparkSession, db: str) -> DataFrame:
-    """Event count and volume per event type."""
-    return _on_catalog(spark, VOLUME_BY_EVENT_TYPE, db)
+    return volume_by_type(spark.table(f"`{db}`.fact_loan_event_activity"))
 
 
 def delinquency_by_type(spark: SparkSession, db: str) -> DataFrame:
-    """Delinquency rate (percent, 2 decimals) per loan type."""
-    return _on_catalog(spark, DELINQUENCY_BY_TYPE, db)
+    return delinquency_by_loan_type(spark.table(f"`{db}`.fact_loan_performance"))

@@ -16,12 +16,17 @@ class LakeConfig:
     source_system: str = K.SOURCE_SYSTEM
     # Re-read margin behind the watermark (late commits); None = strict ">".
     lookback: dt.timedelta | None = None
-    # Streaming checkpoints; None = "<spark.checkpoint.dir>/ledgerlake".
+    # Where the first extraction starts (UTC); the default is the source platform's.
+    first_watermark: dt.datetime | str = K.DEFAULT_WATERMARK
+    # Streaming progress; None = "<root>/_checkpoints", which outlives every application.
     checkpoints: str | None = None
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    def checkpoint(self, query: str) -> str:
+        return f"{(self.checkpoints or self._p('_checkpoints')).rstrip('/')}/{query}"
+
     @property
     def bronze_master(self) -> str:
         return self._p("bronze", "loan_master")
@@ -62,5 +67,5 @@ class LakeConfig:
         return self._p("_control", "versions")
 
     @property
-    def silver_events_changes(self) -> str:
-        return self._p("_control", "silver_events_changes")
+    def silver_event_dates(self) -> str:
+        return self._p("_control", "silver_event_dates")

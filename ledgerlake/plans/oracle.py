@@ -10,17 +10,12 @@ from __future__ import annotations
 
 from ledgerlake import constants as K
 from ledgerlake import fixtures as X
-from ledgerlake.plans import analytics as A
 
 _RUN_TS = f"timestamp '{X.RUN_TS}'"
 _AS_OF = f"date '{X.AS_OF}'"
 _WM = f"timestamp '{X.INCREMENT_WATERMARK}'"
 
 
-def _in(values: tuple[str, ...]) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
 def _dims() -> str:
     status = ",\n    ".join(
         f"({k}, '{s}', '{o}', cast({lgd} as decimal(5,4)), '{d}')" for k, s, o, lgd, d in K.STATUS_ROWS
@@ -93,13 +88,13 @@ _FACT_PERF = f"""fact_loan_performance as (
     m.loan_id, m.customer_id, lt.loan_type_key, st.status_key,
     m.loan_type, m.status, st.occ_classification,
     m.origination_dt, {_AS_OF} as report_dt, m.principal,
-    case when m.status in ({_in(K.ZERO_BALANCE_STATUSES)}) then cast(0 as decimal(18,4)) else m.principal end
+    case when m.status in ('PAID_OFF', 'CHARGED_OFF') then cast(0 as decimal(18,4)) else m.principal end
       as estimated_balance,
     m.interest_rate, m.term_months,
     cast(m.term_months - datesub('month', m.origination_dt, {_AS_OF}) as integer) as months_remaining,
-    coalesce(m.status in ({_in(K.DELINQUENT_STATUSES)}), false) as is_delinquent,
+    coalesce(m.status in ('DELINQUENT', 'DEFAULT'), false) as is_delinquent,
     st.loss_given_default,
-    cast((case when m.status in ({_in(K.ZERO_BALANCE_STATUSES)}) then cast(0 as decimal(18,4)) else m.principal end)
+    cast((case when m.status in ('PAID_OFF', 'CHARGED_OFF') then cast(0 as decimal(18,4)) else m.principal end)
       * st.loss_given_default as decimal(18,4)) as risk_weighted_exposure,
     m.branch_id, m.MODIFIED_TS,
     '{K.JOB_GOLD_MASTER}' as _gold_job, {_RUN_TS} as _gold_ts
@@ -118,8 +113,8 @@ _FACT_ACTIVITY = f"""fact_loan_event_activity as (
     st.status_key, m.status as current_status, st.occ_classification,
     m.principal, m.interest_rate, m.term_months,
     m.branch_id, m.origination_dt,
-    coalesce(e.event_type in ({_in(K.ADVERSE_EVENT_TYPES)}), false) as is_adverse,
-    coalesce(e.event_type in ({_in(K.PAYMENT_EVENT_TYPES)}), false) as payment_flag,
+    coalesce(e.event_type in ('MISSED_PAYMENT', 'DELINQUENCY', 'STATUS_CHANGE'), false) as is_adverse,
+    coalesce(e.event_type in ('PAYMENT', 'PAYOFF'), false) as payment_flag,
     e._partition, e._offset,
     '{K.JOB_GOLD_EVENTS}' as _gold_job, {_RUN_TS} as _gold_ts
   from loan_events_silver e
@@ -143,7 +138,7 @@ _SUMMARY = f"""fact_event_summary as (
   select
     event_type, loan_type_key, loan_type, status_key, branch_id, event_year, event_month, is_adverse,
     count(*) as event_count,
-    cast(sum(amount) as decimal(18,4)) as total_amount,
+    cast(sum(amount) as decimal(38,4)) as total_amount,
     cast(cast({_AVG4} as decimal(18,0)) * 0.0001 as decimal(18,4)) as avg_amount,
     count(distinct loan_id) as distinct_loans,
     count(distinct customer_id) as distinct_customers,
@@ -207,11 +202,14 @@ where ts > {_WM}""",
         "fact_event_summary": _with(*_GOLD_CHAIN, _SUMMARY) + "select * from fact_event_summary",
         "event_type_totals": _with(*_GOLD_CHAIN, _SUMMARY)
         + """select event_type, cast(sum(event_count) as bigint) as total_events,
-  cast(sum(total_amount) as decimal(28,4)) as total_volume
+  cast(sum(total_amount) as decimal(38,4)) as total_volume
 from fact_event_summary group by event_type order by event_type""",
-        "risk_by_occ": _with(*_GOLD_CHAIN) + A.RISK_BY_OCC.format(fact_loan_performance="fact_loan_performance"),
+        "risk_by_occ": _with(*_GOLD_CHAIN)
+        + """select occ_classification, count(loan_id) as loan_count, cast(sum(risk_weighted_exposure) as decimal(38,2)) as total_risk_exposure
+from fact_loan_performance group by all order by 3 desc nulls last, 1 nulls last""",
         "volume_by_event_type": _with(*_GOLD_CHAIN)
-        + A.VOLUME_BY_EVENT_TYPE.format(fact_loan_event_activity="fact_loan_event_activity"),
+        + """select event_type, count(event_ts) as event_count, cast(sum(amount) as decimal(38,2)) as total_volume
+from fact_loan_event_activity group by all order by 2 desc nulls last, 1 nulls last""",
         "delinquency_by_type": _with(*_GOLD_CHAIN) + _DELINQUENCY,
         # Incremental merge must equal the full rebuild.
         "merge_latest": _with(_MASTER_NORMALIZED, _MASTER_SILVER) + "select * from loan_master_silver",

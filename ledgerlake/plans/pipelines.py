@@ -14,25 +14,28 @@ import datetime as dt
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import constants as K
-from ledgerlake.operators.dedup import MASTER_KEYS, latest_per_key, master_order, merge_latest
+from ledgerlake.functions.instants import from_micros, instant, micros
+from ledgerlake.operators.dedup import MASTER_KEYS, MASTER_RANK, latest_per_key, master_order, merge_latest
 from ledgerlake.operators.facts import fact_loan_event_activity, fact_loan_performance
 from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage
+from ledgerlake.operators.metrics import with_run_metrics
 from ledgerlake.operators.normalize import normalize_loan_master
 from ledgerlake.operators.summary import event_summary, event_type_totals
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
 from ledgerlake.schemas import SILVER_LOAN_MASTER_COLUMNS
-from ledgerlake.sinks.catalog import register_gold_tables, repoint_table
+from ledgerlake.sinks.catalog import repoint_table
 from ledgerlake.sinks.files import (
     append_bronze,
-    current_version,
+    is_missing,
     overwrite_table,
     publish_version,
+    rebalanced,
     version_info,
     write_version,
 )
@@ -48,39 +51,49 @@ def _now(run_ts: dt.datetime | None) -> dt.datetime:
     return run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def _observed(df: DataFrame, name: str, **aggs) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in aggs.items()]
-    return df.observe(obs, *exprs), obs
-
-
 def run_extract(spark: SparkSession, source: DataFrame, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
-    """Extract rows modified after the stored watermark into bronze, then advance it."""
+    """Extract rows modified after the stored watermark into bronze, then advance it.
+
+    The source is read once: the write itself counts the rows, and writes no
+    file when there are none.  Rows whose text time does not parse are kept in
+    bronze and counted (``unparsed``); they do not move the watermark.
+    """
     run_ts = _now(run_ts)
-    wm = get_watermark(spark, cfg.watermarks, cfg.source_table)
+    wm = get_watermark(spark, cfg.watermarks, cfg.source_table, cfg.first_watermark)
     increment = read_incremental(source, "MODIFIED_TS", wm, cfg.lookback)
-    if increment.isEmpty():
-        log.info("no rows after watermark %s; bronze and watermark unchanged", wm)
-        return {"rows": 0, "watermark": wm, "written": False}
     stamped = add_ingest_columns(increment, cfg.source_table, cfg.source_system, wm, run_ts)
-    stamped, obs = _observed(stamped, "extract", max_ts=F.max(typed_ts(increment, "MODIFIED_TS")))
+    modified = typed_ts(increment, "MODIFIED_TS")
+    stamped, obs = with_run_metrics(stamped, "extract", max_ts=F.max(micros(modified)), unparsed=F.count_if(modified.isNull()))
     # Sorted within each task (no shuffle): Parquet row-group min/max stats on
     # MODIFIED_TS then let later time-bounded scans skip row groups.
     append_bronze(stamped.sortWithinPartitions("MODIFIED_TS"), cfg.bronze_master, run_ts)
     m = obs.get
-    put_watermark(spark, cfg.watermarks, cfg.source_table, m["max_ts"], m["rows"], run_ts)
-    return {"rows": m["rows"], "watermark": m["max_ts"], "written": True}
+    if not m["rows"]:
+        log.info("no rows after watermark %s; bronze and watermark unchanged", wm)
+        return {"rows": 0, "watermark": wm, "written": False}
+    reached = from_micros(m["max_ts"]) or wm
+    reached = max(reached, wm)
+    put_watermark(spark, cfg.watermarks, cfg.source_table, reached, m["rows"], run_ts)
+    return {"rows": m["rows"], "unparsed": m["unparsed"], "watermark": reached, "written": True}
 
 
 def run_silver_master(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
-    bronze, obs_in = _observed(read_bronze_master(spark, cfg.bronze_master), "silver_master_in")
-    silver, obs_out = _observed(silver_loan_master(bronze, _now(run_ts)), "silver_master_out")
+    """Rebuild silver from all of bronze; the pointer written last makes it the current master."""
+    bronze = read_bronze_master(spark, cfg.bronze_master)
+    newest = F.max(micros(typed_ts(bronze, "_ingestion_ts", K.MODIFIED_TS_FORMAT)))
+    bronze, obs_in = with_run_metrics(bronze, "silver_master_in", high_water=newest)
+    silver, obs_out = with_run_metrics(silver_loan_master(bronze, _now(run_ts)), "silver_master_out")
     overwrite_table(silver, cfg.silver_master, ["loan_type"])
     rows_in, rows_out = obs_in.get["rows"], obs_out.get["rows"]
+    info = version_info(spark, cfg.versions, SILVER_MASTER_TABLE) or {"version": -1}
+    publish_version(spark, cfg.versions, SILVER_MASTER_TABLE, info["version"] + 1, cfg.silver_master, obs_in.get["high_water"])
     return {"rows_in": rows_in, "rows_out": rows_out, "duplicates_removed": rows_in - rows_out}
 
 
 SILVER_MASTER_TABLE = "silver_loan_master"
+SILVER_EVENTS_TABLE = "silver_loan_events"
+# Which of the two layouts of the event facts was written last: by event type (rebuild) or by date (refresh).
+GOLD_EVENTS_TABLE = "gold_events"
 
 
 def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
@@ -98,18 +111,18 @@ def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts:
     if info is not None and info["high_water"] is not None:
         hw = info["high_water"]
         ingest_date = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
-        keep = (ingest_date >= F.lit(hw.date())) & (typed_ts(bronze, "_ingestion_ts", K.MODIFIED_TS_FORMAT) >= F.lit(hw))
+        keep = (ingest_date >= F.to_date(instant(hw))) & (typed_ts(bronze, "_ingestion_ts", K.MODIFIED_TS_FORMAT) >= instant(hw))
         typed = normalize_loan_master(bronze.filter(keep))
-    increment, obs = _observed(add_silver_lineage(typed, K.JOB_SILVER_MASTER, run_ts), "silver_master_increment",
-                               high_water=F.max("_ingestion_ts"))
+    increment, obs = with_run_metrics(add_silver_lineage(typed, K.JOB_SILVER_MASTER, run_ts), "silver_master_increment",
+                                     high_water=F.max(micros(F.col("_ingestion_ts"))))
     if info is None:
         merged = latest_per_key(increment, MASTER_KEYS, master_order())
         version = 0
     else:
         current = spark.read.parquet(info["path"]).select(*increment.columns)
-        merged = merge_latest(current, increment, MASTER_KEYS, master_order())
+        merged = merge_latest(current, increment, MASTER_KEYS, MASTER_RANK)
         version = info["version"] + 1
-    merged, obs_out = _observed(merged, "silver_master_rows")
+    merged, obs_out = with_run_metrics(merged, "silver_master_rows")
     path = write_version(merged, cfg.silver_master_versions, version, ["loan_type"])
     m = obs.get
     high_water = m["high_water"] if m["rows"] else (info or {}).get("high_water")
@@ -118,16 +131,18 @@ def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts:
 
 
 def current_silver_master(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """Silver master: the latest incremental version if one exists, else the full-refresh table.
+    """Silver master as last published, by a merge or by a full refresh, whichever came later.
 
     Before the batch pipeline has ever run there is no master: an empty one
     with the silver schema is returned, so the events pipeline still runs
     (every event is then unmatched) instead of depending on job order.
     """
-    cur = current_version(spark, cfg.versions, SILVER_MASTER_TABLE)
+    info = version_info(spark, cfg.versions, SILVER_MASTER_TABLE)
     try:
-        return read_table(spark, cur[1] if cur else cfg.silver_master)
-    except AnalysisException:
+        return read_table(spark, info["path"] if info else cfg.silver_master)
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         empty = spark.createDataFrame([], T.StructType([T.StructField(n, t) for n, t in SILVER_LOAN_MASTER_COLUMNS]))
         return add_silver_lineage(empty, K.JOB_SILVER_MASTER)
 
@@ -144,16 +159,18 @@ def run_gold_master(
     overwrite_table(dim_status(spark, run_ts, with_lineage=True), cfg.gold_table("dim_status"))
     overwrite_table(dim_loan_type(spark, run_ts, with_lineage=True), cfg.gold_table("dim_loan_type"))
     fact = fact_loan_performance(silver, dim_loan_type(spark), dim_status(spark), as_of, run_ts, K.JOB_GOLD_MASTER)
-    fact, obs = _observed(fact, "fact_loan_performance")
+    fact, obs = with_run_metrics(fact, "fact_loan_performance")
     overwrite_table(fact, cfg.gold_table("fact_loan_performance"), ["occ_classification"])
     return {"fact_loan_performance": obs.get["rows"]}
 
 
 def run_silver_events(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
-    bronze, obs_in = _observed(read_bronze_events(spark, cfg.bronze_events), "silver_events_in")
-    silver, obs_out = _observed(silver_loan_events(bronze, _now(run_ts)), "silver_events_out")
+    bronze, obs_in = with_run_metrics(read_bronze_events(spark, cfg.bronze_events), "silver_events_in")
+    silver, obs_out = with_run_metrics(silver_loan_events(bronze, _now(run_ts)), "silver_events_out")
     overwrite_table(silver, cfg.silver_events, ["event_type"])
     rows_in, rows_out = obs_in.get["rows"], obs_out.get["rows"]
+    info = version_info(spark, cfg.versions, SILVER_EVENTS_TABLE) or {"version": -1}
+    publish_version(spark, cfg.versions, SILVER_EVENTS_TABLE, info["version"] + 1, cfg.silver_events)
     return {"rows_in": rows_in, "rows_out": rows_out, "duplicates_removed": rows_in - rows_out}
 
 
@@ -166,29 +183,62 @@ def run_gold_events(
     activity = fact_loan_event_activity(
         events, current_silver_master(spark, cfg), dim_loan_type(spark), dim_status(spark), run_ts, K.JOB_GOLD_EVENTS
     )
-    activity, obs_a = _observed(activity, "fact_loan_event_activity")
+    activity, obs_a = with_run_metrics(activity, "fact_loan_event_activity")
     overwrite_table(activity, cfg.gold_table("fact_loan_event_activity"), ["event_type"])
     summary = event_summary(read_table(spark, cfg.gold_table("fact_loan_event_activity")), run_ts, K.JOB_GOLD_EVENTS)
-    summary, obs_s = _observed(summary, "fact_event_summary")
+    summary, obs_s = with_run_metrics(summary, "fact_event_summary")
     overwrite_table(summary, cfg.gold_table("fact_event_summary"), ["event_type"])
+    _publish_gold_events(spark, cfg, "fact_loan_event_activity")
     return {"fact_loan_event_activity": obs_a.get["rows"], "fact_event_summary": obs_s.get["rows"]}
 
 
 GOLD_ACTIVITY_BY_DATE = "fact_loan_event_activity_by_date"
 GOLD_SUMMARY_BY_MONTH = "fact_event_summary_by_month"
 _HW_EVENTS = "gold_events.silver_events"
-_HW_LOG = "gold_events.silver_events_changes"
+_HW_DATES = "gold_events.silver_event_dates"
 _HW_MASTER = "gold_events.silver_master"
 
 
-def _window(col: str, after: dt.datetime | None, upto: dt.datetime | None) -> Column:
-    """Rows stamped after the last high-water ``after`` (all before the first run), up to ``upto``.
+def _publish_gold_events(spark: SparkSession, cfg: LakeConfig, table: str) -> None:
+    info = version_info(spark, cfg.versions, GOLD_EVENTS_TABLE) or {"version": -1}
+    publish_version(spark, cfg.versions, GOLD_EVENTS_TABLE, info["version"] + 1, cfg.gold_table(table))
+
 
-    Silver stamps rows with its run time (default: now), which must increase
-    from one silver refresh to the next.
+def gold_event_tables(spark: SparkSession, cfg: LakeConfig) -> dict[str, tuple[str, tuple[str, ...]]]:
+    """Location and partition columns of the event facts that were written last."""
+    info = version_info(spark, cfg.versions, GOLD_EVENTS_TABLE)
+    if info is not None and info["path"] == cfg.gold_table(GOLD_ACTIVITY_BY_DATE):
+        return {
+            "fact_loan_event_activity": (cfg.gold_table(GOLD_ACTIVITY_BY_DATE), ("event_date",)),
+            "fact_event_summary": (cfg.gold_table(GOLD_SUMMARY_BY_MONTH), ("event_year", "event_month")),
+        }
+    return {t: (cfg.gold_table(t), ("event_type",)) for t in ("fact_loan_event_activity", "fact_event_summary")}
+
+
+# What the event fact takes from a loan's master row.
+_FACT_ATTRIBUTES = ["loan_id", "loan_type", "principal", "interest_rate", "term_months", "status", "branch_id", "origination_dt"]
+
+
+def _changed_loans(spark: SparkSession, master: DataFrame, now: dict | None, seen: dict | None) -> DataFrame | None:
+    """Loans whose attributes differ between the master last used and the present one; None if it is the same version.
+
+    Versions are compared, not time stamps, so two merges within one second or
+    with one ``run_ts`` count as two.  A master rewritten in place since
+    then (full refresh) has no old state to compare: all its loans count.
     """
-    cond = F.lit(True) if after is None else F.col(col) > F.lit(after)
-    return cond if upto is None else cond & (F.col(col) <= F.lit(upto))
+    if (now and now["version"]) == (seen and seen["version"]) and (now is None) == (seen is None):
+        return None
+    rows = master.select(*_FACT_ATTRIBUTES)
+    if seen is None or now is None or seen["path"] == now["path"]:
+        return rows.select("loan_id")
+    try:
+        old = read_table(spark, seen["path"]).select(*_FACT_ATTRIBUTES)
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        return rows.select("loan_id")
+    marked = rows.withColumn("_side", F.lit(1)).unionByName(old.withColumn("_side", F.lit(-1)))
+    return marked.groupBy(*_FACT_ATTRIBUTES).agg(F.sum("_side").alias("_n")).filter("_n <> 0").select("loan_id").distinct()
 
 
 def _dates_filter(dates: list) -> Column:
@@ -214,38 +264,37 @@ def run_gold_events_incremental(
     loan whose silver master row was (re)written since then (the fact carries
     the loan's *current* attributes).
 
-    Changed event dates come from ``changes`` (``event_date, logged_ts``), the
-    log the incremental silver refresh appends per micro-batch, so no events
-    scan is needed; without a log they are found from the ``_silver_ts``
-    stamps (a two-column scan).  Changed loans come from the master stamps;
-    only if there are any are their events' dates looked up (a column-pruned
-    semi join).  The stale dates (a set bounded by the calendar) are fetched,
-    and only those activity partitions and the months containing them are
-    recomputed and replaced (dynamic partition overwrite).  High-water marks
-    are published after the data, so a failed run is simply redone.  The
-    result equals a full rebuild.
+    Changed event dates come from ``changes`` (``event_date, seq``), the manifest
+    of the incremental silver events, so no events scan is needed; without it
+    every date is stale once silver events were rewritten.  Changed loans come
+    from comparing the master version used last with the present one; only if
+    there are any are their events' dates looked up (a column-pruned semi
+    join).  The stale dates (a set bounded by the calendar) are fetched, and
+    only those activity partitions and the months containing them are
+    recomputed and replaced (dynamic partition overwrite).  What was seen is
+    published after the data, so a failed run is simply redone.  The result
+    equals a full rebuild.
     """
     run_ts = _now(run_ts)
     events = silver_events if silver_events is not None else read_table(spark, cfg.silver_events)
     if "event_date" not in events.columns:
         events = events.withColumn("event_date", F.to_date("event_ts"))
+    # What is seen is fixed first: changes that land while this run works are left for the next one.
+    seen = {t: version_info(spark, cfg.versions, t) for t in (_HW_EVENTS, _HW_DATES, _HW_MASTER)}
+    now = {_HW_MASTER: version_info(spark, cfg.versions, SILVER_MASTER_TABLE)}
     master = current_silver_master(spark, cfg)
-    info = {t: version_info(spark, cfg.versions, t) or {} for t in (_HW_EVENTS, _HW_LOG, _HW_MASTER)}
-    hw = {t: i.get("high_water") for t, i in info.items()}
-    # Marks first, and every change window bounded by them: changes that land
-    # while this run works are left for the next run, never skipped.
-    log_source, log_col = (changes, "logged_ts") if changes is not None else (events, "_silver_ts")
-    log_table = _HW_LOG if changes is not None else _HW_EVENTS
-    marks = {
-        log_table: log_source.agg(F.max(log_col)).first()[0],
-        _HW_MASTER: master.agg(F.max("_silver_ts")).first()[0],
-    }
-    stale = log_source.filter(_window(log_col, hw[log_table], marks[log_table])).select("event_date")
-    changed_loans = master.filter(_window("_silver_ts", hw[_HW_MASTER], marks[_HW_MASTER])).select("loan_id")
-    if not changed_loans.isEmpty():
-        stale = stale.unionByName(
-            events.select("loan_id", "event_date").join(changed_loans, "loan_id", "left_semi").select("event_date")
-        )
+    if changes is not None:
+        upto = changes.agg(F.max("seq")).first()[0]
+        now[_HW_DATES] = None if upto is None else {"version": upto, "path": cfg.silver_event_dates}
+        after = seen[_HW_DATES]["version"] if seen[_HW_DATES] else -1
+        stale = changes.filter((F.col("seq") > after) & (F.col("seq") <= (-1 if upto is None else upto))).select("event_date")
+    else:
+        now[_HW_EVENTS] = version_info(spark, cfg.versions, SILVER_EVENTS_TABLE)
+        same = now[_HW_EVENTS] and seen[_HW_EVENTS] and now[_HW_EVENTS]["version"] == seen[_HW_EVENTS]["version"]
+        stale = events.select("event_date").filter(F.lit(not same))
+    changed = _changed_loans(spark, master, now[_HW_MASTER], seen[_HW_MASTER])
+    if changed is not None:
+        stale = stale.unionByName(events.select("loan_id", "event_date").join(changed, "loan_id", "left_semi").select("event_date"))
     dates = [r.event_date for r in stale.distinct().collect()]
     out = {"stale_dates": len(dates), "fact_loan_event_activity": 0, "fact_event_summary": 0}
     if dates:
@@ -253,9 +302,9 @@ def run_gold_events_incremental(
             events.filter(_dates_filter(dates)), master, dim_loan_type(spark), dim_status(spark), run_ts,
             K.JOB_GOLD_EVENTS,
         )
-        activity, obs_a = _observed(activity, "activity_refreshed")
+        activity, obs_a = with_run_metrics(activity, "activity_refreshed")
         activity_path = cfg.gold_table(GOLD_ACTIVITY_BY_DATE)
-        (activity.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (rebalanced(activity, ["event_date"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date").parquet(activity_path))
         months = {(d.year, d.month) if d is not None else (None, None) for d in dates}
         month_cond = None
@@ -273,40 +322,39 @@ def run_gold_events_incremental(
         if (None, None) in months:
             date_cond = date_cond | F.col("event_date").isNull()
         month_activity = read_table(spark, activity_path).filter(date_cond & month_cond)
-        summary, obs_s = _observed(event_summary(month_activity, run_ts, K.JOB_GOLD_EVENTS), "summary_refreshed")
+        summary, obs_s = with_run_metrics(event_summary(month_activity, run_ts, K.JOB_GOLD_EVENTS), "summary_refreshed")
         (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_year", "event_month").parquet(cfg.gold_table(GOLD_SUMMARY_BY_MONTH)))
         out.update(fact_loan_event_activity=obs_a.get["rows"], fact_event_summary=obs_s.get["rows"])
-    for table, mark in marks.items():
-        if mark is not None:
-            version = info[table].get("version", -1) + 1
-            publish_version(spark, cfg.versions, table, version, cfg.gold_table(GOLD_ACTIVITY_BY_DATE), mark)
+    for table, state in now.items():
+        if state is not None and (seen[table] is None or seen[table]["version"] != state["version"]):
+            publish_version(spark, cfg.versions, table, state["version"], state["path"])
+    if dates:
+        _publish_gold_events(spark, cfg, GOLD_ACTIVITY_BY_DATE)
     return out
 
 
 def gold_event_totals(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     """Per-event-type totals read back from the written summary (for display)."""
-    return event_type_totals(read_table(spark, cfg.gold_table("fact_event_summary")))
+    return event_type_totals(read_table(spark, gold_event_tables(spark, cfg)["fact_event_summary"][0]))
 
 
 def register_all(spark: SparkSession, cfg: LakeConfig) -> None:
-    """Register the silver and gold tables that exist under the lake root."""
-    present = {}
-    for name, parts in {
-        "fact_loan_performance": ("occ_classification",),
-        "dim_status": (),
-        "dim_loan_type": (),
-        "fact_loan_event_activity": ("event_type",),
-        "fact_event_summary": ("event_type",),
-        GOLD_ACTIVITY_BY_DATE: ("event_date",),
-        GOLD_SUMMARY_BY_MONTH: ("event_year", "event_month"),
-    }.items():
+    """Register the gold tables that exist; the event facts' names show the layout written last."""
+    tables = {
+        "fact_loan_performance": (cfg.gold_table("fact_loan_performance"), ("occ_classification",)),
+        "dim_status": (cfg.gold_table("dim_status"), ()),
+        "dim_loan_type": (cfg.gold_table("dim_loan_type"), ()),
+        **gold_event_tables(spark, cfg),
+        GOLD_ACTIVITY_BY_DATE: (cfg.gold_table(GOLD_ACTIVITY_BY_DATE), ("event_date",)),
+        GOLD_SUMMARY_BY_MONTH: (cfg.gold_table(GOLD_SUMMARY_BY_MONTH), ("event_year", "event_month")),
+    }
+    for name, (path, parts) in tables.items():
         try:
-            spark.read.parquet(cfg.gold_table(name)).schema
-            present[name] = parts
-        except Exception:  # table not built yet by the other pipeline
-            continue
-    register_gold_tables(spark, cfg.db, cfg.gold, present)
+            repoint_table(spark, cfg.db, name, path, parts)
+        except AnalysisException as e:
+            if not is_missing(e):  # not built yet by the other pipeline
+                raise
 
 
 def run_batch_pipeline(

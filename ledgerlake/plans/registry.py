@@ -2,7 +2,8 @@
 
 Every callable takes ``(spark, sf_dir)``, derives bronze loan tables from the
 whole ``orders`` / ``events`` tables (``ledgerlake.fixtures``) and returns a
-lazy DataFrame.  Wall-clock inputs are fixed (``AS_OF``, ``RUN_TS``) so the
+DataFrame.  The queries that look for hot keys first run a sampled scan when
+they are built (``_hot_loans``, ``loan_master_scd2``); the others are lazy.  Wall-clock inputs are fixed (``AS_OF``, ``RUN_TS``) so the
 results are reproducible and comparable with the SQL oracle.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
 from ledgerlake import fixtures as X
-from ledgerlake.operators.dedup import MASTER_KEYS, master_order, merge_latest
+from ledgerlake.operators.dedup import EVENT_KEYS, MASTER_KEYS, MASTER_RANK, merge_latest
 from ledgerlake.operators.facts import fact_loan_event_activity, fact_loan_performance
 from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage
 from ledgerlake.operators.metrics import dedup_metrics
@@ -75,8 +76,8 @@ def q_dedup_metrics(spark: SparkSession, sf: str) -> DataFrame:
     bm, be = X.bronze_loan_master(spark, sf), X.bronze_loan_events(spark, sf)
     return dedup_metrics(
         {
-            "loan_master": (bm, silver_loan_master(bm, X.RUN_TS)),
-            "loan_events": (be, silver_loan_events(be, X.RUN_TS)),
+            "loan_master": (normalize_loan_master(bm), MASTER_KEYS),
+            "loan_events": (normalize_loan_events(be), EVENT_KEYS),
         }
     )
 
@@ -109,15 +110,15 @@ def q_event_type_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_risk_by_occ(spark: SparkSession, sf: str) -> DataFrame:
-    return A.run_analytic(spark, A.RISK_BY_OCC, fact_loan_performance=q_fact_loan_performance(spark, sf))
+    return A.exposure_by_class(q_fact_loan_performance(spark, sf))
 
 
 def q_volume_by_event_type(spark: SparkSession, sf: str) -> DataFrame:
-    return A.run_analytic(spark, A.VOLUME_BY_EVENT_TYPE, fact_loan_event_activity=q_fact_loan_event_activity(spark, sf))
+    return A.volume_by_type(q_fact_loan_event_activity(spark, sf))
 
 
 def q_delinquency_by_type(spark: SparkSession, sf: str) -> DataFrame:
-    return A.run_analytic(spark, A.DELINQUENCY_BY_TYPE, fact_loan_performance=q_fact_loan_performance(spark, sf))
+    return A.delinquency_by_loan_type(q_fact_loan_performance(spark, sf))
 
 
 def q_merge_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,7 +129,7 @@ def q_merge_latest(spark: SparkSession, sf: str) -> DataFrame:
     increment = typed.filter(F.col("MODIFIED_TS") > wm)
     current = silver_loan_master(older, X.RUN_TS)
     inc = add_silver_lineage(increment, K.JOB_SILVER_MASTER, X.RUN_TS)
-    return merge_latest(current, inc, MASTER_KEYS, master_order())
+    return merge_latest(current, inc, MASTER_KEYS, MASTER_RANK)
 
 
 def q_loan_master_scd2(spark: SparkSession, sf: str) -> DataFrame:

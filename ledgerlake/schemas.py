@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 DEC_AMOUNT = T.DecimalType(18, 4)
+# Sums over any number of amounts.
+DEC_TOTAL = T.DecimalType(38, 4)
 DEC_RATE = T.DecimalType(8, 4)
 DEC_LGD = T.DecimalType(5, 4)
 
@@ -124,7 +126,7 @@ WATERMARK_STATE = T.StructType(
     ]
 )
 
-# -- gold column orders ----------------------------------------------------
+# -- gold column orders (fixed: the source platform's gold tables have these columns in this order) ----
 
 FACT_LOAN_PERFORMANCE_COLUMNS = [
     "loan_id", "customer_id", "loan_type_key", "status_key",

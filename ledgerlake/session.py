@@ -8,8 +8,6 @@ directory is only filled in when the cluster did not name one.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the library's semantics depend on.
@@ -52,25 +50,16 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, execut
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint directory named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder for RDD checkpoints: ``spark.checkpoint.dir``, else a folder of the warehouse, on any master.
 
-    Sets it on the context if only the configuration names it.  A private
-    scratch folder is used only in local mode with nothing configured; on a
-    cluster a machine-local folder would be wrong, so that is an error.
+    Each application gets a folder of its own inside it, so nothing that has to
+    outlive the application (streaming progress) may be kept there.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder of the cluster")
-    local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:

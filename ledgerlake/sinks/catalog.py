@@ -56,6 +56,7 @@ def repoint_table(
     spark: SparkSession, db: str, name: str, location: str, partition_by: tuple[str, ...] | list[str] = ()
 ) -> str:
     """Point ``db.name`` at a new location (external table: the old files stay)."""
+    spark.read.parquet(location)  # nothing there: the present table is left as it is
     spark.sql(f"DROP TABLE IF EXISTS {_q(db)}.{_q(name)}")
     return register_table(spark, db, name, location, partition_by)
 

@@ -17,6 +17,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import as_timestamp, ingestion_partition_columns
+from ledgerlake.functions.instants import from_micros, instant, micros
+
+
+def is_missing(error: AnalysisException) -> bool:
+    """Nothing was written there yet; any other error (schema, listing, rights) is not that."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def rebalanced(df: DataFrame, partition_by: list[str] | tuple[str, ...]) -> DataFrame:
+    """Rows gathered by partition value before a partitioned write, values too large for one task split.
+
+    Without it every task writes a file for every value it meets.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
 def append_bronze(
@@ -34,7 +48,7 @@ def append_bronze(
 
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...] = (), fmt: str = "parquet") -> None:
     """Full-refresh overwrite, optionally partitioned (Snappy Parquet by default)."""
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = rebalanced(df, partition_by).write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -61,7 +75,9 @@ def _pointer_schema() -> str:
 def read_pointers(spark: SparkSession, control_path: str) -> DataFrame:
     try:
         return spark.read.schema(_pointer_schema()).parquet(control_path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return spark.createDataFrame([], _pointer_schema())
 
 
@@ -73,22 +89,23 @@ def publish_version(
     ``high_water`` records how far the inputs were consumed (e.g. the newest
     bronze ingestion time merged), so the next run reads only newer input.
     """
-    row = spark.sql(
-        "select cast(:t as string) as table, cast(:v as bigint) as version, cast(:p as string) as path, "
-        "current_timestamp() as published_ts, cast(:i as string) as publish_id, cast(:h as timestamp) as high_water",
-        args={"t": table, "v": version, "p": path, "i": uuid.uuid4().hex, "h": high_water},
+    row = spark.range(1).select(
+        F.lit(table).alias("table"), F.lit(version).cast("bigint").alias("version"), F.lit(path).alias("path"),
+        F.current_timestamp().alias("published_ts"), F.lit(uuid.uuid4().hex).alias("publish_id"),
+        (F.lit(None).cast("timestamp") if high_water is None else instant(high_water)).alias("high_water"),
     )
     row.coalesce(1).write.mode("append").parquet(control_path)
 
 
 def version_info(spark: SparkSession, control_path: str, table: str, before: int | None = None) -> dict | None:
-    """The latest published pointer row of ``table`` (optionally only versions < ``before``)."""
+    """The latest published pointer row of ``table`` (optionally only versions < ``before``), times in UTC."""
     ptr = read_pointers(spark, control_path).filter(F.col("table") == table)
     if before is not None:
         ptr = ptr.filter(F.col("version") < before)
     w = Window.partitionBy("table").orderBy(F.col("version").desc(), F.col("published_ts").desc())
-    row = ptr.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn").first()
-    return None if row is None else row.asDict()
+    last = ptr.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+    row = last.select("table", "version", "path", "publish_id", micros(F.col("high_water")).alias("high_water")).first()
+    return None if row is None else {**row.asDict(), "high_water": from_micros(row.high_water)}
 
 
 def current_version(spark: SparkSession, control_path: str, table: str, before: int | None = None) -> tuple[int, str] | None:

@@ -10,9 +10,10 @@ type the extraction wrote (double, decimal, or text).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.schemas import BRONZE_LOAN_EVENTS
+from ledgerlake.schemas import BRONZE_LOAN_EVENTS, BRONZE_LOAN_MASTER
 
 # Malformed JSON *lines* of a bronze file (filled by the JSON reader).
 CORRUPT_COLUMN = "_corrupt_record"
@@ -26,9 +27,15 @@ BRONZE_LOAN_EVENTS_READ = T.StructType(
 
 
 def read_bronze_master(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Bronze loan master Parquet under ``year=/month=/day=`` directories."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    """Bronze loan master Parquet under ``year=/month=/day=`` directories, with all of its known columns.
+
+    Files of several writers may differ in columns, so footers are merged, and
+    a column of BRONZE_LOAN_MASTER that no file has is there as NULL.  ``schema``
+    skips the footers where the caller knows what the files hold.
+    """
+    rows = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.option("mergeSchema", "true").parquet(path)
+    absent = [f for f in BRONZE_LOAN_MASTER.fields if f.name not in rows.columns]
+    return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}) if absent else rows
 
 
 def read_bronze_events(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

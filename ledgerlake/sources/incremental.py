@@ -19,17 +19,18 @@ from pyspark.sql import types as T
 
 from ledgerlake import constants as K
 from ledgerlake.functions import safe_timestamp
-
-
-def _as_datetime(value: dt.datetime | str) -> dt.datetime:
-    return value if isinstance(value, dt.datetime) else dt.datetime.fromisoformat(str(value))
+from ledgerlake.functions.instants import from_micros, to_micros
 
 
 def typed_ts(df: DataFrame, ts_col: str, fmt: str = K.MODIFIED_TS_FORMAT) -> Column:
-    """The modification-time column as a timestamp, whatever its source type."""
+    """The modification-time column as a timestamp, whatever its source type.
+
+    Text is read in the source's format, else as any ISO-8601 time (fractions
+    of a second, ``T``, an offset); NULL if it is neither.
+    """
     dtype = df.schema[ts_col].dataType
     if isinstance(dtype, T.StringType):
-        return safe_timestamp(F.col(ts_col), fmt)
+        return F.coalesce(safe_timestamp(F.col(ts_col), fmt), safe_timestamp(F.col(ts_col)))
     return F.col(ts_col)
 
 
@@ -44,15 +45,20 @@ def read_incremental(
 
     ``lookback`` re-reads a margin of already-extracted rows so that late
     commits sharing the watermark's second are not lost; silver dedup makes
-    the overlap harmless.
+    the overlap harmless.  Rows of a text column whose time does not parse (or
+    is NULL) cannot be placed before the watermark, so every run takes them
+    again rather than lose them; silver ranks them last and absorbs the repeat.
     """
-    wm = _as_datetime(watermark)
+    wm = from_micros(to_micros(watermark))
     if lookback is not None:
         wm = wm - lookback
     dtype = src.schema[ts_col].dataType
-    text = wm.strftime("%Y-%m-%d %H:%M:%S.%f")
+    text = wm.isoformat(sep=" ", timespec="microseconds")
     bound = F.lit(text).cast(T.TimestampNTZType() if isinstance(dtype, T.TimestampNTZType) else T.TimestampType())
-    return src.filter(typed_ts(src, ts_col, fmt) > bound)
+    newer = typed_ts(src, ts_col, fmt) > bound
+    if isinstance(dtype, T.StringType):
+        return src.filter(newer | typed_ts(src, ts_col, fmt).isNull())
+    return src.filter(newer)
 
 
 def jdbc_source(

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
+from ledgerlake.functions.instants import from_micros, instant, micros, to_micros
 from ledgerlake.schemas import WATERMARK_STATE
+from ledgerlake.sinks.files import is_missing
 from ledgerlake.sources.incremental import typed_ts
 
 
@@ -24,7 +26,9 @@ def read_watermark_state(spark: SparkSession, path: str) -> DataFrame:
     """The whole state table, or an empty one when nothing was written yet."""
     try:
         return spark.read.schema(WATERMARK_STATE).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return spark.createDataFrame([], WATERMARK_STATE)
 
 
@@ -34,12 +38,12 @@ def _latest_state(spark: SparkSession, path: str, table: str) -> DataFrame:
     return state.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def get_watermark(spark: SparkSession, path: str, table: str = K.SOURCE_TABLE) -> dt.datetime:
-    """The current watermark, or the default when the table was never extracted."""
-    row = _latest_state(spark, path, table).select("last_watermark").first()
-    if row is None or row[0] is None:
-        return dt.datetime.fromisoformat(K.DEFAULT_WATERMARK)
-    return row[0]
+def get_watermark(
+    spark: SparkSession, path: str, table: str = K.SOURCE_TABLE, first: dt.datetime | str = K.DEFAULT_WATERMARK
+) -> dt.datetime:
+    """The current watermark (UTC), or ``first`` when the table was never extracted."""
+    row = _latest_state(spark, path, table).select(micros(F.col("last_watermark")).alias("w")).first()
+    return from_micros(to_micros(first) if row is None or row.w is None else row.w)
 
 
 def watermark_status(spark: SparkSession, path: str, table: str = K.SOURCE_TABLE) -> DataFrame:
@@ -67,10 +71,9 @@ def put_watermark(
     status: str = "SUCCESS",
 ) -> None:
     """Append the new state row (latest ``last_run_ts`` wins on read)."""
-    row = spark.sql(
-        "select cast(:t as string) as source_table, cast(:w as timestamp) as last_watermark, "
-        "cast(:r as timestamp) as last_run_ts, cast(:n as bigint) as last_row_count, cast(:s as string) as status",
-        args={"t": table, "w": watermark, "r": run_ts, "n": int(row_count), "s": status},
+    row = spark.range(1).select(
+        F.lit(table).alias("source_table"), instant(watermark).alias("last_watermark"), instant(run_ts).alias("last_run_ts"),
+        F.lit(int(row_count)).cast("bigint").alias("last_row_count"), F.lit(status).alias("status"),
     )
     row.coalesce(1).write.mode("append").parquet(path)
 
@@ -83,6 +86,6 @@ def next_watermark_frame(increment: DataFrame, ts_col: str = "MODIFIED_TS") -> D
 
 
 def next_watermark(increment: DataFrame, ts_col: str = "MODIFIED_TS") -> tuple[dt.datetime | None, int]:
-    """(new watermark, rows) of an increment; ``(None, 0)`` when it is empty."""
-    row = next_watermark_frame(increment, ts_col).first()
-    return row["next_watermark"], row["row_count"]
+    """(new watermark in UTC, rows) of an increment; ``(None, 0)`` when it is empty."""
+    row = next_watermark_frame(increment, ts_col).select(micros(F.col("next_watermark")).alias("w"), "row_count").first()
+    return from_micros(row.w), row.row_count

@@ -4,16 +4,16 @@
 last run (the file source's checkpoint remembers them), and runs once over
 everything available (``availableNow``).
 
-The incremental silver table is partitioned by ``event_date``; every copy
-of an event shares its date, because ``event_ts`` is part of the event
-identity.  Each micro-batch therefore only touches the date partitions its
-events fall in: those partitions are read (static partition pruning on the
-batch's distinct dates, a set bounded by the calendar, not by the data),
-merged with the batch (``merge_latest``) and written back with *dynamic*
-partition overwrite, which stages the output and replaces only those
-partitions at commit, after every read has finished.  The cost of a batch
-is proportional to the dates it touches, not to the table.  A replayed
-batch merges the same rows again, which is idempotent.
+The incremental silver table is kept by ``event_date``; every copy of an event
+shares its date, because ``event_ts`` is part of the event identity.  Each
+micro-batch therefore only touches the dates its events fall in: their present
+rows are read (found in the manifest, a set bounded by the calendar), merged
+with the batch (``merge_latest``) and written to a *new* directory of the batch;
+then the manifest gets a row for each date that says where it now is.  Nothing
+that is being read is ever overwritten, and a crash before the manifest's rows
+leaves the table as it was, so the batch is simply merged again.  A replayed
+batch merges the same rows, which is idempotent.  The manifest's numbering also
+tells the gold refresh which dates changed.
 
 ``row_number`` dedup and exact ``count(distinct)`` are not available on a
 streaming DataFrame, which is why the merge runs inside ``foreachBatch``
@@ -24,6 +24,7 @@ silver table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,45 +32,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake import constants as K
-from ledgerlake.operators.dedup import EVENT_KEYS, event_order, latest_per_key, merge_latest
+from ledgerlake.operators.dedup import EVENT_KEYS, EVENT_RANK, event_order, latest_per_key, merge_latest
 from ledgerlake.operators.lineage import add_silver_lineage
 from ledgerlake.operators.normalize import normalize_loan_events
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import decodable
 from ledgerlake.plans.pipelines import run_gold_events, run_gold_events_incremental
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.sinks.files import is_missing, rebalanced
 from ledgerlake.sources.bronze import BRONZE_LOAN_EVENTS_READ, CORRUPT_COLUMN
 
-def _checkpoint(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
-    base = cfg.checkpoints or f"{checkpoint_dir(spark).rstrip('/')}/ledgerlake"
-    return f"{base}/{name}"
+DATES_SCHEMA = "event_date date, seq long, directory string, batch_id long"
 
 
-def _read_existing(spark: SparkSession, path: str) -> DataFrame | None:
+def silver_event_dates(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
+    """The manifest: where each date of the silver events was written, in order of ``seq``; None before the first refresh."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.schema(DATES_SCHEMA).parquet(cfg.silver_event_dates)
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return None
 
 
-CHANGES_SCHEMA = "event_date date, batch_id long, logged_ts timestamp"
-
-
-def log_changed_dates(spark: SparkSession, cfg: LakeConfig, dates: list, batch_id: int) -> None:
-    """Append the dates a micro-batch rewrote (after its data), for the incremental gold refresh.
-
-    A replayed batch logs its dates again, which only marks them stale twice.
-    """
-    rows = spark.createDataFrame([(d, batch_id) for d in dates], "event_date date, batch_id long")
-    rows.withColumn("logged_ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(cfg.silver_events_changes)
-
-
-def changed_dates_log(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
-    """The change log of the incremental silver events, or None before the first refresh."""
-    try:
-        return spark.read.schema(CHANGES_SCHEMA).parquet(cfg.silver_events_changes)
-    except AnalysisException:
+def _present(spark: SparkSession, cfg: LakeConfig, dates: list | None = None) -> DataFrame | None:
+    """Silver events of ``dates`` (default: all), read from the directories that the manifest names last for them."""
+    manifest = silver_event_dates(spark, cfg)
+    if manifest is None:
+        return None
+    last = manifest.groupBy("event_date").agg(F.max_by("directory", "seq").alias("directory")).collect()
+    wanted = [r for r in last if dates is None or r.event_date in dates]
+    if not wanted:
         return None
+    root = cfg.silver_events_incremental
+    paths = [f"{root}/{r.directory}/event_date={r.event_date or '__HIVE_DEFAULT_PARTITION__'}" for r in wanted]
+    rows = spark.read.option("basePath", root).parquet(*paths).drop("batch")
+    return rows.withColumn("event_date", F.col("event_date").cast("date"))
 
 
 def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts) -> None:
@@ -79,22 +76,19 @@ def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, b
         dates = [r.event_date for r in typed.select("event_date").distinct().collect()]
         if not dates:
             return
-        current = _read_existing(spark, cfg.silver_events_incremental)
+        current = _present(spark, cfg, dates)
         if current is None:
             merged = latest_per_key(typed, EVENT_KEYS, event_order())
         else:
-            known = [d for d in dates if d is not None]
-            touched = F.col("event_date").isin(known) if known else F.lit(False)
-            if len(known) < len(dates):
-                touched = touched | F.col("event_date").isNull()
-            merged = merge_latest(current.filter(touched).select(*typed.columns), typed, EVENT_KEYS, event_order())
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date")
-            .parquet(cfg.silver_events_incremental)
-        )
-        log_changed_dates(spark, cfg, dates, batch_id)
+            merged = merge_latest(current.select(*typed.columns), typed, EVENT_KEYS, EVENT_RANK)
+        # Every attempt has a directory of its own; only the manifest makes it count.
+        directory = f"batch=b{batch_id:010d}-{uuid.uuid4().hex}"
+        rebalanced(merged, ["event_date"]).write.partitionBy("event_date").parquet(f"{cfg.silver_events_incremental}/{directory}")
+        manifest = silver_event_dates(spark, cfg)
+        top = manifest.agg(F.max("seq")).first()[0] if manifest is not None else None
+        seq = 0 if top is None else top + 1
+        rows = spark.createDataFrame([(d, seq, directory, batch_id) for d in dates], DATES_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(cfg.silver_event_dates)
     finally:
         typed.unpersist()
 
@@ -120,7 +114,7 @@ def refresh_silver_events(
     stream = reader.json(cfg.bronze_events)
     return (
         stream.writeStream.foreachBatch(lambda df, bid: merge_events_batch(spark, cfg, df, bid, run_ts))
-        .option("checkpointLocation", _checkpoint(spark, cfg, "silver_events"))
+        .option("checkpointLocation", cfg.checkpoint("silver_events"))
         .trigger(availableNow=True)
         .start()
     )
@@ -128,7 +122,7 @@ def refresh_silver_events(
 
 def current_silver_events(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
     """The incrementally maintained silver events, or None before the first refresh."""
-    return _read_existing(spark, cfg.silver_events_incremental)
+    return _present(spark, cfg)
 
 
 def refresh_gold_events(
@@ -147,5 +141,5 @@ def refresh_gold_events(
         return {"fact_loan_event_activity": 0, "fact_event_summary": 0}
     ts = run_ts if isinstance(run_ts, dt.datetime) else None
     if incremental:
-        return run_gold_events_incremental(spark, cfg, ts, silver_events=events, changes=changed_dates_log(spark, cfg))
+        return run_gold_events_incremental(spark, cfg, ts, silver_events=events, changes=silver_event_dates(spark, cfg))
     return run_gold_events(spark, cfg, ts, silver_events=events)

@@ -107,9 +107,9 @@ def test_pipelines_then_sql_over_catalog_twice(spark, lake):
             )
         )
     assert results[0] == results[1]
-    # SQL over the catalog equals the same SQL text bound to the written files.
+    # The report over the catalog equals the same report over the written files.
     fact = spark.read.parquet(cfg.gold_table("fact_loan_performance"))
-    bound = A.run_analytic(spark, A.RISK_BY_OCC, fact_loan_performance=fact)
+    bound = A.exposure_by_class(fact)
     assert results[0][0] == sorted(map(tuple, bound.collect()), key=str)
     tables = {r.tableName for r in spark.sql(f"show tables in {cfg.db}").collect()}
     assert {"fact_loan_performance", "fact_loan_event_activity", "fact_event_summary", "dim_status", "dim_loan_type"} <= tables

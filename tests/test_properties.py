@@ -8,7 +8,7 @@ import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgerlake.operators.dedup import MASTER_KEYS, master_order, merge_latest
+from ledgerlake.operators.dedup import MASTER_KEYS, MASTER_RANK, merge_latest
 from ledgerlake.operators.normalize import normalize_loan_master
 from ledgerlake.operators.scd2 import lead_within_key
 from ledgerlake.plans.layers import silver_loan_master
@@ -54,7 +54,7 @@ def test_merge_equals_full_rebuild_and_silver_is_idempotent(spark, rows, cut):
     older = typed.filter(typed.MODIFIED_TS < boundary)
     newer = typed.filter(typed.MODIFIED_TS >= boundary)
     run = "2024-01-01 00:00:00"
-    merged = merge_latest(silver_loan_master(older, run), silver_loan_master(newer, run), MASTER_KEYS, master_order())
+    merged = merge_latest(silver_loan_master(older, run), silver_loan_master(newer, run), MASTER_KEYS, MASTER_RANK)
     full = silver_loan_master(typed, run)
     assert _set(merged) == _set(full)
     assert _set(silver_loan_master(df.unionByName(df), run)) == _set(full)

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.dedup import MASTER_KEYS, master_order, merge_latest
+from ledgerlake.operators.dedup import MASTER_KEYS, MASTER_RANK, merge_latest
 from ledgerlake.operators.normalize import normalize_loan_events, normalize_loan_master
 from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
 
@@ -104,7 +104,7 @@ def test_merge_latest_equals_full_rebuild_with_null_keys(spark):
     cut = F.lit("2024-04-01 00:00:00").cast("timestamp")
     current = silver_loan_master(typed.filter(F.col("MODIFIED_TS") <= cut), "2024-08-01 00:00:00")
     inc = silver_loan_master(typed.filter(F.col("MODIFIED_TS") > cut), "2024-08-01 00:00:00")
-    merged = merge_latest(current, inc, MASTER_KEYS, master_order())
+    merged = merge_latest(current, inc, MASTER_KEYS, MASTER_RANK)
     full = silver_loan_master(typed, "2024-08-01 00:00:00")
     assert merged.count() == full.count() == 3
     assert merged.exceptAll(full).isEmpty()

@@ -88,10 +88,20 @@ def q_fact_loan_performance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_HOT_LOANS: dict[tuple[str, str], HotKeys] = {}
+
+
 def _hot_loans(spark: SparkSession, sf: str) -> HotKeys:
-    # Counted on bronze events (a sampled scan, an upper bound of silver rows
-    # per loan), not on silver, which would run the dedup shuffle twice.
-    return HotKeys(hot_key_salts(X.bronze_loan_events(spark, sf), "loan_id"))
+    """Hot loans of a table, estimated once in an application.
+
+    Counted on bronze events (a sampled scan, an upper bound of silver rows per
+    loan), not on silver, which would run the dedup shuffle twice.  The estimate
+    only decides how rows are spread, so it need not be repeated per query.
+    """
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _HOT_LOANS:
+        _HOT_LOANS[at] = HotKeys(hot_key_salts(X.bronze_loan_events(spark, sf), "loan_id"))
+    return _HOT_LOANS[at]
 
 
 def q_fact_loan_event_activity(spark: SparkSession, sf: str) -> DataFrame:

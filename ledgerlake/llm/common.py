@@ -8,6 +8,7 @@ lost executor loses nothing, and the data is read column by column.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +48,14 @@ def drop_scratch(spark: SparkSession, *paths: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps now; else they stay until the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of finished steps now; else they stay until the driver collects garbage.
+
+    References from Python go first, and the cleaner works in the background, hence two passes with a pause.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def shuffle_width(spark: SparkSession) -> int:

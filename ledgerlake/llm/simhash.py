@@ -231,8 +231,11 @@ def keep_one_per_group(docs: DataFrame, *, shingle: int = 4, distance: int = 4)
     """
     prints, _ = scratch_table(fingerprints(docs, shingle=shingle), "simhash-docs")
     parts, _ = scratch_table(simhash_components(prints, distance=distance), "simhash-parts")
-    heads = prints.join(parts, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    heads, _ = scratch_table(heads.groupBy(F.col("doc_id").alias("_head")).agg(F.count(F.lit(1)).alias("_rows")), "simhash-heads")
+    heads = prints.join(parts, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_head")).distinct()
+    # how many rows have the id at all: rows with a head's id may belong to other components
+    rows = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    heads = heads.join(rows, F.col("_head").eqNullSafe(F.col("doc_id"))).select("_head", "_rows")
+    heads, _ = scratch_table(heads, "simhash-heads")
     on = F.col("doc_id").cast("long").eqNullSafe(F.col("_head"))
     single = docs.join(heads.filter("_rows = 1"), on, "left_semi")
     # ids on several rows: the rows are told apart by the component of their own text

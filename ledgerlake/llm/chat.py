@@ -181,16 +181,3 @@ def chat_digests(formatted: DataFrame) -> DataFrame:
     rows = rows.repartition(width, "conv_id").sortWithinPartitions(*order)
     rows = rows.select("conv_id", "_turn.segment", "_turn.loss_start", "_turn.loss_end", "_turn.extra_tokens")
     return rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, extra_tokens long")
-
-
-CHAT_SQL = """
-with c as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
-)
-select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
-  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256
-from c group by conv_id
-"""

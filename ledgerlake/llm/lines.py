@@ -164,23 +164,3 @@ def line_digest(result: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and the digest of the kept text (null counts as empty)."""
     kept = F.sha2(F.coalesce(F.col("_lines.text"), F.lit("")), 256)
     return result.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_lines.n_lines").cast("long").alias("n_lines"), F.col("_lines.n_removed").cast("long").alias("n_removed"), kept.alias("kept_sha256"))
-
-
-LINE_DEDUP_SQL = """
-with t as (select doc_id, string_split(coalesce(text, ''), chr(10)) as rows_ from documents),
-l as (select doc_id, unnest(rows_) as line, unnest(range(len(rows_))) as pos from t),
-n as (select *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) as words from l),
-p as (select *, lead(line) over (partition by doc_id order by pos) as then_ from n where words > 0),
-f as (
-  select *, row_number() over (partition by line order by doc_id, pos) > 1 as line_again,
-    then_ is not null and row_number() over (partition by line, then_ order by doc_id, pos) > 1 as pair_again from p
-),
-d as (
-  select doc_id, pos, (line_again and words >= 5) or pair_again
-    or coalesce(lag(pair_again) over (partition by doc_id order by pos), false) as gone from f
-),
-k as (select l.doc_id, l.pos, l.line, d.gone from l left join d on l.doc_id = d.doc_id and l.pos = d.pos)
-select doc_id, count(gone) as n_lines, count(*) filter (where gone) as n_removed,
-  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where gone is null or not gone), '')) as kept_sha256
-from k group by doc_id
-"""

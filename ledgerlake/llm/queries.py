@@ -11,14 +11,17 @@ from ledgerlake.llm.bpe import Vocabulary, build_lexicon, round_trip_digests
 from ledgerlake.llm.chat import chat_digests, format_chat
 from ledgerlake.llm.common import read_table
 from ledgerlake.llm.html_density import extract_main_text
-from ledgerlake.llm.lines import LINE_DEDUP_SQL, line_dedup, line_digest
+from ledgerlake.llm.lines import line_dedup, line_digest
 from ledgerlake.llm.mixing import mix
+from ledgerlake.llm.oracle import ORACLE_SQL
 from ledgerlake.llm.pq_dedup import embedding_near_dedup
 from ledgerlake.llm.simhash import simhash_dedup
 from ledgerlake.llm.substring import kept_digest, substring_dedup
 from ledgerlake.llm.topk import exact_top_k
 from ledgerlake.llm.toxicity import toxicity
 
+__all__ = ["ORACLE_SQL", "QUERIES", "tokenizer_path"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -89,7 +92,3 @@ QUERIES: dict[str, Query] = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLE_SQL: dict[str, str] = {
-    "op7_line_dedup": LINE_DEDUP_SQL,
-}

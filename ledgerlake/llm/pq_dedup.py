@@ -134,45 +134,44 @@ def _match(shared, cosine: float, chunk: int = 512):
         y, m_node, m_list = matrix(members["vector"]), members["node"].to_numpy(), members["list"].to_numpy()
         n, norm, error = members["n"].to_numpy(), members["norm"].to_numpy(), members["error"].to_numpy()
         codes = np.frombuffer(b"".join(members["codes"].to_pylist()), np.uint8).reshape(len(y), -1)
-        here = np.unique(m_list)
+        here, place = np.unique(m_list, return_inverse=True)
         links = np.zeros(len(x), np.int64)
         ties: list[tuple[np.ndarray, np.ndarray]] = []
         for at in range(0, len(x), chunk):
             some = slice(at, at + chunk)
             xs = x[some]
             reach = reachable(xs, q_list[some], centers, radius)[:, here]
-            to_center = xs @ centers[here].T
-            tables = [(xs[:, part] @ book.T).astype(np.float32) for part, book in zip(parts(x.shape[1], len(books)), books)]
-            for k, one in enumerate(here.tolist()):
-                rows = np.flatnonzero(reach[:, k])
-                cols = np.flatnonzero(m_list == one)
-                if not len(rows):
-                    continue
-                near = np.zeros((len(rows), len(cols)), np.float32)
-                for m, table in enumerate(tables):
-                    near += table[rows][:, codes[cols, m]]
-                coded = 1 + norm[cols][None, :] - 2 * to_center[rows, k][:, None] - 2 * near
-                able = coded <= ((radius + error[cols] + 1e-4) ** 2)[None, :]
-                r, c = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
-                if not len(r):
-                    continue
-                if able.sum() * 8 >= len(r) * len(c):
-                    linked = (xs[rows[r]] @ y[cols[c]].T >= cosine) & able[np.ix_(r, c)]
-                else:
-                    linked = np.zeros((len(r), len(c)), bool)
-                    i, j = np.nonzero(able[np.ix_(r, c)])
-                    for s in range(0, len(i), 100_000):
-                        t = slice(s, s + 100_000)
-                        linked[i[t], j[t]] = np.einsum("ij,ij->i", xs[rows[r[i[t]]]], y[cols[c[j[t]]]]) >= cosine
-                linked &= q_node[some][rows[r]][:, None] != m_node[cols[c]][None, :]
-                hit = linked.any(axis=1)
-                if not hit.any():
-                    continue
-                links[at + rows[r]] += linked @ n[cols[c]]
-                of_rows, of_cols = _local_components(linked, q_node[some][rows[r]], m_node[cols[c]])
-                ties.append((q_node[some][rows[r]][hit], of_rows[hit]))
-                met = linked.any(axis=0)
-                ties.append((m_node[cols[c]][met], of_cols[met]))
+            cols = np.flatnonzero(reach.any(axis=0)[place])
+            if not len(cols):
+                continue
+            near = np.zeros((len(xs), len(cols)), np.float32)
+            for m, (part, book) in enumerate(zip(parts(x.shape[1], len(books)), books)):
+                near += np.take((xs[:, part] @ book.T).astype(np.float32), codes[cols, m], axis=1)
+            near += (xs @ centers[here].T).astype(np.float32)[:, place[cols]]
+            # squared distance to the code is 1 + norm - 2 near
+            able = near >= ((1 + norm[cols] - (radius + error[cols] + 1e-4) ** 2) / 2 - 1e-4).astype(np.float32)
+            able &= reach[:, place[cols]]
+            r, c = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
+            if not len(r):
+                continue
+            able, cols = able[np.ix_(r, c)], cols[c]
+            if able.sum() * 8 >= able.size:
+                linked = (xs[r] @ y[cols].T >= cosine) & able
+            else:
+                linked = np.zeros(able.shape, bool)
+                i, j = np.nonzero(able)
+                for k in range(0, len(i), 100_000):
+                    t = slice(k, k + 100_000)
+                    linked[i[t], j[t]] = np.einsum("ij,ij->i", xs[r[i[t]]], y[cols[j[t]]]) >= cosine
+            own = q_node[some][r]
+            linked &= own[:, None] != m_node[cols][None, :]
+            hit, met = linked.any(axis=1), linked.any(axis=0)
+            if not hit.any():
+                continue
+            links[at + r] += linked @ n[cols]
+            linked, own, met_node = linked[np.ix_(hit, met)], own[hit], m_node[cols][met]
+            of_rows, of_cols = _local_components(linked, own, met_node)
+            ties += [(own, of_rows), (met_node, of_cols)]
         got = np.flatnonzero(links)
         node = np.concatenate([q_node[got], *(a for a, _ in ties)])
         least = np.concatenate([q_node[got], *(b for _, b in ties)])

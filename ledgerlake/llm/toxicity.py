@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ class Model:
 class WordScores(dict):
     """Scores of words, computed on first sight.  Emptied when it holds ``most`` words."""
 
-    def __init__(self, weights: np.ndarray, most: int = 400_000):
+    def __init__(self, weights: np.ndarray, most: int = 200_000):
         super().__init__()
         self.table, self.most = weights, most
 
@@ -155,11 +156,23 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = 8_000, max_byte
     # at most max_docs ids: small enough to send to every task, so only the chosen texts move
     chosen = chosen.dropDuplicates(["_id"])
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
-    rows = rows.orderBy("_id", "_text").select("_text", "_mark").toPandas()
+    # the sample is bounded, so one task holds it; the driver gets the weights alone
+    fitted = rows.groupBy(F.lit(0).alias("_all")).applyInArrow(_fit_task(weights), "weights binary, bias double, constant double").first()
     drop_scratch(docs.sparkSession, path)
-    texts, toxic = rows["_text"].tolist(), rows["_mark"].to_numpy(bool)
-    weight = np.where(toxic, weights.get(True, 0.0), weights.get(False, 0.0))
-    return fit(texts, toxic, weight)
+    if fitted is None:
+        return Model(np.zeros(SLOTS, np.float32), 0.0, constant=0.0)
+    return Model(np.frombuffer(fitted.weights, np.float32), fitted.bias, fitted.constant)
+
+
+def _fit_task(class_weights: dict[bool, float]):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.select(["_id", "_text", "_mark"]).sort_by([("_id", "ascending"), ("_text", "ascending")])
+        toxic = table["_mark"].to_numpy().astype(bool)
+        weight = np.where(toxic, class_weights.get(True, 0.0), class_weights.get(False, 0.0))
+        model = fit(table["_text"].to_pylist(), toxic, weight)
+        return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias], "constant": pa.array([model.constant], pa.float64())})
+
+    return run
 
 
 def held_out(doc_id):

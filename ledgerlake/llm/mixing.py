@@ -13,8 +13,8 @@ values of their own; null and empty texts have no tokens, lie in the topic
 ``empty`` and are kept by their cell's weight (1 before scaling: they carry no
 tokens to weigh).  Repeated rows are kept or dropped together.  A target that
 names a value with no document is renormalised over the others; cells that
-cannot reach their marginals (structural zeros) keep the weights of the last
-sweep.  Column names that end in ``_mix`` are the operator's own.
+cannot reach their marginals (structural zeros) keep the weights of the sweep
+after which nothing improves.  Column names that end in ``_mix`` are the operator's own.
 """
 
 from __future__ import annotations
@@ -77,30 +77,31 @@ def targets_of(cells: DataFrame, dimension: str, shares: dict[str | None, float]
     return sums.select(column, (F.col("raw") * F.lit((total[0] or 0.0) / (total[1] or 1.0))).alias("goal"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], *, sweeps: int = 25, tolerance: float = 1e-6) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], *, sweeps: int = 20, tolerance: float = 1e-6) -> DataFrame:
     """``cells`` with w_mix, such that the sum of n_mix * w_mix by each dimension meets its target."""
     spark = cells.sparkSession
-    now, path = scratch_table(cells.withColumn("w_mix", F.lit(1.0)), "mix-cells")
+    now, path = scratch_table(cells.withColumn("w_mix", F.lit(1.0)).withColumn("off_mix", F.lit(0.0)), "mix-cells")
+    worst = float("inf")
     for _ in range(sweeps):
-        step = now
         for d in DIMENSIONS:
             column = f"{d}_mix"
-            got = step.groupBy(column).agg(F.sum(F.col("n_mix") * F.col("w_mix")).alias("got"))
+            got = now.groupBy(column).agg(F.sum(F.col("n_mix") * F.col("w_mix")).alias("got"))
             factor = got.join(targets[d], column).filter("got > 0").select(column, (F.col("goal") / F.col("got")).alias("f"))
             # cells without tokens keep their weight; a value that the target leaves out gets none
-            step = step.join(factor, column, "left").withColumn("f", F.when(F.col("n_mix") > 0, F.coalesce("f", F.lit(0.0))).otherwise(1.0))
-            step = step.withColumn("w_mix", F.col("w_mix") * F.col("f")).withColumn(f"off_{d}", F.abs(F.col("f") - 1)).drop("f")
-        off = F.max(F.greatest(*[f"off_{d}" for d in DIMENSIONS]))
-        step, new_path = scratch_table(step, "mix-cells")
-        drop_scratch(spark, path)
-        worst = step.filter("n_mix > 0").agg(off).first()[0] or 0.0
-        now, path = step.drop(*[f"off_{d}" for d in DIMENSIONS]), new_path
-        if worst < tolerance:
+            step = now.join(factor, column, "left").withColumn("f", F.when(F.col("n_mix") > 0, F.coalesce("f", F.lit(0.0))).otherwise(1.0))
+            off = F.abs(F.col("f") - 1) if d == DIMENSIONS[0] else F.greatest("off_mix", F.abs(F.col("f") - 1))
+            step = step.withColumn("off_mix", off).withColumn("w_mix", F.col("w_mix") * F.col("f")).drop("f")
+            # written after every marginal: the plan of a step holds that step alone
+            now, new_path = scratch_table(step, "mix-cells")
+            drop_scratch(spark, path)
+            path = new_path
+        before, worst = worst, now.filter("n_mix > 0").agg(F.max("off_mix")).first()[0] or 0.0
+        if worst < tolerance or worst > 0.9 * before:  # met, or as near as the cells allow
             break
-    return now
+    return now.drop("off_mix")
 
 
-def mix(docs: DataFrame, *, shares: dict[str, dict] | None = None, topic: Column | None = None, seed: int = 42, sweeps: int = 25) -> DataFrame:
+def mix(docs: DataFrame, *, shares: dict[str, dict] | None = None, topic: Column | None = None, seed: int = 42, sweeps: int = 20) -> DataFrame:
     """``docs`` with topic_mix, n_mix (the cell's tokens), w_mix, p_mix and kept_mix.
 
     ``shares``: target token shares by dimension, e.g. {"lang": {"en": 0.5, "de": 0.5}}; a dimension
@@ -108,7 +109,7 @@ def mix(docs: DataFrame, *, shares: dict[str, dict] | None = None, topic: Column
     """
     topic = topic_of(F.col("text")) if topic is None else topic
     cells, path = scratch_table(cells_of(docs, topic), "mix-count")
-    targets = {d: targets_of(cells, d, (shares or {}).get(d), TEMPER[d]) for d in DIMENSIONS}
+    targets = {d: scratch_table(targets_of(cells, d, (shares or {}).get(d), TEMPER[d]), "mix-target")[0] for d in DIMENSIONS}
     weights = rake(cells, targets, sweeps=sweeps)
     top = weights.filter("n_mix > 0").agg(F.max("w_mix")).first()[0] or 1.0
     weights = weights.withColumn("p_mix", F.least(F.lit(1.0), F.when(F.col("n_mix") > 0, F.col("w_mix") / F.lit(top)).otherwise(1.0)))
@@ -119,6 +120,6 @@ def mix(docs: DataFrame, *, shares: dict[str, dict] | None = None, topic: Column
     return out.withColumn("kept_mix", chance < F.col("p_mix")).drop("source_mix", "lang_mix")
 
 
-def sample_mixed(docs: DataFrame, *, shares: dict[str, dict] | None = None, seed: int = 42) -> DataFrame:
+def sample_mixed(docs: DataFrame, *, shares: dict[str, dict] | None = None, seed: int = 42, sweeps: int = 20) -> DataFrame:
     """The rows of ``docs`` that the mix keeps, columns unchanged."""
-    return mix(docs, shares=shares, seed=seed).filter("kept_mix").select(*docs.columns)
+    return mix(docs, shares=shares, seed=seed, sweeps=sweeps).filter("kept_mix").select(*docs.columns)

@@ -70,5 +70,5 @@ def test_odd_rows(spark, docs_of):
     assert all(r.topic_mix == "=empty" for r in got if not (r.text or "").strip())
     twins = [r.kept_mix for r in got if r.doc_id == 5]
     assert len(twins) == 2 and twins[0] == twins[1]  # a hash decides
-    assert M.sample_mixed(docs.limit(3)).columns == docs.columns
+    assert M.sample_mixed(docs.limit(3), sweeps=1).columns == docs.columns
     assert M.sample_mixed(docs.limit(0)).count() == 0

@@ -238,6 +238,8 @@ def keep_one_per_group(docs: DataFrame, *, shingle: int = 4, distance: int = 4)
     heads, _ = scratch_table(heads, "simhash-heads")
     on = F.col("doc_id").cast("long").eqNullSafe(F.col("_head"))
     single = docs.join(heads.filter("_rows = 1"), on, "left_semi")
+    if heads.filter("_rows > 1").isEmpty():
+        return single
     # ids on several rows: the rows are told apart by the component of their own text
     again = docs.join(heads.filter("_rows > 1"), on, "left_semi")
     again = again.select(F.struct(*again.columns).alias("r"), simhash_udf(shingle)(F.col("text")).alias("fp")).join(parts, "fp")

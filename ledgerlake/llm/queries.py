@@ -12,7 +12,7 @@ from ledgerlake.llm.chat import chat_digests, format_chat
 from ledgerlake.llm.common import read_table
 from ledgerlake.llm.html_density import extract_main_text
 from ledgerlake.llm.lines import line_dedup, line_digest
-from ledgerlake.llm.mixing import mix
+from ledgerlake.llm.mixing import KEEP, mix
 from ledgerlake.llm.oracle import ORACLE_SQL
 from ledgerlake.llm.pq_dedup import embedding_near_dedup
 from ledgerlake.llm.simhash import simhash_dedup
@@ -56,7 +56,7 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]))
+    mixed = mix(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]), keep=KEEP)
     return mixed.select("doc_id", "source", "lang", F.expr("substr(topic_mix, 2)").alias("topic"), F.col("w_mix").alias("weight"), F.col("p_mix").alias("probability"), F.col("kept_mix").alias("kept"))
 
 

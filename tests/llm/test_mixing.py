@@ -72,3 +72,52 @@ def test_odd_rows(spark, docs_of):
     assert len(twins) == 2 and twins[0] == twins[1]  # a hash decides
     assert M.sample_mixed(docs.limit(3), sweeps=1).columns == docs.columns
     assert M.sample_mixed(docs.limit(0)).count() == 0
+
+
+def _cells(spark, rows):
+    full = [(f"={s}", f"={lang}", f"={t}", float(n)) for s, lang, t, n in rows]
+    return spark.createDataFrame(full, "source_mix string, lang_mix string, topic_mix string, n_mix double")
+
+
+def _kept(out, column):
+    got = {}
+    for r in out.collect():
+        got[r[column][1:]] = got.get(r[column][1:], 0.0) + r.n_mix * r.p_mix
+    return got
+
+
+def test_a_rare_cell_does_not_set_what_the_others_keep(spark):
+    rows = [(s, lang, t, n * m * k) for s, n in (("a", 9), ("b", 7)) for lang, m in (("en", 80), ("de", 20)) for t, k in (("article", 900), ("short", 300))]
+    for scale in (1, 1000):
+        big = [(*r[:3], r[3] * scale) for r in rows]
+        out, report = M.mixed_cells(_cells(spark, [*big, ("rare", "en", "short", 20)]), keep=0.75)
+        assert abs(report.kept_share - 0.75) < 1e-5 and report.error < 1e-6
+        weight = {r.source_mix: r.p_mix for r in out.collect()}
+        assert weight["=rare"] == 1
+        alone, _ = M.mixed_cells(_cells(spark, big), keep=0.75)
+        was = {(r.source_mix, r.lang_mix, r.topic_mix): r.p_mix for r in alone.collect()}
+        now = {(r.source_mix, r.lang_mix, r.topic_mix): r.p_mix for r in out.collect()}
+        assert all(abs(now[c] - p) < 0.01 for c, p in was.items())
+        # languages, which have enough, keep their raised shares
+        have = {lang: sum(r[3] for r in big if r[1] == lang) + 20 * (lang == "en") for lang in ("en", "de")}
+        raised = {lang: v**0.85 for lang, v in have.items()}
+        kept = _kept(out, "lang_mix")
+        assert all(abs(kept[v] / sum(kept.values()) - raised[v] / sum(raised.values())) < 1e-5 for v in have)
+
+
+def test_targets_beyond_the_budget_lose_no_cell(spark):
+    rows = [("a", "en", "t", 1e6), ("b", "de", "t", 2.5e5), ("c", "de", "t", 1e5), ("a", "de", "t", 1e3), ("b", "en", "t", 1e3)]
+    for here in (0, 100):
+        out, report = M.mixed_cells(_cells(spark, rows), keep=0.75, sweeps=3, cells_here=here)
+        assert report.error > 1e-3  # told, not hidden
+        assert all(0.05 < r.p_mix <= 1 for r in out.collect())
+
+
+def test_driver_and_table_rake_alike(spark):
+    rows = [(s, lang, t, n * m * k) for s, n in (("a", 90), ("b", 40)) for lang, m in (("en", 9), ("de", 4)) for t, k in (("x", 7), ("y", 5))]
+    got = []
+    for here in (0, 100):
+        out, report = M.mixed_cells(_cells(spark, [*rows, ("a", "en", "empty", 0)]), shares={"lang": {"en": 0.6, "de": 0.4}}, keep=0.6, cells_here=here)
+        assert report.error < 1e-6
+        got.append({(r.source_mix, r.lang_mix, r.topic_mix): r.p_mix for r in out.collect()})
+    assert all(abs(got[0][c] - got[1][c]) < 1e-4 for c in got[0])

@@ -121,3 +121,16 @@ def test_driver_and_table_rake_alike(spark):
         assert report.error < 1e-6
         got.append({(r.source_mix, r.lang_mix, r.topic_mix): r.p_mix for r in out.collect()})
     assert all(abs(got[0][c] - got[1][c]) < 1e-4 for c in got[0])
+
+
+def test_thinly_linked_sources_and_languages_meet_their_targets(spark):
+    rows = [("a", "en", "t", 1e6), ("b", "de", "t", 2.5e5), ("c", "de", "t", 1e5), ("a", "de", "t", 1e3), ("b", "en", "t", 1e3)]
+    total = sum(r[3] for r in rows)
+    out, report = M.mixed_cells(_cells(spark, rows), shares={"source": {"a": 1, "b": 1, "c": 1}, "lang": {"en": 1, "de": 1}})
+    got = {}
+    for r in out.collect():
+        got[r.source_mix] = got.get(r.source_mix, 0) + r.n_mix * r.w_mix
+    assert report.error < 1e-6 and report.sweeps > 20
+    assert all(abs(v / total - 1 / 3) < 1e-5 for v in got.values())
+    _, report = M.mixed_cells(_cells(spark, rows))
+    assert report.error < 1e-6 and report.sweeps > 20

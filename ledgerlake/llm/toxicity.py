@@ -7,6 +7,13 @@ document is toxic with probability ``1 - prod(1 - p_sentence)``, and the weights
 are fitted to document labels only, so the same scores locate the offending
 sentences.
 
+A noisy-or over very many clean sentences adds up to toxic by itself.  So the
+sum that makes a text toxic rises with its length by what clean sentences of
+labelled documents add: their mean and, for chance, a multiple of their spread
+(both measured on a quarter of the sample by a fit to the rest), counted beyond
+the sample's usual number of sentences.  Texts up to that length are scored by
+the plain noisy-or.
+
 Slots seen in fewer than ``min_docs`` training documents get no weight, so words
 that one document happens to hold are not learnt by heart.
 
@@ -39,6 +46,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import drop_scratch, scratch_table
 
 SLOTS = 1 << 18
+CHANCE = 3.0  # spreads
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
 
@@ -55,6 +63,15 @@ class Model:
     weights: np.ndarray
     bias: float
     constant: float | None = None
+    leak: float = 0.0  # mean and spread of what a clean sentence adds, and sentences of a usual document
+    spread: float = 0.0
+    usual: float = 1.0
+
+    def probability(self, z: np.ndarray) -> float:
+        """That a document with these sentence logits is toxic."""
+        more = max(0.0, len(z) - self.usual)
+        allowed = self.leak * more + CHANCE * self.spread * math.sqrt(more)
+        return float(-np.expm1(-softplus(z).sum() * math.log(2) / (math.log(2) + allowed)))
 
 
 class WordScores(dict):
@@ -135,7 +152,29 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, *, rounds: int
         b -= step * n1 / (np.sqrt(n2) + 1e-8)
     table = np.zeros(SLOTS, np.float32)
     table[slots] = w
-    return Model(table, float(b))
+    z = np.add.reduceat(np.add.reduceat(w[slot], cuts)[words], first) + b
+    clean = softplus(z[~toxic[doc]])
+    usual = len(doc) / max(1, len(np.unique(doc)))
+    if not len(clean):
+        return Model(table, float(b), usual=usual)
+    return Model(table, float(b), leak=float(clean.mean()), spread=float(clean.std()), usual=usual)
+
+
+def fit_for_any_length(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model:
+    """``fit`` with leak and spread measured on clean texts that a model of the other three quarters has not seen."""
+    model = fit(texts, toxic, weight)
+    if model.constant is not None:
+        return model
+    apart = np.arange(len(texts)) % 4 == 0
+    probe = fit([t for t, a in zip(texts, apart) if not a], toxic[~apart], weight[~apart])
+    if probe.constant is not None:
+        return model
+    scores = WordScores(probe.weights)
+    parts = [softplus(sentence_logits(texts[k].lower(), scores, probe.bias)) for k in np.flatnonzero(apart & ~toxic)]
+    added = np.concatenate([np.zeros(0), *parts])
+    if len(added):
+        model.leak, model.spread = max(model.leak, float(added.mean())), max(model.spread, float(added.std()))
+    return model
 
 
 def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = 8_000, max_bytes: int = 32 << 20) -> Model:
@@ -157,11 +196,11 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = 8_000, max_byte
     chosen = chosen.dropDuplicates(["_id"])
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
     # the sample is bounded, so one task holds it; the driver gets the weights alone
-    fitted = rows.groupBy(F.lit(0).alias("_all")).applyInArrow(_fit_task(weights), "weights binary, bias double, constant double").first()
+    fitted = rows.groupBy(F.lit(0).alias("_all")).applyInArrow(_fit_task(weights), "weights binary, bias double, constant double, leak double, spread double, usual double").first()
     drop_scratch(docs.sparkSession, path)
     if fitted is None:
         return Model(np.zeros(SLOTS, np.float32), 0.0, constant=0.0)
-    return Model(np.frombuffer(fitted.weights, np.float32), fitted.bias, fitted.constant)
+    return Model(np.frombuffer(fitted.weights, np.float32), fitted.bias, fitted.constant, fitted.leak, fitted.spread, fitted.usual)
 
 
 def _fit_task(class_weights: dict[bool, float]):
@@ -169,8 +208,9 @@ def _fit_task(class_weights: dict[bool, float]):
         table = table.select(["_id", "_text", "_mark"]).sort_by([("_id", "ascending"), ("_text", "ascending")])
         toxic = table["_mark"].to_numpy().astype(bool)
         weight = np.where(toxic, class_weights.get(True, 0.0), class_weights.get(False, 0.0))
-        model = fit(table["_text"].to_pylist(), toxic, weight)
-        return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias], "constant": pa.array([model.constant], pa.float64())})
+        model = fit_for_any_length(table["_text"].to_pylist(), toxic, weight)
+        length = {"leak": [model.leak], "spread": [model.spread], "usual": [model.usual]}
+        return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias], "constant": pa.array([model.constant], pa.float64())} | length)
 
     return run
 
@@ -185,12 +225,13 @@ OUT = "score double, n_sentences int, offending array<struct<start:int,end:int,s
 
 
 def score_udf(docs: DataFrame, model: Model):
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.constant))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(OUT)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        weights, bias, constant = shared.value
-        scores = WordScores(weights)
+        model = shared.value
+        bias, constant = model.bias, model.constant
+        scores = WordScores(model.weights)
         for batch in batches:
             out = []
             for text in batch:
@@ -199,7 +240,7 @@ def score_udf(docs: DataFrame, model: Model):
                 if constant is not None:
                     out.append((constant if len(z) else 0.0, len(z), []))
                     continue
-                total = float(-np.expm1(-softplus(z).sum()))
+                total = model.probability(z)
                 spots = []
                 if total >= 0.5:
                     p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))

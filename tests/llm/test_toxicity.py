@@ -63,3 +63,22 @@ def test_odd_rows_and_labels(spark, docs_of):
     assert T.toxicity(docs.limit(0), labels).count() == 0
     kept = T.drop_toxic(docs, labels)
     assert kept.columns == docs.columns and kept.count() <= len(odd_rows())
+
+
+def test_a_long_text_of_clean_sentences_stays():
+    rows = corpus(1000)
+    train, rest = rows[:700], rows[700:]
+    toxic = np.array([b for _, _, b in train])
+    model = T.fit_for_any_length([t for _, t, _ in train], toxic, np.ones(len(train)))
+    scores = T.WordScores(model.weights)
+    logits = lambda t: T.sentence_logits(t.lower(), scores, model.bias)
+    plain = lambda t: -np.expm1(-T.softplus(logits(t)).sum())
+    clean = [t for _, t, b in rest if not b and plain(t) < 0.5]
+    found = [t for _, t, b in rest if b and plain(t) >= 0.9]
+    for copies in (1, 10, 100):
+        long = " ".join(clean * copies)
+        assert model.probability(logits(long)) < 0.5
+    assert plain(long) >= 0.5  # the noisy-or alone would drop it
+    # a toxic document stays toxic with clean ones around it
+    kept = [model.probability(logits(" ".join([*clean[:20], t, *clean[20:40]]))) >= 0.5 for t in found]
+    assert found and np.mean(kept) > 0.8

@@ -12,7 +12,10 @@ children joined in this way those under the threshold are left out.
 Elements that are never article text (scripts, navigation, forms, ...) and
 those whose class, id or role says so (adverts, sidebars, notices, reader
 comments) are cut before densities are computed.  Such a name alone does not cut
-an element that holds the page's heading, main element or article.
+an element that holds the page's heading, main element or article, nor a
+heading.  Inside an article or main element only names of adverts, notices and
+comments cut by themselves.  Other names there, and names of which only a part is
+such a word (``related-work``), cut if half of the element's text is links.
 
 Text is taken block by block in page order: character references decoded, white
 space runs to one space, trimmed, empty blocks left out, blocks joined by one
@@ -49,6 +52,11 @@ FURNITURE = frozenset(
     "newsletter notice notices notification overlay pager pagination paywall popup promo promos promotion related replies reply respond "
     "rss search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget widgets".split()
 )
+# Of these, the names that cut inside an article too.
+SURE = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adsense comment comments commentlist consent cookie cookies disqus gdpr "
+    "notice notices paywall popup promo promos promotion replies reply respond sponsor sponsored".split()
+)
 COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 # An element of the first kind that opens closes an open one of the second.
@@ -72,7 +80,7 @@ class Page:
     """A page as arrays: of each node its tag, parent and furniture mark; the items are nodes' starts and texts in order."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.mark, self.items = ["#"], [-1], [False], []
+        self.tag, self.parent, self.mark, self.items = ["#"], [-1], [""], []
         self.end = [0]
         stack = [0]
         at, n = 0, len(source)
@@ -96,7 +104,7 @@ class Page:
             node = len(self.tag)
             self.tag.append(tag)
             self.parent.append(stack[-1])
-            self.mark.append(self._furniture(tag, attrs) if attrs else False)
+            self.mark.append(self._furniture(tag, attrs) if attrs else "")
             self.items.append((node, None))
             if tag in RAW:
                 if lowered is None:
@@ -115,14 +123,22 @@ class Page:
                     stack.append(node)
 
     @staticmethod
-    def _furniture(tag: str, attrs: str) -> bool:
-        found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)}
-        names = set(NAMES.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
+    def _furniture(tag: str, attrs: str) -> str:
+        """Why the attributes mark furniture: "always", "name" (adverts, notices, comments), "outside" an article, or "links" decide."""
         if tag in ("html", "body"):
-            return False
+            return ""
+        found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)}
+        whole = [set(NAMES.findall(t)) for t in f"{found.get('class', '')} {found.get('id', '')}".lower().split()]
+        names = set().union(*whole)
         if tag in ("article", "main"):
-            return bool(names & COMMENTS)
-        return bool(names & FURNITURE) or found.get("role", "").lower() in ROLES or bool(HIDDEN.search(attrs))
+            return "always" if names & COMMENTS else ""
+        if found.get("role", "").lower() in ROLES or HIDDEN.search(attrs):
+            return "always"
+        if tag in HEADINGS or not names & FURNITURE:
+            return ""
+        if any(t and t <= SURE for t in whole):
+            return "name"
+        return "outside" if any(t and t <= FURNITURE for t in whole) else "links"
 
     def _implied(self, stack: list[int], tag: str) -> None:
         if tag in CLOSES_P:
@@ -153,6 +169,22 @@ class Page:
             if inline and name in BLOCK:
                 return
 
+    def _mostly_links(self) -> list[bool]:
+        """Whether at least half of a node's text lies in links."""
+        n = len(self.tag)
+        chars, links, in_link = [0] * n, [0] * n, [False] * n
+        for k in range(1, n):
+            in_link[k] = in_link[self.parent[k]] or self.tag[k] == "a"
+        for node, text in self.items:
+            if text is not None:
+                size = sum(map(len, text.split()))
+                chars[node] += size
+                links[node] += size * in_link[node]
+        for k in range(n - 1, 0, -1):
+            chars[self.parent[k]] += chars[k]
+            links[self.parent[k]] += links[k]
+        return [0 < c <= 2 * a for c, a in zip(chars, links)]
+
     def cut(self) -> list[bool]:
         """Whether a node is not article text, by its own tag and names or by a node above it."""
         n = len(self.tag)
@@ -161,13 +193,16 @@ class Page:
             if self.tag[k] in ("h1", "main", "article") and not self.mark[k]:
                 keeps[k] = True
             keeps[self.parent[k]] = keeps[self.parent[k]] or keeps[k]
+        linked = self._mostly_links() if "outside" in self.mark or "links" in self.mark else []
         out, inside = [False] * n, [False] * n  # inside: in an article or main
         in_header = [False] * n
         for k in range(1, n):
             up, tag = self.parent[k], self.tag[k]
             inside[k] = inside[up] or tag in ("article", "main")
             in_header[k] = in_header[up] or tag == "header"
-            named = self.mark[k] and not (keeps[k] and tag not in HEADINGS)
+            mark = self.mark[k]
+            named = mark in ("always", "name") or (mark == "outside" and not inside[k]) or (mark in ("outside", "links") and linked[k])
+            named = named and not (keeps[k] and tag not in HEADINGS)
             out[k] = out[up] or tag in CUT or named
             if tag == "header" and not keeps[k] and not inside[k]:
                 out[k] = True
@@ -257,7 +292,10 @@ def main_text(source: str | None) -> str:
                         root = up
                         continue
                     break
-            left_out |= {k for k in others if not running(k) and page.tag[k] not in HEADINGS and page.tag[k] != "p"}
+            # between parts of the article short siblings are parts of it, unless they are links
+            joined = [root, *(k for k in others if running(k))]
+            between = {k for k in others if min(joined) < k < max(joined) and links[k] * 3 <= chars[k]}
+            left_out |= {k for k in others if not running(k) and k not in between and page.tag[k] not in HEADINGS and page.tag[k] != "p"}
             root = up
     return _blocks(page, root, left_out)
 

@@ -52,3 +52,16 @@ def test_frame_keeps_columns_and_rows(spark):
     assert out.columns == ["page_id", "url", "html", "node", "text"]
     assert sorted(r.text for r in out.collect()) == ["", "", PARA, PARA]
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+def test_names_inside_an_article_cut_no_text():
+    inner = f"<h2 id='related-work'>Related</h2><section id='search'><p>{PARA}</p></section><p class='ad-hoc'>Ad hoc.</p><h2 id='search'>Search</h2>"
+    cut = "<div class='ad'>Buy this.</div><div id='cookie-notice'>We use cookies.</div><div class='share-links'><a href=a>Share</a></div>"
+    assert main_text(page(f"<article><h1>T</h1><p>{PARA}</p>{inner}{cut}</article>")) == f"T\n{PARA}\nRelated\n{PARA}\nAd hoc.\nSearch"
+
+
+def test_short_siblings_between_sections_stay():
+    part = f"<section>{f'<p>{PARA}</p>' * 6}</section>"
+    whole = [PARA] * 6
+    body = f"<div>{part}<div><p>Short.</p></div>{part}</div>"
+    assert main_text(page(body)).split("\n") == [*whole, "Short.", *whole]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.align import aligned_corpus, load_tokenizers
 from ledgerlake.llm.bpe import Vocabulary, build_lexicon, round_trip_digests
 from ledgerlake.llm.chat import chat_digests, format_chat
 from ledgerlake.llm.common import read_table
@@ -80,6 +81,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, labels).drop("offending")
 
 
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizers = load_tokenizers(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return aligned_corpus(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizers, hashed=True).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -91,4 +97,5 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
+    "op12_align_tokenizers": op12_align_tokenizers,
 }

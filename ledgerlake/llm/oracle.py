@@ -88,10 +88,43 @@ select query_id, row_number() over (partition by query_id order by score desc, v
 from s qualify rank <= 5
 """
 
+RUNS = r"""
+with h as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda x : ascii(x)::bigint)),
+      lambda c, b : list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda v, z : xor(v >> 1, 3988292384 * (v & 1))))) as h
+  from documents
+),
+g as (select *, len(w) as n, h // 10 as g from h),
+a as (select *, case when h % 10 = 0 and n > 0 then g % n end as a from g),
+d as (
+  select doc_id, n, case when a is null then w else
+    list_transform(range(n), lambda i : w[1 + case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end]) end as w from a
+),
+s as (select doc_id, n, unnest(range(1, n - 14)) as i, w from d where n >= 24),
+t as (select doc_id, n, i, array_to_string(w[i:i + 15], ' ') as gram from s),
+p as (select x.doc_id, y.i - x.i as q, x.i from t x join t y on x.doc_id = y.doc_id and x.gram = y.gram and x.i < y.i where 3 * (y.i - x.i) <= x.n),
+e as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as island from p),
+m as (select doc_id, q, min(i) - 1 as start, count(*) + 15 + q as length from e group by doc_id, q, island),
+r as (select doc_id, start, length, min(q) as period from m where length >= greatest(24, 3 * q) group by doc_id, start, length),
+o as (select doc_id, unnest(range(start + period, start + length)) as i from r),
+u as (select distinct doc_id, i from o),
+x as (
+  select doc_id, count(*) as n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period)) as runs_sha256,
+    list({'start': start, 'length': length, 'period': period} order by length::double / period desc, start, period)[1] as top from r group by doc_id
+),
+v as (select doc_id, unnest(w) as word, unnest(range(n)) as i from d),
+k as (select v.doc_id, string_agg(v.word, ' ' order by v.i) as text from v left join u on u.doc_id = v.doc_id and u.i = v.i where u.i is null group by v.doc_id)
+select d.doc_id, coalesce(x.n_runs, 0)::bigint as n_runs, top.start::bigint as start, top.length::bigint as length, top.period::bigint as period,
+  (1000 * top.length // top.period)::bigint as exponent_milli, coalesce(x.runs_sha256, sha256('')) as runs_sha256, sha256(coalesce(k.text, '')) as collapsed_sha256
+from d left join x on x.doc_id = d.doc_id left join k on k.doc_id = d.doc_id
+"""
+
 ORACLE_SQL = {
     "op1_embedding_near_dedup": NEAR_DUPLICATES,
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op7_line_dedup": LINE_DEDUP,
     "op8_chat_format": CHAT_FORMAT,
     "op9_exact_top_k": TOP_K,
+    "op11_periodic_runs": RUNS,
 }

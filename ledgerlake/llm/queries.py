@@ -16,6 +16,7 @@ from ledgerlake.llm.lines import line_dedup, line_digest
 from ledgerlake.llm.mixing import KEEP, mix
 from ledgerlake.llm.oracle import ORACLE_SQL
 from ledgerlake.llm.pq_dedup import embedding_near_dedup
+from ledgerlake.llm.runs import collapse_runs, run_digest, with_planted_runs
 from ledgerlake.llm.simhash import simhash_dedup
 from ledgerlake.llm.substring import kept_digest, substring_dedup
 from ledgerlake.llm.topk import exact_top_k
@@ -81,6 +82,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, labels).drop("offending")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return run_digest(collapse_runs(docs, min_length=24, min_exponent=3))
+
+
 def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizers = load_tokenizers(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     return aligned_corpus(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizers, hashed=True).withColumnRenamed("groups", "groups_sha256")
@@ -97,5 +103,6 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_align_tokenizers": op12_align_tokenizers,
 }

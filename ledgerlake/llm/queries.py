@@ -12,6 +12,7 @@ from ledgerlake.llm.bpe import Vocabulary, build_lexicon, round_trip_digests
 from ledgerlake.llm.chat import chat_digests, format_chat
 from ledgerlake.llm.common import read_table
 from ledgerlake.llm.html_density import extract_main_text
+from ledgerlake.llm.licenses import license_digest, scan_licenses
 from ledgerlake.llm.lines import line_dedup, line_digest
 from ledgerlake.llm.mixing import KEEP, mix
 from ledgerlake.llm.oracle import ORACLE_SQL
@@ -92,6 +93,10 @@ def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned_corpus(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizers, hashed=True).withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(scan_licenses(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -105,4 +110,5 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_align_tokenizers": op12_align_tokenizers,
+    "op13_license_scan": op13_license_scan,
 }

@@ -41,7 +41,7 @@ from ledgerlake.llm.common import drop_scratch, scratch_table, shuffle_width
 
 LANE = 256
 BATCH_BYTES = 2 << 20
-MEMO = 300_000
+MEMO = 200_000
 PAIRS_PER_BUCKET = 2_000_000
 
 Tokenizers = tuple[str, bytes]
@@ -109,7 +109,12 @@ class PairEncoder:
             return text.split(" ")
         return [c[1:] for c in self.CUT.split(" " + text)]
 
-    def learn(self, chunks: list[str]) -> None:
+    def learn(self, chunks: list[str], at_once: int = 8_192) -> None:
+        """Asks the libraries for ``at_once`` chunks at a time: what they return for a chunk is far larger than its ids."""
+        for k in range(0, len(chunks), at_once):
+            self.add(chunks[k : k + at_once])
+
+    def add(self, chunks: list[str]) -> None:
         a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         b = self.b.encode(chunks, num_threads=1)
         self.code.update(zip(chunks, range(len(self.code), len(self.code) + len(chunks))))
@@ -121,7 +126,8 @@ class PairEncoder:
         for k, new in enumerate((a, b)):
             flat, at = self.pools[k]
             n = np.fromiter(map(len, new), np.int64, len(new))
-            self.pools[k] = np.append(flat, np.fromiter(chain.from_iterable(new), np.int32, int(n.sum()))), np.append(at, at[-1] + np.cumsum(n))
+            ids = np.fromiter(chain.from_iterable(new), np.int32, int(n.sum()))
+            self.pools[k] = np.append(flat, ids), np.append(at, at[-1] + np.cumsum(n))
 
     def __call__(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """([flat ids of A, of B], [document borders in A, in B]); a text without tokens has an empty range."""
@@ -244,10 +250,30 @@ def align(docs: DataFrame, tokenizers: Tokenizers, hashed: bool = False) -> Data
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ALIGNED)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], links: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of about as many links (n_links), one row at least: what a task holds is bounded, whatever the batch."""
+    for batch in batches:
+        total = np.cumsum(np.asarray(batch.column("n_links").fill_null(0), np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + links, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a binary column, and the rows' borders among them."""
-    n = np.array([len(x) // np.dtype(kind).itemsize for x in column.to_pylist()], np.int64)
-    return np.frombuffer(b"".join(column.to_pylist()), kind), np.concatenate(([0], np.cumsum(n)))
+    """All numbers of a binary column without nulls, and the rows' borders among them, read in place."""
+    ends = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1]
+    size = np.dtype(kind).itemsize
+    if not len(column) or ends[0] == ends[-1]:
+        return np.zeros(0, kind), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(column.buffers()[2], kind, int(ends[-1] - ends[0]) // size, int(ends[0])), (ends - ends[0]).astype(np.int64) // size
+
+
+def _blobs(flat: np.ndarray, border: np.ndarray) -> pa.Array:
+    """A binary column of the numbers' bytes, a row between each two borders."""
+    ends = (border * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(flat.tobytes())])
 
 
 def pair_width(tokenizers: Tokenizers) -> tuple[int, str]:
@@ -272,8 +298,8 @@ def link_counts(aligned: DataFrame, width: int, kind: str, hold: int = 2_000_000
             return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n)], names=["code", "n"])
 
         parts, size = [], 0
-        for batch in batches:
-            flat, border = _flat(batch.column(0), kind)
+        for batch in _slices(batches):
+            flat, border = _flat(batch.column("codes"), kind)
             if not len(flat):
                 continue
             first = np.concatenate(([True], flat[1:] != flat[:-1]))
@@ -289,7 +315,7 @@ def link_counts(aligned: DataFrame, width: int, kind: str, hold: int = 2_000_000
         if parts:
             yield rows(*summed(parts))
 
-    counted = aligned.select("codes").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = aligned.select("codes", "n_links").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     most = counted.groupBy(F.expr(f"code div {width}").alias("a")).agg(F.max("n").alias("most"))
     return counted.join(most, F.expr(f"code div {width}") == F.col("a")).select("code", "n", (F.col("n") == F.col("most")).alias("best"))
 
@@ -306,16 +332,14 @@ def score_links(aligned: DataFrame, counts: DataFrame, kind: str, per_bucket: in
     kept = [c for c in aligned.columns if c != "codes"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             flat, border = _flat(batch.column("codes"), kind)
             bucket, doc = flat % buckets, np.repeat(np.arange(batch.num_rows), np.diff(border))
             share = np.asarray(batch.column("row"), np.int64) % shares
             rest = batch.drop_columns(["codes"])
             for b in range(buckets):
                 mine = bucket == b
-                codes, ends = flat[mine].tobytes(), np.cumsum(np.bincount(doc[mine], minlength=batch.num_rows)) * np.dtype(kind).itemsize
-                ends = np.concatenate(([0], ends)).tolist()
-                blobs = pa.array([codes[x:y] for x, y in zip(ends, ends[1:])], pa.binary())
+                blobs = _blobs(flat[mine], np.concatenate(([0], np.cumsum(np.bincount(doc[mine], minlength=batch.num_rows)))))
                 yield pa.RecordBatch.from_arrays([pa.array((b * shares + share).astype(np.int32)), blobs, *rest.columns], names=["slot", "codes", *rest.schema.names])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +351,7 @@ def score_links(aligned: DataFrame, counts: DataFrame, kind: str, per_bucket: in
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, table = [], None
-        for batch in batches:
+        for batch in _slices(batches):
             is_count = np.asarray(batch.column("ns").is_valid())
             for r in batch.filter(pa.array(is_count)).select(["codes", "ns", "bests"]).to_pylist():
                 parts.append((np.frombuffer(r["codes"], "<i8"), np.frombuffer(r["ns"], "<i8"), np.frombuffer(r["bests"], "<i1")))

@@ -17,6 +17,11 @@ from ledgerlake.functions import as_timestamp
 BRONZE_PROVENANCE = ("_source_table", "_source_system", "_watermark_start", "_source_topic", "_producer_version")
 
 
+def ingestion_text(run_ts: dt.datetime) -> str:
+    """The ``_ingestion_ts`` of a run, as ``add_ingest_columns`` writes it."""
+    return run_ts.strftime("%Y-%m-%d %H:%M:%S")
+
+
 def _ts(run_ts: dt.datetime | str | None) -> Column:
     return F.current_timestamp() if run_ts is None else as_timestamp(run_ts)
 

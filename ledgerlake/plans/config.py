@@ -62,6 +62,14 @@ class LakeConfig:
     def watermarks(self) -> str:
         return self._p("_control", "watermarks")
 
+    @property
+    def quarantine(self) -> str:
+        return self._p("_control", "quarantine", self.source_table)
+
+    @property
+    def unreachable(self) -> str:
+        return self._p("_control", "unreachable")
+
     @property
     def versions(self) -> str:
         return self._p("_control", "versions")

@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import constants as K
-from ledgerlake.functions.instants import from_micros, instant, micros
+from ledgerlake.functions.instants import from_micros, instant, micros, to_micros
 from ledgerlake.operators.dedup import MASTER_KEYS, MASTER_RANK, latest_per_key, master_order, merge_latest
 from ledgerlake.operators.facts import fact_loan_event_activity, fact_loan_performance
-from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage
+from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage, ingestion_text
 from ledgerlake.operators.metrics import with_run_metrics
 from ledgerlake.operators.normalize import normalize_loan_master
 from ledgerlake.operators.summary import event_summary, event_type_totals
@@ -30,6 +30,7 @@ from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
 from ledgerlake.schemas import SILVER_LOAN_MASTER_COLUMNS
 from ledgerlake.sinks.catalog import repoint_table
+from ledgerlake.sinks.commitlog import CommitConflict
 from ledgerlake.sinks.files import (
     append_bronze,
     is_missing,
@@ -39,10 +40,11 @@ from ledgerlake.sinks.files import (
     version_info,
     write_version,
 )
-from ledgerlake.sources.bronze import read_bronze_events, read_bronze_master, read_table
+from ledgerlake.sources.bronze import read_bronze_events, read_bronze_master, read_ingested, read_table
 from ledgerlake.sources.dims import dim_loan_type, dim_status
 from ledgerlake.sources.incremental import read_incremental, typed_ts
-from ledgerlake.sources.watermark import get_watermark, put_watermark, watermark_status
+from ledgerlake.sources.quarantine import quarantine_rows, read_quarantine, without_known
+from ledgerlake.sources.watermark import put_watermark, watermark_state, watermark_status
 
 log = logging.getLogger("ledgerlake")
 
@@ -55,12 +57,20 @@ def run_extract(spark: SparkSession, source: DataFrame, cfg: LakeConfig, run_ts:
     """Extract rows modified after the stored watermark into bronze, then advance it.
 
     The source is read once: the write itself counts the rows, and writes no
-    file when there are none.  Rows whose text time does not parse are kept in
-    bronze and counted (``unparsed``); they do not move the watermark.
+    file when there are none.  Rows whose text time does not parse are taken
+    into bronze once and counted (``unparsed``); the quarantine remembers them,
+    so an unchanged source yields nothing on the next run.  They do not move the watermark.
+
+    Bronze is written first, then the quarantine, then the watermark: a crash in
+    between takes the same rows again.  If another extraction committed its
+    watermark meanwhile, the later of the two counts, as the rows of both are in bronze.
     """
     run_ts = _now(run_ts)
-    wm = get_watermark(spark, cfg.watermarks, cfg.source_table, cfg.first_watermark)
+    wm, seq = watermark_state(spark, cfg.watermarks, cfg.source_table, cfg.first_watermark)
     increment = read_incremental(source, "MODIFIED_TS", wm, cfg.lookback)
+    known = read_quarantine(spark, cfg.quarantine) if isinstance(source.schema["MODIFIED_TS"].dataType, T.StringType) else None
+    if known is not None:
+        increment = without_known(increment, "MODIFIED_TS", known)
     stamped = add_ingest_columns(increment, cfg.source_table, cfg.source_system, wm, run_ts)
     modified = typed_ts(increment, "MODIFIED_TS")
     stamped, obs = with_run_metrics(stamped, "extract", max_ts=F.max(micros(modified)), unparsed=F.count_if(modified.isNull()))
@@ -72,8 +82,17 @@ def run_extract(spark: SparkSession, source: DataFrame, cfg: LakeConfig, run_ts:
         log.info("no rows after watermark %s; bronze and watermark unchanged", wm)
         return {"rows": 0, "watermark": wm, "written": False}
     reached = from_micros(m["max_ts"]) or wm
-    reached = max(reached, wm)
-    put_watermark(spark, cfg.watermarks, cfg.source_table, reached, m["rows"], run_ts)
+    if m["unparsed"]:
+        mine = read_ingested(spark, cfg.bronze_master, run_ts).filter(F.col("_ingestion_ts") == F.lit(ingestion_text(run_ts)))
+        new = quarantine_rows(mine, "MODIFIED_TS", source.columns, cfg.source_table, run_ts)
+        new.write.mode("append").parquet(cfg.quarantine)
+    while True:
+        reached = max(reached, wm)
+        try:
+            put_watermark(spark, cfg.watermarks, cfg.source_table, reached, m["rows"], run_ts, expected=seq)
+            break
+        except CommitConflict:
+            wm, seq = watermark_state(spark, cfg.watermarks, cfg.source_table, cfg.first_watermark)
     return {"rows": m["rows"], "unparsed": m["unparsed"], "watermark": reached, "written": True}
 
 
@@ -85,8 +104,8 @@ def run_silver_master(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime
     silver, obs_out = with_run_metrics(silver_loan_master(bronze, _now(run_ts)), "silver_master_out")
     overwrite_table(silver, cfg.silver_master, ["loan_type"])
     rows_in, rows_out = obs_in.get["rows"], obs_out.get["rows"]
-    info = version_info(spark, cfg.versions, SILVER_MASTER_TABLE) or {"version": -1}
-    publish_version(spark, cfg.versions, SILVER_MASTER_TABLE, info["version"] + 1, cfg.silver_master, obs_in.get["high_water"])
+    high_water = from_micros(obs_in.get["high_water"])
+    publish_version(spark, cfg.versions, SILVER_MASTER_TABLE, None, cfg.silver_master, high_water)
     return {"rows_in": rows_in, "rows_out": rows_out, "duplicates_removed": rows_in - rows_out}
 
 
@@ -96,7 +115,17 @@ SILVER_EVENTS_TABLE = "silver_loan_events"
 GOLD_EVENTS_TABLE = "gold_events"
 
 
-def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
+def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None, attempts: int = 5) -> dict:
+    """Merge new bronze rows into a new silver version; merged anew if another writer published one meanwhile."""
+    for _ in range(attempts - 1):
+        try:
+            return merge_silver_master(spark, cfg, run_ts)
+        except CommitConflict as e:
+            log.info("%s; merging again", e)
+    return merge_silver_master(spark, cfg, run_ts)
+
+
+def merge_silver_master(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime | None = None) -> dict:
     """Merge only bronze rows ingested since the last merge into a new silver version.
 
     Bronze directories are pruned by ingestion date (``PartitionFilters`` on
@@ -125,8 +154,8 @@ def run_silver_master_incremental(spark: SparkSession, cfg: LakeConfig, run_ts:
     merged, obs_out = with_run_metrics(merged, "silver_master_rows")
     path = write_version(merged, cfg.silver_master_versions, version, ["loan_type"])
     m = obs.get
-    high_water = m["high_water"] if m["rows"] else (info or {}).get("high_water")
-    publish_version(spark, cfg.versions, SILVER_MASTER_TABLE, version, path, high_water)
+    high_water = m["high_water"] if m["rows"] else to_micros(info["high_water"]) if info and info["high_water"] else None
+    publish_version(spark, cfg.versions, SILVER_MASTER_TABLE, version, path, from_micros(high_water), expected=info and info["version"])
     return {"version": version, "rows_merged": m["rows"], "rows_out": obs_out.get["rows"], "path": path}
 
 
@@ -169,8 +198,7 @@ def run_silver_events(spark: SparkSession, cfg: LakeConfig, run_ts: dt.datetime
     silver, obs_out = with_run_metrics(silver_loan_events(bronze, _now(run_ts)), "silver_events_out")
     overwrite_table(silver, cfg.silver_events, ["event_type"])
     rows_in, rows_out = obs_in.get["rows"], obs_out.get["rows"]
-    info = version_info(spark, cfg.versions, SILVER_EVENTS_TABLE) or {"version": -1}
-    publish_version(spark, cfg.versions, SILVER_EVENTS_TABLE, info["version"] + 1, cfg.silver_events)
+    publish_version(spark, cfg.versions, SILVER_EVENTS_TABLE, None, cfg.silver_events)
     return {"rows_in": rows_in, "rows_out": rows_out, "duplicates_removed": rows_in - rows_out}
 
 
@@ -200,8 +228,7 @@ _HW_MASTER = "gold_events.silver_master"
 
 
 def _publish_gold_events(spark: SparkSession, cfg: LakeConfig, table: str) -> None:
-    info = version_info(spark, cfg.versions, GOLD_EVENTS_TABLE) or {"version": -1}
-    publish_version(spark, cfg.versions, GOLD_EVENTS_TABLE, info["version"] + 1, cfg.gold_table(table))
+    publish_version(spark, cfg.versions, GOLD_EVENTS_TABLE, None, cfg.gold_table(table))
 
 
 def gold_event_tables(spark: SparkSession, cfg: LakeConfig) -> dict[str, tuple[str, tuple[str, ...]]]:

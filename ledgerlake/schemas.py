@@ -123,6 +123,19 @@ WATERMARK_STATE = T.StructType(
         T.StructField("last_run_ts", T.TimestampType()),
         T.StructField("last_row_count", T.LongType()),
         T.StructField("status", T.StringType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
+# -- source rows whose modification time does not parse ---------------------
+
+QUARANTINE = T.StructType(
+    [
+        T.StructField("source_table", T.StringType()),
+        T.StructField("row_hash", T.StringType()),
+        T.StructField("time_text", T.StringType()),
+        T.StructField("row_json", T.StringType()),
+        T.StructField("first_seen", T.TimestampType()),
     ]
 )
 

@@ -9,6 +9,8 @@ type the extraction wrote (double, decimal, or text).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,11 @@ def read_bronze_master(spark: SparkSession, path: str, schema: T.StructType | No
     return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}) if absent else rows
 
 
+def read_ingested(spark: SparkSession, path: str, run_ts: dt.datetime) -> DataFrame:
+    """Bronze rows of one ingestion day: only its directory is listed and read."""
+    return spark.read.parquet(f"{path.rstrip('/')}/year={run_ts:%Y}/month={run_ts:%m}/day={run_ts:%d}")
+
+
 def read_bronze_events(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Bronze loan events (JSON lines or Parquet) under ``year=/month=/day=/hour=`` directories."""
     if fmt == "json":

@@ -6,7 +6,9 @@ landing area, or a catalog table.  The comparison is typed: when the source
 keeps its modification time as text it is parsed with the source format
 first, so ``'2024-1-5'`` style values are not compared lexicographically.
 A timestamp-typed column is compared directly and the predicate reaches the
-scan (``PushedFilters`` for Parquet; a ``WHERE`` clause for JDBC).
+scan (``PushedFilters`` for Parquet; a ``WHERE`` clause for JDBC).  For a text
+column the source gets a bound of its own (``sources.bounds``), which keeps a
+superset; the typed comparison stays on top of it.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import types as T
 from ledgerlake import constants as K
 from ledgerlake.functions import safe_timestamp
 from ledgerlake.functions.instants import from_micros, to_micros
+from ledgerlake.sources.bounds import bounded_select
 
 
 def typed_ts(df: DataFrame, ts_col: str, fmt: str = K.MODIFIED_TS_FORMAT) -> Column:
@@ -70,16 +73,35 @@ def jdbc_source(
     lower_bound: int | None = None,
     upper_bound: int | None = None,
     num_partitions: int | None = None,
+    text_time: str | None = None,
+    watermark: dt.datetime | str | None = None,
+    substring: str = "SUBSTRING",
 ) -> DataFrame:
-    """A JDBC table as a DataFrame; give a numeric ``partition_column`` for a parallel read."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
+    """A JDBC table as a DataFrame; give a numeric ``partition_column`` for a parallel read.
+
+    ``text_time`` names a column that holds its modification time as text: rows
+    certainly older than ``watermark`` then stay in the database (``bounded_select``).
+    """
+    options = jdbc_options(url, table, properties, partition_column, lower_bound, upper_bound, num_partitions, text_time, watermark, substring)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def jdbc_options(
+    url: str,
+    table: str,
+    properties: dict[str, str] | None = None,
+    partition_column: str | None = None,
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    num_partitions: int | None = None,
+    text_time: str | None = None,
+    watermark: dt.datetime | str | None = None,
+    substring: str = "SUBSTRING",
+) -> dict[str, str]:
+    """What ``jdbc_source`` asks the connector for."""
+    if text_time is not None and watermark is not None:
+        table = f"({bounded_select(table, text_time, watermark, substring)}) bounded"
+    options = {"url": url, "dbtable": table, **(properties or {})}
     if partition_column is not None:
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", str(lower_bound))
-            .option("upperBound", str(upper_bound))
-            .option("numPartitions", str(num_partitions))
-        )
-    return reader.load()
+        options |= {"partitionColumn": partition_column, "lowerBound": str(lower_bound), "upperBound": str(upper_bound), "numPartitions": str(num_partitions)}
+    return options

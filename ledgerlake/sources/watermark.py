@@ -1,49 +1,64 @@
-"""Extraction watermark state: a small append-only control table.
-
-One row is appended per successful extraction; the latest ``last_run_ts``
-per ``source_table`` is the current state.  Appending (instead of rewriting
-the table in place) means a crash can never destroy the state, and the
-state is written only after the data, so a crash in between re-extracts
-the same rows (at-least-once; silver dedup absorbs the repeat).
+"""Extraction watermark state: a control table of numbered commits.
+
+One commit is made per successful extraction; the last one (by its number, not
+by a clock) of each ``source_table`` is the current state.  A crash can never destroy the state, and
+the state is written only after the data, so a crash in between re-extracts
+the same rows (at-least-once; silver dedup absorbs the repeat).  Two
+extractions at once cannot both commit on the same state: ``put_watermark``
+with ``expected`` tells the later one (``CommitConflict``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
-from ledgerlake.functions.instants import from_micros, instant, micros, to_micros
-from ledgerlake.schemas import WATERMARK_STATE
-from ledgerlake.sinks.files import is_missing
+from ledgerlake.functions.instants import from_micros, micros, to_micros
+from ledgerlake.sinks.commitlog import CommitConflict, CommitLog
 from ledgerlake.sources.incremental import typed_ts
 
+ANY = object()
+
+
+def watermark_log(spark: SparkSession, path: str) -> CommitLog:
+    stored = "source_table string, last_watermark_us long, last_run_us long, last_row_count long, status string"
+    return CommitLog(spark, path, stored, ("source_table",))
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "source_table", F.timestamp_micros("last_watermark_us").alias("last_watermark"),
+        F.timestamp_micros("last_run_us").alias("last_run_ts"), "last_row_count", "status", "seq",
+    )
+
 
 def read_watermark_state(spark: SparkSession, path: str) -> DataFrame:
-    """The whole state table, or an empty one when nothing was written yet."""
-    try:
-        return spark.read.schema(WATERMARK_STATE).parquet(path)
-    except AnalysisException as e:
-        if not is_missing(e):
-            raise
-        return spark.createDataFrame([], WATERMARK_STATE)
+    """The state table: the commits since the last checkpoint, and the last one of each table before it."""
+    return _typed(watermark_log(spark, path).rows())
 
 
 def _latest_state(spark: SparkSession, path: str, table: str) -> DataFrame:
-    state = read_watermark_state(spark, path).filter(F.col("source_table") == table)
-    w = Window.partitionBy("source_table").orderBy(F.col("last_run_ts").desc_nulls_last())
-    return state.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return _typed(watermark_log(spark, path).latest().filter(F.col("source_table") == table))
+
+
+def watermark_state(
+    spark: SparkSession, path: str, table: str = K.SOURCE_TABLE, first: dt.datetime | str = K.DEFAULT_WATERMARK
+) -> tuple[dt.datetime, int | None]:
+    """(current watermark in UTC, number of its commit); (``first``, None) when the table was never extracted."""
+    row = _latest_state(spark, path, table).select(micros(F.col("last_watermark")).alias("w"), "seq").first()
+    if row is None:
+        return from_micros(to_micros(first)), None
+    return from_micros(to_micros(first) if row.w is None else row.w), row.seq
 
 
 def get_watermark(
     spark: SparkSession, path: str, table: str = K.SOURCE_TABLE, first: dt.datetime | str = K.DEFAULT_WATERMARK
 ) -> dt.datetime:
     """The current watermark (UTC), or ``first`` when the table was never extracted."""
-    row = _latest_state(spark, path, table).select(micros(F.col("last_watermark")).alias("w")).first()
-    return from_micros(to_micros(first) if row is None or row.w is None else row.w)
+    return watermark_state(spark, path, table, first)[0]
 
 
 def watermark_status(spark: SparkSession, path: str, table: str = K.SOURCE_TABLE) -> DataFrame:
@@ -69,13 +84,25 @@ def put_watermark(
     row_count: int,
     run_ts: dt.datetime,
     status: str = "SUCCESS",
-) -> None:
-    """Append the new state row (latest ``last_run_ts`` wins on read)."""
-    row = spark.range(1).select(
-        F.lit(table).alias("source_table"), instant(watermark).alias("last_watermark"), instant(run_ts).alias("last_run_ts"),
-        F.lit(int(row_count)).cast("bigint").alias("last_row_count"), F.lit(status).alias("status"),
-    )
-    row.coalesce(1).write.mode("append").parquet(path)
+    expected: object = ANY,
+) -> int:
+    """Commit a new state and return its number.
+
+    ``expected`` is the number of the table's state that this one follows (None:
+    there was none); if another commit of the table came since, nothing is
+    written and ``CommitConflict`` is raised.
+    """
+    row = {
+        "source_table": table, "last_watermark_us": to_micros(watermark), "last_run_us": to_micros(run_ts),
+        "last_row_count": int(row_count), "status": status,
+    }
+
+    def make(number: int) -> list[dict]:
+        if expected is not ANY and (now := watermark_state(spark, path, table)[1]) != expected:
+            raise CommitConflict(f"{table}: expected state {expected}, found {now}")
+        return [row]
+
+    return watermark_log(spark, path).append(make)
 
 
 def next_watermark_frame(increment: DataFrame, ts_col: str = "MODIFIED_TS") -> DataFrame:

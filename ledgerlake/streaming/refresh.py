@@ -9,11 +9,12 @@ shares its date, because ``event_ts`` is part of the event identity.  Each
 micro-batch therefore only touches the dates its events fall in: their present
 rows are read (found in the manifest, a set bounded by the calendar), merged
 with the batch (``merge_latest``) and written to a *new* directory of the batch;
-then the manifest gets a row for each date that says where it now is.  Nothing
-that is being read is ever overwritten, and a crash before the manifest's rows
+then a commit of the manifest says where each date now is.  Nothing
+that is being read is ever overwritten, and a crash before the commit
 leaves the table as it was, so the batch is simply merged again.  A replayed
 batch merges the same rows, which is idempotent.  The manifest's numbering also
-tells the gold refresh which dates changed.
+tells the gold refresh which dates changed.  Commits are checkpointed
+(``sinks.commitlog``): readers take one checkpoint and the few commits after it.
 
 ``row_number`` dedup and exact ``count(distinct)`` are not available on a
 streaming DataFrame, which is why the merge runs inside ``foreachBatch``
@@ -26,7 +27,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,29 +38,33 @@ from ledgerlake.operators.normalize import normalize_loan_events
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import decodable
 from ledgerlake.plans.pipelines import run_gold_events, run_gold_events_incremental
-from ledgerlake.sinks.files import is_missing, rebalanced
+from ledgerlake.sinks.commitlog import CommitConflict, CommitLog
+from ledgerlake.sinks.files import rebalanced
 from ledgerlake.sources.bronze import BRONZE_LOAN_EVENTS_READ, CORRUPT_COLUMN
 
-DATES_SCHEMA = "event_date date, seq long, directory string, batch_id long"
+def manifest_log(spark: SparkSession, cfg: LakeConfig) -> CommitLog:
+    return CommitLog(spark, cfg.silver_event_dates, "event_date string, directory string, batch_id long", ("event_date",))
 
 
 def silver_event_dates(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
-    """The manifest: where each date of the silver events was written, in order of ``seq``; None before the first refresh."""
-    try:
-        return spark.read.schema(DATES_SCHEMA).parquet(cfg.silver_event_dates)
-    except AnalysisException as e:
-        if not is_missing(e):
-            raise
+    """The manifest: where each date of the silver events was written last, and in which commit (``seq``); None before the first refresh.
+
+    Read from one checkpoint and the commits after it.
+    """
+    manifest = manifest_log(spark, cfg)
+    if manifest.head() < 0:
         return None
+    return manifest.latest().select(F.col("event_date").cast("date").alias("event_date"), "seq", "directory", "batch_id")
 
 
-def _present(spark: SparkSession, cfg: LakeConfig, dates: list | None = None) -> DataFrame | None:
-    """Silver events of ``dates`` (default: all), read from the directories that the manifest names last for them."""
+def _located(spark: SparkSession, cfg: LakeConfig, dates: list | None = None) -> list:
+    """Manifest rows of ``dates`` (default: all), a set bounded by the calendar."""
     manifest = silver_event_dates(spark, cfg)
-    if manifest is None:
-        return None
-    last = manifest.groupBy("event_date").agg(F.max_by("directory", "seq").alias("directory")).collect()
-    wanted = [r for r in last if dates is None or r.event_date in dates]
+    return [] if manifest is None else [r for r in manifest.collect() if dates is None or r.event_date in dates]
+
+
+def _present(spark: SparkSession, cfg: LakeConfig, wanted: list) -> DataFrame | None:
+    """Silver events of the manifest rows ``wanted``, read from the directories that they name."""
     if not wanted:
         return None
     root = cfg.silver_events_incremental
@@ -69,30 +73,46 @@ def _present(spark: SparkSession, cfg: LakeConfig, dates: list | None = None) ->
     return rows.withColumn("event_date", F.col("event_date").cast("date"))
 
 
-def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts) -> None:
+def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts, attempts: int = 5) -> None:
+    """Merge a batch into its dates; merged anew if another writer committed one of them meanwhile."""
     typed = add_silver_lineage(normalize_loan_events(decodable(batch)), K.JOB_SILVER_EVENTS, run_ts)
     typed = typed.withColumn("event_date", F.to_date("event_ts")).persist()
     try:
         dates = [r.event_date for r in typed.select("event_date").distinct().collect()]
         if not dates:
             return
-        current = _present(spark, cfg, dates)
-        if current is None:
-            merged = latest_per_key(typed, EVENT_KEYS, event_order())
-        else:
-            merged = merge_latest(current.select(*typed.columns), typed, EVENT_KEYS, EVENT_RANK)
-        # Every attempt has a directory of its own; only the manifest makes it count.
-        directory = f"batch=b{batch_id:010d}-{uuid.uuid4().hex}"
-        rebalanced(merged, ["event_date"]).write.partitionBy("event_date").parquet(f"{cfg.silver_events_incremental}/{directory}")
-        manifest = silver_event_dates(spark, cfg)
-        top = manifest.agg(F.max("seq")).first()[0] if manifest is not None else None
-        seq = 0 if top is None else top + 1
-        rows = spark.createDataFrame([(d, seq, directory, batch_id) for d in dates], DATES_SCHEMA)
-        rows.coalesce(1).write.mode("append").parquet(cfg.silver_event_dates)
+        for attempt in range(attempts):
+            seen = _located(spark, cfg, dates)
+            current = _present(spark, cfg, seen)
+            if current is None:
+                merged = latest_per_key(typed, EVENT_KEYS, event_order())
+            else:
+                merged = merge_latest(current.select(*typed.columns), typed, EVENT_KEYS, EVENT_RANK)
+            # Every attempt has a directory of its own; only the manifest makes it count.
+            directory = f"batch=b{batch_id:010d}-{uuid.uuid4().hex}"
+            rebalanced(merged, ["event_date"]).write.partitionBy("event_date").parquet(f"{cfg.silver_events_incremental}/{directory}")
+            try:
+                commit_dates(spark, cfg, dates, directory, batch_id, seen)
+                return
+            except CommitConflict:
+                if attempt == attempts - 1:
+                    raise
     finally:
         typed.unpersist()
 
 
+def commit_dates(spark: SparkSession, cfg: LakeConfig, dates: list, directory: str, batch_id: int, seen: list) -> int:
+    """Make ``directory`` the place of ``dates``, if each is still where the manifest rows ``seen`` had it."""
+    rows = [{"event_date": None if d is None else d.isoformat(), "directory": directory, "batch_id": batch_id} for d in dates]
+
+    def make(number: int) -> list[dict]:
+        if {(r.event_date, r.seq) for r in _located(spark, cfg, dates)} != {(r.event_date, r.seq) for r in seen}:
+            raise CommitConflict(f"dates of {directory} were committed by another writer")
+        return rows
+
+    return manifest_log(spark, cfg).append(make)
+
+
 def refresh_silver_events(
     spark: SparkSession,
     cfg: LakeConfig,
@@ -122,7 +142,7 @@ def refresh_silver_events(
 
 def current_silver_events(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
     """The incrementally maintained silver events, or None before the first refresh."""
-    return _present(spark, cfg)
+    return _present(spark, cfg, _located(spark, cfg))
 
 
 def refresh_gold_events(

@@ -6,6 +6,7 @@
     spark-submit -m ledgerlake.cli ingest --root s3a://lake --kafka-bootstrap broker:9092
     spark-submit -m ledgerlake.cli refresh --root s3a://lake
     spark-submit -m ledgerlake.cli report --root s3a://lake
+    spark-submit -m ledgerlake.cli sweep --root s3a://lake --keep-days 7
 
 Cluster settings (master, executors, ``spark.checkpoint.dir``) come from the
 submit command; nothing here is hard-coded.
@@ -26,7 +27,9 @@ from ledgerlake.plans import analytics as A
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.pipelines import gold_event_totals, register_all, run_batch_pipeline, run_events_pipeline
 from ledgerlake.session import prepare_session
+from ledgerlake.sinks.retention import KEEP, sweep
 from ledgerlake.sources.incremental import jdbc_source
+from ledgerlake.sources.watermark import get_watermark
 from ledgerlake.streaming.ingest import decode_events, file_event_stream, kafka_event_stream, start_bronze_stream
 from ledgerlake.streaming.refresh import refresh_gold_events
 
@@ -34,7 +37,7 @@ from ledgerlake.streaming.refresh import refresh_gold_events
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="ledgerlake")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("batch", "events", "ingest", "refresh", "report"):
+    for name in ("batch", "events", "ingest", "refresh", "report", "sweep"):
         s = sub.add_parser(name)
         s.add_argument("--root", required=True, help="lake root (shared storage)")
         s.add_argument("--db", default="loan_lake")
@@ -51,6 +54,8 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--first-watermark", default=K.DEFAULT_WATERMARK, help="where the first extraction starts (UTC)")
     b.add_argument("--incremental-silver", action="store_true", help="merge new bronze rows instead of rebuilding silver")
     b.add_argument("--as-of", default=None)
+    b.add_argument("--jdbc-text-time", action="store_true", help="MODIFIED_TS is text: rows certainly before the watermark stay in the database")
+    sub.choices["sweep"].add_argument("--keep-days", type=float, default=KEEP.days, help="how long unreachable data stays readable")
     i = sub.choices["ingest"]
     i.add_argument("--kafka-bootstrap")
     i.add_argument("--source-dir", help="Kafka-shaped JSON-lines files instead of a topic")
@@ -62,6 +67,12 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def text_time_bound(spark: SparkSession, cfg: LakeConfig) -> dict:
+    """The source-side bound of the next extraction, for ``jdbc_source``."""
+    wm = get_watermark(spark, cfg.watermarks, cfg.source_table, cfg.first_watermark)
+    return {"text_time": "MODIFIED_TS", "watermark": wm - (cfg.lookback or dt.timedelta())}
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = prepare_session(SparkSession.builder.appName(f"ledgerlake-{args.cmd}").getOrCreate())
@@ -76,6 +87,7 @@ def main(argv: list[str] | None = None) -> int:
             source = jdbc_source(
                 spark, args.jdbc_url, args.jdbc_table, partition_column=args.jdbc_partition_column,
                 lower_bound=args.jdbc_lower, upper_bound=args.jdbc_upper, num_partitions=args.jdbc_partitions,
+                **(text_time_bound(spark, cfg) if args.jdbc_text_time else {}),
             )
         elif args.source_parquet:
             source = spark.read.parquet(args.source_parquet)
@@ -99,6 +111,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "refresh":
         print(json.dumps(refresh_gold_events(spark, cfg, incremental=True), default=str))
         register_all(spark, cfg)
+    elif args.cmd == "sweep":
+        print(json.dumps(sweep(spark, cfg, dt.timedelta(days=args.keep_days))))
     elif args.cmd == "report":
         for fn in (A.risk_by_occ, A.volume_by_event_type, A.delinquency_by_type):
             fn(spark, cfg.db).show(truncate=False)

@@ -57,6 +57,11 @@ def silver_event_dates(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None
     return manifest.latest().select(F.col("event_date").cast("date").alias("event_date"), "seq", "directory", "batch_id")
 
 
+def partition_directory(directory: str, event_date: dt.date | str | None) -> str:
+    """Where a date's rows lie within the incremental silver events."""
+    return f"{directory}/event_date={event_date or '__HIVE_DEFAULT_PARTITION__'}"
+
+
 def _located(spark: SparkSession, cfg: LakeConfig, dates: list | None = None) -> list:
     """Manifest rows of ``dates`` (default: all), a set bounded by the calendar."""
     manifest = silver_event_dates(spark, cfg)
@@ -68,7 +73,7 @@ def _present(spark: SparkSession, cfg: LakeConfig, wanted: list) -> DataFrame |
     if not wanted:
         return None
     root = cfg.silver_events_incremental
-    paths = [f"{root}/{r.directory}/event_date={r.event_date or '__HIVE_DEFAULT_PARTITION__'}" for r in wanted]
+    paths = [f"{root}/{partition_directory(r.directory, r.event_date)}" for r in wanted]
     rows = spark.read.option("basePath", root).parquet(*paths).drop("batch")
     return rows.withColumn("event_date", F.col("event_date").cast("date"))
 

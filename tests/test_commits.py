@@ -1,0 +1,286 @@
+"""Control tables as commits, conflicts of writers, quarantine, source-side bounds, retention."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import random
+import re
+import threading
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake import fixtures as X
+from ledgerlake.plans.config import LakeConfig
+from ledgerlake.plans.layers import silver_loan_events
+from ledgerlake.plans.pipelines import current_silver_master, run_extract, run_silver_master_incremental
+from ledgerlake.sinks.commitlog import CommitConflict, CommitLog, create_if_absent
+from ledgerlake.sinks.files import append_bronze, publish_version, version_info, write_version
+from ledgerlake.sinks.retention import hold, sweep
+from ledgerlake.sources.bounds import bounded_select
+from ledgerlake.sources.incremental import jdbc_options, read_incremental
+from ledgerlake.sources.quarantine import read_quarantine
+from ledgerlake.sources.watermark import get_watermark, put_watermark, read_watermark_state, watermark_state
+from ledgerlake.streaming import refresh as R
+
+SF = "/root/testdata/sf0.001"
+
+
+def _log(spark, path, **kw):
+    return CommitLog(spark, path, "k string, v long", ("k",), **kw)
+
+
+def test_a_commit_is_created_once(spark, lake):
+    assert create_if_absent(spark, f"{lake}/a/1.json", b"one")
+    assert not create_if_absent(spark, f"{lake}/a/1.json", b"two")
+    assert open(f"{lake}/a/1.json").read() == "one"
+    assert [n for n in os.listdir(f"{lake}/a") if "tmp" in n] == []
+
+
+def test_writers_at_once_get_numbers_of_their_own(spark, lake):
+    log = _log(spark, f"{lake}/log")
+    got: list[int] = []
+    barrier = threading.Barrier(4)
+
+    def write(w):
+        barrier.wait()
+        for i in range(5):
+            got.append(log.append(lambda number: [{"k": f"w{w}", "v": i}]))
+
+    threads = [threading.Thread(target=write, args=(w,)) for w in range(4)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(got) == list(range(20)) and log.head() == 19
+    assert sorted((r.k, r.v) for r in log.latest().collect()) == [(f"w{w}", 4) for w in range(4)]
+
+
+def test_a_thousand_commits_are_read_from_a_checkpoint_and_a_tail(spark, lake):
+    log = _log(spark, f"{lake}/log", every=250)
+    want = {}
+    for n in range(1_000):
+        key = f"d{n % 37}"
+        want[key] = n
+        assert log.try_commit(n, [{"k": key, "v": n}])
+    log.append(lambda number: [{"k": "d0", "v": -1}])
+    want["d0"] = -1
+    assert {r.k: r.v for r in log.latest().collect()} == want
+    files = [f.rsplit("/", 1)[1] for f in log.rows().inputFiles()]
+    assert sum(f.endswith(".json") for f in files) == 1 and len(files) == 2
+    # what the checkpoint replaced may go; the answer stays
+    gone = log.expire(before_ms=1 << 60)
+    assert len(gone) == 1_000 + 3 and log.head() == 1_000
+    assert {r.k: r.v for r in log.latest().collect()} == want
+    assert log.append(lambda number: [{"k": "d1", "v": -2}]) == 1_001
+
+
+def test_an_unfinished_checkpoint_does_not_count(spark, lake):
+    log = _log(spark, f"{lake}/log", every=1_000)
+    for n in range(3):
+        log.try_commit(n, [{"k": "a", "v": n}])
+    os.makedirs(f"{lake}/log/checkpoint-{2:020d}-dead")
+    assert [r.v for r in log.latest().collect()] == [2]
+    assert log.checkpoint() == 2 and log.checkpoint() is None
+    assert [r.v for r in log.latest().collect()] == [2]
+
+
+def test_of_two_writers_of_a_version_one_wins_and_one_retries(spark, lake):
+    control = f"{lake}/control"
+    publish_version(spark, control, "t", 0, write_version(spark.range(1), f"{lake}/t", 0), expected=None)
+    a, b = (write_version(spark.range(n), f"{lake}/t", 1) for n in (2, 3))
+    assert a != b
+    publish_version(spark, control, "t", 1, a, expected=0)
+    with pytest.raises(CommitConflict):
+        publish_version(spark, control, "t", 1, b, expected=0)
+    assert version_info(spark, control, "t")["path"] == a
+    assert publish_version(spark, control, "t", None, b) == 2
+
+
+def test_a_merge_that_lost_the_race_merges_again(spark, lake, monkeypatch):
+    from ledgerlake.plans import pipelines as P
+
+    cfg = LakeConfig(root=lake, db="race")
+    rows = [(f"L{h}", f"2024-01-01 {h:02d}:00:00") for h in range(6)]
+    source = spark.createDataFrame(rows, "loan_id string, MODIFIED_TS string")
+    run_extract(spark, source.limit(3), cfg, dt.datetime(2024, 1, 2))
+    run_silver_master_incremental(spark, cfg, dt.datetime(2024, 1, 2))
+    run_extract(spark, source, cfg, dt.datetime(2024, 1, 3))
+    real, lost = P.publish_version, []
+
+    def other_first(spark_, control, table, version, path, *args, **kw):
+        if not lost:
+            lost.append(path)
+            real(spark_, control, table, None, P.version_info(spark_, control, table)["path"])
+        return real(spark_, control, table, version, path, *args, **kw)
+
+    monkeypatch.setattr(P, "publish_version", other_first)
+    out = run_silver_master_incremental(spark, cfg, dt.datetime(2024, 1, 3))
+    assert out["version"] == 2 and out["path"] != lost[0] and current_silver_master(spark, cfg).count() == 6
+
+
+def test_watermarks_follow_commits_not_clocks(spark, lake):
+    path, stamp = f"{lake}/wm", dt.datetime(2024, 1, 1)
+    for day in (3, 2):  # one stamp for both runs: the later commit counts
+        put_watermark(spark, path, "t", dt.datetime(2001, 1, day), day, stamp)
+    assert get_watermark(spark, path, "t") == dt.datetime(2001, 1, 2)
+    _, seq = watermark_state(spark, path, "t")
+    put_watermark(spark, path, "other", stamp, 1, stamp)
+    put_watermark(spark, path, "t", dt.datetime(2001, 1, 4), 1, stamp, expected=seq)
+    with pytest.raises(CommitConflict):
+        put_watermark(spark, path, "t", dt.datetime(2001, 1, 5), 1, stamp, expected=seq)
+    assert read_watermark_state(spark, path).count() == 4
+
+
+def test_two_extractions_at_once_keep_the_later_watermark(spark, lake, monkeypatch):
+    from ledgerlake.plans import pipelines as P
+
+    cfg, real, other = LakeConfig(root=lake), P.put_watermark, []
+    source = spark.createDataFrame([("L1", "2024-01-01 00:00:00")], "loan_id string, MODIFIED_TS string")
+
+    def other_first(*args, **kw):
+        if not other:
+            other.append(real(spark, cfg.watermarks, cfg.source_table, dt.datetime(2024, 5, 5), 1, dt.datetime(2024, 6, 6)))
+        return real(*args, **kw)
+
+    monkeypatch.setattr(P, "put_watermark", other_first)
+    assert run_extract(spark, source, cfg, dt.datetime(2024, 6, 6))["watermark"] == dt.datetime(2024, 5, 5)
+    assert get_watermark(spark, cfg.watermarks) == dt.datetime(2024, 5, 5)
+
+
+def test_a_rerun_of_an_unchanged_source_with_unreadable_times_writes_nothing(spark, lake):
+    cfg = LakeConfig(root=lake)
+    rows = [("L1", "2024-01-01 00:00:00", 1), ("L2", "never", 2), ("L2", "never", 2), ("L3", None, 3), ("L4", "2024-02-30 00:00:00", 4), ("L5", "1999-01-01", 5)]
+    source = spark.createDataFrame(rows, "loan_id string, MODIFIED_TS string, principal int")
+    first = run_extract(spark, source, cfg, dt.datetime(2024, 3, 1))
+    assert (first["rows"], first["unparsed"], first["watermark"]) == (5, 4, dt.datetime(2024, 1, 1))
+    assert read_quarantine(spark, cfg.quarantine).count() == 3
+    again = run_extract(spark, source, cfg, dt.datetime(2024, 3, 2))
+    assert again == {"rows": 0, "watermark": dt.datetime(2024, 1, 1), "written": False}
+    # a changed row and a new one are taken; the readable ones still follow the watermark
+    changed = [("L2", "never", 20), ("L6", "", 6), ("L7", "2024-01-02T00:00:00.5+01:00", 7)]
+    more = run_extract(spark, source.unionByName(spark.createDataFrame(changed, source.schema)), cfg, dt.datetime(2024, 3, 3))
+    assert (more["rows"], more["unparsed"], more["watermark"]) == (3, 2, dt.datetime(2024, 1, 1, 23, 0, 0, 500_000))
+    bronze = spark.read.parquet(cfg.bronze_master)
+    assert sorted((r.loan_id, r.n) for r in bronze.groupBy("loan_id").agg(F.count("*").alias("n")).collect()) == [
+        ("L1", 1), ("L2", 3), ("L3", 1), ("L4", 1), ("L6", 1), ("L7", 1),
+    ]
+
+
+def test_a_crash_before_the_quarantine_loses_no_row(spark, lake, monkeypatch):
+    from ledgerlake.plans import pipelines as P
+
+    cfg = LakeConfig(root=lake)
+    source = spark.createDataFrame([("L1", "2024-01-01 00:00:00"), ("L2", "never")], "loan_id string, MODIFIED_TS string")
+    monkeypatch.setattr(P, "quarantine_rows", lambda *a: (_ for _ in ()).throw(RuntimeError("lost the driver")))
+    with pytest.raises(RuntimeError):
+        run_extract(spark, source, cfg, dt.datetime(2024, 3, 1))
+    monkeypatch.undo()
+    assert run_extract(spark, source, cfg, dt.datetime(2024, 3, 2))["rows"] == 2
+    assert run_extract(spark, source, cfg, dt.datetime(2024, 3, 3))["rows"] == 0
+
+
+def messy_times(n, seed=1):
+    rng = random.Random(seed)
+    for _ in range(n):
+        t = dt.datetime(2001, 7, 15) + dt.timedelta(hours=rng.uniform(-60, 60))
+        if rng.random() < 0.3:
+            t = dt.datetime(rng.randint(1, 3000), rng.randint(1, 12), rng.randint(1, 28))
+        text = f"{t.year:04d}-{t.month:02d}-{t.day:02d}"
+        if rng.random() < 0.15:
+            text = f"{t.year}-{t.month}-{t.day}"
+        if rng.random() < 0.1:
+            text = f"{t.year:04d}-{rng.randint(0, 13):02d}-{rng.randint(0, 32):02d}"
+        if rng.random() < 0.85:
+            text += rng.choice(" T") + f"{rng.randint(0, 24):02d}:{rng.randint(0, 60):02d}:{rng.randint(0, 60):02d}"
+            text += rng.choice(["", "", ".5", ".250", ".123456", ".1234567"])
+            text += rng.choice(["", "", "Z", "+05:30", "-08:00", "+18:00", "-17:59", "+19:00", " UTC", "+5:30"])
+        yield rng.choice([" ", "x", "+", "1"]) + text if rng.random() < 0.05 else text
+
+
+@pytest.mark.parametrize("wm", ["2001-07-15 00:00:00", "2001-07-15 17:59:59.5", "2001-07-16 18:00:00"])
+def test_the_source_side_bound_keeps_a_superset(spark, wm):
+    texts = [*messy_times(4_000), None, "", "n/a", "2001", "12:30:00", "2001-02-29", "2000-02-29 00:00:00", "0000-01-01", "12001-01-01", "२००१-०१-०१"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, MODIFIED_TS string")
+    bounded = spark.sql(bounded_select("{src}", "MODIFIED_TS", wm), src=df)
+    kept = {r.i for r in bounded.collect()}
+    typed = {r.i for r in read_incremental(df, "MODIFIED_TS", wm).collect()}
+    assert typed <= kept and {r.i for r in read_incremental(bounded, "MODIFIED_TS", wm).collect()} == typed
+    # it bounds: of the padded texts without an offset, all that are two days older stay in the source
+    day = (dt.date.fromisoformat(wm[:10]) - dt.timedelta(days=2)).isoformat()
+    plain = re.compile(r"[12]\d{3}-(0[1-9]|1[0-2])-(0[1-9]|1\d|2[0-8])[ T]([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.250)?Z?")
+    older = [i for i, t in enumerate(texts) if t and plain.fullmatch(t) and t < day]
+    assert len(older) > 50 and not kept & set(older)
+    # another engine gives the same rows for the same text
+    import pandas as pd
+
+    con = duckdb.connect()
+    con.register("src", pd.DataFrame({"i": range(len(texts)), "MODIFIED_TS": pd.array(texts, dtype="string")}))
+    assert {r[0] for r in con.execute(bounded_select("src", "MODIFIED_TS", wm, columns="i")).fetchall()} == kept
+
+
+def test_the_bound_is_in_the_connectors_options():
+    o = jdbc_options("jdbc:x", "loan_master", {"user": "u"}, "id", 0, 9, 4, "MODIFIED_TS", "2024-01-02 12:00:00")
+    assert o["dbtable"].startswith("(SELECT * FROM loan_master WHERE MODIFIED_TS IS NULL OR NOT ") and "< '2024-01-01'" in o["dbtable"]
+    assert (o["partitionColumn"], o["numPartitions"], o["user"]) == ("id", "4", "u")
+    assert jdbc_options("jdbc:x", "t")["dbtable"] == "t"
+
+
+def _events(spark, cfg, hour, rows):
+    append_bronze(rows, cfg.bronze_events, f"2024-01-01 {hour:02d}:00:00", with_hour=True, fmt="json")
+    R.refresh_silver_events(spark, cfg, X.RUN_TS).awaitTermination()
+
+
+def test_sweep_deletes_what_nothing_names_for_long_enough(spark, lake):
+    cfg, now = LakeConfig(root=lake, db="swept"), dt.datetime(2030, 1, 1)
+    week = dt.timedelta(days=7)
+    source = X.bronze_loan_master(spark, SF).drop("_ingestion_ts")
+    run_extract(spark, source, cfg, dt.datetime(2024, 1, 1))
+    paths = [run_silver_master_incremental(spark, cfg, dt.datetime(2024, 1, 1 + k))["path"] for k in range(3)]
+    bronze = X.bronze_loan_events(spark, SF)
+    dates = [r.d for r in bronze.select(F.substring("event_ts", 1, 10).alias("d")).distinct().orderBy("d").collect()]
+    day = F.substring("event_ts", 1, 10)
+    _events(spark, cfg, 1, bronze)
+    _events(spark, cfg, 2, bronze.filter(day == dates[0]))  # this date moves, the others stay where they are
+    orphan = f"{cfg.silver_events_incremental}/batch=b0000000009-dead"
+    os.makedirs(orphan)
+    old_reader = spark.read.parquet(paths[1])
+    first = sweep(spark, cfg, week, now)
+    batch = next(n for n in os.listdir(cfg.silver_events_incremental) if n.startswith("batch=b0000000000"))
+    stale = f"{cfg.silver_events_incremental}/{batch}/event_date={dates[0]}"
+    assert first["deleted"] == [] and set(first["marked"]) == {paths[0], paths[1], orphan, stale}
+    hold(spark, cfg, paths[0], now + dt.timedelta(days=30))
+    assert sweep(spark, cfg, week, now + dt.timedelta(days=6))["deleted"] == []
+    assert old_reader.count() > 0  # a reader of a kept version does not fail
+    assert sweep(spark, cfg, week, now + dt.timedelta(days=8))["deleted"] == sorted([paths[1], orphan, stale])
+    assert os.path.isdir(paths[0]) and not os.path.exists(paths[1])
+    want = silver_loan_events(bronze, X.RUN_TS)
+    got = R.current_silver_events(spark, cfg).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    assert current_silver_master(spark, cfg).count() == spark.read.parquet(cfg.bronze_master).select("loan_id").distinct().count()
+    # the hold ends, the path is marked and later deleted; nothing else is left to do
+    late = now + dt.timedelta(days=31)
+    sweep(spark, cfg, week, late)
+    assert sweep(spark, cfg, week, late + 2 * week)["deleted"] == [paths[0]]
+    assert sweep(spark, cfg, week, late + 4 * week)["deleted"] == []
+
+
+def test_a_date_committed_by_another_writer_meanwhile_is_merged_again(spark, lake, monkeypatch):
+    cfg = LakeConfig(root=lake, db="dates_race")
+    bronze = X.bronze_loan_events(spark, SF)
+    half = F.col("_offset") % 2 == 0
+    _events(spark, cfg, 1, bronze.filter(half))
+    real, lost = R.commit_dates, []
+
+    def other_first(spark_, cfg_, dates, directory, batch_id, seen):
+        if not lost:
+            lost.append(directory)
+            R.manifest_log(spark_, cfg_).append(lambda n: [{"event_date": str(seen[0].event_date), "directory": seen[0].directory, "batch_id": 0}])
+        return real(spark_, cfg_, dates, directory, batch_id, seen)
+
+    monkeypatch.setattr(R, "commit_dates", other_first)
+    _events(spark, cfg, 2, bronze.filter(~half))
+    want = silver_loan_events(bronze, X.RUN_TS)
+    got = R.current_silver_events(spark, cfg).select(*want.columns)
+    assert lost and got.count() == want.count() and got.exceptAll(want).isEmpty()
+    assert lost[0] not in {r.directory for r in R.silver_event_dates(spark, cfg).collect()}

@@ -13,8 +13,9 @@ Elements that are never article text (scripts, navigation, forms, ...) and
 those whose class, id or role says so (adverts, sidebars, notices, reader
 comments) are cut before densities are computed.  Such a name alone does not cut
 an element that holds the page's heading, main element or article, nor a
-heading.  Inside an article or main element only names of adverts, notices and
-comments cut by themselves.  Other names there, and names of which only a part is
+heading.  Inside an article or main element only names of adverts, notices,
+comments and sidebars cut by themselves, also with a word for their container or place
+(``ad-slot``, ``user-comments``).  Other names there, and names of which only a part is
 such a word (``related-work``), cut if half of the element's text is links.
 
 Text is taken block by block in page order: character references decoded, white
@@ -52,11 +53,17 @@ FURNITURE = frozenset(
     "newsletter notice notices notification overlay pager pagination paywall popup promo promos promotion related replies reply respond "
     "rss search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget widgets".split()
 )
-# Of these, the names that cut inside an article too.
+# Of these, the names that cut inside an article too, alone or with words that name a container or a place.
 SURE = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense comment comments commentlist consent cookie cookies disqus gdpr "
-    "notice notices paywall popup promo promos promotion replies reply respond sponsor sponsored".split()
+    "notice notices paywall popup promo promos promotion replies reply respond sidebar sidebars sponsor sponsored".split()
 )
+CONTAINERS = frozenset(
+    "area bar block body bottom box card cell column container content count entry feed form group inner item items left list main outer page panel "
+    "place post posts primary reader readers right row secondary section site slot sticky thread title top unit user users widget wrap wrapper zone".split()
+)
+# What stands beside an article when it is called related.
+RELATED_TO = frozenset("articles content links news pages posts reading reads stories story topics videos".split())
 COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 # An element of the first kind that opens closes an open one of the second.
@@ -68,7 +75,7 @@ KEEPS = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"
 CLOSES_P = BLOCK - frozenset("body html td th tr tbody thead tfoot caption option legend summary".split())
 
 TOKEN = re.compile(
-    r"""<!--(?P<c>.*?)(?:--!?>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]{0,4000}"|'[^']{0,4000}')*|[^>]*)>|(?P<text>[^<]+|<)""",
+    r"""<!--(?P<c>.*?)(?:--!?>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>=\s*(?:"[^"]*"|'[^']*')|[^>])*+)>|<(?=/?[a-zA-Z])[^>]*+(?:>|\Z)|(?P<text>[^<]+|<)""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -76,6 +83,18 @@ NAMES = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
+def surely_furniture(words: set[str]) -> bool:
+    """Whether the words of one class or id name an advert, a notice, comments, a sidebar or related posts, whatever holds it.
+
+    ``user-comments``, ``ad-slot`` or ``adslot`` do; ``related-work`` and ``ad-hoc`` do not.
+    """
+    words = {w for w in words if len(w) > 1}
+    if "related" in words and words & RELATED_TO:
+        return words <= RELATED_TO | CONTAINERS | {"related"}
+    sure = {w for w in words if w in SURE or any((w.startswith(s) and w[len(s) :] in CONTAINERS) or (w.endswith(s) and w[: -len(s)] in CONTAINERS) for s in SURE)}
+    return bool(sure) and words - sure <= CONTAINERS
+
+
 class Page:
     """A page as arrays: of each node its tag, parent and furniture mark; the items are nodes' starts and texts in order."""
 
@@ -134,10 +153,12 @@ class Page:
             return "always" if names & COMMENTS else ""
         if found.get("role", "").lower() in ROLES or HIDDEN.search(attrs):
             return "always"
-        if tag in HEADINGS or not names & FURNITURE:
+        if tag in HEADINGS:
             return ""
-        if any(t and t <= SURE for t in whole):
+        if any(surely_furniture(t) for t in whole):
             return "name"
+        if not names & FURNITURE:
+            return ""
         return "outside" if any(t and t <= FURNITURE for t in whole) else "links"
 
     def _implied(self, stack: list[int], tag: str) -> None:
@@ -273,7 +294,7 @@ def main_text(source: str | None) -> str:
             children.setdefault(page.parent[k], []).append(k)
 
     def running(k: int) -> bool:
-        return plain[k] >= threshold and chars[k] >= 40 and links[k] * 3 <= chars[k]
+        return plain[k] >= threshold and links[k] * 3 <= chars[k]
 
     # the article element around the root, else upwards over siblings that read like text
     named = next((k for k in on_path if page.tag[k] == "article"), None)

@@ -65,3 +65,78 @@ def test_short_siblings_between_sections_stay():
     whole = [PARA] * 6
     body = f"<div>{part}<div><p>Short.</p></div>{part}</div>"
     assert main_text(page(body)).split("\n") == [*whole, "Short.", *whole]
+
+
+NAMED = (
+    "user-comments comment-section comments-area comment-list post-comments ad-slot ad-container advert-box sidebar-left site-notice sticky-ad "
+    "promo-box related-posts adslot ad-300x250 commentSection"
+).split()
+
+
+def test_compound_names_cut_inside_outside_and_without_an_article():
+    block = "<{t} {a}='{n}'><p>Somebody says quite a lot here, in running text that is as dense as any article.</p><p>{p}</p></{t}>"
+    for name in NAMED:
+        for tag, attribute in (("div", "class"), ("section", "id"), ("div", "id")):
+            named = block.format(t=tag, a=attribute, n=name, p=PARA)
+            text = f"<h1>T</h1><p>{PARA}</p><p>{PARA}</p>"
+            want = f"T\n{PARA}\n{PARA}"
+            assert main_text(page(f"<article>{text}{named}</article>")) == want, name
+            assert main_text(page(f"<article>{text}</article>{named}")) == want, name
+            assert main_text(page(f"<div>{text}</div>{named}")) == want, name
+    for name in ("related-work", "ad-hoc", "search", "no-comment-needed", "thread", "reading-list", "notice-period"):
+        kept = f"<section class='{name}'><p>{PARA} kept</p></section>"
+        assert main_text(page(f"<article><h1>T</h1><p>{PARA}</p>{kept}</article>")) == f"T\n{PARA}\n{PARA} kept", name
+
+
+def test_attributes_of_any_length_and_stray_quotes():
+    long = "x" * 50_000 + ">MARKUP"
+    assert main_text(page(f'<article><p data-x="{long}">{PARA}</p><p data-y=\'{long}\' class=b>{PARA} 2</p></article>')) == f"{PARA}\n{PARA} 2"
+    assert main_text(f"<p don't>{PARA} it's</p><p title=\"a>{PARA}") == f"{PARA} it's\n{PARA}"
+    many = "".join(f"<p a='>' b=\"<i>\" c=d'e>{PARA}</p>" for _ in range(2_000))
+    assert main_text(f"<article>{many}</article>").count(PARA) == 2_000
+    assert main_text("<p " + "a='b' " * 40_000) == ""
+
+
+def test_densities_equal_a_recursive_definition():
+    import math
+    import random
+
+    from ledgerlake.llm import html_density as H
+
+    rng = random.Random(8)
+
+    def tree(depth):
+        if not depth or rng.random() < 0.2:
+            return "w" * rng.randint(1, 30)
+        tag = rng.choice(["div", "section", "b", "a", "i"])
+        return f"<{tag}>" + " ".join(tree(depth - 1) for _ in range(rng.randint(0, 4))) + f"</{tag}>"
+
+    for _ in range(60):
+        p = H.Page(f"<html><body>{tree(5)}</body></html>")
+        cut = p.cut()
+        density, total, *_ = H.densities(p, cut)
+        kids = [[c for c in range(len(p.tag)) if p.parent[c] == k] for k in range(len(p.tag))]
+
+        def below(k):
+            return [x for c in kids[k] for x in (c, *below(c))]
+
+        def linked(k):
+            return k > 0 and (p.tag[k] == "a" or linked(p.parent[k]))
+
+        def sizes(k):
+            nodes = {k, *below(k)}
+            text = [(n, sum(map(len, t.split()))) for n, t in p.items if t is not None and n in nodes]
+            return sum(s for _, s in text), len(nodes) - 1, sum(s for n, s in text if linked(n)), sum(p.tag[n] == "a" for n in nodes - {k})
+
+        c0, _, l0, _ = sizes(0)
+
+        def composite(k):
+            c, t, lc, lt = sizes(k)
+            if not c:
+                return 0.0
+            base = math.log(c / max(1, c - lc) * lc + l0 / max(1, c0) * c + math.e)
+            return c / max(1, t) * max(0.0, math.log(c / max(1, lc) * max(1, t) / max(1, lt)) / base)
+
+        for k in range(len(p.tag)):
+            assert math.isclose(density[k], composite(k), rel_tol=1e-12, abs_tol=1e-12)
+            assert math.isclose(total[k], sum(map(composite, kids[k])), rel_tol=1e-9, abs_tol=1e-9)

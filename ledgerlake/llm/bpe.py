@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import drop_scratch, scratch_table
 
 MEMO = 400_000
+SINGLE = [bytes([b]) for b in range(256)]
 
 
 def byte_characters() -> list[str]:
@@ -83,45 +84,53 @@ class Merger:
     """Exact BPE of single words."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.chars = vocabulary, byte_characters()
+        ids, chars = vocabulary.ids, byte_characters()
+        self.first = [ids[c] for c in chars]
+        self.last = [ids[c + vocabulary.suffix] for c in chars]
+        # a pair of ids is one number; merges keep their order, and the id of what rank r makes is made[r]
+        self.size = max(ids.values()) + 1
+        self.ranks = {ids[a] * self.size + ids[b]: r for (a, b), r in vocabulary.ranks.items()}
+        self.made = [0] * len(vocabulary.ranks)
+        for (a, b), r in vocabulary.ranks.items():
+            self.made[r] = ids[a + b]
 
     def __call__(self, word: str) -> tuple[int, ...]:
-        parts = [self.chars[b] for b in word.encode("utf-8", "replace")]
-        parts[-1] += self.v.suffix
-        parts = self.short(parts) if len(parts) <= 256 else self.long(parts)
-        return tuple(map(self.v.ids.__getitem__, parts))
+        data = word.encode("utf-8", "replace")
+        parts = [self.first[b] for b in data]
+        parts[-1] = self.last[data[-1]]
+        return tuple(self.short(parts) if len(parts) <= 256 else self.long(parts))
 
-    def short(self, parts: list[str]) -> list[str]:
+    def short(self, parts: list[int]) -> list[int]:
         """Lowest rank first, leftmost of equals; ranks of neighbours kept in a list."""
-        get, none = self.v.ranks.get, len(self.v.ranks)
-        ranks = [get(p, none) for p in zip(parts, parts[1:])]
+        get, none, size, made = self.ranks.get, len(self.made), self.size, self.made
+        ranks = [get(a * size + b, none) for a, b in zip(parts, parts[1:])]
         while ranks and (best := min(ranks)) < none:
             k = ranks.index(best)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-            del ranks[k]
+            new = parts[k] = made[best]
+            del parts[k + 1], ranks[k]
             if k < len(ranks):
-                ranks[k] = get((parts[k], parts[k + 1]), none)
+                ranks[k] = get(new * size + parts[k + 1], none)
             if k:
-                ranks[k - 1] = get((parts[k - 1], parts[k]), none)
+                ranks[k - 1] = get(parts[k - 1] * size + new, none)
         return parts
 
-    def long(self, parts: list[str]) -> list[str]:
+    def long(self, parts: list[int]) -> list[int]:
         """The same with a heap of pairs and linked neighbours, for words of any length."""
-        get, n = self.v.ranks.get, len(parts)
+        get, n, size = self.ranks.get, len(parts), self.size
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, k, p) for k, p in enumerate(zip(parts, parts[1:])) if (r := get(p)) is not None]
+        heap = [(r, k, p) for k, p in enumerate([a * size + b for a, b in zip(parts, parts[1:])]) if (r := get(p)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, k, pair = heapq.heappop(heap)
+            rank, k, pair = heapq.heappop(heap)
             j = after[k] if parts[k] is not None else n
-            if j >= n or (parts[k], parts[j]) != pair:
+            if j >= n or parts[k] * size + parts[j] != pair:
                 continue
-            parts[k], parts[j] = pair[0] + pair[1], None
+            parts[k], parts[j] = self.made[rank], None
             after[k] = after[j]
             if after[k] < n:
                 before[after[k]] = k
             for x in (before[k], k):
-                if x >= 0 and after[x] < n and (r := get(p := (parts[x], parts[after[x]]))) is not None:
+                if x >= 0 and after[x] < n and (r := get(p := parts[x] * size + parts[after[x]])) is not None:
                     heapq.heappush(heap, (r, x, p))
         return [p for p in parts if p is not None]
 
@@ -202,9 +211,8 @@ class Lexicon:
     def get(self, word: str) -> tuple[int, ...] | None:
         state, rank, at = self.root, 0, self.labels
         first, find, before, target = self.first, self.file.find, self.before, self.target
-        data = word.encode("utf-8", "replace")
-        for k in range(len(data)):
-            edge = find(data[k : k + 1], at + first[state], at + first[state + 1]) - at
+        for byte in map(SINGLE.__getitem__, word.encode("utf-8", "replace")):
+            edge = find(byte, at + first[state], at + first[state + 1]) - at
             if edge < 0:
                 return None
             rank += before[edge]
@@ -228,6 +236,7 @@ class Splitter:
 
     def __init__(self, vocabulary: Vocabulary):
         self.pattern = regex.compile(vocabulary.pattern)
+        self.letters = r"[\p{L}]+" in vocabulary.pattern  # a chunk of letters is one word
         self.special = vocabulary.special
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
@@ -246,7 +255,7 @@ class Splitter:
         return out
 
     def words(self, chunk: str) -> list[str]:
-        return [chunk] if chunk[0] == " " else self.pattern.findall(chunk)
+        return [chunk] if chunk[0] == " " or (self.letters and chunk.isalpha()) else self.pattern.findall(chunk)
 
 
 def lower(text: str) -> str:
@@ -281,7 +290,7 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 65_536, longest: int = 64) -> bytes:
+def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 262_144, longest: int = 64) -> bytes:
     """Compiled lexicon of the corpus' most frequent words, of ``longest`` characters at most.
 
     Words are taken from a count on that at most ``lexicon_size`` words reach: the
@@ -296,10 +305,28 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 6
         if seen > lexicon_size:
             break
         cut = r["step"]
-    merge = Merger(vocabulary)
-    top = counts.filter(step >= cut).select("word").collect() if cut is not None else []
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.parts())
+
+    @F.pandas_udf("array<int>")
+    def merged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        merge = Merger(Vocabulary(*shared.value))
+        for batch in batches:
+            yield pd.Series([merge(w) for w in batch], index=batch.index, dtype=object)
+
+    top = counts.filter((step >= cut) & ~F.col("word").startswith(" ")).select("word", merged("word").alias("ids")).collect() if cut is not None else []
     drop_scratch(docs.sparkSession, path)
-    return compile_lexicon({r["word"]: merge(r["word"]) for r in top if r["word"][0] != " "})
+    return compile_lexicon({r["word"]: tuple(r["ids"]) for r in top})
+
+
+class Memo(dict):
+    """Values made once per key."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
 
 
 class Encoder:
@@ -307,7 +334,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
         self.split, self.merge, self.lexicon = Splitter(vocabulary), Merger(vocabulary), Lexicon(lexicon)
-        self.special, self.known, self.of_words = vocabulary.special, {}, {}
+        self.special, self.known, self.of_words = vocabulary.special, None, {}
 
     def ids_of_chunk(self, chunk: str) -> tuple[int, ...]:
         out, of_words = (), self.of_words
@@ -325,15 +352,12 @@ class Encoder:
         return out
 
     def chunks(self, text: str | None, make) -> list:
-        """``make(ids)`` of every chunk that has ids, remembered by chunk."""
-        known = self.known
-        chunks = self.split.chunks(text) if text else []
-        if len(known) > MEMO:
-            known.clear()
-        for c in set(chunks).difference(known):
-            ids = self.ids_of_chunk(c)
-            known[c] = make(ids) if ids else None
-        return [x for x in map(known.__getitem__, chunks) if x is not None]
+        """``make(ids)`` of every chunk that has ids, remembered by chunk; ``make`` is the same in all calls."""
+        if not text:
+            return []
+        if self.known is None or len(self.known) > MEMO:
+            self.known = Memo(lambda c: make(ids) if (ids := self.ids_of_chunk(c)) else None)
+        return [x for x in map(self.known.__getitem__, self.split.chunks(text)) if x is not None]
 
 
 class Decoder:
@@ -382,15 +406,17 @@ def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary, lexicon: bytes)
         vocabulary = Vocabulary(*parts)
         encoder, decoder = Encoder(vocabulary, data), Decoder(vocabulary)
 
+        spelled = Memo(str)
+
         def made(ids):
-            return len(ids), " ".join(map(str, ids)), decoder(ids)
+            return " ".join(map(spelled.__getitem__, ids)), decoder(ids)
 
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
-                n, ids, back = zip(*made_of) if (made_of := encoder.chunks(text, made)) else ((0,), (), ())
-                ids, back = " ".join(ids), " ".join(back)
-                out.append((sum(n), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+                chunks = encoder.chunks(text, made)
+                ids, back = (" ".join([c[k] for c in chunks]) for k in (0, 1))
+                out.append((ids.count(" ") + bool(ids), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
             cols = [pa.array(c) for c in zip(*out)] if out else [pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

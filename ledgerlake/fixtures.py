@@ -17,6 +17,7 @@ redelivered events, so every silver and gold rule is exercised.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BRONZE_LOAN_MASTER_SQL = """
 with v as (
@@ -68,6 +69,23 @@ select
 from v
 """
 
+# The same source with times as sources write them: with T, fractions, offsets, dates alone,
+# and times that do not parse or are missing.  The form depends on the loan alone, so all versions of a loan share it.
+SOURCE_LOAN_MASTER_SQL = """
+select loan_id, customer_id, loan_type, origination_dt, principal, interest_rate, term_months, status, branch_id,
+  case cast(substr(loan_id, 2) as bigint) % 11
+    when 0 then concat(replace(MODIFIED_TS, ' ', 'T'), '.250')
+    when 1 then concat(MODIFIED_TS, '+05:30')
+    when 2 then concat(replace(MODIFIED_TS, ' ', 'T'), 'Z')
+    when 3 then concat(MODIFIED_TS, '.500000-08:00')
+    when 4 then substr(MODIFIED_TS, 1, 10)
+    when 5 then concat('n/a ', MODIFIED_TS)
+    when 6 then null
+    when 7 then concat(substr(MODIFIED_TS, 1, 5), '13-45 00:00:00')
+    else MODIFIED_TS end as MODIFIED_TS
+from {master}
+"""
+
 # Fixed test parameters: an as-of date where Spark's months_between and a
 # plain calendar-month difference agree, and an extraction watermark.
 AS_OF = "2001-12-15"
@@ -96,6 +114,13 @@ def bronze_loan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BRONZE_LOAN_EVENTS_SQL, events=events)
 
 
+def source_loan_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source's loan master, with times in many forms."""
+    rows = spark.sql(SOURCE_LOAN_MASTER_SQL, master=bronze_loan_master(spark, sf_dir).drop("_ingestion_ts"))
+    # A stored column, as far as the optimizer is concerned: its CASE is not copied into every use of it.
+    return rows.withColumn("MODIFIED_TS", F.explode(F.array("MODIFIED_TS")))
+
+
 def oracle_bronze_ctes() -> str:
     """The same derivations as DuckDB CTEs over the pre-registered views."""
     master = BRONZE_LOAN_MASTER_SQL.format(orders="orders").strip()

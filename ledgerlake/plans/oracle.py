@@ -165,6 +165,21 @@ _VERSIONS = """scd2_versions as (
 )"""
 
 
+# Times of the source in all their forms: the clock time less its offset; NULL if it does not parse.
+_SOURCE = f"""source_loan_master as (
+{X.SOURCE_LOAN_MASTER_SQL.format(master="bronze_loan_master").strip()}
+),
+source_timed as (
+  select *, try_cast(MODIFIED_TS as timestamp)
+    - case when regexp_matches(MODIFIED_TS, '[+-][0-9]{{2}}:[0-9]{{2}}$') then
+        (case when substr(MODIFIED_TS, -6, 1) = '-' then -1 else 1 end)
+        * to_minutes(60 * cast(substr(MODIFIED_TS, -5, 2) as integer) + cast(substr(MODIFIED_TS, -2) as integer))
+      else to_minutes(0) end as t
+  from source_loan_master
+)"""
+_SOURCE_COLUMNS = "loan_id, customer_id, loan_type, origination_dt, principal, interest_rate, term_months, status, branch_id, MODIFIED_TS"
+
+
 def _with(*ctes: str) -> str:
     return "with " + X.oracle_bronze_ctes() + ",\n" + ",\n".join(ctes) + "\n"
 
@@ -211,6 +226,15 @@ from fact_loan_performance group by all order by 3 desc nulls last, 1 nulls last
         + """select event_type, count(event_ts) as event_count, cast(sum(amount) as decimal(38,2)) as total_volume
 from fact_loan_event_activity group by all order by 2 desc nulls last, 1 nulls last""",
         "delinquency_by_type": _with(*_GOLD_CHAIN) + _DELINQUENCY,
+        "extract_bounded": _with(_SOURCE) + f"select {_SOURCE_COLUMNS} from source_timed where t is null or t > {_WM}",
+        "extract_quarantined": _with(_SOURCE)
+        + f"""select {_SOURCE_COLUMNS} from source_timed s where t > {_WM} or (t is null and not exists (
+  select 1 from source_timed q where q.t is null and q.origination_dt <= '{X.INCREMENT_WATERMARK[:10]}'
+    and row(q.loan_id, q.customer_id, q.loan_type, q.origination_dt, q.principal, q.interest_rate, q.term_months, q.status, q.branch_id)
+      = row(s.loan_id, s.customer_id, s.loan_type, s.origination_dt, s.principal, s.interest_rate, s.term_months, s.status, s.branch_id)
+    and q.MODIFIED_TS is not distinct from s.MODIFIED_TS))""",
+        # Kept up to date from changed rows, the summary equals the full one.
+        "event_summary_incremental": _with(*_GOLD_CHAIN, _SUMMARY) + "select * from fact_event_summary",
         # Incremental merge must equal the full rebuild.
         "merge_latest": _with(_MASTER_NORMALIZED, _MASTER_SILVER) + "select * from loan_master_silver",
         "loan_master_scd2": _with(_MASTER_NORMALIZED, _VERSIONS)

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake import constants as K
 from ledgerlake import fixtures as X
+from ledgerlake.functions.instants import from_micros, to_micros
 from ledgerlake.operators.dedup import EVENT_KEYS, MASTER_KEYS, MASTER_RANK, merge_latest
 from ledgerlake.operators.facts import fact_loan_event_activity, fact_loan_performance
+from ledgerlake.operators.incremental_summary import activity_measures, refresh_summary, signed_counts, signed_totals, summary_of_state
 from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage
 from ledgerlake.operators.metrics import dedup_metrics
 from ledgerlake.operators.normalize import normalize_loan_events, normalize_loan_master
@@ -26,8 +28,11 @@ from ledgerlake.operators.skew import HotKeys, hot_key_salts
 from ledgerlake.operators.summary import event_summary, event_type_totals
 from ledgerlake.plans import analytics as A
 from ledgerlake.plans.layers import silver_loan_events, silver_loan_master
+from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources.dims import dim_loan_type, dim_status
+from ledgerlake.sources.bounds import bounded_select
 from ledgerlake.sources.incremental import read_incremental
+from ledgerlake.sources.quarantine import quarantine_rows, without_known
 from ledgerlake.sources.watermark import next_watermark_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +65,21 @@ def q_next_watermark(spark: SparkSession, sf: str) -> DataFrame:
     return next_watermark_frame(inc, "MODIFIED_TS")
 
 
+def q_extract_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """The source applies its own bound on text times; the typed filter takes the rest."""
+    source = X.source_loan_master(spark, sf)
+    bounded = spark.sql(bounded_select("{src}", "MODIFIED_TS", X.INCREMENT_WATERMARK), src=source)
+    return read_incremental(bounded, "MODIFIED_TS", X.INCREMENT_WATERMARK)
+
+
+def q_extract_quarantined(spark: SparkSession, sf: str) -> DataFrame:
+    """An extraction after another one that saw the loans without a later version: rows of unreadable time taken then are not taken again."""
+    source = X.source_loan_master(spark, sf)
+    seen = source.filter(F.col("origination_dt") <= X.INCREMENT_WATERMARK[:10])
+    known = quarantine_rows(seen, "MODIFIED_TS", source.columns, K.SOURCE_TABLE, from_micros(to_micros(X.RUN_TS)))
+    return without_known(read_incremental(source, "MODIFIED_TS", X.INCREMENT_WATERMARK), "MODIFIED_TS", known)
+
+
 def q_loan_master_silver(spark: SparkSession, sf: str) -> DataFrame:
     return _silver_master(spark, sf)
 
@@ -115,6 +135,29 @@ def q_fact_event_summary(spark: SparkSession, sf: str) -> DataFrame:
     return event_summary(q_fact_loan_event_activity(spark, sf), run_ts=X.RUN_TS)
 
 
+def q_event_summary_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary of the events and master up to the watermark, brought up to date by what changed since, equals the full one."""
+    wm = F.lit(X.INCREMENT_WATERMARK).cast("timestamp")
+    events, dims = _silver_events(spark, sf), (dim_loan_type(spark), dim_status(spark))
+    typed = normalize_loan_master(X.bronze_loan_master(spark, sf))
+    changed = typed.filter(F.col("MODIFIED_TS") > wm).select("loan_id").distinct()
+    old_master = silver_loan_master(X.bronze_loan_master(spark, sf).filter(F.col("MODIFIED_TS") <= X.INCREMENT_WATERMARK), X.RUN_TS)
+    hot = _hot_loans(spark, sf)
+    before = fact_loan_event_activity(events.filter(F.col("event_ts") <= wm), old_master, *dims, run_ts=X.RUN_TS, hot_loans=hot)
+    after = fact_loan_event_activity(events, _silver_master(spark, sf), *dims, run_ts=X.RUN_TS, hot_loans=hot)
+    # What a job would have written, and reads more than once, is checkpointed.
+    checkpoint_dir(spark)
+    before = activity_measures(before).checkpoint()
+    again = changed.withColumn("_again", F.lit(True))
+    came = activity_measures(after.join(again, "loan_id", "left").filter((F.col("event_ts") > wm) | F.col("_again")))
+    went = before.join(changed, "loan_id", "left_semi")
+    changes = came.withColumn("sign", F.lit(1)).unionByName(went.select(*came.columns).withColumn("sign", F.lit(-1))).checkpoint()
+    first = before.withColumn("sign", F.lit(1))
+    totals, counts = signed_totals(first), signed_counts(first)
+    d_totals, d_counts = signed_totals(changes).checkpoint(), signed_counts(changes).checkpoint()
+    return refresh_summary(summary_of_state(totals, counts, X.RUN_TS), totals, counts, d_totals, d_counts, X.RUN_TS)[0]
+
+
 def q_event_type_totals(spark: SparkSession, sf: str) -> DataFrame:
     return event_type_totals(q_fact_event_summary(spark, sf))
 
@@ -163,4 +206,7 @@ QUERIES: dict[str, Query] = {
     "delinquency_by_type": q_delinquency_by_type,
     "merge_latest": q_merge_latest,
     "loan_master_scd2": q_loan_master_scd2,
+    "extract_bounded": q_extract_bounded,
+    "extract_quarantined": q_extract_quarantined,
+    "event_summary_incremental": q_event_summary_incremental,
 }

@@ -188,6 +188,16 @@ _SILVER_CHAIN = (_MASTER_NORMALIZED, _EVENTS_NORMALIZED, _MASTER_SILVER, _EVENTS
 _GOLD_CHAIN = _SILVER_CHAIN + (_dims(), _FACT_PERF, _FACT_ACTIVITY)
 
 
+_HISTORY = (
+    _with(_MASTER_NORMALIZED, _VERSIONS)
+    + """select loan_id, customer_id, loan_type, origination_dt, principal, interest_rate, term_months,
+  status, branch_id, MODIFIED_TS as valid_from,
+  lead(MODIFIED_TS) over (partition by loan_id order by MODIFIED_TS asc nulls first) as valid_to,
+  lead(MODIFIED_TS) over (partition by loan_id order by MODIFIED_TS asc nulls first) is null as is_current
+from scd2_versions"""
+)
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "master_normalized": _with(_MASTER_NORMALIZED) + "select * from master_normalized",
@@ -237,10 +247,7 @@ from fact_loan_event_activity group by all order by 2 desc nulls last, 1 nulls l
         "event_summary_incremental": _with(*_GOLD_CHAIN, _SUMMARY) + "select * from fact_event_summary",
         # Incremental merge must equal the full rebuild.
         "merge_latest": _with(_MASTER_NORMALIZED, _MASTER_SILVER) + "select * from loan_master_silver",
-        "loan_master_scd2": _with(_MASTER_NORMALIZED, _VERSIONS)
-        + """select loan_id, customer_id, loan_type, origination_dt, principal, interest_rate, term_months,
-  status, branch_id, MODIFIED_TS as valid_from,
-  lead(MODIFIED_TS) over (partition by loan_id order by MODIFIED_TS asc nulls first) as valid_to,
-  lead(MODIFIED_TS) over (partition by loan_id order by MODIFIED_TS asc nulls first) is null as is_current
-from scd2_versions""",
+        "loan_master_scd2": _HISTORY,
+        # Three increments, one of them late, equal one build.
+        "scd2_incremental": _HISTORY,
     }

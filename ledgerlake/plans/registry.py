@@ -19,11 +19,12 @@ from ledgerlake import fixtures as X
 from ledgerlake.functions.instants import from_micros, to_micros
 from ledgerlake.operators.dedup import EVENT_KEYS, MASTER_KEYS, MASTER_RANK, merge_latest
 from ledgerlake.operators.facts import fact_loan_event_activity, fact_loan_performance
+from ledgerlake.operators.history import HISTORY_COLUMNS, merge_history, versions_of
 from ledgerlake.operators.incremental_summary import activity_measures, refresh_summary, signed_counts, signed_totals, summary_of_state
 from ledgerlake.operators.lineage import add_ingest_columns, add_silver_lineage
 from ledgerlake.operators.metrics import dedup_metrics
 from ledgerlake.operators.normalize import normalize_loan_events, normalize_loan_master
-from ledgerlake.operators.scd2 import loan_master_scd2
+from ledgerlake.operators.scd2 import SCD2_COLUMNS, loan_master_scd2
 from ledgerlake.operators.skew import HotKeys, hot_key_salts
 from ledgerlake.operators.summary import event_summary, event_type_totals
 from ledgerlake.plans import analytics as A
@@ -189,6 +190,20 @@ def q_loan_master_scd2(spark: SparkSession, sf: str) -> DataFrame:
     return loan_master_scd2(X.bronze_loan_master(spark, sf))
 
 
+def q_scd2_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The loan history in three increments, the second one late: equal to one build."""
+    bronze = X.bronze_loan_master(spark, sf)
+    early, late = F.col("MODIFIED_TS") <= "2000-12-31 00:00:00", F.col("MODIFIED_TS") > X.INCREMENT_WATERMARK
+    known = F.coalesce(early | late, F.lit(False))
+    checkpoint_dir(spark)
+    empty = versions_of(normalize_loan_master(bronze)).withColumns({"valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)})
+    history = empty.select(*HISTORY_COLUMNS).limit(0)
+    for part in (bronze.filter(late), bronze.filter(early), bronze.filter(~known)):
+        # A job would have written the history and read it again.
+        history = merge_history(history, normalize_loan_master(part)).checkpoint()
+    return history.select(*SCD2_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "fact_loan_performance": q_fact_loan_performance,
     "master_normalized": q_master_normalized,
@@ -206,6 +221,7 @@ QUERIES: dict[str, Query] = {
     "delinquency_by_type": q_delinquency_by_type,
     "merge_latest": q_merge_latest,
     "loan_master_scd2": q_loan_master_scd2,
+    "scd2_incremental": q_scd2_incremental,
     "extract_bounded": q_extract_bounded,
     "extract_quarantined": q_extract_quarantined,
     "event_summary_incremental": q_event_summary_incremental,

@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 from ledgerlake import constants as K
 from ledgerlake.plans import analytics as A
 from ledgerlake.plans.config import LakeConfig
+from ledgerlake.plans.history import run_history_incremental
 from ledgerlake.plans.pipelines import gold_event_totals, register_all, run_batch_pipeline, run_events_pipeline
 from ledgerlake.session import prepare_session
 from ledgerlake.sinks.retention import KEEP, sweep
@@ -53,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--lookback-seconds", type=int, default=0, help="margin behind the watermark that is read again")
     b.add_argument("--first-watermark", default=K.DEFAULT_WATERMARK, help="where the first extraction starts (UTC)")
     b.add_argument("--incremental-silver", action="store_true", help="merge new bronze rows instead of rebuilding silver")
+    b.add_argument("--history", action="store_true", help="merge new bronze rows into the loan history")
     b.add_argument("--as-of", default=None)
     b.add_argument("--jdbc-text-time", action="store_true", help="MODIFIED_TS is text: rows certainly before the watermark stay in the database")
     sub.choices["sweep"].add_argument("--keep-days", type=float, default=KEEP.days, help="how long unreachable data stays readable")
@@ -94,6 +96,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             raise SystemExit("batch needs --source-parquet or --jdbc-url")
         print(json.dumps(run_batch_pipeline(spark, source, cfg, as_of=args.as_of, incremental_silver=args.incremental_silver), default=str))
+        if args.history:
+            print(json.dumps(run_history_incremental(spark, cfg), default=str))
     elif args.cmd == "events":
         print(json.dumps(run_events_pipeline(spark, cfg), default=str))
         gold_event_totals(spark, cfg).show(truncate=False)

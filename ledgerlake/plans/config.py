@@ -43,6 +43,14 @@ class LakeConfig:
     def silver_master_versions(self) -> str:
         return self._p("silver", "loan_master_incremental")
 
+    @property
+    def history(self) -> str:
+        return self._p("silver", "loan_master_history")
+
+    @property
+    def history_months(self) -> str:
+        return self._p("_control", "history_months")
+
     @property
     def silver_events(self) -> str:
         return self._p("silver", "loan_events")

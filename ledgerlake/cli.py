@@ -32,6 +32,7 @@ from ledgerlake.sinks.retention import KEEP, sweep
 from ledgerlake.sources.incremental import jdbc_source
 from ledgerlake.sources.watermark import get_watermark
 from ledgerlake.streaming.ingest import decode_events, file_event_stream, kafka_event_stream, start_bronze_stream
+from ledgerlake.streaming.metrics import observed, start_recording
 from ledgerlake.streaming.refresh import refresh_gold_events
 
 
@@ -111,7 +112,9 @@ def main(argv: list[str] | None = None) -> int:
         )
         ckpt = cfg.checkpoint("bronze_events")
         trigger = {"availableNow": True} if args.available_now else None
-        start_bronze_stream(decode_events(raw, args.worker), cfg.bronze_events, ckpt, trigger=trigger).awaitTermination()
+        start_recording(spark, cfg)
+        events = observed(decode_events(raw, args.worker))
+        start_bronze_stream(events, cfg.bronze_events, ckpt, trigger=trigger, query_name="bronze_events").awaitTermination()
     elif args.cmd == "refresh":
         print(json.dumps(refresh_gold_events(spark, cfg, incremental=True), default=str))
         register_all(spark, cfg)

@@ -74,6 +74,10 @@ class LakeConfig:
     def quarantine(self) -> str:
         return self._p("_control", "quarantine", self.source_table)
 
+    @property
+    def stream_metrics(self) -> str:
+        return self._p("_control", "stream_metrics")
+
     @property
     def unreachable(self) -> str:
         return self._p("_control", "unreachable")

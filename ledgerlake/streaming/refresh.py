@@ -34,6 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake import constants as K
 from ledgerlake.operators.dedup import EVENT_KEYS, EVENT_RANK, event_order, latest_per_key, merge_latest
 from ledgerlake.operators.lineage import add_silver_lineage
+from ledgerlake.operators.metrics import with_run_metrics
 from ledgerlake.operators.normalize import normalize_loan_events
 from ledgerlake.plans.config import LakeConfig
 from ledgerlake.plans.layers import decodable
@@ -41,6 +42,11 @@ from ledgerlake.plans.pipelines import run_gold_events, run_gold_events_incremen
 from ledgerlake.sinks.commitlog import CommitConflict, CommitLog
 from ledgerlake.sinks.files import rebalanced
 from ledgerlake.sources.bronze import BRONZE_LOAN_EVENTS_READ, CORRUPT_COLUMN
+from ledgerlake.streaming.metrics import record_batch
+
+#: The silver refresh in the stream metrics.
+REFRESH_QUERY = "silver_events"
+
 
 def manifest_log(spark: SparkSession, cfg: LakeConfig) -> CommitLog:
     return CommitLog(spark, cfg.silver_event_dates, "event_date string, directory string, batch_id long", ("event_date",))
@@ -80,11 +86,14 @@ def _present(spark: SparkSession, cfg: LakeConfig, wanted: list) -> DataFrame |
 
 def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts, attempts: int = 5) -> None:
     """Merge a batch into its dates; merged anew if another writer committed one of them meanwhile."""
-    typed = add_silver_lineage(normalize_loan_events(decodable(batch)), K.JOB_SILVER_EVENTS, run_ts)
-    typed = typed.withColumn("event_date", F.to_date("event_ts")).persist()
+    batch = batch.persist()
     try:
-        dates = [r.event_date for r in typed.select("event_date").distinct().collect()]
+        typed = add_silver_lineage(normalize_loan_events(decodable(batch)), K.JOB_SILVER_EVENTS, run_ts)
+        typed = typed.withColumn("event_date", F.to_date("event_ts"))
+        found = {r.event_date: r.n for r in typed.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+        dates, rows_in, rows_ok = list(found), batch.count(), sum(found.values())
         if not dates:
+            record_batch(spark, cfg, REFRESH_QUERY, batch_id, rows_in, rows_in, 0, 0)
             return
         for attempt in range(attempts):
             seen = _located(spark, cfg, dates)
@@ -95,15 +104,18 @@ def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, b
                 merged = merge_latest(current.select(*typed.columns), typed, EVENT_KEYS, EVENT_RANK)
             # Every attempt has a directory of its own; only the manifest makes it count.
             directory = f"batch=b{batch_id:010d}-{uuid.uuid4().hex}"
-            rebalanced(merged, ["event_date"]).write.partitionBy("event_date").parquet(f"{cfg.silver_events_incremental}/{directory}")
+            merged, obs = with_run_metrics(rebalanced(merged, ["event_date"]), "silver_events_batch")
+            merged.write.partitionBy("event_date").parquet(f"{cfg.silver_events_incremental}/{directory}")
+            came = obs.get["rows"] - (0 if current is None else current.count())
             try:
                 commit_dates(spark, cfg, dates, directory, batch_id, seen)
+                record_batch(spark, cfg, REFRESH_QUERY, batch_id, rows_in, rows_in - rows_ok, rows_ok - came, came)
                 return
             except CommitConflict:
                 if attempt == attempts - 1:
                     raise
     finally:
-        typed.unpersist()
+        batch.unpersist()
 
 
 def commit_dates(spark: SparkSession, cfg: LakeConfig, dates: list, directory: str, batch_id: int, seen: list) -> int:

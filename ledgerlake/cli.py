@@ -31,6 +31,7 @@ from ledgerlake.session import prepare_session
 from ledgerlake.sinks.retention import KEEP, sweep
 from ledgerlake.sources.incremental import jdbc_source
 from ledgerlake.sources.watermark import get_watermark
+from ledgerlake.streaming.compact import refresh_gold_from_compacted
 from ledgerlake.streaming.ingest import decode_events, file_event_stream, kafka_event_stream, start_bronze_stream
 from ledgerlake.streaming.metrics import observed, start_recording
 from ledgerlake.streaming.refresh import refresh_gold_events
@@ -59,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--as-of", default=None)
     b.add_argument("--jdbc-text-time", action="store_true", help="MODIFIED_TS is text: rows certainly before the watermark stay in the database")
     sub.choices["sweep"].add_argument("--keep-days", type=float, default=KEEP.days, help="how long unreachable data stays readable")
+    sub.choices["refresh"].add_argument("--compacted", action="store_true", help="gather the small JSON files into columnar ones and read those")
     i = sub.choices["ingest"]
     i.add_argument("--kafka-bootstrap")
     i.add_argument("--source-dir", help="Kafka-shaped JSON-lines files instead of a topic")
@@ -116,7 +118,8 @@ def main(argv: list[str] | None = None) -> int:
         events = observed(decode_events(raw, args.worker))
         start_bronze_stream(events, cfg.bronze_events, ckpt, trigger=trigger, query_name="bronze_events").awaitTermination()
     elif args.cmd == "refresh":
-        print(json.dumps(refresh_gold_events(spark, cfg, incremental=True), default=str))
+        out = refresh_gold_from_compacted(spark, cfg) if args.compacted else refresh_gold_events(spark, cfg, incremental=True)
+        print(json.dumps(out, default=str))
         register_all(spark, cfg)
     elif args.cmd == "sweep":
         print(json.dumps(sweep(spark, cfg, dt.timedelta(days=args.keep_days))))

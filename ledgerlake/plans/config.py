@@ -35,6 +35,14 @@ class LakeConfig:
     def bronze_events(self) -> str:
         return self._p("bronze", "loan_events")
 
+    @property
+    def bronze_events_compact(self) -> str:
+        return self._p("bronze", "loan_events_compact")
+
+    @property
+    def compacted(self) -> str:
+        return self._p("_control", "loan_events_compacted")
+
     @property
     def silver_master(self) -> str:
         return self._p("silver", "loan_master")

@@ -44,6 +44,8 @@ from ledgerlake.sinks.files import rebalanced
 from ledgerlake.sources.bronze import BRONZE_LOAN_EVENTS_READ, CORRUPT_COLUMN
 from ledgerlake.streaming.metrics import record_batch
 
+#: The manifest's row that says how far the compacted events were read (its batch_id; it has no directory).
+COMPACTED_UPTO = "_compacted_upto"
 #: The silver refresh in the stream metrics.
 REFRESH_QUERY = "silver_events"
 
@@ -60,7 +62,14 @@ def silver_event_dates(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None
     manifest = manifest_log(spark, cfg)
     if manifest.head() < 0:
         return None
-    return manifest.latest().select(F.col("event_date").cast("date").alias("event_date"), "seq", "directory", "batch_id")
+    dates = manifest.latest().filter(F.col("directory").isNotNull())
+    return dates.select(F.col("event_date").cast("date").alias("event_date"), "seq", "directory", "batch_id")
+
+
+def compacted_upto(spark: SparkSession, cfg: LakeConfig) -> int:
+    """The last commit of the compaction that the silver events hold; -1 for none."""
+    row = manifest_log(spark, cfg).latest().filter(F.col("event_date") == COMPACTED_UPTO).first()
+    return -1 if row is None else row.batch_id
 
 
 def partition_directory(directory: str, event_date: dt.date | str | None) -> str:
@@ -84,8 +93,14 @@ def _present(spark: SparkSession, cfg: LakeConfig, wanted: list) -> DataFrame |
     return rows.withColumn("event_date", F.col("event_date").cast("date"))
 
 
-def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts, attempts: int = 5) -> None:
-    """Merge a batch into its dates; merged anew if another writer committed one of them meanwhile."""
+def merge_events_batch(
+    spark: SparkSession, cfg: LakeConfig, batch: DataFrame, batch_id: int, run_ts, attempts: int = 5, query: str = REFRESH_QUERY, after: int | None = None
+) -> None:
+    """Merge a batch into its dates; merged anew if another writer committed one of them meanwhile.
+
+    A batch of compacted events says after which compaction commit it begins
+    (``after``; ``batch_id`` is where it ends): the progress is part of the dates' commit.
+    """
     batch = batch.persist()
     try:
         typed = add_silver_lineage(normalize_loan_events(decodable(batch)), K.JOB_SILVER_EVENTS, run_ts)
@@ -93,7 +108,9 @@ def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, b
         found = {r.event_date: r.n for r in typed.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()}
         dates, rows_in, rows_ok = list(found), batch.count(), sum(found.values())
         if not dates:
-            record_batch(spark, cfg, REFRESH_QUERY, batch_id, rows_in, rows_in, 0, 0)
+            if after is not None:
+                commit_dates(spark, cfg, [], "", batch_id, [], after)
+            record_batch(spark, cfg, query, batch_id, rows_in, rows_in, 0, 0)
             return
         for attempt in range(attempts):
             seen = _located(spark, cfg, dates)
@@ -108,8 +125,8 @@ def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, b
             merged.write.partitionBy("event_date").parquet(f"{cfg.silver_events_incremental}/{directory}")
             came = obs.get["rows"] - (0 if current is None else current.count())
             try:
-                commit_dates(spark, cfg, dates, directory, batch_id, seen)
-                record_batch(spark, cfg, REFRESH_QUERY, batch_id, rows_in, rows_in - rows_ok, rows_ok - came, came)
+                commit_dates(spark, cfg, dates, directory, batch_id, seen, after)
+                record_batch(spark, cfg, query, batch_id, rows_in, rows_in - rows_ok, rows_ok - came, came)
                 return
             except CommitConflict:
                 if attempt == attempts - 1:
@@ -118,11 +135,21 @@ def merge_events_batch(spark: SparkSession, cfg: LakeConfig, batch: DataFrame, b
         batch.unpersist()
 
 
-def commit_dates(spark: SparkSession, cfg: LakeConfig, dates: list, directory: str, batch_id: int, seen: list) -> int:
+class AlreadyMerged(RuntimeError):
+    """Another run has read these compacted events."""
+
+
+def commit_dates(
+    spark: SparkSession, cfg: LakeConfig, dates: list, directory: str, batch_id: int, seen: list, after: int | None = None
+) -> int:
     """Make ``directory`` the place of ``dates``, if each is still where the manifest rows ``seen`` had it."""
     rows = [{"event_date": None if d is None else d.isoformat(), "directory": directory, "batch_id": batch_id} for d in dates]
+    if after is not None:
+        rows.append({"event_date": COMPACTED_UPTO, "directory": None, "batch_id": batch_id})
 
     def make(number: int) -> list[dict]:
+        if after is not None and compacted_upto(spark, cfg) != after:
+            raise AlreadyMerged(f"compacted events after {after} were merged by another run")
         if {(r.event_date, r.seq) for r in _located(spark, cfg, dates)} != {(r.event_date, r.seq) for r in seen}:
             raise CommitConflict(f"dates of {directory} were committed by another writer")
         return rows

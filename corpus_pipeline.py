@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import Vocabulary, build_lexicon, encode
 from ledgerlake.llm.common import read_table, scratch_table
-from ledgerlake.llm.lines import line_dedup
+from ledgerlake.llm.lines import line_rows
 from ledgerlake.llm.mixing import sample_mixed
 from ledgerlake.llm.queries import tokenizer_path
 from ledgerlake.llm.simhash import keep_one_per_group
@@ -26,12 +26,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated lines and runs of lines go; a document keeps its row, and n_chars follows its text."""
-    done = line_dedup(docs)
+    done = line_rows(docs)
     changed = F.col("_lines.n_removed") > 0
-    columns = {"text": F.when(changed, F.col("_lines.text")).otherwise(F.col("text"))}
+    columns = {"text": F.when(changed, F.col("_lines.text")).otherwise(F.col("r.text"))}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(changed, F.length("_lines.text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return done.select(*[columns[c].alias(c) if c in columns else done[c] for c in docs.columns])
+        columns["n_chars"] = F.when(changed, F.length("_lines.text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("r.n_chars"))
+    return done.select(*[(columns[c] if c in columns else F.col("r").getField(c)).alias(c) for c in docs.columns])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
+def columns_of(df: DataFrame) -> list:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
@@ -62,6 +67,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def mark_copies(ids: DataFrame) -> DataFrame:
+    """``ids`` (a written table with key, tag, tag2) with is_copy: whether a smaller key has the same text.
+
+    Texts that occur under several keys are reduced to their smallest key (map-side
+    first) and written; the join back then meets two plain tables, so Spark
+    broadcasts the few classes or splits a hot one.
+    """
+    classes = ids.groupBy("tag", "tag2").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first <> last")
+    classes, _ = scratch_table(classes.select("tag", "tag2", "first"), "copy-classes")
+    is_copy = F.coalesce(F.col("key") != F.col("first"), F.lit(False))
+    return ids.join(classes, ["tag", "tag2"], "left").withColumn("is_copy", is_copy).drop("first")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, component) for every node of ``edges`` (src, dst: long); component = smallest node reachable.
 

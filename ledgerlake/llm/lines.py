@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import drop_scratch, release, scratch_table
+from ledgerlake.llm.common import columns_of, drop_scratch, mark_copies, release, scratch_table
 
 NULL_KEY = -(1 << 63)
 PLACE = ["key", "tag", "i"]
@@ -101,10 +101,8 @@ def line_marks(keyed: DataFrame, min_words: int) -> DataFrame:
 
     ``keyed``: key, tag, tag2 and text (binary).
     """
-    ids = keyed.groupBy("key", "tag", "tag2").agg(F.count(F.lit(1)).alias("n"))
-    first = ids.groupBy("tag", "tag2").agg(F.min("key").alias("first"))
-    is_copy = (F.col("key") != F.col("first")).alias("is_copy")
-    ids, _ = scratch_table(ids.join(first, ["tag", "tag2"]).select("key", "tag", "n", is_copy), "lines-copies")
+    ids, _ = scratch_table(keyed.groupBy("key", "tag", "tag2").agg(F.count(F.lit(1)).alias("n")), "lines-texts")
+    ids, _ = scratch_table(mark_copies(ids), "lines-copies")
     lines = keyed.select("key", "tag", "text").mapInArrow(_lines(min_words), "key long, tag long, i int, h long, g long, enough boolean")
     # copies of an earlier document do not take part
     own = ids.filter("not is_copy").select("key", "tag")
@@ -151,13 +149,22 @@ def _kept_udf(min_words: int):
 
 
 def line_dedup(docs: DataFrame, *, min_words: int = 5) -> DataFrame:
-    """``docs`` with the struct _lines: text without later copies of repeated runs, n_lines (non-blank), n_removed, n_runs."""
-    text = F.col("text").cast("string")
-    ids = {"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)), "_tag": F.xxhash64(text)}
-    keyed = docs.select(ids["_key"].alias("key"), ids["_tag"].alias("tag"), F.xxhash64(text, F.lit("line")).alias("tag2"), text.cast("binary").alias("text"))
-    marks = line_marks(keyed, min_words).toDF("_key", "_tag", "_spans", "_is_copy")
-    out = docs.withColumns(ids).join(marks, ["_key", "_tag"], "left")
-    return out.withColumn("_lines", _kept_udf(min_words)(text, "_is_copy", "_spans")).select(*docs.columns, "_lines")
+    """``docs`` with the struct _lines: text without later copies of repeated runs, n_lines (non-blank), n_removed, n_runs.
+
+    A column of that name is replaced; ``line_rows`` keeps the caller's columns apart.
+    """
+    return line_rows(docs, min_words=min_words).select(*[F.col("r").getField(c).alias(c) for c in docs.columns if c != "_lines"], "_lines")
+
+
+def line_rows(docs: DataFrame, *, min_words: int = 5) -> DataFrame:
+    """Rows of ``docs`` as the struct r, and the struct _lines of ``line_dedup``."""
+    text, key = F.col("text").cast("string"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY))
+    keyed = docs.select(key.alias("key"), F.xxhash64(text).alias("tag"), F.xxhash64(text, F.lit("line")).alias("tag2"), text.cast("binary").alias("text"))
+    marks = line_marks(keyed, min_words).select("key", "tag", "spans", "is_copy")
+    # the caller's columns stay in one struct, so their names meet none of these
+    held = docs.select(F.struct(*columns_of(docs)).alias("r"), key.alias("key"), F.xxhash64(text).alias("tag"))
+    out = held.join(marks, ["key", "tag"], "left")
+    return out.select("r", _kept_udf(min_words)(F.col("r.text").cast("string"), "is_copy", "spans").alias("_lines"))
 
 
 def line_digest(result: DataFrame) -> DataFrame:

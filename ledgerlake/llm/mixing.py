@@ -26,7 +26,7 @@ are values of their own; null and empty texts have no tokens, lie in the topic
 ``empty`` and are kept (they carry no tokens to weigh).  Repeated rows are kept
 or dropped together.  A target that names a value with no document is
 renormalised over the others; a value that a target leaves out or gives nothing
-gets no weight.  Column names that end in ``_mix`` are the operator's own.
+gets no weight.  The caller's columns stay in one struct meanwhile.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import drop_scratch, scratch_table
+from ledgerlake.llm.common import columns_of, drop_scratch, scratch_table
 
 DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.85, "lang": 0.85, "topic": 0.9}
@@ -253,17 +253,31 @@ def mix(docs: DataFrame, *, shares: dict[str, dict] | None = None, topic: Column
     ``shares``: target token shares by dimension, e.g. {"lang": {"en": 0.5, "de": 0.5}}; a dimension
     left out gets its present shares raised to a power under 1, which lifts small sources.
     ``keep``: share of the tokens to keep, of those that no target excludes.
+    Columns of ``docs`` with the names of the five new ones are replaced; ``mixed_rows`` keeps the caller's columns apart.
     """
+    out = mixed_rows(docs, shares=shares, topic=topic, seed=seed, sweeps=sweeps, keep=keep)
+    return out.select(*[F.col("r").getField(c).alias(c) for c in docs.columns if c not in MIXED], *MIXED)
+
+
+#: What the mix says about a row.
+MIXED = ("topic_mix", "n_mix", "w_mix", "p_mix", "kept_mix")
+
+
+def mixed_rows(docs: DataFrame, *, shares: dict[str, dict] | None = None, topic: Column | None = None, seed: int = 42, sweeps: int = 1000, keep: float | None = None) -> DataFrame:
+    """Rows of ``docs`` as the struct r, with the columns that ``mix`` adds."""
     topic = topic_of(F.col("text")) if topic is None else topic
     cells, path = scratch_table(cells_of(docs, topic), "mix-count")
     weights, _ = mixed_cells(cells, shares=shares, keep=keep, sweeps=sweeps)
-    keyed = docs.withColumns({"source_mix": _category(F.col("source")), "lang_mix": _category(F.col("lang")), "topic_mix": _category(topic)})
+    # the caller's columns stay in one struct, so their names meet none of these
+    keyed = docs.select(
+        F.struct(*columns_of(docs)).alias("r"), _category(F.col("source")).alias("source_mix"), _category(F.col("lang")).alias("lang_mix"), _category(topic).alias("topic_mix")
+    )
     # cells number sources x languages x topics; Spark broadcasts them if their written size is small, else joins by shuffle
     out = keyed.join(weights, [f"{d}_mix" for d in DIMENSIONS])
-    chance = unit_hash(F.col("doc_id"), F.col("text"), seed=seed)
-    return out.withColumn("kept_mix", chance < F.col("p_mix")).drop("source_mix", "lang_mix")
+    chance = unit_hash(F.col("r.doc_id"), F.col("r.text"), seed=seed)
+    return out.select("r", *MIXED[:-1], (chance < F.col("p_mix")).alias("kept_mix"))
 
 
 def sample_mixed(docs: DataFrame, *, shares: dict[str, dict] | None = None, seed: int = 42, sweeps: int = 1000, keep: float | None = KEEP) -> DataFrame:
     """The rows of ``docs`` that the mix keeps, columns unchanged."""
-    return mix(docs, shares=shares, seed=seed, sweeps=sweeps, keep=keep).filter("kept_mix").select(*docs.columns)
+    return mixed_rows(docs, shares=shares, seed=seed, sweeps=sweeps, keep=keep).filter("kept_mix").select("r.*")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import connected_components, scratch_table, shuffle_width
+from ledgerlake.llm.common import columns_of, connected_components, scratch_table, shuffle_width
 
 SEED = 42
 
@@ -85,6 +85,12 @@ def cover(shared: int, size: int) -> list[tuple[int, ...]]:
     return found
 
 
+def shared_bytes(x: np.ndarray) -> np.ndarray:
+    """How many of the eight positional bytes two fingerprints share, from their exclusive or: its zero bytes."""
+    low = np.uint64(0x7F7F7F7F7F7F7F7F)
+    return 8 - np.bitwise_count((((x & low) + low) | x) & ~low)
+
+
 def _spanning(fp: np.ndarray, minimum: int, distance: int, block: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links that connect what the pairs within one list connect, by search from fingerprint to fingerprint."""
     left = np.arange(len(fp))
@@ -100,11 +106,10 @@ def _spanning(fp: np.ndarray, minimum: int, distance: int, block: int = 2048) ->
                 if not len(rest):
                     break
                 x = fp[some][:, None] ^ fp[left[rest]][None, :]
-                near = np.bitwise_count(x) <= distance
-                # tally of shared positional bytes, for the pairs that the bit count leaves
-                i, j = np.nonzero(near)
-                tally = (x[i, j].view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) if len(i) else np.zeros(0, int)
-                i, j = i[tally >= minimum], j[tally >= minimum]
+                # count filter: pairs that share enough positional bytes; then their bits are compared
+                i, j = np.nonzero(shared_bytes(x) >= minimum)
+                near = np.bitwise_count(x[i, j]) <= distance
+                i, j = i[near], j[near]
                 found[rest[j]] = True
                 by[rest[j]] = some[i]
             yield fp[by[found]], fp[left[found]]
@@ -144,9 +149,10 @@ def _list_links(minimum: int, distance: int, max_list: int):
             inner = (ends - starts == 2) & (starts > 0) & (ends < len(key))
             a, b = fp[starts[inner]], fp[starts[inner] + 1]
             x = a ^ b
-            ok = ((x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= minimum) & (np.bitwise_count(x) <= distance)
-            out_a.append(a[ok])
-            out_b.append(b[ok])
+            kept = np.flatnonzero(shared_bytes(x) >= minimum)
+            kept = kept[np.bitwise_count(x[kept]) <= distance]
+            out_a.append(a[kept])
+            out_b.append(b[kept])
             edge = (starts == 0) | (ends == len(key))
             for s, e in zip(starts[(ends - starts > 2) | edge].tolist(), ends[(ends - starts > 2) | edge].tolist()):
                 if held and key[s] != held_key:
@@ -231,17 +237,19 @@ def keep_one_per_group(docs: DataFrame, *, shingle: int = 4, distance: int = 4)
     """
     prints, _ = scratch_table(fingerprints(docs, shingle=shingle), "simhash-docs")
     parts, _ = scratch_table(simhash_components(prints, distance=distance), "simhash-parts")
-    heads = prints.join(parts, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_head")).distinct()
+    heads = prints.join(parts, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("head")).distinct()
     # how many rows have the id at all: rows with a head's id may belong to other components
-    rows = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    heads = heads.join(rows, F.col("_head").eqNullSafe(F.col("doc_id"))).select("_head", "_rows")
+    rows = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    heads = heads.join(rows, F.col("head").eqNullSafe(F.col("doc_id"))).select("head", "rows")
     heads, _ = scratch_table(heads, "simhash-heads")
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_head"))
-    single = docs.join(heads.filter("_rows = 1"), on, "left_semi")
-    if heads.filter("_rows > 1").isEmpty():
+    # the caller's columns stay in one struct, so their names meet none of these
+    held = docs.select(F.struct(*columns_of(docs)).alias("r"), F.col("doc_id").cast("long").alias("id"))
+    on = F.col("id").eqNullSafe(F.col("head"))
+    single = held.join(heads.filter("rows = 1"), on, "left_semi").select("r.*")
+    if heads.filter("rows > 1").isEmpty():
         return single
     # ids on several rows: the rows are told apart by the component of their own text
-    again = docs.join(heads.filter("_rows > 1"), on, "left_semi")
-    again = again.select(F.struct(*again.columns).alias("r"), simhash_udf(shingle)(F.col("text")).alias("fp")).join(parts, "fp")
+    again = held.join(heads.filter("rows > 1"), on, "left_semi")
+    again = again.select("r", simhash_udf(shingle)(F.col("r.text")).alias("fp")).join(parts, "fp")
     first = again.filter(F.col("r.doc_id").cast("long").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min("r").alias("r"))
     return single.unionByName(first.select("r.*"))

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import release, scratch_table, shuffle_width
+from ledgerlake.llm.common import mark_copies, release, scratch_table, shuffle_width
 from ledgerlake.llm.wordhash import WordHasher, window_hashes, word_spans
 
 NULL_KEY = -(1 << 63)
@@ -269,9 +269,8 @@ def repeated_spans(docs: DataFrame, *, window: int = 20, bucket_windows: int = 4
     blocks = live.groupBy("chunk").applyInArrow(_blocks_of_docs, "key long, tag long, blocks binary")
     blocks, _ = scratch_table(blocks, "substring-blocks")
     release(spark)
-    ids = docs.select("key", "tag", "tag2").distinct()
-    first = ids.groupBy("tag", "tag2").agg(F.min("key").alias("first"))
-    marked, _ = scratch_table(ids.join(first, ["tag", "tag2"]).select("key", "tag", (F.col("key") != F.col("first")).alias("is_copy")), "substring-copies")
+    ids, _ = scratch_table(docs.select("key", "tag", "tag2").distinct(), "substring-texts")
+    marked, _ = scratch_table(mark_copies(ids).select("key", "tag", "is_copy"), "substring-copies")
     # equal doc_ids with several texts give several rows of live blocks, equal rows equal ones
     blocks = blocks.dropDuplicates(["key", "tag"]).join(marked.filter("is_copy"), ["key", "tag"], "left_anti")
     texts = docs.select("key", "tag", "text").join(blocks, ["key", "tag"])

@@ -150,10 +150,10 @@ _SUMMARY = f"""fact_event_summary as (
 )"""
 
 # Percent with two decimals, exact half-up (DuckDB's decimal division is a DOUBLE).
-_DELINQ_RATE = _half_up_div("cast(sum(case when is_delinquent then 1 else 0 end) as hugeint) * 10000", "count(*)")
+_DELINQ_RATE = _half_up_div("cast(count(*) filter (where is_delinquent) as hugeint) * 10000", "count(*)")
 _DELINQUENCY = f"""select loan_type,
   count(*) as total_loans,
-  cast(sum(case when is_delinquent then 1 else 0 end) as bigint) as delinquent_loans,
+  count(*) filter (where is_delinquent) as delinquent_loans,
   cast(cast({_DELINQ_RATE} as decimal(18,0)) * 0.01 as decimal(5,2)) as delinquency_rate
 from fact_loan_performance
 group by loan_type
@@ -207,11 +207,11 @@ def oracle_queries() -> dict[str, str]:
   '{K.SOURCE_TABLE}' as _source_table, '{K.SOURCE_SYSTEM}' as _source_system,
   strftime({_RUN_TS}, '%Y-%m-%d %H:%M:%S') as _ingestion_ts, '{X.INCREMENT_WATERMARK}' as _watermark_start
 from bronze_loan_master
-where try_strptime(MODIFIED_TS, '%Y-%m-%d %H:%M:%S') > {_WM}""",
+where coalesce(try_strptime(MODIFIED_TS, '%Y-%m-%d %H:%M:%S') > {_WM}, true)""",
         "next_watermark": _with(_MASTER_NORMALIZED)
         + f"""select max(ts) as next_watermark, count(*) as row_count
 from (select try_strptime(MODIFIED_TS, '%Y-%m-%d %H:%M:%S') as ts from bronze_loan_master) s
-where ts > {_WM}""",
+where coalesce(ts > {_WM}, true)""",
         "loan_master_silver": _with(_MASTER_NORMALIZED, _MASTER_SILVER) + "select * from loan_master_silver",
         "events_normalized": _with(_EVENTS_NORMALIZED) + "select * from events_normalized",
         "loan_events_silver": _with(_EVENTS_NORMALIZED, _EVENTS_SILVER) + "select * from loan_events_silver",

@@ -8,10 +8,10 @@ interval and the versions new with it decide what changes:
 * each new version ends where the next new one starts, or where the interval ended;
 * a version that the history has already takes the attributes of the newer ingestion.
 
-So the merge looks up the covering interval of each new version (an equality join on the
-loan with a range, the increment being the small side), and yields *patches* of present rows and
-new rows.  Nothing else of the history is read beyond three columns, and
-nothing else is rewritten.  A version without a time starts before all others
+So the merge looks up the covering interval of each new version, and yields
+*patches* of present rows and new rows.  Of the history only the
+increment's loans are looked at, in four columns, and
+only patched rows are rewritten.  A version without a time starts before all others
 (``valid_from`` NULL), as in the full build.
 
 The next new version of a loan comes from ``lead_within_key``, which splits hot
@@ -21,8 +21,9 @@ version of a later interval starts no earlier than this one ends.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.operators.dedup import latest_per_key
 from ledgerlake.operators.scd2 import SCD2_COLUMNS, lead_within_key
@@ -33,15 +34,6 @@ HISTORY_COLUMNS = [*SCD2_COLUMNS, "_ingestion_ts"]
 ATTRIBUTES = [c for c in HISTORY_COLUMNS if c not in (*KEY, "valid_to", "is_current")]
 
 
-def _start(c: Column) -> Column:
-    """A version's time as a number; before all times for NULL."""
-    return F.coalesce(F.unix_micros(c), F.lit(-(1 << 63)))
-
-
-def _end(c: Column) -> Column:
-    return F.coalesce(F.unix_micros(c), F.lit((1 << 63) - 1))
-
-
 def versions_of(typed: DataFrame) -> DataFrame:
     """Distinct versions of normalized loan master rows: of copies the latest ingestion."""
     typed = typed.withColumnRenamed("MODIFIED_TS", "valid_from")
@@ -52,22 +44,36 @@ def covering(versions: DataFrame, history: DataFrame) -> DataFrame:
     """``versions`` with the interval that each falls into: _from, _to, _seen (its ingestion), _found.
 
     Before a loan's first version there is none (_found NULL); _to is then the first version's time.
+
+    The interval is the loan's last one that starts no later.  It is looked up
+    without comparing pairs: the starts of the loan's intervals and the new versions are
+    sorted together by day, and a day's versions before its first start take
+    the last start of the days before (one row for a loan and day).  So a loan that holds
+    a third of all rows is spread over its days, and the work is that of a sort.
     """
-    intervals = history.select(
-        F.col("loan_id").alias("_loan"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), F.col("_ingestion_ts").alias("_seen"),
-        F.lit(True).alias("_found"),
-    )
-    at = _start(versions["valid_from"])
-    inside = versions["loan_id"].eqNullSafe(intervals["_loan"]) & (_start(intervals["_from"]) <= at) & (at < _end(intervals["_to"]))
-    found = versions.join(intervals, inside, "left").drop("_loan")
-    # A loan's first version: needed for the versions before it, and only of those loans.
-    before = found.filter("_found is null").select(F.col("loan_id").alias("_loan")).distinct()
-    first = history.join(before, history["loan_id"].eqNullSafe(before["_loan"]), "left_semi").groupBy("loan_id").agg(F.min("valid_from").alias("_first"))
-    first = first.withColumnRenamed("loan_id", "_loan")
-    out = found.join(first, found["loan_id"].eqNullSafe(first["_loan"]) & found["_found"].isNull(), "left")
+    interval = F.struct(F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), F.col("_ingestion_ts").alias("_seen"), F.lit(True).alias("_found"))
+    loans = versions.select(F.col("loan_id").alias("_loan")).distinct()
+    starts = history.join(loans, history["loan_id"].eqNullSafe(loans["_loan"]), "left_semi")
+    starts = starts.select("loan_id", F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), interval.alias("_i"), F.lit(None).cast(_row_type(versions)).alias("_v"))
+    new = versions.select("loan_id", F.col("valid_from").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(starts.schema["_i"].dataType).alias("_i"), F.struct(*versions.columns).alias("_v"))
+    both = starts.unionByName(new).withColumn("_day", F.to_date("_at"))
+    in_day = Window.partitionBy("loan_id", "_day").orderBy(F.col("_at").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn("_here", F.last("_i", ignorenulls=True).over(in_day)).filter("_kind = 1").select("loan_id", "_day", "_v", "_here")
+    days = both.groupBy("loan_id", "_day").agg(F.max_by("_i", F.when(F.col("_kind") == 0, F.struct("_at"))).alias("_last"))
+    earlier = Window.partitionBy("loan_id").orderBy(F.col("_day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(F.col("loan_id").alias("_l"), F.col("_day").alias("_d"), F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    carried = placed.join(days, placed["loan_id"].eqNullSafe(days["_l"]) & placed["_day"].eqNullSafe(days["_d"]), "left")
+    found = carried.select("_v.*", F.coalesce("_here", "_before").alias("_i")).select(*versions.columns, "_i.*")
+    # A loan's first version: the end of the versions before it.
+    first = starts.groupBy("loan_id").agg(F.min("_at").alias("_first")).withColumnRenamed("loan_id", "_loan")
+    out = found.join(first, found["loan_id"].eqNullSafe(first["_loan"]), "left")
     return out.withColumn("_to", F.when(F.col("_found"), F.col("_to")).otherwise(F.col("_first"))).drop("_loan", "_first")
 
 
+def _row_type(df: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+
+
 def history_changes(located: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new rows, patches) from versions with their covering intervals (``covering``; read several times).
 

@@ -272,11 +272,11 @@ def test_a_date_committed_by_another_writer_meanwhile_is_merged_again(spark, lak
     _events(spark, cfg, 1, bronze.filter(half))
     real, lost = R.commit_dates, []
 
-    def other_first(spark_, cfg_, dates, directory, batch_id, seen):
+    def other_first(spark_, cfg_, dates, directory, batch_id, seen, *after):
         if not lost:
             lost.append(directory)
             R.manifest_log(spark_, cfg_).append(lambda n: [{"event_date": str(seen[0].event_date), "directory": seen[0].directory, "batch_id": 0}])
-        return real(spark_, cfg_, dates, directory, batch_id, seen)
+        return real(spark_, cfg_, dates, directory, batch_id, seen, *after)
 
     monkeypatch.setattr(R, "commit_dates", other_first)
     _events(spark, cfg, 2, bronze.filter(~half))

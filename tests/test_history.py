@@ -74,3 +74,25 @@ def test_increments_leave_other_months_files_alone(spark, lake):
     assert run_history_incremental(spark, cfg, dt.datetime(2024, 1, 4))["months"] <= 2
     got, want = current_history(spark, cfg).select(*SCD2_COLUMNS), loan_master_scd2(spark.read.parquet(cfg.bronze_master))
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_a_hot_loan_is_spread_over_its_days(spark):
+    from ledgerlake.operators.normalize import normalize_loan_master
+
+    def rows(times, run):
+        base = spark.createDataFrame([("L1", t.strftime("%Y-%m-%d %H:%M:%S")) for t in times], "loan_id string, MODIFIED_TS string")
+        columns = {"customer_id": "C", "loan_type": "AUTO", "origination_dt": "2000-01-01", "status": "S", "branch_id": "B", "_ingestion_ts": f"2030-01-{run:02d} 00:00:00"}
+        return base.withColumns({**{k: F.lit(v) for k, v in columns.items()}, "principal": F.lit(1.0), "interest_rate": F.lit(1.0), "term_months": F.lit(6)})
+
+    start = dt.datetime(2001, 1, 1)
+    old = rows([start + dt.timedelta(hours=7 * k) for k in range(400)], 1)
+    new = rows([start + dt.timedelta(hours=11 * k - 50) for k in range(300)], 2)
+    versions = H.versions_of(normalize_loan_master(old))
+    history = loan_master_scd2(old).withColumn("_ingestion_ts", F.lit("2030-01-01 00:00:00").cast("timestamp")).select(*H.HISTORY_COLUMNS)
+    located = H.covering(H.versions_of(normalize_loan_master(new)), history)
+    plan = located._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "rangepartitioning" not in plan
+    assert "_at" not in [c for c in located.columns] and located.count() == 300 and versions.count() == 400
+    got = H.merge_history(history, normalize_loan_master(new)).select(*SCD2_COLUMNS)
+    want = loan_master_scd2(old.unionByName(new))
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import drop_scratch, scratch_table
 
-MEMO = 400_000
+MEMO = 150_000
 SINGLE = [bytes([b]) for b in range(256)]
 
 
@@ -290,7 +290,7 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 262_144, longest: int = 64) -> bytes:
+def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 131_072, longest: int = 64) -> bytes:
     """Compiled lexicon of the corpus' most frequent words, of ``longest`` characters at most.
 
     Words are taken from a count on that at most ``lexicon_size`` words reach: the
@@ -313,9 +313,11 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int = 2
         for batch in batches:
             yield pd.Series([merge(w) for w in batch], index=batch.index, dtype=object)
 
-    top = counts.filter((step >= cut) & ~F.col("word").startswith(" ")).select("word", merged("word").alias("ids")).collect() if cut is not None else []
+    if cut is None:
+        return compile_lexicon({})
+    top = counts.filter((step >= cut) & ~F.col("word").startswith(" ")).select("word", merged("word").alias("ids")).toArrow()
     drop_scratch(docs.sparkSession, path)
-    return compile_lexicon({r["word"]: tuple(r["ids"]) for r in top})
+    return compile_lexicon({w.as_py(): tuple(ids.as_py()) for w, ids in zip(top["word"], top["ids"])})
 
 
 class Memo(dict):

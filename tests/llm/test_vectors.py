@@ -107,6 +107,37 @@ def test_top_k_of_large_components_and_of_nothing(spark):
     assert K.exact_top_k(df.limit(0)).count() == 0
 
 
+def best_by_row(rows, k, scale, every):
+    ints = [(i, [int(np.floor(scale * float(x))) for x in v]) for i, v in rows if usable(v, True)]
+    out = []
+    for p, (q, qv) in enumerate(ints):
+        if q is None or q % every:
+            continue
+        found = sorted((-sum(a * b for a, b in zip(qv, v)), i is None, i or 0) for j, (i, v) in enumerate(ints) if j != p and len(v) == len(qv))
+        out += [(q, r + 1, None if none else i, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, none, i) in enumerate(found[:k])]
+    return sorted(out, key=str)
+
+
+def test_every_row_is_a_query_and_only_that_row_is_no_candidate(spark, vectors):
+    rows = vectors[0] + [(50, [0.5] * 16), (50, [-1.0] * 16), (50, [0.5] * 15), (100, [0.25] * 16)]
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<float>").repartition(4)
+    for block, scale in ((4096, 256), (40, 2)):
+        got = K.exact_top_k(df, k=5, every=50, scale=scale, block=block, sample=300, queries_a_task=3, by_row=True)
+        assert sorted(map(tuple, got.collect()), key=str) == best_by_row(rows, 5, scale, 50)
+
+
+def test_scores_beyond_64_bits_are_ranked_exactly(spark):
+    rng = np.random.default_rng(4)
+    x = (rng.normal(size=(12, 4))[rng.integers(0, 12, 200)] * 3e6 + rng.normal(size=(200, 4))).astype(np.float32)
+    x[150:] *= np.float32(1e20)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [((1 << 63) - 1, [1e30] * 4), (None, [1e30] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = K.exact_top_k(df, k=5, every=10, scale=256, block=40, by_row=True)
+    want = best_by_row([(i, [float(np.float32(c)) for c in v]) for i, v in rows], 5, 256, 10)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert any(w[2] is None for w in want) and any(w[2] == (1 << 63) - 1 for w in want)
+
+
 def test_bounds_hold_for_rows_not_seen():
     rng = np.random.default_rng(2)
     x, q = np.floor(rng.normal(size=(300, 6)) * 40), np.floor(rng.normal(size=(9, 6)) * 40)

@@ -65,7 +65,7 @@ def split_is_bytes(spec: dict) -> bool:
 
 
 class PairEncoder:
-    """Ids of texts under both tokenizers; remembers up to MEMO chunks in flat pools."""
+    """Ids of texts under both tokenizers; remembers up to MEMO chunks in flat pools, and of more those that came twice."""
 
     #: A space that a cut may not simply go before: beside other white space, doubled or at the end.
     CONFLICT = re.compile(r"\s \s|  | \Z")
@@ -99,8 +99,23 @@ class PairEncoder:
     def forget(self) -> None:
         self.code: dict[str, int] = {}
         self.good = np.zeros(0, bool)
+        self.seen = np.zeros(0, np.int64)
         self.pools = [(np.zeros(0, np.int32), np.zeros(1, np.int64)) for _ in "ab"]
 
+    def shrink(self, most: int) -> None:
+        """Forgets the chunks that came once, or all but ``most`` where that keeps too many."""
+        keep = np.flatnonzero(self.seen > 1)
+        if len(keep) > most:
+            keep = np.sort(keep[np.argpartition(self.seen[keep], -most)[-most:]])
+        place = np.full(len(self.seen), -1)
+        place[keep] = np.arange(len(keep))
+        self.code = {c: k for c, k in zip(self.code, place.tolist()) if k >= 0}  # codes go up in the dict's order
+        self.good, self.seen = self.good[keep], self.seen[keep]
+        for k, (flat, at) in enumerate(self.pools):
+            n = at[keep + 1] - at[keep]
+            ends = np.cumsum(n)
+            self.pools[k] = flat[np.repeat(at[keep] - (ends - n), n) + np.arange(n.sum())], np.concatenate(([0], ends))
+
     def chunks(self, text: str) -> list[str]:
         """Pieces of the text; each stands for itself with a space before it."""
         if not self.by_chunk:
@@ -118,26 +133,33 @@ class PairEncoder:
         a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         b = self.b.encode(chunks, num_threads=1)
         self.code.update(zip(chunks, range(len(self.code), len(self.code) + len(chunks))))
-        spelled = [self.b_bytes] if self.lossless else [self.a_bytes, self.b_bytes]
+        self.seen = np.append(self.seen, np.zeros(len(chunks), np.int64))
+        want = [f" {c}".encode() for c in chunks]
+        sizes = np.fromiter(map(len, want), np.int64, len(want))
         good = np.ones(len(chunks), bool)
-        for of, ids in zip(reversed(spelled), (b, a)):
-            good &= [b"".join([of[i] for i in x]) == f" {c}".encode() for c, x in zip(chunks, ids)]
-        self.good = np.append(self.good, good)
-        for k, new in enumerate((a, b)):
+        for k, (new, of, length) in enumerate(((a, self.a_bytes, self.a_len), (b, self.b_bytes, self.b_len))):
             flat, at = self.pools[k]
             n = np.fromiter(map(len, new), np.int64, len(new))
             ids = np.fromiter(chain.from_iterable(new), np.int32, int(n.sum()))
             self.pools[k] = np.append(flat, ids), np.append(at, at[-1] + np.cumsum(n))
+            if k == 0 and self.lossless:
+                continue
+            spelled = np.bincount(np.repeat(np.arange(len(n)), n), weights=length[ids], minlength=len(n))
+            # all in one comparison; where that fails, chunk by chunk
+            if not ((spelled == sizes).all() and b"".join(map(of.__getitem__, ids.tolist())) == b"".join(want)):
+                good &= [b"".join([of[i] for i in x]) == w for w, x in zip(want, new)]
+        self.good = np.append(self.good, good)
 
     def __call__(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """([flat ids of A, of B], [document borders in A, in B]); a text without tokens has an empty range."""
         pieces = [self.chunks(t) if t else [] for t in texts]
         if len(self.code) > MEMO:
-            self.forget()
+            self.shrink(MEMO // 2)
         if unknown := list(set(chain.from_iterable(pieces)).difference(self.code)):
             self.learn(unknown)
         counts = np.array([len(p) for p in pieces], np.int64)
         codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
+        self.seen += np.bincount(codes, minlength=len(self.seen))
         doc = np.repeat(np.arange(len(texts)), counts)
         bad = np.bincount(doc[~self.good[codes]], minlength=len(texts)) > 0
         keep = ~bad[doc]

@@ -60,6 +60,19 @@ def test_groups_and_links_equal_plain_interval_arithmetic(aligner):
         assert codes == sorted(x * aligner.width + y for x, y in links)
 
 
+def test_chunks_that_come_again_are_not_forgotten(tokenizers, monkeypatch):
+    monkeypatch.setattr(A, "MEMO", 60)
+    encode, asked = A.PairEncoder(tokenizers), []
+    add = encode.add
+    encode.add = lambda chunks: asked.extend(chunks) or add(chunks)
+    texts = [f"the cat's größe  the {' '.join(f'w{k}x{i}' for i in range(30))} the end cat's" for k in range(12)]
+    for text in texts:
+        (a, b), (a_at, b_at) = encode([text, None, text])
+        (a1, b1), (a1_at, b1_at) = A.PairEncoder(tokenizers)([text, None, text])
+        assert (a == a1).all() and (b == b1).all() and (a_at == a1_at).all() and (b_at == b1_at).all()
+    assert asked.count("cat's") == 1 and asked.count("the") == 1 and len(encode.code) < 120
+
+
 def test_lanes_give_what_one_lane_gives():
     rng = np.random.default_rng(5)
     total = 3_000

@@ -8,9 +8,9 @@ code, the coding error, is kept.  Every distinct vector is a query.
 Probes are sufficient, not guessed: partners at cosine c lie within
 ``r = sqrt(2 - 2c)`` of each other on the unit sphere, so a partner can be in a
 list only if the query is within r of the plane between its own centre and that
-list's.  Inside a list, distances to the codes are read from tables of the
-query's products with the codebooks (asymmetric), and a member is dropped only if
-its coded distance less its coding error exceeds r.  What is left is decided by
+list's.  Inside a list, queries meet the decoded members (asymmetric), and a member
+is dropped only if the angle to its code exceeds that of the cosine by more than
+the angle between member and code.  What is left is decided by
 the exact cosine in double precision.  Neither step can lose a link, so recall
 is 1 whatever the sample.
 
@@ -50,12 +50,22 @@ def train(sample: np.ndarray, lists: int, subspaces: int) -> tuple[np.ndarray, l
     return centers, [kmeans(residual[:, part], 256, rounds=6) for part in parts(x.shape[1], subspaces)]
 
 
+def packed(x: np.ndarray) -> pa.Array:
+    """Rows of a matrix as binary values."""
+    ends = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * x.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x).tobytes())])
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray, dtype=np.float64) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1)
+
+
 def parts(dim: int, subspaces: int) -> list[slice]:
     cuts = np.linspace(0, dim, min(subspaces, dim) + 1).astype(int)
     return [slice(a, b) for a, b in zip(cuts, cuts[1:])]
 
 
-ASSIGNED = "node long, n long, vector array<double>, list int, codes binary, norm double, error double"
+ASSIGNED = "node long, n long, vector binary, list int, codes binary, norm double, error double"
 
 
 def _assign(shared):
@@ -73,9 +83,7 @@ def _assign(shared):
                 coded[:, part] += book[code]
                 codes.append(code.astype(np.uint8))
             error = np.sqrt(((x - coded) ** 2).sum(1))
-            packed = [row.tobytes() for row in np.stack(codes, axis=1)]
-            vectors = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
-            cols = [batch.column(0), batch.column(1), vectors, pa.array(own.astype(np.int32)), pa.array(packed, pa.binary()), pa.array((coded**2).sum(1)), pa.array(error)]
+            cols = [batch.column(0), batch.column(1), packed(x), pa.array(own.astype(np.int32)), packed(np.stack(codes, axis=1)), pa.array((coded**2).sum(1)), pa.array(error)]
             yield pa.RecordBatch.from_arrays(cols, names=["node", "n", "vector", "list", "codes", "norm", "error"])
 
     return run
@@ -89,25 +97,55 @@ def reachable(x: np.ndarray, own: np.ndarray, centers: np.ndarray, radius: float
     return plane <= radius + 1e-9
 
 
-def _probe(shared, radius: float):
-    """Copies of the queries for every block of members that holds a reachable list."""
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of small numbers, sorted."""
+    width = int(b.max(initial=0)) + 1
+    return np.divmod(np.unique(a.astype(np.int64) * width + b), width)
+
+
+def _probe(shared, radius: float, pairs_only: bool = False):
+    """Copies of the queries for every block of members that holds a reachable list; or only the pairs of blocks, by batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centers, first, count = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, own = matrix(batch.column(1)), batch.column(2).to_numpy()
+            x, own = unpacked(batch.column(1)), batch.column(2).to_numpy()
             row, lists = np.nonzero(reachable(x, own, centers, radius))
             times = count[lists]
             block = np.repeat(first[lists], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            pairs = np.unique(np.stack([np.repeat(row, times), block]), axis=1)
+            if pairs_only:
+                pairs = distinct_pairs(np.repeat(batch.column(3).to_numpy()[row], times), block)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["home", "block"])
+                continue
+            pairs = distinct_pairs(np.repeat(row, times), block)
             take = pa.RecordBatch.from_arrays(batch.columns, schema=batch.schema).take(pa.array(pairs[0]))
             yield pa.RecordBatch.from_arrays([*take.columns, pa.array(pairs[1])], names=["node", "vector", "list", "home", "block"])
 
     return run
 
 
+def decoded(codes: np.ndarray, lists: np.ndarray, centers: np.ndarray, books: list[np.ndarray]) -> np.ndarray:
+    """Vectors that lists and codes stand for."""
+    out = centers[lists].copy()
+    for m, (part, book) in enumerate(zip(parts(centers.shape[1], len(books)), books)):
+        out[:, part] += book[codes[:, m]]
+    return out
+
+
+def least_near(norm: np.ndarray, error: np.ndarray, cosine: float) -> np.ndarray:
+    """Smallest product with a code that a partner of its member can have.
+
+    Angles add up: a partner is within the cosine's angle of the member, which is
+    within its own angle of the code (``norm``: the code's squared length,
+    ``error``: the distance between member and code).
+    """
+    length = np.sqrt(norm)
+    own = np.arccos(np.clip((1 + norm - error**2) / 2 / np.maximum(length, 1e-12), -1, 1))
+    return length * np.cos(np.minimum(own + np.arccos(cosine), np.pi)) - 1e-4
+
+
 FOUND = pa.schema([("node", pa.int64()), ("least", pa.int64()), ("links", pa.int64())])
 
 
@@ -130,10 +168,11 @@ def _match(shared, cosine: float, chunk: int = 512):
         centers, books = shared.value
         if not queries.num_rows or not members.num_rows:
             return FOUND.empty_table()
-        x, q_node, q_list = matrix(queries["vector"]), queries["node"].to_numpy(), queries["list"].to_numpy()
-        y, m_node, m_list = matrix(members["vector"]), members["node"].to_numpy(), members["list"].to_numpy()
-        n, norm, error = members["n"].to_numpy(), members["norm"].to_numpy(), members["error"].to_numpy()
-        codes = np.frombuffer(b"".join(members["codes"].to_pylist()), np.uint8).reshape(len(y), -1)
+        x, q_node, q_list = unpacked(queries["vector"]), queries["node"].to_numpy(), queries["list"].to_numpy()
+        y, m_node, m_list = unpacked(members["vector"]), members["node"].to_numpy(), members["list"].to_numpy()
+        n = members["n"].to_numpy()
+        least = least_near(members["norm"].to_numpy(), members["error"].to_numpy(), cosine).astype(np.float32)
+        code = decoded(unpacked(members["codes"], np.uint8), m_list, centers, books).astype(np.float32)
         here, place = np.unique(m_list, return_inverse=True)
         links = np.zeros(len(x), np.int64)
         ties: list[tuple[np.ndarray, np.ndarray]] = []
@@ -144,13 +183,7 @@ def _match(shared, cosine: float, chunk: int = 512):
             cols = np.flatnonzero(reach.any(axis=0)[place])
             if not len(cols):
                 continue
-            near = np.zeros((len(xs), len(cols)), np.float32)
-            for m, (part, book) in enumerate(zip(parts(x.shape[1], len(books)), books)):
-                near += np.take((xs[:, part] @ book.T).astype(np.float32), codes[cols, m], axis=1)
-            near += (xs @ centers[here].T).astype(np.float32)[:, place[cols]]
-            # squared distance to the code is 1 + norm - 2 near
-            able = near >= ((1 + norm[cols] - (radius + error[cols] + 1e-4) ** 2) / 2 - 1e-4).astype(np.float32)
-            able &= reach[:, place[cols]]
+            able = xs.astype(np.float32) @ code[cols].T >= least[cols]
             r, c = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
             if not len(r):
                 continue
@@ -174,9 +207,9 @@ def _match(shared, cosine: float, chunk: int = 512):
             ties += [(own, of_rows), (met_node, of_cols)]
         got = np.flatnonzero(links)
         node = np.concatenate([q_node[got], *(a for a, _ in ties)])
-        least = np.concatenate([q_node[got], *(b for _, b in ties)])
+        lowest = np.concatenate([q_node[got], *(b for _, b in ties)])
         count = np.concatenate([links[got], np.zeros(len(node) - len(got), np.int64)])
-        return pa.Table.from_arrays([pa.array(node), pa.array(least), pa.array(count)], schema=FOUND)
+        return pa.Table.from_arrays([pa.array(node), pa.array(lowest), pa.array(count)], schema=FOUND)
 
     return run
 
@@ -196,11 +229,11 @@ def near_links(distinct: DataFrame, dim: int, *, cosine: float, sample: int, sub
     times = F.array(*map(F.lit, count.tolist()))[F.col("list")]
     coded = coded.withColumn("home", start + F.pmod(F.xxhash64("node"), times))
     radius = float(np.sqrt(2 - 2 * cosine))
-    queries = coded.select("node", "vector", "list", "home").mapInArrow(
-        _probe(sc.broadcast((centers, first, count)), radius), "node long, vector array<double>, list int, home long, block long"
-    )
+    shared = sc.broadcast((centers, first, count))
+    probes = coded.select("node", "vector", "list", "home")
+    queries = probes.mapInArrow(_probe(shared, radius), "node long, vector binary, list int, home long, block long")
     # the pairs of blocks that any query asks for: members go to those
-    asked, _ = scratch_table(queries.select("home", "block").distinct(), "pq-asked")
+    asked, _ = scratch_table(probes.mapInArrow(_probe(shared, radius, True), "home long, block long").distinct(), "pq-asked")
     members = coded.withColumnRenamed("home", "block").join(asked, "block")
     grouped = queries.groupBy("block", "home").cogroup(members.groupBy("block", "home"))
     return grouped.applyInArrow(_match(index, cosine), "node long, least long, links long")

@@ -79,6 +79,22 @@ def test_probes_are_sufficient():
     assert close.sum() > 100 and reach[np.arange(400), to][close].all() and not reach.all()
 
 
+def test_coded_filter_loses_no_partner_and_drops_nearly_all_others():
+    rng = np.random.default_rng(3)
+    x = P.unit(rng.normal(size=(1500, 64)))
+    y = P.unit(x[:300] + rng.normal(size=(300, 64)) * 0.05)
+    members = np.concatenate([x, y])
+    centers, books = P.train(x, 38, 8)
+    own = ((members[:, None] - centers) ** 2).sum(2).argmin(1)
+    part = P.parts(64, 8)
+    codes = np.stack([(((members - centers[own])[:, p][:, None] - b) ** 2).sum(2).argmin(1) for p, b in zip(part, books)], axis=1)
+    code = P.decoded(codes, own, centers, books)
+    able = members @ code.T >= P.least_near((code**2).sum(1), np.sqrt(((members - code) ** 2).sum(1)), 0.9)
+    linked = members @ members.T >= 0.9
+    assert linked.sum() > len(members) + 400 and able[linked].all()
+    assert able.mean() < 0.02
+
+
 def best(rows, k, scale, every):
     ints = [(i, [int(np.floor(scale * float(x))) for x in v]) for i, v in rows if usable(v, True)]
     out, done = [], set()

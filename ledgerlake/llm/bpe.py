@@ -41,6 +41,9 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import drop_scratch, scratch_table
 
 MEMO = 150_000
+ROUND_TRIP_MEMO = 450_000
+PREFIX = 4
+PREFIXES = 16_384
 SINGLE = [bytes([b]) for b in range(256)]
 
 
@@ -207,16 +210,31 @@ class Lexicon:
             at += n * width
         root, self.first, self.final, _, self.target, self.before, self.starts, self.ids = blocks
         self.root, self.labels = root[0], places[3]
+        self.begun: dict[bytes, tuple[int, int] | None] = {}  # where the first bytes of words lead
 
-    def get(self, word: str) -> tuple[int, ...] | None:
-        state, rank, at = self.root, 0, self.labels
-        first, find, before, target = self.first, self.file.find, self.before, self.target
-        for byte in map(SINGLE.__getitem__, word.encode("utf-8", "replace")):
+    def walk(self, state: int, rank: int, data: bytes) -> tuple[int, int] | None:
+        """State and rank after ``data``, or None where no edge goes on."""
+        at, first, find, before, target = self.labels, self.first, self.file.find, self.before, self.target
+        for byte in map(SINGLE.__getitem__, data):
             edge = find(byte, at + first[state], at + first[state + 1]) - at
             if edge < 0:
                 return None
             rank += before[edge]
             state = target[edge]
+        return state, rank
+
+    def get(self, word: str) -> tuple[int, ...] | None:
+        data = word.encode("utf-8", "replace")
+        head = data[:PREFIX]
+        try:
+            place = self.begun[head]
+        except KeyError:
+            place = self.walk(self.root, 0, head)
+            if len(self.begun) < PREFIXES:
+                self.begun[head] = place
+        if place is None or (place := self.walk(*place, data[PREFIX:])) is None:
+            return None
+        state, rank = place
         if not self.final[state]:
             return None
         return tuple(self.ids[self.starts[rank] : self.starts[rank + 1]])
@@ -332,9 +350,10 @@ class Memo(dict):
 
 
 class Encoder:
-    """Ids of texts; remembers up to MEMO chunks and as many words."""
+    """Ids of texts; remembers up to ``memo`` chunks and as many words."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
+    def __init__(self, vocabulary: Vocabulary, lexicon: bytes, memo: int = MEMO):
+        self.memo = memo
         self.split, self.merge, self.lexicon = Splitter(vocabulary), Merger(vocabulary), Lexicon(lexicon)
         self.special, self.known, self.of_words = vocabulary.special, None, {}
 
@@ -347,7 +366,7 @@ class Encoder:
                     ids = (self.special[word[1:]],)
                 elif (ids := self.lexicon.get(word)) is None:
                     ids = self.merge(word)
-                if len(of_words) >= MEMO:
+                if len(of_words) >= self.memo:
                     of_words.clear()
                 of_words[word] = ids
             out += ids
@@ -357,7 +376,7 @@ class Encoder:
         """``make(ids)`` of every chunk that has ids, remembered by chunk; ``make`` is the same in all calls."""
         if not text:
             return []
-        if self.known is None or len(self.known) > MEMO:
+        if self.known is None or len(self.known) > self.memo:
             self.known = Memo(lambda c: make(ids) if (ids := self.ids_of_chunk(c)) else None)
         return [x for x in map(self.known.__getitem__, self.split.chunks(text)) if x is not None]
 
@@ -406,7 +425,7 @@ def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary, lexicon: bytes)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, data = shared.value
         vocabulary = Vocabulary(*parts)
-        encoder, decoder = Encoder(vocabulary, data), Decoder(vocabulary)
+        encoder, decoder = Encoder(vocabulary, data, ROUND_TRIP_MEMO), Decoder(vocabulary)
 
         spelled = Memo(str)
 

@@ -47,6 +47,16 @@ def test_short_and_long_merging_agree(vocabulary):
         assert merge.short(list(parts)) == merge.long(list(parts))
 
 
+def test_chunks_are_made_once_within_the_memo(vocabulary):
+    encoder, made = B.Encoder(vocabulary, B.compile_lexicon({}), B.ROUND_TRIP_MEMO), []
+    encoder.merge = lambda word: made.append(word) or (1,)
+    words = ["".join(chr(97 + k // 26**i % 26) for i in range(4)) for k in range(200_000)]
+    for _ in range(2):
+        for k in range(0, len(words), 1000):
+            assert len(encoder.chunks(" ".join(words[k : k + 1000]), tuple)) == 1000
+    assert len(made) == len(words)
+
+
 def test_lexicon_is_minimal_and_exact():
     rng = random.Random(1)
     words = {"".join(rng.choices("abc", k=rng.randint(1, 7))) + rng.choice(["", "ing", "ed", "é"]) for _ in range(600)}

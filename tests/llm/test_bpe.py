@@ -47,6 +47,47 @@ def test_short_and_long_merging_agree(vocabulary):
         assert merge.short(list(parts)) == merge.long(list(parts))
 
 
+def test_words_merged_together_are_merged_alike(vocabulary):
+    merge, rng = B.Merger(vocabulary), random.Random(5)
+    words = ["".join(rng.choices("theandingéß日😀'!12", k=rng.randint(1, 24))) for _ in range(3000)] + ["a", "aaaaaaa", "é", "a"]
+    assert merge.together([w.encode() for w in words]) == [list(merge(w)) for w in words]
+    assert merge.together([]) == []
+
+
+def test_words_walk_the_lexicon_together_as_alone(vocabulary):
+    merge, rng = B.Merger(vocabulary), random.Random(6)
+    entries = {w: merge(w) for w in {"".join(rng.choices("abcé", k=rng.randint(1, 6))) for _ in range(500)}}
+    lexicon = B.Lexicon(B.compile_lexicon(entries))
+    words = [*entries, *(w + "q" for w in entries), "abcabcabcabc", "z", "日本"]
+    want = [lexicon.get(w) for w in words]
+    assert [ids and tuple(ids) for ids in lexicon.together([w.encode() for w in words])] == want
+    empty = B.Lexicon(B.compile_lexicon({}))
+    assert empty.together([b"a", b"bc"]) == [None, None] and empty.together([]) == lexicon.together([]) == []
+
+
+@pytest.mark.parametrize(("memo", "size"), [(B.ROUND_TRIP_MEMO, B.BLOCK), (3, 40), (0, 1)])
+def test_round_trip_equals_the_library_whatever_is_remembered(library, vocabulary, memo, size):
+    merge = B.Merger(vocabulary)
+    lexicon = B.compile_lexicon({w: merge(w) for w in ("the", "hello", "world", "größe", "don", "x")})
+    encode, texts = B.RoundTrip(vocabulary, lexicon, memo), [None, *TEXTS, *TEXTS[::-1], "0 12 \U0010ffff\xc0\xff 7"]
+    got = [r for block in B.in_blocks(texts, size) for r in encode(block)]
+    want = []
+    for text in texts:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        want.append((len(ids), " ".join(map(str, ids)).encode(), library.decode(ids, skip_special_tokens=False).encode()))
+    assert got == want
+
+
+def test_new_words_of_a_block_are_encoded_in_one_call_and_once(vocabulary):
+    encode, calls = B.RoundTrip(vocabulary, B.compile_lexicon({})), []
+    one, together = encode.merge, encode.merge.together
+    encode.merge.together = lambda words: calls.append(sorted(words)) or together(words)
+    texts = ["storm over the hill", "over the storm, the sea", None, "sea"]
+    for _ in range(2):
+        assert len([r for block in B.in_blocks(texts) for r in encode(block)]) == 4
+    assert encode.merge is one and calls == [sorted([b"storm", b"over", b"the", b"hill", b",", b"sea"]), []]
+
+
 def test_chunks_are_made_once_within_the_memo(vocabulary):
     encoder, made = B.Encoder(vocabulary, B.compile_lexicon({}), B.ROUND_TRIP_MEMO), []
     encoder.merge = lambda word: made.append(word) or (1,)

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import pq_dedup as P
@@ -95,6 +99,83 @@ def test_coded_filter_loses_no_partner_and_drops_nearly_all_others():
     assert able.mean() < 0.02
 
 
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_training_and_coding_hold_a_few_rows_by_lists_at_a_time():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(16_384, 16))
+    assert peak_mb(lambda: P.train(x, 1024, 4)) < 60  # 16,384 rows by 1,024 lists alone are 134 MB
+    centers = P.unit(x[:1024])
+    of = SimpleNamespace(value=(centers, [centers[:256, part] for part in P.parts(16, 4)], np.eye(16, 7)))
+    batch = pa.RecordBatch.from_pydict({"vector": pa.array(x[:10_000].tolist(), pa.list_(pa.float64()))})
+    assert peak_mb(lambda: list(P._lists(of)([batch]))) < 40
+
+
+def test_rows_are_not_copied_to_the_blocks_they_are_compared_with(spark, monkeypatch):
+    """Without structure every vector meets every other; still each is written once, in pages of bounded length."""
+    x = np.random.default_rng(8).normal(size=(1500, 16)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    plans, pages, write = [], [], P.scratch_table
+
+    def watched(df, name, **options):
+        table, path = write(df, name, **options)
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        if name == "pq-pages":
+            pages.extend(len(r.node) // 8 for r in table.select("node").collect())
+        return table, path
+
+    monkeypatch.setattr(P, "scratch_table", watched)
+    assert P.embedding_near_dedup(df, block=16, sample=500).count() == 1500
+    assert plans and not any("CoGroup" in p for p in plans)
+    assert sum(pages) == 1500 and len(pages) > 8 and max(pages) < 2 * 16 * P.PAGE_BLOCKS
+
+
+def test_many_pages_floats_and_doubles_equal_brute_force(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(150, 12))
+    x = np.concatenate([base, base[:80] + rng.normal(size=(80, 12)) * 0.15, base[0] + rng.normal(size=(150, 12)) * 0.04, base[:5]])
+    for kind, values in (("double", x * 1e-200), ("float", x.astype(np.float32).astype(float))):
+        unit = values / np.abs(values).max(axis=1, keepdims=True)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        link = unit @ unit.T >= 0.9
+        least = np.arange(len(x))
+        while (low := np.where(link, least[None, :], len(x)).min(axis=1)).tolist() != least.tolist():
+            least = low
+        df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(values)], f"vec_id long, embedding array<{kind}>").repartition(5)
+        got = sorted(P.embedding_near_dedup(df, block=8, sample=64).collect())
+        assert [(r.vec_id, r.n_links, r.component_id) for r in got] == [(i, int(link[i].sum()) - 1, int(least[i])) for i in range(len(x))]
+
+
+def test_pairs_that_are_many_are_decided_together(spark):
+    """A tile that is nearly full of links goes another way than a few pairs; both give all links."""
+    rng = np.random.default_rng(10)
+    x = P.unit(np.concatenate([rng.normal(size=(1, 24)) + rng.normal(size=(700, 24)) * 0.06, rng.normal(size=(900, 24))])[rng.permutation(1600)])
+    centers, books = P.train(x, 20, 4)
+    pages = []
+    for k, of in enumerate((slice(0, 700), slice(700, 1600))):
+        own = P.nearest(x[of], centers)[0]
+        codes = np.stack([P.nearest((x[of] - centers[own])[:, p], b)[0] for p, b in zip(P.parts(24, 4), books)], axis=1).astype(np.uint8)
+        code = P.decoded(codes, own, centers, books)
+        least = P.least_near((code**2).sum(1), np.sqrt(((x[of] - code) ** 2).sum(1)), 0.9)
+        pages.append(SimpleNamespace(node=np.arange(1600)[of], n=np.full(len(own), 1 + k), list=own, least=least, codes=codes, x=x[of], lead=P.lead(x[of], P.leading(x, 0.9))))
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    for (i, a), (j, b) in (((0, slice(0, 700)), (1, slice(700, 1600))), ((1, slice(700, 1600)), (1, slice(700, 1600)))):
+        got = P.meet(pages[i], pages[j], i == j, centers, books, 0.9).to_pydict()
+        at = [*range(1600)[a], *([] if i == j else range(1600)[b])]
+        here = near[a, b]
+        want = (here * pages[j].n).sum(1).tolist() + ([] if i == j else (here.T * pages[i].n).sum(1).tolist())
+        assert dict(zip(got["node"], got["links"])) == {n: w for n, w in zip(at, want) if w} and here.sum() > 100_000
+        assert len(set(got["least"])) == 1 and got["least"][0] == min(got["node"])
+
+
 def best(rows, k, scale, every):
     ints = [(i, [int(np.floor(scale * float(x))) for x in v]) for i, v in rows if usable(v, True)]
     out, done = [], set()
